@@ -1,0 +1,20 @@
+"""Join helpers: broadcast only behind a size check.
+
+``small_dim`` broadcasts a look-up side only after proving it holds at most
+``max_rows`` rows (a ``limit(max_rows + 1).count()`` that stops reading as soon
+as the bound is exceeded).  Above the bound the side is returned unchanged and
+the join stays a shuffle join, which AQE may still turn into a broadcast from
+measured shuffle sizes (``spark.sql.autoBroadcastJoinThreshold``).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 100_000
+
+
+def small_dim(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
