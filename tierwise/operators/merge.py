@@ -45,20 +45,24 @@ def dedup_first(df: DataFrame, keys, order: Sequence[str] | None = None,
     k = _cols(keys)
     order = list(order or [])
     rest = [c for c in df.columns if c not in k and c not in order]
+    seq = order + rest
     fields: list[Column] = []
-    for i, c in enumerate(order + rest):
+    out: dict[str, str] = {}
+    for i, c in enumerate(seq):
         x = F.col(c)
         if descending and c in order:
-            # DESC NULLS FIRST inside a min(): NULLs first, then the value
-            # through an order-reversing twin.
-            fields += [x.isNotNull().alias(f"_n{i}"), _desc_key(df, c).alias(f"_k{i}")]
+            # DESC NULLS FIRST: NULLs first, then an order-reversing twin; the raw
+            # value rides along (the twin is one-to-one, so order is unchanged)
+            fields += [x.isNotNull().alias(f"_n{i}"), _desc_key(df, c).alias(f"_k{i}"),
+                       x.alias(f"_r{i}")]
+            out[c] = f"_r{i}"
         else:
             fields += [x.isNull().alias(f"_n{i}"), x.alias(f"_k{i}")]
-    payload = F.struct(*[F.col(c) for c in df.columns if c not in k]).alias("_p")
-    best = F.min(F.struct(*fields, payload)).alias("_best")
-    agg = df.groupBy(*k).agg(best)
-    return agg.select(*k, *[F.col(f"_best._p.{c}").alias(c) for c in df.columns if c not in k]) \
-              .select(*df.columns)
+            out[c] = f"_k{i}"
+    # every non-key column is part of the order, so the struct is also the payload
+    agg = df.groupBy(*k).agg(F.min(F.struct(*fields)).alias("_best"))
+    return agg.select(*[F.col(c) if c in k else F.col(f"_best.{out[c]}").alias(c)
+                        for c in df.columns])
 
 
 def _desc_key(df: DataFrame, c: str) -> Column:

@@ -26,14 +26,27 @@ def symmetric_diff(a: DataFrame, b: DataFrame, columns: Sequence[str] | None = N
     """Rows of A not in B and rows of B not in A, tagged by side.
 
     ``strict=False`` is MINUS semantics (EXCEPT DISTINCT, NULL equals NULL,
-    multiplicity invisible); ``strict=True`` uses EXCEPT ALL so a duplicated row
+    multiplicity invisible); ``strict=True`` is EXCEPT ALL, so a duplicated row
     shows up as a difference.
+
+    Both directions come from ONE aggregation over the tagged union of the two
+    inputs, grouped by every compared column: each side is read once and
+    shuffled once, and identical rows are combined map-side (a row repeated a
+    billion times on one side costs one partial-aggregate entry per task), where
+    two ``except`` calls would read and shuffle each input twice.
     """
     cols = list(columns or a.columns)
-    aa, bb = a.select(*cols), b.select(*cols)
-    op = (lambda x, y: x.exceptAll(y)) if strict else (lambda x, y: x.subtract(y))
-    return (op(aa, bb).withColumn(side_col, F.lit(SIDE_A))
-            .unionByName(op(bb, aa).withColumn(side_col, F.lit(SIDE_B))))
+    tagged = (a.select(*cols, F.lit(1).alias("_na"), F.lit(0).alias("_nb"))
+              .unionByName(b.select(*cols, F.lit(0).alias("_na"), F.lit(1).alias("_nb"))))
+    g = tagged.groupBy(*cols).agg(F.sum("_na").alias("_na"), F.sum("_nb").alias("_nb"))
+    side = F.when(F.col("_na") > F.col("_nb"), F.lit(SIDE_A)).otherwise(F.lit(SIDE_B))
+    if not strict:
+        return (g.where((F.col("_na") > 0) != (F.col("_nb") > 0))
+                 .select(*cols, side.alias(side_col)))
+    # EXCEPT ALL both ways: |na - nb| copies of the row on the larger side
+    d = g.where(F.col("_na") != F.col("_nb")).withColumn("_n", F.abs(F.col("_na") - F.col("_nb")))
+    return d.select(*cols, side.alias(side_col), F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_i")) \
+            .drop("_i")
 
 
 def one_sided_diff(old: DataFrame, new: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
