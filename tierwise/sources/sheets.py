@@ -65,11 +65,11 @@ def required(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Drop rows lacking a required field: NULL, blank, or the text 'nan' (FIL-10)."""
     cond = F.lit(True)
     for c in cols:
-        x = F.trim(F.col(c).cast("string"))
+        x = F.trim(F.col(f"`{c}`").cast("string"))
         cond = cond & x.isNotNull() & (x != "") & (F.lower(x) != "nan")
     return df.where(cond)
 
 
 def separator_only(key: str, sep: str = "|"):
     """True when a composite key holds nothing but separators (FIL-11)."""
-    return F.trim(F.replace(F.col(key), F.lit(sep), F.lit(""))) == ""
+    return F.trim(F.replace(F.col(f"`{key}`"), F.lit(sep), F.lit(""))) == ""
