@@ -74,6 +74,25 @@ def lookback_sentinel(spark, d):
                                                    "o_orderdate")
 
 
+# Inline override tables (SRC-16): bounded constants, broadcast.
+NATION_ID_OVERRIDES = [(3, "NATION THREE (BY ID)"), (7, "NATION SEVEN (BY ID)")]
+NATION_NAME_OVERRIDES = [("NATION_3", "NATION THREE (BY NAME)"), ("NATION_11", "NATION ELEVEN (BY NAME)")]
+
+
+def override_priority(spark, d):
+    """Display name = id override, else name override, else the cleaned name."""
+    n = tbl(spark, d, "nation")
+    by_id = F.broadcast(spark.createDataFrame(NATION_ID_OVERRIDES, "o_id int, id_name string"))
+    by_name = F.broadcast(spark.createDataFrame(NATION_NAME_OVERRIDES, "o_name string, name_name string"))
+    j = (n.join(by_id, n.n_nationkey == by_id.o_id, "left")
+          .join(by_name, F.lower(n.n_name) == F.lower(by_name.o_name), "left"))
+    default = F.upper(F.replace(F.col("n_name"), F.lit("_"), F.lit(" ")))
+    return j.select(
+        "n_nationkey", "n_name", F.coalesce("id_name", "name_name", default).alias("display_name"),
+        F.when(F.col("id_name").isNotNull(), "id").when(F.col("name_name").isNotNull(), "name")
+        .otherwise("default").alias("name_source"))
+
+
 def key_universe(spark, d):
     spec = TableSpec(name="lineitem", keys=tuple(LINE_KEYS), company_col="l_linestatus",
                      company_values=("O",))
@@ -731,6 +750,7 @@ QUERIES = {
     "scoped_lookback": scoped_lookback,
     "lookback_fallback": lookback_fallback,
     "lookback_sentinel": lookback_sentinel,
+    "override_priority": override_priority,
     "key_universe": key_universe,
     "column_profile": column_profile,
     "multi_scope": multi_scope,

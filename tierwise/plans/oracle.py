@@ -155,6 +155,14 @@ WITH o AS (SELECT *, CASE WHEN o_orderstatus = 'P' THEN TIMESTAMP '1900-12-31 00
 SELECT o_orderkey, o_orderstatus, o_audit, o_orderdate FROM o
 WHERE o_audit >= {AS_OF} - INTERVAL 60 DAY OR CAST(o_audit AS DATE) = DATE '1900-12-31'""",
 
+    "override_priority": """
+WITH by_id AS (SELECT * FROM (VALUES (3, 'NATION THREE (BY ID)'), (7, 'NATION SEVEN (BY ID)')) t(o_id, id_name)),
+by_name AS (SELECT * FROM (VALUES ('NATION_3', 'NATION THREE (BY NAME)'), ('NATION_11', 'NATION ELEVEN (BY NAME)'))
+            t(o_name, name_name))
+SELECT n.n_nationkey, n.n_name, COALESCE(i.id_name, m.name_name, upper(replace(n.n_name, '_', ' '))) AS display_name,
+       CASE WHEN i.id_name IS NOT NULL THEN 'id' WHEN m.name_name IS NOT NULL THEN 'name' ELSE 'default' END AS name_source
+FROM nation n LEFT JOIN by_id i ON n.n_nationkey = i.o_id LEFT JOIN by_name m ON lower(n.n_name) = lower(m.o_name)""",
+
     "key_universe": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_linestatus IN ('O')",
 
     "column_profile": _profile("customer", [("c_custkey", "int"), ("c_name", "text"), ("c_nationkey", "int"),

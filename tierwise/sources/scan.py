@@ -30,8 +30,12 @@ def window_predicate(spec: TableSpec, as_of, days: int | None = None) -> Column:
         audit = F.coalesce(audit, F.col(spec.fallback_col))
     cond = audit >= start
     if spec.sentinel:
-        cond = cond | (F.to_date(F.col(spec.audit_col)) == F.lit(spec.sentinel).cast("date"))
-    return F.coalesce(cond, F.lit(False))
+        # the sentinel day as a timestamp range keeps the predicate pushable
+        lo = F.lit(spec.sentinel).cast("timestamp_ntz")
+        cond = cond | ((F.col(spec.audit_col) >= lo) & (F.col(spec.audit_col) < lo + F.expr("INTERVAL 1 DAY")))
+    # no NULL-to-false wrapper: WHERE drops NULL already, and a wrapper would
+    # stop the predicate from reaching the Parquet reader
+    return cond
 
 
 def snapshot_scan(df: DataFrame, spec: TableSpec) -> DataFrame:
