@@ -129,22 +129,25 @@ def insert_if_absent(target: DataFrame, batch: DataFrame, keys) -> DataFrame:
 
 
 def merge_counts(target: DataFrame, batch: DataFrame, keys) -> DataFrame:
-    """One-row counters: extracted, inserted, updated (SNK-05).
+    """One-row counters: extracted, inserted, updated (SNK-05), in one job.
 
     ``updated`` counts distinct batch keys already present in the target.  The
     source system derived updated = extracted - inserted, so duplicates in the
     batch counted as updates; ``updated_as_source`` keeps that figure as well.
     """
     k = _cols(keys)
-    bk = batch.dropna(subset=k).select(*k)
-    present = bk.distinct().join(target.select(*k).distinct(), on=k, how="left_semi")
-    extracted = batch.count()
-    updated = present.count()
-    inserted = bk.distinct().count() - updated
-    spark = batch.sparkSession
-    return spark.createDataFrame(
-        [(extracted, inserted, updated, extracted - inserted)],
-        "extracted long, inserted long, updated long, updated_as_source long")
+    has_key = F.lit(True)
+    for c in k:
+        has_key = has_key & F.col(c).isNotNull()
+    tk = target.select(*k).distinct().withColumn("_hit", F.lit(True))
+    j = batch.select(*k).join(tk, on=k, how="left")
+    key = F.when(has_key, F.struct(*k))
+    agg = j.agg(F.count(F.lit(1)).alias("extracted"),
+                F.count_distinct(key).alias("_keys"),
+                F.count_distinct(F.when(F.col("_hit"), key)).alias("updated"))
+    inserted = F.col("_keys") - F.col("updated")
+    return agg.select("extracted", inserted.alias("inserted"), "updated",
+                      (F.col("extracted") - inserted).alias("updated_as_source"))
 
 
 # ---------------------------------------------------------------------------

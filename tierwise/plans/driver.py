@@ -357,10 +357,16 @@ def keyed_expression_join(spark, d):
 
 
 def aggregate_join(spark, d):
+    """Lines with their order total and same-day total (JON-14/15).
+
+    Both totals come from one (order, day) pre-aggregate: the per-order total
+    is summed from it, so the line table is shuffled once, on one key.
+    """
     li = tbl(spark, d, "lineitem").withColumn("ship_day", F.to_date("l_shipdate"))
-    per_order = li.groupBy("l_orderkey").agg(F.sum(X.money("l_quantity")).alias("_oq"))
     per_day = li.groupBy("l_orderkey", "ship_day").agg(F.sum(X.money("l_quantity")).alias("_dq"))
-    j = li.join(per_order, "l_orderkey", "left").join(per_day, ["l_orderkey", "ship_day"], "left")
+    per_order = per_day.groupBy("l_orderkey").agg(F.sum("_dq").alias("_oq"))
+    totals = per_day.join(per_order, "l_orderkey")
+    j = li.join(totals, ["l_orderkey", "ship_day"], "left")
     return j.select("l_orderkey", "l_linenumber", "ship_day", "l_quantity",
                     F.col("_oq").cast("double").alias("order_qty"),
                     F.col("_dq").cast("double").alias("same_day_qty"))
