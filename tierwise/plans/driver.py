@@ -203,9 +203,12 @@ def upsert_snapshot(spark, d):
 
 
 def insert_if_absent(spark, d):
+    """Key-only table of (customer, status) pairs loaded up to 2000, then the
+    full history merged in: only new pairs are inserted (MRG-03)."""
     o = tbl(spark, d, "orders")
     pairs = o.select("o_custkey", "o_orderstatus")
-    target = pairs.where(F.col("o_custkey") < 500).distinct()
+    target = o.where(F.col("o_orderdate") < ts("2000-01-01 00:00:00")) \
+              .select("o_custkey", "o_orderstatus").distinct()
     return M.insert_if_absent(target, pairs, ["o_custkey", "o_orderstatus"])
 
 
@@ -564,7 +567,7 @@ def signed_sum(spark, d):
     g = li.groupBy("l_returnflag", F.year("l_shipdate").alias("ship_year")).agg(
         F.sum(X.signed(X.money("l_quantity"), "l_linestatus", "F")).cast("double").alias("signed_qty"),
         F.count(F.lit(1)).alias("n_rows"))
-    return g.orderBy(X.asc("l_returnflag"), X.asc("ship_year")).limit(10)
+    return g.orderBy(X.asc("l_returnflag"), X.asc("ship_year"))         # SRT-01, cosmetic
 
 
 # ---------------------------------------------------------------------------
@@ -667,6 +670,12 @@ def content_diff(spark, d):
     return R.symmetric_diff(tbl(spark, d, "orders"), _orders_b(spark, d))
 
 
+def diff_sample(spark, d):
+    """The first 10 differing rows in a total order: the reconciliation sample
+    printed for a human (SRT-02); the full difference stays distributed."""
+    return R.sample(content_diff(spark, d), ["o_orderkey", "side"], 10)
+
+
 def content_diff_strict(spark, d):
     return R.symmetric_diff(tbl(spark, d, "orders"), _orders_b(spark, d), strict=True)
 
@@ -799,6 +808,7 @@ QUERIES = {
     "sla_status": sla_status,
     "content_diff": content_diff,
     "content_diff_strict": content_diff_strict,
+    "diff_sample": diff_sample,
     "column_common": column_common,
     "superset_check": superset_check,
     "set_diff_systems": set_diff_systems,

@@ -207,7 +207,8 @@ SELECT * FROM target WHERE o_orderkey NOT IN (SELECT o_orderkey FROM batch)
 UNION ALL SELECT * FROM batch""",
 
     "insert_if_absent": """
-WITH target AS (SELECT DISTINCT o_custkey, o_orderstatus FROM orders WHERE o_custkey < 500)
+WITH target AS (SELECT DISTINCT o_custkey, o_orderstatus FROM orders
+                WHERE o_orderdate < TIMESTAMP '2000-01-01 00:00:00')
 SELECT * FROM target
 UNION ALL
 SELECT DISTINCT o_custkey, o_orderstatus FROM orders o
@@ -443,7 +444,7 @@ SELECT l_returnflag, CAST(year(l_shipdate) AS INTEGER) AS ship_year,
        CAST(SUM(CASE WHEN l_linestatus = 'F' THEN CAST(l_quantity AS DECIMAL(18,2))
                      ELSE -CAST(l_quantity AS DECIMAL(18,2)) END) AS DOUBLE) AS signed_qty,
        COUNT(*) AS n_rows
-FROM lineitem GROUP BY 1, 2 ORDER BY l_returnflag ASC NULLS LAST, ship_year ASC NULLS LAST LIMIT 10""",
+FROM lineitem GROUP BY 1, 2 ORDER BY l_returnflag ASC NULLS LAST, ship_year ASC NULLS LAST""",
 
     "text_clean": """
 WITH c AS (SELECT *, CASE WHEN c_mktsegment IN ('BUILDING','MACHINERY') THEN 'J' ELSE 'F' END AS person_type
@@ -530,6 +531,13 @@ FROM k""",
 UNION ALL
 (SELECT *, 'only_in_b' AS side FROM (SELECT * FROM {_ORDERS_B} EXCEPT SELECT * FROM orders))""",
 
+    "diff_sample": f"""
+SELECT * FROM (
+  (SELECT *, 'only_in_a' AS side FROM (SELECT * FROM orders EXCEPT SELECT * FROM {_ORDERS_B}))
+  UNION ALL
+  (SELECT *, 'only_in_b' AS side FROM (SELECT * FROM {_ORDERS_B} EXCEPT SELECT * FROM orders)))
+ORDER BY o_orderkey ASC NULLS LAST, side ASC NULLS LAST LIMIT 10""",
+
     "content_diff_strict": f"""
 (SELECT *, 'only_in_a' AS side FROM (SELECT * FROM orders EXCEPT ALL SELECT * FROM {_ORDERS_B}))
 UNION ALL
