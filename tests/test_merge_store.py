@@ -163,3 +163,39 @@ def test_catalog_lookup_and_size():
     assert cat.get("B").keyless and len(cat.writers("A")) == 2
     with pytest.raises(KeyError):
         cat.get("A")
+
+
+def test_partitioned_merge_rewrites_only_touched_partitions(spark, sf_small):
+    orders = spark.read.parquet(f"{sf_small}/orders.parquet")
+    spec = TableSpec("orders", ("o_orderkey",), audit_col="o_orderdate")
+    flat = VersionedTable(spark, scratch_path(spark, "flat"))
+    part = VersionedTable(spark, scratch_path(spark, "part"), partition_col="o_orderdate")
+    as_of = "2001-08-01 00:00:00"
+    cut = F.lit("2001-07-01 00:00:00").cast("timestamp_ntz")
+    first = orders.where(F.col("o_orderdate") < cut)
+    for t in (flat, part):
+        ingest(spec, first, t, as_of)
+    before = part.manifest()["parts"]
+    changed = orders.withColumn("o_orderpriority", F.lit("9-CHANGED"))       # window: last 60 days
+    r_flat = ingest(spec, changed, flat, as_of)
+    r_part = ingest(spec, changed, part, as_of)
+    assert r_part.strategy == "window_merge@partitions"
+    assert (r_part.extracted, r_part.inserted, r_part.updated, r_part.saved) == \
+        (r_flat.extracted, r_flat.inserted, r_flat.updated, r_flat.saved)
+    a, b = flat.read(), part.read()
+    assert a.exceptAll(b.select(*a.columns)).isEmpty() and b.select(*a.columns).exceptAll(a).isEmpty()
+    after = part.manifest()["parts"]
+    rewritten = {k for k in after if after[k]["v"] == 2}
+    assert rewritten == {"m200106", "m200107", "m200108"}                  # only the window's months
+    assert all(after[k] == before[k] for k in before if k not in rewritten)
+    assert part.read(parts=["m200107"]).count() == orders.where(
+        F.date_format("o_orderdate", "yyyyMM") == "200107").count()
+
+
+def test_partitioned_write_refuses_stray_rows(spark):
+    t = VersionedTable(spark, scratch_path(spark, "stray"), partition_col="d")
+    df = spark.createDataFrame([(1, TS(2024, 1, 5)), (2, TS(2024, 2, 5))], "k long, d timestamp_ntz")
+    t.write(df)
+    with pytest.raises(StoreError):
+        t.write_partitions(df, ["m202401"])                 # the February row is outside
+    assert t.current_version() == 1 and t.read().count() == 2

@@ -3,7 +3,6 @@
 import datetime as dt
 from decimal import Decimal
 
-import pytest
 from pyspark.sql import types as T
 
 from tierwise.plans.bronze_schemas import BRONZE_SCHEMAS

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from ...functions import exprs as X
 from ...operators import blocks as B
 from ...operators import merge as M
-from ...sources import sheets
 from .common import Bronze, ProductParams, c, on
 
 # ---------------------------------------------------------------------------

@@ -3,12 +3,15 @@
 Layout of a table root::
 
     <root>/v=000001/part-*.parquet   (+ _SUCCESS written by the job committer)
-    <root>/v=000002/...
-    <root>/_current                  text file holding the committed version
+    <root>/v=000002/_part=m200107/... (partitioned tables)
+    <root>/_current                  JSON manifest: committed version and, for a
+                                     partitioned table, partition -> version
 
 A write never touches the directory being read: it writes ``v=N+1`` with
 Spark's job committer, checks the row count, then replaces ``_current`` by a
-rename of a freshly written file.  A failed or killed job leaves an orphan
+rename of a freshly written file.  A partitioned table rewrites only the
+partitions a merge touches; the manifest points the others at the versions
+that last wrote them, so untouched partitions are neither read nor copied.  A failed or killed job leaves an orphan
 version directory that no reader ever sees; readers follow ``_current`` only.
 One writer per table at a time is assumed (multi-writer tables take turns).
 
@@ -18,11 +21,13 @@ same code works on a local disk, HDFS or an object store.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (DateType, StringType, StructField, StructType, TimestampNTZType,
+                               TimestampType)
 
 LOAD_COL_BRONZE = "DW_DATA_INGESTAO"
 LOAD_COL_SILVER = "DW_DATA_PROCESSAMENTO"
@@ -37,10 +42,25 @@ class StoreError(RuntimeError):
     pass
 
 
+PART_COL = "_part"
+
+
 @dataclass
 class VersionedTable:
+    """A table of immutable versions published through one small manifest.
+
+    Unpartitioned: a version is one directory.  Partitioned (``partition_col``
+    set): each version directory holds ``_part=...`` sub-directories and the
+    manifest maps every storage partition to the version that last wrote it, so
+    a merge rewrites only the partitions its batch touches and publishes all of
+    them at once.  ``partition_col`` must hold an **immutable** attribute of a
+    row (e.g. its creation date): a key never moves between partitions.
+    Timestamp/date columns partition by month, other columns by a hash bucket.
+    """
     spark: SparkSession
     root: str
+    partition_col: str | None = None
+    buckets: int = 64
 
     # -- file system ---------------------------------------------------------
     def _fs(self):
@@ -52,26 +72,39 @@ class VersionedTable:
         _, jvm = self._fs()
         return jvm.org.apache.hadoop.fs.Path("/".join([self.root, *parts]))
 
-    def current_version(self) -> int | None:
-        fs, _ = self._fs()
+    def manifest(self) -> dict | None:
+        fs, jvm = self._fs()
         p = self._path("_current")
         if not fs.exists(p):
             return None
         stream = fs.open(p)
         try:
-            reader = self.spark._jvm.java.io.BufferedReader(
-                self.spark._jvm.java.io.InputStreamReader(stream))
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            lines = []
             line = reader.readLine()
+            while line is not None:
+                lines.append(line)
+                line = reader.readLine()
         finally:
             stream.close()
-        return int(line.strip()) if line else None
+        text = "\n".join(lines).strip()
+        if not text:
+            return None
+        if text.isdigit():                                   # plain version pointer
+            return {"version": int(text), "parts": None}
+        return json.loads(text)
+
+    def current_version(self) -> int | None:
+        m = self.manifest()
+        return None if m is None else m["version"]
 
-    def _set_current(self, version: int) -> None:
+    def _publish(self, manifest: dict) -> None:
         fs, _ = self._fs()
+        version = manifest["version"]
         tmp = self._path(f"_current.tmp-{version}")
         out = fs.create(tmp, True)
         try:
-            out.write(bytearray(f"{version}\n", "utf-8"))
+            out.write(bytearray(json.dumps(manifest, sort_keys=True), "utf-8"))
         finally:
             out.close()
         dst = self._path("_current")
@@ -83,47 +116,113 @@ class VersionedTable:
     def version_path(self, version: int) -> str:
         return f"{self.root}/v={version:06d}"
 
+    # -- partitioning --------------------------------------------------------
+    def part_expr(self, df: DataFrame):
+        """Storage partition of each row (path-safe text, never NULL)."""
+        c = F.col(self.partition_col)
+        t = df.schema[self.partition_col].dataType
+        if isinstance(t, (TimestampType, TimestampNTZType, DateType)):
+            e = F.concat(F.lit("m"), F.date_format(c, "yyyyMM"))
+        else:
+            e = F.concat(F.lit("b"), F.pmod(F.xxhash64(c), F.lit(self.buckets)).cast("string"))
+        return F.coalesce(e, F.lit("none"))
+
+    def part_values(self, df: DataFrame) -> list[str]:
+        """Storage partitions a batch touches (at most the partition count)."""
+        return sorted(r[0] for r in df.select(self.part_expr(df).alias(PART_COL)).distinct().collect())
+
     # -- API -----------------------------------------------------------------
     def exists(self) -> bool:
-        return self.current_version() is not None
+        return self.manifest() is not None
 
-    def read(self) -> DataFrame:
-        v = self.current_version()
-        if v is None:
+    def read(self, parts: list[str] | None = None) -> DataFrame:
+        """Current version; ``parts`` limits a partitioned table to those
+        storage partitions (the others are not even listed)."""
+        m = self.manifest()
+        if m is None:
             raise StoreError(f"{self.root} has no committed version")
-        return self.spark.read.parquet(self.version_path(v))
+        if m.get("parts") is None:
+            return self.spark.read.parquet(self.version_path(m["version"]))
+        schema = StructType.fromJson(json.loads(m["schema"]))
+        wanted = m["parts"] if parts is None else {k: v for k, v in m["parts"].items() if k in set(parts)}
+        paths = [f"{self.version_path(v['v'])}/{PART_COL}={k}" for k, v in sorted(wanted.items())]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
 
     def schema(self) -> StructType:
         return self.read().schema
 
     def has_rows(self) -> bool:
-        return self.exists() and not self.read().isEmpty()
+        m = self.manifest()
+        if m is None:
+            return False
+        if m.get("parts") is not None:
+            return any(v["rows"] > 0 for v in m["parts"].values())
+        return not self.read().isEmpty()
 
     def create_empty(self, schema: StructType) -> None:
         """Create the table from a schema if absent (SNK-03)."""
         if not self.exists():
             self.write(self.spark.createDataFrame([], schema), allow_empty=True)
 
+    def _write_parts(self, df: DataFrame, version: int) -> dict:
+        path = self.version_path(version)
+        df.withColumn(PART_COL, self.part_expr(df)).write.mode("overwrite") \
+          .partitionBy(PART_COL).parquet(path)
+        # per-partition row counts: the SNK-01 check, one row per partition
+        with_part = StructType([*df.schema.fields, StructField(PART_COL, StringType())])
+        counts = self.spark.read.schema(with_part).parquet(path).groupBy(PART_COL).count().collect()
+        return {r[0]: {"v": version, "rows": r[1]} for r in counts}
+
     def write(self, df: DataFrame, allow_empty: bool = False,
               expected_rows: int | None = None) -> int:
-        """Write ``df`` as the next version and publish it; returns rows saved.
+        """Write ``df`` as the next full version and publish it; returns rows saved.
 
         An empty result aborts and keeps the old version (SNK-02) unless
-        ``allow_empty``.  When ``expected_rows`` is given the written version is
-        counted and a mismatch aborts before publishing (SNK-01 row check).
+        ``allow_empty``.  When ``expected_rows`` is given a mismatch aborts
+        before publishing (SNK-01 row check).
         """
-        cur = self.current_version() or 0
-        nxt = cur + 1
-        path = self.version_path(nxt)
-        df.write.mode("overwrite").parquet(path)
-        saved = self.spark.read.parquet(path).count()
+        nxt = (self.current_version() or 0) + 1
+        if self.partition_col:
+            parts = self._write_parts(df, nxt)
+            saved = sum(v["rows"] for v in parts.values())
+            manifest = {"version": nxt, "parts": parts, "schema": df.schema.json(),
+                        "partition_col": self.partition_col}
+        else:
+            path = self.version_path(nxt)
+            df.write.mode("overwrite").parquet(path)
+            saved = self.spark.read.parquet(path).count()
+            manifest = {"version": nxt, "parts": None}
         if saved == 0 and not allow_empty:
             raise StoreError(f"refusing to publish an empty version of {self.root}")
         if expected_rows is not None and saved != expected_rows:
             raise StoreError(f"{self.root}: wrote {saved} rows, expected {expected_rows}")
-        self._set_current(nxt)
+        self._publish(manifest)
         return saved
 
+    def write_partitions(self, df: DataFrame, touched: list[str]) -> int:
+        """Replace only the ``touched`` storage partitions by ``df`` (which must
+        hold exactly their new content) and publish; returns total table rows.
+
+        A row of ``df`` outside the touched partitions means the partition
+        column is not immutable: the version is not published.
+        """
+        m = self.manifest()
+        if not self.partition_col or m is None or m.get("parts") is None:
+            raise StoreError("write_partitions needs an existing partitioned table")
+        nxt = m["version"] + 1
+        written = self._write_parts(df, nxt)
+        stray = set(written) - set(touched)
+        if stray:
+            raise StoreError(f"{self.root}: rows landed in untouched partitions {sorted(stray)[:5]}; "
+                             f"{self.partition_col} is not immutable")
+        parts = {k: v for k, v in m["parts"].items() if k not in set(touched)}
+        parts.update(written)
+        self._publish({"version": nxt, "parts": parts, "schema": m["schema"],
+                       "partition_col": self.partition_col})
+        return sum(v["rows"] for v in parts.values())
+
 
 def stamp(df: DataFrame, as_of, layer: str = "bronze") -> DataFrame:
     """Add the load timestamp column (fixed as-of, not the wall clock)."""
