@@ -98,7 +98,7 @@ def ingest(spec: TableSpec, source: DataFrame, target: VersionedTable, as_of,
     if res.extracted or res.removed:
         res.saved = target.write(merged)
     else:
-        res.saved = current.count()
+        res.saved = target.row_count()
     res.seconds = time.time() - t0
     return res
 
@@ -116,7 +116,7 @@ def _merge_partitions(spec: TableSpec, batch: DataFrame, target: VersionedTable,
                      counts["updated"])
     if counts["extracted"] == 0:
         res.status = "EMPTY_BATCH_KEPT_OLD"
-        res.saved = sum(v["rows"] for v in target.manifest()["parts"].values())
+        res.saved = target.row_count()
     else:
         merged = merge.upsert(current, batch, spec.keys, spec.dedup_order(), descending=spec.latest_wins)
         res.saved = target.write_partitions(merged, touched)

@@ -159,8 +159,19 @@ class VersionedTable:
             return False
         if m.get("parts") is not None:
             return any(v["rows"] > 0 for v in m["parts"].values())
+        if "rows" in m:                                      # counted when written
+            return m["rows"] > 0
         return not self.read().isEmpty()
 
+    def row_count(self) -> int:
+        """Rows of the current version, from the manifest when recorded."""
+        m = self.manifest()
+        if m is None:
+            return 0
+        if m.get("parts") is not None:
+            return sum(v["rows"] for v in m["parts"].values())
+        return m["rows"] if "rows" in m else self.read().count()
+
     def create_empty(self, schema: StructType) -> None:
         """Create the table from a schema if absent (SNK-03)."""
         if not self.exists():
@@ -193,7 +204,7 @@ class VersionedTable:
             path = self.version_path(nxt)
             df.write.mode("overwrite").parquet(path)
             saved = self.spark.read.parquet(path).count()
-            manifest = {"version": nxt, "parts": None}
+            manifest = {"version": nxt, "parts": None, "rows": saved}
         if saved == 0 and not allow_empty:
             raise StoreError(f"refusing to publish an empty version of {self.root}")
         if expected_rows is not None and saved != expected_rows:
