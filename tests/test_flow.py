@@ -54,3 +54,44 @@ def test_bronze_to_silver_two_cycles(spark):
     got = {r.CODCPG: (r.DESCPGTO, r.SITCPG_DESC) for r in silver_t.read().collect()}
     assert n == 2 and got == {"030": ("0 PM - A VISTA 2", "ATIVA"), "060": ("60 PM - SIXTY", "INATIVA")}
     assert {r.DW_DATA_PROCESSAMENTO for r in silver_t.read().collect()} == {TS(2024, 3, 2)}
+
+
+def test_refresh_area_isolates_failures(spark):
+    from pyspark.sql import functions as F
+
+    from tierwise.operators.ingest import refresh_area, run_summary
+    cat = bronze_catalog()
+    root = scratch_path(spark, "area")
+
+    def read_source(spec):
+        if spec.name == "R910USU":
+            raise IOError("source unavailable")
+        return spark.createDataFrame([], BRONZE_SCHEMAS[spec.name]) if spec.name != "E028CPG" else \
+            _source(spark, [dict(CODEMP=1, CODCPG="1", DATGER=TS(2024, 1, 1))])
+
+    m = refresh_area(spark, cat, "opex", read_source, root, "2024-03-01 00:00:00")
+    got = {r.table_name: r.status for r in m.collect()}
+    assert len(got) == len([s for s in cat.specs.values() if s.owner == "opex"])
+    assert got["R910USU"].startswith("ERROR") and got["USU_T650ORC"] == "EMPTY_BATCH_KEPT_OLD"
+    assert run_summary(m).where(F.col("status").startswith("ERROR")).first()["n_tables"] == 1
+
+
+def test_stale_edit_needs_snapshot_merge_and_is_caught_by_content_diff(spark):
+    """An edit that does not touch the audit column escapes the look-back
+    window; re-reading everything (no trusted audit column) fixes it, and only
+    the content check (REC-05) reveals it."""
+    from dataclasses import replace
+
+    from tierwise.operators import reconcile as R
+    spec = bronze_catalog().get("E028CPG")
+    t = VersionedTable(spark, scratch_path(spark, "stale"))
+    row = dict(CODEMP=1, CODCPG="1", DESCPG="old", DATGER=TS(2023, 1, 1), DATATU=TS(2023, 1, 1))
+    ingest(spec, _source(spark, [row]), t, "2024-03-01 00:00:00")
+    edited = _source(spark, [dict(row, DESCPG="new")])                   # audit column not updated
+    r = ingest(spec, edited, t, "2024-03-02 00:00:00")
+    assert r.extracted == 0 and t.read().first()["DESCPG"] == "old"      # stale row survives the window
+    cols = [c for c in edited.columns]
+    assert R.symmetric_diff(edited, t.read(), cols).count() == 2          # content check catches it
+    ingest(replace(spec, audit_col=None, fallback_col=None), edited, t, "2024-03-02 00:00:00")
+    assert t.read().first()["DESCPG"] == "new"
+    assert R.symmetric_diff(edited, t.read(), cols).count() == 0

@@ -151,3 +151,22 @@ def run_summary(metrics: DataFrame) -> DataFrame:
     return (metrics.groupBy("status")
             .agg(F.count(F.lit(1)).alias("n_tables"), F.sum("saved").alias("saved"),
                  F.sum("removed").alias("removed")))
+
+
+def refresh_area(spark: SparkSession, catalog, area: str, read_source, bronze_root: str, as_of,
+                 sweep: bool = False, partition_cols: dict | None = None) -> DataFrame:
+    """Refresh every catalog table owned by ``area`` (one bronze cycle, E1).
+
+    ``read_source(spec)`` returns the source DataFrame of a table (any reader:
+    Parquet export, JDBC, a second system).  Tables are independent jobs; a
+    failure is isolated and reported in the metrics.  ``sweep`` turns the
+    scoped orphan sweep on (the last cycle of the day).  ``partition_cols``
+    optionally names the immutable partition column of large tables.
+    """
+    partition_cols = partition_cols or {}
+    jobs = []
+    for spec in sorted((s for s in catalog.specs.values() if s.owner == area), key=lambda s: s.name):
+        target = VersionedTable(spark, f"{bronze_root}/{spec.name}",
+                                partition_col=partition_cols.get(spec.name))
+        jobs.append((spec, (lambda s=spec: read_source(s)), target))
+    return run_tables(spark, jobs, as_of, sweep=sweep)
