@@ -17,7 +17,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import scan
@@ -77,8 +77,8 @@ def ingest(spec: TableSpec, source: DataFrame, target: VersionedTable, as_of,
     else:
         batch = scan.snapshot_scan(src, spec)
         strategy = "snapshot_merge"
-    if target.partition_col and not sweep:
-        return _merge_partitions(spec, batch, target, as_of, layer, strategy, t0)
+    if not sweep:
+        return _merge_observed(spec, batch, target, as_of, layer, strategy, t0)
     current = target.read()
     batch = _stamp(batch, as_of, layer).select(*current.columns)
     counts = merge.merge_counts(current, batch, spec.keys).first()
@@ -90,11 +90,10 @@ def ingest(spec: TableSpec, source: DataFrame, target: VersionedTable, as_of,
                               descending=spec.latest_wins)
         res = LoadResult(spec.name, strategy, counts["extracted"], counts["inserted"],
                          counts["updated"])
-    if sweep:
-        universe = scan.key_universe(src, spec)
-        merged, removed = merge.orphan_sweep(merged, universe, spec.keys, scope=spec.scope())
-        res.removed = removed.count()
-        res.strategy += "+sweep"
+    universe = scan.key_universe(src, spec)
+    merged, removed = merge.orphan_sweep(merged, universe, spec.keys, scope=spec.scope())
+    res.removed = removed.count()
+    res.strategy += "+sweep"
     if res.extracted or res.removed:
         res.saved = target.write(merged)
     else:
@@ -103,25 +102,45 @@ def ingest(spec: TableSpec, source: DataFrame, target: VersionedTable, as_of,
     return res
 
 
-def _merge_partitions(spec: TableSpec, batch: DataFrame, target: VersionedTable, as_of, layer: str,
-                      strategy: str, t0: float) -> LoadResult:
-    """Upsert that reads and rewrites only the storage partitions the batch
-    touches (the partition column is immutable, so a batch key can only live
-    in one of them); the rest of the table is neither read nor copied."""
-    touched = target.part_values(batch)
-    current = target.read(parts=touched)
+def _merge_observed(spec: TableSpec, batch: DataFrame, target: VersionedTable, as_of, layer: str,
+                    strategy: str, t0: float) -> LoadResult:
+    """The regular cycle: upsert the window batch, counters observed on the write.
+
+    The target is read once.  ``updated`` = target rows before - target rows
+    kept (observed on the anti-join feeding the write) and ``inserted`` = rows
+    written - target rows before; both hold because target keys are unique.
+    On a partitioned table only the partitions the batch touches are read and
+    rewritten (the partition column is immutable, so a batch key can only live
+    in one of them); the rest of the table is neither read nor copied.
+    """
+    extracted = batch.count()                      # the look-back batch: small
+    if extracted == 0:
+        return LoadResult(spec.name, strategy, saved=target.row_count(),
+                          status="EMPTY_BATCH_KEPT_OLD", seconds=time.time() - t0)
+    m = target.manifest()
+    if target.partition_col and m.get("parts") is not None:
+        touched = target.part_values(batch)
+        current = target.read(parts=touched)
+        total_before = sum(v["rows"] for v in m["parts"].values())
+        before = sum(v["rows"] for k, v in m["parts"].items() if k in set(touched))
+        strategy += "@partitions"
+    else:
+        touched, current = None, target.read()
+        total_before = before = target.row_count()
     batch = _stamp(batch, as_of, layer).select(*current.columns)
-    counts = merge.merge_counts(current, batch, spec.keys).first()
-    res = LoadResult(spec.name, strategy + "@partitions", counts["extracted"], counts["inserted"],
-                     counts["updated"])
-    if counts["extracted"] == 0:
-        res.status = "EMPTY_BATCH_KEPT_OLD"
-        res.saved = target.row_count()
+    obs = Observation(f"merge_{spec.name}")
+    merged = merge.upsert(current, batch, spec.keys, spec.dedup_order(), descending=spec.latest_wins,
+                          observation=obs)
+    if touched is None:
+        saved = target.write(merged)
+        written = saved
     else:
-        merged = merge.upsert(current, batch, spec.keys, spec.dedup_order(), descending=spec.latest_wins)
-        res.saved = target.write_partitions(merged, touched)
-    res.seconds = time.time() - t0
-    return res
+        saved = target.write_partitions(merged, touched)
+        written = saved - (total_before - before)
+    kept = obs.get["kept"]
+    updated = before - kept
+    return LoadResult(spec.name, strategy, extracted, written - before, updated, saved, 0, "OK",
+                      time.time() - t0)
 
 
 def metrics_frame(spark: SparkSession, results: list[LoadResult]) -> DataFrame:

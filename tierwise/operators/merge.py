@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
@@ -104,13 +104,18 @@ def key_grain_report(df: DataFrame, keys, name: str = "n_rows") -> DataFrame:
 # MRG-01 / MRG-03 / MRG-04: upsert, insert-if-absent
 # ---------------------------------------------------------------------------
 def upsert(target: DataFrame, batch: DataFrame, keys, order: Sequence[str] | None = None,
-           descending: bool = False, reject_null_keys: bool = True) -> DataFrame:
+           descending: bool = False, reject_null_keys: bool = True,
+           observation: Observation | None = None) -> DataFrame:
     """Update matched keys, insert unmatched keys, never delete.
 
     The batch is deduplicated first (MRG-02).  Rows of the batch with a NULL key
     would be inserted again on every run (NULL never matches), so by default
     they are refused (T6); pass ``reject_null_keys=False`` to drop them instead.
     Columns are aligned by name to the target's shape.
+
+    ``observation`` (a ``pyspark.sql.Observation``) receives ``kept``: the
+    number of target rows not replaced, counted while the merge is written,
+    so the load counters need no extra pass over the target.
     """
     k = _cols(keys)
     if reject_null_keys and not null_keys(batch, k).isEmpty():
@@ -118,6 +123,8 @@ def upsert(target: DataFrame, batch: DataFrame, keys, order: Sequence[str] | Non
     clean = batch.dropna(subset=k)
     src = dedup_first(clean, k, order, descending).select(*target.columns)
     kept = target.join(src.select(*k), on=k, how="left_anti")
+    if observation is not None:
+        kept = kept.observe(observation, F.count(F.lit(1)).alias("kept"))
     return kept.unionByName(src)
 
 
