@@ -298,7 +298,7 @@ def test_performance_blocks(spark):
         "E725CRE": [dict(CODEMP=1, CODCRE="R", CODCCU=" ")],
         "E900QDO": [dict(CODEMP=1, CODORI="O", NUMORP=1, CODPRO="P", CODDER="D", QTDPRV=3, QTDRFG=1)],
         "E630SPE": [dict(CODEMP=1, CODORI="O", NUMORP=1, CODPRO="P", CODETG="99", SDOATU=7)],
-        "E621MTC": [dict(CODEMP=1, NUMMTC=1, TIPMTC="28", DATINI=TS(2024, 2, 1), DATFIM=TS(2024, 2, 29)),
+        "E621MTC": [dict(CODEMP=1, NUMMTC=1, TIPMTC="28", DATINI=TS(2024, 2, 1), DATFIM=TS(9999, 12, 31)),
                     dict(CODEMP=1, NUMMTC=1601, TIPMTC="31", DATINI=TS(2024, 1, 1))],
         "E626TAX": [dict(CODEMP=1, NUMMTC=1, CODCCU="STAGE-CC", CODGNG="g", TAXCUS=5)],
         "E210MVP": [dict(CODEMP=1, CODPRO="MP", CODDER="D", CODDEP="X", DATMOV=TS(2024, 2, 11), SEQMOV=1,

@@ -223,9 +223,11 @@ def performance(bronze: Bronze, p: ProductParams) -> DataFrame:
     rates = mtc.join(tax, on("Y0", "Y1", "CODEMP", "NUMMTC")).select(
         c("Y0", "CODEMP").alias("CODEMP"), c("Y1", "CODCCU").alias("CODCCU"),
         c("Y0", "DATINI").alias("DATINI"), c("Y0", "DATFIM").alias("DATFIM"), c("Y1", "TAXCUS").alias("TAXCUS"))
-    lo = F.lit(p.performance_floor).cast("date")
-    daily = B.daily_rates(rates, ["CODEMP", "CODCCU"], "DATINI", "DATFIM", "TAXCUS", lo=None, hi=None,
-                          name="_RATE").where(F.col("_day") >= lo)
+    # readings lie after the performance floor and not after as_of: clip the
+    # validity intervals to that span before expanding them to days, so an
+    # open-ended interval cannot explode
+    daily = B.daily_rates(rates, ["CODEMP", "CODCCU"], "DATINI", "DATFIM", "TAXCUS",
+                          lo=p.performance_floor, hi=p.as_of[:10], name="_RATE")
 
     z1 = eoq.alias("Z1")
     j1 = (z1.join(bronze("E900COP").alias("T0"), on("T0", "Z1", "CODEMP", "CODORI", "NUMORP"), "left")
