@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ...functions import exprs as X
 from ...operators import blocks as B
+from ..joins import small_dim
 from .common import Bronze, ProductParams, c, on
 
 # ---------------------------------------------------------------------------
@@ -32,6 +33,7 @@ RETURN_ENTRY_TYPES_SALE = ("2", "3")
 RETURN_NATURES_CONSIGN = ("1603", "2603")
 RETURN_ENTRY_TYPES_CONSIGN = ("9", "10")
 NOT_IDENTIFIED = "NÃO IDENTIFICADO"
+OVERRIDE_MAX_ROWS = 10_000
 NO_GROUP = "SEM GRUPO"
 
 
@@ -125,8 +127,8 @@ def regions(bronze: Bronze, p: ProductParams, by_region: DataFrame | None = None
     r = bronze("USU_T017RVR").alias("R")
     coord = bronze("R999USU").alias("COORD")
     assist = bronze("R999USU").alias("ASSIST")
-    orr = F.broadcast(by_region).alias("ORR")      # inline constant tables: bounded
-    orl = F.broadcast(by_login).alias("ORL")
+    orr = small_dim(by_region, OVERRIDE_MAX_ROWS).alias("ORR")    # broadcast only when proven small
+    orl = small_dim(by_login, OVERRIDE_MAX_ROWS).alias("ORL")
     j = (r.join(coord, c("R", "USU_USUCOR") == c("COORD", "CODUSU"), "left")
           .join(assist, c("R", "USU_USUASS") == c("ASSIST", "CODUSU"), "left")
           .join(orr, c("ORR", "ID_REGIONAL") == c("R", "USU_CODRVR"), "left")
