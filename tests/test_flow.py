@@ -95,3 +95,16 @@ def test_stale_edit_needs_snapshot_merge_and_is_caught_by_content_diff(spark):
     ingest(replace(spec, audit_col=None, fallback_col=None), edited, t, "2024-03-02 00:00:00")
     assert t.read().first()["DESCPG"] == "new"
     assert R.symmetric_diff(edited, t.read(), cols).count() == 0
+
+
+def test_run_products_cycle(spark):
+    from tierwise.plans.products import run_products
+    root = scratch_path(spark, "bronze_cycle")
+    spec = bronze_catalog().get("E028CPG")
+    ingest(spec, _source(spark, [dict(CODEMP=1, CODCPG="1", DESCPG="x", DATGER=TS(2024, 1, 1))]),
+           VersionedTable(spark, f"{root}/E028CPG"), "2024-03-01 00:00:00")
+    m = run_products(spark, ["DIM_CONDICAO_PAGAMENTO", "DIM_PRODUTO"], TableBronze(spark, root),
+                     scratch_path(spark, "silver_cycle"), ProductParams(as_of="2024-03-01 00:00:00"))
+    got = {r["product"]: (r["status"], r["saved"]) for r in m.collect()}
+    assert got["DIM_CONDICAO_PAGAMENTO"] == ("OK", 1)
+    assert got["DIM_PRODUTO"][0].startswith("ERROR")            # its bronze tables are absent
