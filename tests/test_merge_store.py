@@ -199,3 +199,13 @@ def test_partitioned_write_refuses_stray_rows(spark):
     with pytest.raises(StoreError):
         t.write_partitions(df, ["m202401"])                 # the February row is outside
     assert t.current_version() == 1 and t.read().count() == 2
+
+
+def test_sweep_with_empty_universe_keeps_old_version(spark):
+    spec = TableSpec("t", ("id",), audit_col="changed", company_col="company", company_values=(1,))
+    schema = "id long, company int, v string, changed timestamp_ntz"
+    t = VersionedTable(spark, scratch_path(spark, "empty_universe"))
+    ingest(spec, spark.createDataFrame([(1, 1, "a", TS(2024, 1, 1))], schema), t, "2024-01-10 00:00:00")
+    with pytest.raises(M.MergeError):
+        ingest(spec, spark.createDataFrame([], schema), t, "2024-01-10 00:00:00", sweep=True)
+    assert t.current_version() == 1 and t.read().count() == 1

@@ -77,48 +77,29 @@ def ingest(spec: TableSpec, source: DataFrame, target: VersionedTable, as_of,
     else:
         batch = scan.snapshot_scan(src, spec)
         strategy = "snapshot_merge"
-    if not sweep:
-        return _merge_observed(spec, batch, target, as_of, layer, strategy, t0)
-    current = target.read()
-    batch = _stamp(batch, as_of, layer).select(*current.columns)
-    counts = merge.merge_counts(current, batch, spec.keys).first()
-    if counts["extracted"] == 0:
-        merged = current
-        res = LoadResult(spec.name, strategy, status="EMPTY_BATCH_KEPT_OLD")
-    else:
-        merged = merge.upsert(current, batch, spec.keys, spec.dedup_order(),
-                              descending=spec.latest_wins)
-        res = LoadResult(spec.name, strategy, counts["extracted"], counts["inserted"],
-                         counts["updated"])
-    universe = scan.key_universe(src, spec)
-    merged, removed = merge.orphan_sweep(merged, universe, spec.keys, scope=spec.scope())
-    res.removed = removed.count()
-    res.strategy += "+sweep"
-    if res.extracted or res.removed:
-        res.saved = target.write(merged)
-    else:
-        res.saved = target.row_count()
-    res.seconds = time.time() - t0
-    return res
+    universe = scan.key_universe(src, spec) if sweep else None
+    return _merge_observed(spec, batch, target, as_of, layer, strategy, t0, universe)
 
 
 def _merge_observed(spec: TableSpec, batch: DataFrame, target: VersionedTable, as_of, layer: str,
-                    strategy: str, t0: float) -> LoadResult:
-    """The regular cycle: upsert the window batch, counters observed on the write.
-
-    The target is read once.  ``updated`` = target rows before - target rows
-    kept (observed on the anti-join feeding the write) and ``inserted`` = rows
-    written - target rows before; both hold because target keys are unique.
-    On a partitioned table only the partitions the batch touches are read and
-    rewritten (the partition column is immutable, so a batch key can only live
-    in one of them); the rest of the table is neither read nor copied.
+                    strategy: str, t0: float, universe: DataFrame | None = None) -> LoadResult:
+    """Upsert the window batch [+ scoped orphan sweep], counters observed on the write.
+
+    The target is read once and the result written once.  ``updated`` =
+    target rows before - target rows kept (observed on the anti-join feeding the
+    write); ``inserted`` = merged rows - target rows before (target keys are
+    unique).  The sweep's universe, candidate and surviving counts are observed
+    on the same write; an empty universe stops the publish (old version kept).
+    On a partitioned table without sweep only the partitions the batch touches
+    are read and rewritten (the partition column is immutable, so a batch key
+    can only live in one of them).
     """
     extracted = batch.count()                      # the look-back batch: small
-    if extracted == 0:
+    if extracted == 0 and universe is None:
         return LoadResult(spec.name, strategy, saved=target.row_count(),
                           status="EMPTY_BATCH_KEPT_OLD", seconds=time.time() - t0)
     m = target.manifest()
-    if target.partition_col and m.get("parts") is not None:
+    if target.partition_col and m.get("parts") is not None and universe is None:
         touched = target.part_values(batch)
         current = target.read(parts=touched)
         total_before = sum(v["rows"] for v in m["parts"].values())
@@ -131,16 +112,29 @@ def _merge_observed(spec: TableSpec, batch: DataFrame, target: VersionedTable, a
     obs = Observation(f"merge_{spec.name}")
     merged = merge.upsert(current, batch, spec.keys, spec.dedup_order(), descending=spec.latest_wins,
                           observation=obs)
-    if touched is None:
+    removed = 0
+    if universe is not None:
+        sweep_obs = {n: Observation(f"sweep_{n}_{spec.name}") for n in ("universe", "candidates", "live")}
+        final, _ = merge.orphan_sweep(merged, universe, spec.keys, scope=spec.scope(), observations=sweep_obs)
+
+        def guard():
+            if sweep_obs["universe"].get["n"] == 0:
+                raise merge.MergeError("refusing to sweep against an empty key universe")
+
+        saved = target.write(final, allow_empty=True, before_publish=guard)
+        cand, live = sweep_obs["candidates"].get["n"], sweep_obs["live"].get["n"]
+        removed = cand - live
+        written = saved + removed                   # merged rows before the sweep
+        strategy += "+sweep"
+    elif touched is None:
         saved = target.write(merged)
         written = saved
     else:
         saved = target.write_partitions(merged, touched)
         written = saved - (total_before - before)
     kept = obs.get["kept"]
-    updated = before - kept
-    return LoadResult(spec.name, strategy, extracted, written - before, updated, saved, 0, "OK",
-                      time.time() - t0)
+    return LoadResult(spec.name, strategy, extracted, written - before, before - kept, saved, removed,
+                      "OK", time.time() - t0)
 
 
 def metrics_frame(spark: SparkSession, results: list[LoadResult]) -> DataFrame:

@@ -161,23 +161,35 @@ def merge_counts(target: DataFrame, batch: DataFrame, keys) -> DataFrame:
 # MRG-05 / MRG-06 / MRG-08: scoped orphan sweep
 # ---------------------------------------------------------------------------
 def orphan_sweep(target: DataFrame, universe: DataFrame, keys, scope: Column | None = None,
-                 allow_empty_universe: bool = False) -> tuple[DataFrame, DataFrame]:
+                 allow_empty_universe: bool = False,
+                 observations: dict[str, Observation] | None = None) -> tuple[DataFrame, DataFrame]:
     """Remove target rows whose key is absent from the source key universe.
 
     Only rows inside ``scope`` (the caller's own slice of a multi-writer table)
     are candidates; rows outside it are kept untouched.  An empty universe almost
     always means a failed key read, so it is refused unless explicitly allowed.
 
-    Returns ``(kept, removed)``.
+    Returns ``(kept, removed)``.  With ``observations`` (``universe``,
+    ``candidates``, ``live`` -> ``Observation``) nothing runs here: the three
+    counts are collected while ``kept`` is written (removed = candidates -
+    live) and the caller applies the empty-universe guard before publishing,
+    so the sweep costs one pass instead of three.
     """
     k = _cols(keys)
-    if not allow_empty_universe and universe.isEmpty():
-        raise MergeError("refusing to sweep against an empty key universe")
     u = universe.select(*k).dropna().distinct()
+    if observations is None:
+        if not allow_empty_universe and u.isEmpty():
+            raise MergeError("refusing to sweep against an empty key universe")
+    else:
+        u = u.observe(observations["universe"], F.count(F.lit(1)).alias("n"))
     in_scope = F.lit(True) if scope is None else F.coalesce(scope, F.lit(False))
     cand = target.where(in_scope)
     outside = target.where(~in_scope)
+    if observations is not None:
+        cand = cand.observe(observations["candidates"], F.count(F.lit(1)).alias("n"))
     live = cand.join(u, on=k, how="left_semi")
+    if observations is not None:
+        live = live.observe(observations["live"], F.count(F.lit(1)).alias("n"))
     removed = cand.join(u, on=k, how="left_anti")
     return outside.unionByName(live), removed
 

@@ -187,12 +187,14 @@ class VersionedTable:
         return {r[0]: {"v": version, "rows": r[1]} for r in counts}
 
     def write(self, df: DataFrame, allow_empty: bool = False,
-              expected_rows: int | None = None) -> int:
+              expected_rows: int | None = None, before_publish=None) -> int:
         """Write ``df`` as the next full version and publish it; returns rows saved.
 
         An empty result aborts and keeps the old version (SNK-02) unless
         ``allow_empty``.  When ``expected_rows`` is given a mismatch aborts
-        before publishing (SNK-01 row check).
+        before publishing (SNK-01 row check).  ``before_publish`` (a callable)
+        runs after the files are written and before the manifest flips: raising
+        there leaves the old version current.
         """
         nxt = (self.current_version() or 0) + 1
         if self.partition_col:
@@ -209,6 +211,8 @@ class VersionedTable:
             raise StoreError(f"refusing to publish an empty version of {self.root}")
         if expected_rows is not None and saved != expected_rows:
             raise StoreError(f"{self.root}: wrote {saved} rows, expected {expected_rows}")
+        if before_publish is not None:
+            before_publish()
         self._publish(manifest)
         return saved
 
