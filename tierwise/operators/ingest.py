@@ -118,11 +118,13 @@ def _merge_observed(spec: TableSpec, batch: DataFrame, target: VersionedTable, a
         final, _ = merge.orphan_sweep(merged, universe, spec.keys, scope=spec.scope(), observations=sweep_obs)
 
         def guard():
-            if sweep_obs["universe"].get["n"] == 0:
+            n = _observed(sweep_obs["universe"], "n")
+            if n == 0 or (n is None and universe.select(*spec.keys).dropna().isEmpty()):
                 raise merge.MergeError("refusing to sweep against an empty key universe")
 
         saved = target.write(final, allow_empty=True, before_publish=guard)
-        cand, live = sweep_obs["candidates"].get["n"], sweep_obs["live"].get["n"]
+        cand = _observed(sweep_obs["candidates"], "n") or 0
+        live = _observed(sweep_obs["live"], "n") or 0
         removed = cand - live
         written = saved + removed                   # merged rows before the sweep
         strategy += "+sweep"
@@ -132,11 +134,22 @@ def _merge_observed(spec: TableSpec, batch: DataFrame, target: VersionedTable, a
     else:
         saved = target.write_partitions(merged, touched)
         written = saved - (total_before - before)
-    kept = obs.get["kept"]
+    kept = _observed(obs, "kept") or 0
     return LoadResult(spec.name, strategy, extracted, written - before, before - kept, saved, removed,
                       "OK", time.time() - t0)
 
 
+def _observed(obs: Observation, name: str):
+    """An observed count, or None when Spark never ran the observed subtree
+    (AQE replaces a branch it proved empty by an empty relation, dropping the
+    observation with it: the count there is 0, except where a caller must
+    check explicitly)."""
+    try:
+        return obs.get.get(name)
+    except Exception:  # noqa: BLE001 - metrics missing for a pruned branch
+        return None
+
+
 def metrics_frame(spark: SparkSession, results: list[LoadResult]) -> DataFrame:
     return spark.createDataFrame([r.row() for r in results], METRICS_SCHEMA)
 
