@@ -209,3 +209,15 @@ def test_sweep_with_empty_universe_keeps_old_version(spark):
     with pytest.raises(M.MergeError):
         ingest(spec, spark.createDataFrame([], schema), t, "2024-01-10 00:00:00", sweep=True)
     assert t.current_version() == 1 and t.read().count() == 1
+
+
+def test_manifest_is_replaced_atomically(spark):
+    t = VersionedTable(spark, scratch_path(spark, "atomic"))
+    t.write(spark.createDataFrame([(1,)], "x int"))
+    fs, _ = t._fs()
+    probe = t._path("_probe")
+    out = fs.create(probe, True)
+    out.write(bytearray(b'{"version": 1, "parts": null, "rows": 1}'))
+    out.close()
+    assert t._replace_atomically(probe, t._path("_current"))    # rename with OVERWRITE, no gap
+    assert t.current_version() == 1 and not fs.exists(probe)

@@ -108,10 +108,26 @@ class VersionedTable:
         finally:
             out.close()
         dst = self._path("_current")
-        if fs.exists(dst):
-            fs.delete(dst, False)
-        if not fs.rename(tmp, dst):
-            raise StoreError(f"could not publish version {version} of {self.root}")
+        if not self._replace_atomically(tmp, dst):
+            if fs.exists(dst):
+                fs.delete(dst, False)
+            if not fs.rename(tmp, dst):
+                raise StoreError(f"could not publish version {version} of {self.root}")
+
+    def _replace_atomically(self, src, dst) -> bool:
+        """rename(src, dst, OVERWRITE): readers see the old or the new manifest,
+        never none.  Returns False where the file system refuses it."""
+        jvm = self.spark._jvm
+        try:
+            conf = self.spark._jsc.hadoopConfiguration()
+            fc = jvm.org.apache.hadoop.fs.FileContext.getFileContext(dst.toUri(), conf)
+            rename_cls = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+            opts = self.spark.sparkContext._gateway.new_array(rename_cls, 1)
+            opts[0] = rename_cls.OVERWRITE
+            fc.rename(src, dst, opts)
+            return True
+        except Exception:  # noqa: BLE001 - fall back to delete + rename
+            return False
 
     def version_path(self, version: int) -> str:
         return f"{self.root}/v={version:06d}"
