@@ -289,7 +289,10 @@ def test_performance_blocks(spark):
         "E900EOQ": [dict(CODEMP=1, CODORI="O", NUMORP=1, CODETG="10", SEQEOQ=1, SEQROT=1, CODCRE="R", CODPRO="P",
                          CODDER="D", CODOPR="OP", DATREA=TS(2024, 2, 10), QTDRE1=4, TMPBRU=6, HORREA=1),
                     dict(CODEMP=1, CODORI="O", NUMORP=1, CODETG="10", SEQEOQ=2, SEQROT=1, CODCRE="R", CODPRO="P",
-                         CODDER="D", CODOPR="OP", DATREA=TS(2024, 2, 10), QTDRE1=6, TMPBRU=4, HORREA=1)],
+                         CODDER="D", CODOPR="OP", DATREA=TS(2024, 2, 10), QTDRE1=6, TMPBRU=4, HORREA=1),
+                    # order 2: its only reading is before the business cutoff but inside the look-up reach
+                    dict(CODEMP=1, CODORI="O", NUMORP=2, CODETG="10", SEQEOQ=1, SEQROT=1, CODCRE="R", CODPRO="P",
+                         CODDER="D", CODOPR="OP", DATREA=TS(2023, 8, 1), QTDRE1=1, TMPBRU=1, HORREA=1)],
         "E900COP": [dict(CODEMP=1, CODORI="O", NUMORP=1, CODPRO="P", DTRINI=TS(2024, 1, 15), DTRFIM=TS(2024, 3, 1),
                          SITORP="A")],
         "E900OOP": [dict(CODEMP=1, CODORI="O", NUMORP=1, CODETG="10", SEQROT=1, SFXETR="1", SFXSEQ="1",
@@ -304,7 +307,9 @@ def test_performance_blocks(spark):
         "E210MVP": [dict(CODEMP=1, CODPRO="MP", CODDER="D", CODDEP="X", DATMOV=TS(2024, 2, 11), SEQMOV=1,
                          CODETG="10", CODTNS="90251", NUMDOC=1, ORIORP="O", ESTEOS="E", QTDMOV=2, VLRMOV=8),
                     dict(CODEMP=1, CODPRO="MP", CODDER="D", CODDEP="X", DATMOV=TS(2024, 2, 10), SEQMOV=2,
-                         CODETG="10", CODTNS="90202", NUMDOC=1, ORIORP="O", ESTEOS="S", QTDMOV=1, VLRMOV=3)],
+                         CODETG="10", CODTNS="90202", NUMDOC=1, ORIORP="O", ESTEOS="S", QTDMOV=1, VLRMOV=3),
+                    dict(CODEMP=1, CODPRO="MP", CODDER="D", CODDEP="X", DATMOV=TS(2024, 2, 12), SEQMOV=3,
+                         CODETG="10", CODTNS="90251", NUMDOC=2, ORIORP="O", ESTEOS="S", QTDMOV=1, VLRMOV=1)],
         "E075PRO": [dict(CODEMP=1, CODPRO="MP", TIPPRO="P", CODFAM="F")],
         "E930MPR": [dict(CODEMP=1, CODFIL=1, CODETG="10", CODCRE="R", IDEBEM="b", DATMPR=TS(2024, 2, 5),
                          CODMTV="M", SEQMPR=1, QTDHOR=2, HORINI=60)],
@@ -319,7 +324,10 @@ def test_performance_blocks(spark):
     assert b1.QTDAND == Decimal("7")                                   # different month -> rework balance
     assert b1.TAXREA == Decimal("5")                                   # rate valid on the day
     assert b1.TMPPRP == Decimal("240") and b1.TMPPRV == Decimal("1440")  # 2 x 2 rows x 60; x QTDPRV 6
-    b2 = {r.DATMOV: r for r in df.collect() if r.TIPTAB == 2}
+    assert {r.NUMORP for r in df.collect() if r.TIPTAB == 1} == {1}       # order 2 predates the cutoff
+    reach = one(df, TIPTAB=2, NUMORP=2)
+    assert reach.DATREA == TS(2023, 8, 1)                              # look-up reach, not the cutoff (FIL-06)
+    b2 = {r.DATMOV: r for r in df.collect() if r.TIPTAB == 2 and r.NUMORP == 1}
     late, same = b2[TS(2024, 2, 11)], b2[TS(2024, 2, 10)]
     assert late.DATREA == TS(2024, 2, 10)                              # no same-day reading -> latest
     assert (late.QTDTOP, late.CODCRE, late.CC_EXE) == (None, None, None)   # T3 left join found nothing

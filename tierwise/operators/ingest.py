@@ -93,6 +93,11 @@ def _merge_observed(spec: TableSpec, batch: DataFrame, target: VersionedTable, a
     On a partitioned table without sweep only the partitions the batch touches
     are read and rewritten (the partition column is immutable, so a batch key
     can only live in one of them).
+
+    The counters are reporting, not data: a count observed on the map side of
+    a shuffle can be taken twice if Spark re-runs a map stage after losing an
+    executor.  The table written never depends on them, and the empty-universe
+    guard only tests for zero, which a re-run cannot turn into non-zero.
     """
     extracted = batch.count()                      # the look-back batch: small
     if extracted == 0 and universe is None:
