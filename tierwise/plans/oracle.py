@@ -247,6 +247,21 @@ SELECT 2, 'orders', 'window_merge+sweep',
        (SELECT COUNT(*) FROM src2),
        (SELECT COUNT(*) FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM src2)), 'OK'""",
 
+    "partitioned_refresh": f"""
+WITH first AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '2001-07-01 00:00:00'),
+w AS (SELECT * FROM orders WHERE o_orderdate >= {AS_OF} - INTERVAL 60 DAY)
+SELECT 1 AS run, 'first_load' AS strategy, COUNT(*) AS extracted, COUNT(*) AS inserted,
+       CAST(0 AS BIGINT) AS updated, COUNT(*) AS saved,
+       COUNT(DISTINCT strftime(o_orderdate, '%Y%m')) AS partitions,
+       COUNT(DISTINCT strftime(o_orderdate, '%Y%m')) AS partitions_rewritten
+FROM first
+UNION ALL
+SELECT 2, 'window_merge@partitions', (SELECT COUNT(*) FROM w),
+       (SELECT COUNT(*) FROM w WHERE o_orderkey NOT IN (SELECT o_orderkey FROM first)),
+       (SELECT COUNT(*) FROM w WHERE o_orderkey IN (SELECT o_orderkey FROM first)),
+       (SELECT COUNT(*) FROM orders), (SELECT COUNT(DISTINCT strftime(o_orderdate, '%Y%m')) FROM orders),
+       (SELECT COUNT(DISTINCT strftime(o_orderdate, '%Y%m')) FROM w)""",
+
     "drift_align": """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
        CAST(NULL AS VARCHAR) AS o_orderpriority, CAST(NULL AS INTEGER) AS o_year
