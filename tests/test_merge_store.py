@@ -221,3 +221,20 @@ def test_manifest_is_replaced_atomically(spark):
     out.close()
     assert t._replace_atomically(probe, t._path("_current"))    # rename with OVERWRITE, no gap
     assert t.current_version() == 1 and not fs.exists(probe)
+
+
+@pytest.mark.parametrize("partitioned", [False, True])
+def test_merge_schema_drift_policy(spark, partitioned):
+    from tierwise.sources.schema import SchemaDriftError
+    spec = TableSpec("t", ("id",), audit_col="changed")
+    t = VersionedTable(spark, scratch_path(spark, "drift"), partition_col="changed" if partitioned else None)
+    ingest(spec, spark.createDataFrame([(1, "a", TS(2024, 1, 1))], "id long, v string, changed timestamp_ntz"),
+           t, "2024-01-10 00:00:00")
+    wider = spark.createDataFrame([(2, "b", "new", TS(2024, 1, 9))],
+                                  "id long, v string, extra string, changed timestamp_ntz")
+    with pytest.raises(SchemaDriftError):
+        ingest(spec, wider, t, "2024-01-10 00:00:00")                     # default: fail
+    assert t.current_version() == 1
+    r = ingest(spec, wider, t, "2024-01-10 00:00:00", drift="add_nullable")
+    got = sorted((x["id"], x["extra"]) for x in t.read().collect())
+    assert got == [(1, None), (2, "new")] and r.inserted == 1

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..sources import scan
 from ..sources.catalog import TableSpec
+from ..sources.schema import align_to_target
 from ..sources.store import VersionedTable, load_column_for
 from . import merge
 
@@ -51,8 +52,14 @@ def _stamp(df: DataFrame, as_of, layer: str) -> DataFrame:
 
 
 def ingest(spec: TableSpec, source: DataFrame, target: VersionedTable, as_of,
-           sweep: bool = False, layer: str = "bronze") -> LoadResult:
-    """Refresh one table and return its counters."""
+           sweep: bool = False, layer: str = "bronze", drift: str = "fail") -> LoadResult:
+    """Refresh one table and return its counters.
+
+    ``drift`` is the schema-drift policy of a merge (SNK-09): ``fail`` (a
+    merge target must get a new source column first), ``add_nullable`` (the
+    target absorbs it; older rows read NULL) or ``ignore`` (dropped).  Full
+    replaces (first load, keyless) always take the source shape.
+    """
     t0 = time.time()
     src = scan.normalize_blanks(source)
     first = not target.has_rows()
@@ -78,11 +85,12 @@ def ingest(spec: TableSpec, source: DataFrame, target: VersionedTable, as_of,
         batch = scan.snapshot_scan(src, spec)
         strategy = "snapshot_merge"
     universe = scan.key_universe(src, spec) if sweep else None
-    return _merge_observed(spec, batch, target, as_of, layer, strategy, t0, universe)
+    return _merge_observed(spec, batch, target, as_of, layer, strategy, t0, universe, drift)
 
 
 def _merge_observed(spec: TableSpec, batch: DataFrame, target: VersionedTable, as_of, layer: str,
-                    strategy: str, t0: float, universe: DataFrame | None = None) -> LoadResult:
+                    strategy: str, t0: float, universe: DataFrame | None = None,
+                    drift: str = "fail") -> LoadResult:
     """Upsert the window batch [+ scoped orphan sweep], counters observed on the write.
 
     The target is read once and the result written once.  ``updated`` =
@@ -113,7 +121,9 @@ def _merge_observed(spec: TableSpec, batch: DataFrame, target: VersionedTable, a
     else:
         touched, current = None, target.read()
         total_before = before = target.row_count()
-    batch = _stamp(batch, as_of, layer).select(*current.columns)
+    batch = align_to_target(_stamp(batch, as_of, layer), current.schema, drift)
+    new_cols = [f for f in batch.schema.fields if f.name not in current.columns]
+    current = current.withColumns({f.name: F.lit(None).cast(f.dataType) for f in new_cols})
     obs = Observation(f"merge_{spec.name}")
     merged = merge.upsert(current, batch, spec.keys, spec.dedup_order(), descending=spec.latest_wins,
                           observation=obs)

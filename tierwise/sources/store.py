@@ -250,7 +250,11 @@ class VersionedTable:
                              f"{self.partition_col} is not immutable")
         parts = {k: v for k, v in m["parts"].items() if k not in set(touched)}
         parts.update(written)
-        self._publish({"version": nxt, "parts": parts, "schema": m["schema"],
+        # a schema that gained nullable columns becomes the table schema: older
+        # partition files lack them and read NULL
+        old_schema = StructType.fromJson(json.loads(m["schema"]))
+        schema = df.schema if set(old_schema.fieldNames()) < set(df.schema.fieldNames()) else old_schema
+        self._publish({"version": nxt, "parts": parts, "schema": schema.json(),
                        "partition_col": self.partition_col})
         return sum(v["rows"] for v in parts.values())
 
