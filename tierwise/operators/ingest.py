@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..sources import scan
 from ..sources.catalog import TableSpec
 from ..sources.schema import align_to_target
-from ..sources.store import VersionedTable, load_column_for
+from ..sources.store import StoreError, VersionedTable, load_column_for
 from . import merge
 
 METRICS_SCHEMA = ("table_name string, strategy string, extracted long, inserted long, "
@@ -64,15 +64,20 @@ def ingest(spec: TableSpec, source: DataFrame, target: VersionedTable, as_of,
     src = scan.normalize_blanks(source)
     first = not target.has_rows()
     if spec.keyless or first:
-        scoped = _stamp(scan.snapshot_scan(src, spec), as_of, layer)
-        extracted = scoped.count()
+        # one pass over the source: the extracted count is observed while the
+        # snapshot is written (no separate counting scan of a full source)
+        obs = Observation(f"extract_{spec.name}")
+        scoped = _stamp(scan.snapshot_scan(src, spec), as_of, layer) \
+            .observe(obs, F.count(F.lit(1)).alias("n"))
         strategy = "keyless_replace" if spec.keyless else "first_load"
-        if extracted == 0:
-            return LoadResult(spec.name, strategy, status="EMPTY_BATCH_KEPT_OLD",
-                              seconds=time.time() - t0)
         batch = scoped if spec.keyless else merge.dedup_first(
             scoped, spec.keys, spec.dedup_order(), descending=spec.latest_wins)
-        saved = target.write(batch)
+        try:
+            saved = target.write(batch)
+        except StoreError:                          # empty source: old version kept (SNK-02)
+            return LoadResult(spec.name, strategy, saved=target.row_count(),
+                              status="EMPTY_BATCH_KEPT_OLD", seconds=time.time() - t0)
+        extracted = _observed(obs, "n") or 0
         # extracted vs saved divergence (SNK-06): duplicates collapsed by the key
         status = "OK" if saved == extracted else "DIVERGENT"
         return LoadResult(spec.name, strategy, extracted, saved, 0, saved, 0, status,
