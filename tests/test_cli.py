@@ -29,8 +29,16 @@ def test_cli_bronze_check_silver(spark):
     as_of = "2024-03-01 00:00:00"
     assert main(["bronze", "--area", "opex", "--source", src, "--bronze", brz, "--as-of", as_of]) == 0
     assert VersionedTable(spark, f"{brz}/USU_T650ORC").read().count() == 1      # company 7 out of scope
-    assert main(["check", "--area", "opex", "--source", src, "--bronze", brz]) == 0
+    assert main(["check", "--area", "opex", "--source", src, "--bronze", brz, "--content"]) == 0
     assert main(["silver", "--bronze", brz, "--silver", slv, "--as-of", as_of,
                  "--product", "FAT_ORCAMENTO_OPEX"]) == 0
     r = VersionedTable(spark, f"{slv}/FAT_ORCAMENTO_OPEX").read().first()
     assert (r.ORCADO, r.REALIZADO, r.PROD, r.DESPESA) == (Decimal("100"), Decimal("40"), "Produtivo", "rent")
+
+
+def test_cli_diff(spark):
+    a, b = scratch_path(spark, "diff_a"), scratch_path(spark, "diff_b")
+    spark.createDataFrame([(1, "x", TS(2024, 1, 1)), (2, "y", TS(2024, 1, 2))], "k long, v string, DW_DATA_PROCESSAMENTO timestamp_ntz").write.parquet(a)
+    spark.createDataFrame([(1, "x", 9), (2, "z", 9)], "k long, v string, extra int").write.parquet(b)
+    assert main(["diff", "--a", a, "--b", b, "--ignore", "DW_DATA_PROCESSAMENTO"]) == 1      # k=2 differs
+    assert main(["diff", "--a", a, "--b", b, "--where", "k = 1"]) == 0

@@ -2,7 +2,8 @@
 
     python -m tierwise bronze --area comercial --source SRC --bronze BRZ --as-of "2024-03-01 10:00:00" [--sweep]
     python -m tierwise silver --bronze BRZ --silver SLV --as-of ... [--product NAME ...] [--sheet NAME=PATH ...]
-    python -m tierwise check  --area comercial --source SRC --bronze BRZ
+    python -m tierwise check  --area comercial --source SRC --bronze BRZ [--content]
+    python -m tierwise diff   --a PATH_A --b PATH_B [--ignore DW_DATA_PROCESSAMENTO] [--where SQL] [--strict]
 
 Sources are read as Parquet exports ``SRC/<TABLE>`` (any other reader, e.g.
 JDBC, plugs into :func:`tierwise.operators.ingest.refresh_area`).  Every job
@@ -21,6 +22,7 @@ from .operators.ingest import refresh_area, run_summary
 from .plans.products import PRODUCTS, SHEET_PRODUCTS, ProductParams, TableBronze, run_products
 from .session import get_session
 from .sources.bronze_catalog import bronze_catalog
+from .sources.scan import normalize_blanks
 from .sources.store import VersionedTable
 
 
@@ -61,7 +63,7 @@ def cmd_check(args) -> int:
     alert (REC-01/02/04) and a per-status summary (REC-13)."""
     spark = _session(args)
     cat = bronze_catalog()
-    checks = None
+    checks, differing = None, 0
     for spec in sorted((s for s in cat.specs.values() if s.owner == args.area), key=lambda s: s.name):
         target = VersionedTable(spark, f"{args.bronze}/{spec.name}")
         if not target.exists():
@@ -71,10 +73,38 @@ def cmd_check(args) -> int:
             widened = spec.scope(widened=True) if spec.branch_col else None
             row = R.count_check(spec.name, source, target.read(), scope=spec.scope(), widened_scope=widened,
                                 multi_writer=spec.name in cat.multi_writer)
+            if args.content:
+                # REC-05: every real column, load timestamp left out, both
+                # directions; the source is normalised like the ingest ('' -> NULL)
+                cols = [c for c in source.columns if c in target.read().columns]
+                d = R.symmetric_diff(normalize_blanks(source).where(spec.scope()), target.read(), cols)
+                differing += _report_diff(spec.name, d, cols)
         checks = row if checks is None else checks.unionByName(row)
     checks.show(200, truncate=False)
     R.summary(checks).show(truncate=False)
-    return 0 if checks.where(F.col("status") == R.DIVERGENT).isEmpty() else 1
+    return 0 if checks.where(F.col("status") == R.DIVERGENT).isEmpty() and differing == 0 else 1
+
+
+def _report_diff(name: str, diff, order) -> int:
+    counts = {r["side"]: r["n"] for r in diff.groupBy("side").agg(F.count(F.lit(1)).alias("n")).collect()}
+    print(f"{name}: only_in_a={counts.get(R.SIDE_A, 0)} only_in_b={counts.get(R.SIDE_B, 0)}")
+    if counts:
+        R.sample(diff, list(order) + ["side"], 10).show(truncate=False)
+    return sum(counts.values())
+
+
+def cmd_diff(args) -> int:
+    """Two versions of a table (e.g. product vs legacy baseline): common
+    columns only (REC-07), optional row filter on both (REC-08), MINUS or
+    strict multiset difference (REC-05/06)."""
+    spark = _session(args)
+    a, b = (spark.read.parquet(x) if x.endswith(".parquet") or "/" in x else spark.table(x) for x in (args.a, args.b))
+    if args.where:
+        a, b = a.where(args.where), b.where(args.where)
+    common, only_a, only_b = R.column_sets(a, b, ignore=args.ignore or [])
+    print(f"columns compared: {len(common)}; only in a: {only_a}; only in b: {only_b}")
+    n = _report_diff(args.a, R.symmetric_diff(a, b, common, strict=args.strict), common)
+    return 0 if n == 0 else 1
 
 
 def main(argv=None) -> int:
@@ -98,8 +128,15 @@ def main(argv=None) -> int:
     c.add_argument("--area", required=True)
     c.add_argument("--source", required=True)
     c.add_argument("--bronze", required=True)
+    c.add_argument("--content", action="store_true", help="also compare every row (symmetric MINUS)")
+    d = sub.add_parser("diff", help="compare two versions of a table on their common columns")
+    d.add_argument("--a", required=True)
+    d.add_argument("--b", required=True)
+    d.add_argument("--ignore", action="append", help="column left out (e.g. the load timestamp)")
+    d.add_argument("--where", help="SQL filter applied to both sides (cutoff / stability window)")
+    d.add_argument("--strict", action="store_true", help="multiset difference (EXCEPT ALL)")
     args = p.parse_args(argv)
-    return {"bronze": cmd_bronze, "silver": cmd_silver, "check": cmd_check}[args.cmd](args)
+    return {"bronze": cmd_bronze, "silver": cmd_silver, "check": cmd_check, "diff": cmd_diff}[args.cmd](args)
 
 
 if __name__ == "__main__":
