@@ -78,10 +78,24 @@ def first_last_by(df: DataFrame, group_cols, order_cols, value_col: str,
 # ---------------------------------------------------------------------------
 # WIN-04 / AGG-07 / WIN-05: trailing calendar months
 # ---------------------------------------------------------------------------
+def window_floor(cutoff: str, back: int) -> Column:
+    """First month a trailing window of ``back`` months can reach from months
+    at or after ``cutoff``: rows before it can never reach a kept month."""
+    return F.add_months(F.trunc(F.lit(cutoff).cast("date"), "MM"), -back)
+
+
 def monthly_sum(df: DataFrame, key_cols, date_col: str, value_col: str,
-                month_name: str = "month_start", value_name: str = "qty") -> DataFrame:
-    """SUM(value) per key and calendar month (exact decimal sum)."""
+                month_name: str = "month_start", value_name: str = "qty",
+                since: Column | None = None) -> DataFrame:
+    """SUM(value) per key and calendar month (exact decimal sum).
+
+    ``since`` (a month start, e.g. :func:`window_floor`) filters the raw date
+    column before the aggregate: the predicate is on the physical column, so it
+    reaches the Parquet scan and old history is never read.
+    """
     k = _cols(key_cols)
+    if since is not None:
+        df = df.where(F.col(date_col) >= since.cast(df.schema[date_col].dataType))
     return (df.select(*k, X.month_start(date_col).alias(month_name),
                       X.money(value_col).alias("_v"))
               .groupBy(*k, month_name).agg(F.sum("_v").alias(value_name)))

@@ -568,7 +568,10 @@ def full_outer_budget(spark, d):
 
 
 def trailing_months(spark, d):
-    m = B.monthly_sum(tbl(spark, d, "lineitem"), "l_partkey", "l_shipdate", "l_quantity")
+    # history older than 6 months before the cutoff can never reach a kept
+    # month: filtered at the scan, the window result is unchanged
+    m = B.monthly_sum(tbl(spark, d, "lineitem"), "l_partkey", "l_shipdate", "l_quantity",
+                      since=B.window_floor("2000-01-01", 6))
     r = B.trailing_months(m, "l_partkey", "month_start", "qty", back=6, skip=1,
                           out="qty_6m", cutoff="2000-01-01")
     return r.select(

@@ -60,7 +60,9 @@ def product_reclassification(sheet: DataFrame) -> DataFrame:
 # DP-20 monthly sales and trailing 6 months per product
 # ---------------------------------------------------------------------------
 def rma_sales(bronze: Bronze, p: ProductParams) -> DataFrame:
-    t0 = bronze("E140NFV").alias("T0")
+    # notes older than 6 months before the cutoff never reach a kept month
+    notes = bronze("E140NFV")
+    t0 = notes.where(F.col("DATEMI") >= B.window_floor(p.reports_cutoff, 6).cast("timestamp_ntz")).alias("T0")
     j = (t0.join(bronze("E140IPV").alias("T1"), on("T0", "T1", "CODEMP", "CODFIL", "CODSNF", "NUMNFV"), "left")
            .join(bronze("E140IDE").alias("T2"), on("T0", "T2", "CODEMP", "CODFIL", "CODSNF", "NUMNFV"), "left")
            .join(bronze("E001TNS").alias("T3"), (c("T1", "CODEMP") == c("T3", "CODEMP"))
