@@ -188,3 +188,9 @@ def test_scaled_sum_units(spark):
                                "g string, u string, v double, o double")
     got = {r["g"]: (r["minutes"], r["product"]) for r in B.scaled_sum(df, "g", "v", "u", "o").collect()}
     assert got == {"a": (1440.0, 2880.0), "b": (2.0, 2.0), "c": (3.0, 3.0)}
+
+
+def test_trim_of_blank_sentinel_is_null(spark):
+    df = spark.createDataFrame([(" ",), (" ab ",)], "c string")
+    assert [tuple(r) for r in df.select(X.trim_upper("c"), X.trim_lower("c")).collect()] == \
+        [(None, None), ("AB", "ab")]                                     # T3: TRIM(' ') IS NULL

@@ -89,11 +89,13 @@ def oconcat(*cols: ColumnOrName) -> Column:
 
 
 def trim_upper(c: ColumnOrName) -> Column:
-    return F.trim(F.upper(_c(c)))
+    """TRIM(UPPER(c)); an all-blank value (the ' ' sentinel) gives NULL (T3)."""
+    return blank_to_null(F.upper(_c(c)))
 
 
 def trim_lower(c: ColumnOrName) -> Column:
-    return F.trim(F.lower(_c(c)))
+    """TRIM(LOWER(c)); an all-blank value gives NULL (T3)."""
+    return blank_to_null(F.lower(_c(c)))
 
 
 def digits_only(c: ColumnOrName) -> Column:

@@ -464,7 +464,8 @@ FROM lineitem GROUP BY 1, 2 ORDER BY l_returnflag ASC NULLS LAST, ship_year ASC
     "text_clean": """
 WITH c AS (SELECT *, CASE WHEN c_mktsegment IN ('BUILDING','MACHINERY') THEN 'J' ELSE 'F' END AS person_type
            FROM customer)
-SELECT c_custkey, trim(upper(c_name)) AS name_upper, trim(lower(c_name)) AS name_lower, person_type,
+SELECT c_custkey, NULLIF(trim(upper(c_name)), '') AS name_upper, NULLIF(trim(lower(c_name)), '') AS name_lower,
+       person_type,
        CASE WHEN person_type = 'F' THEN lpad(CAST(c_custkey AS VARCHAR), 11, '0')
             WHEN person_type = 'J' THEN lpad(CAST(c_custkey AS VARCHAR), 14, '0')
             ELSE CAST(c_custkey AS VARCHAR) END AS tax_id,

@@ -76,7 +76,7 @@ def product_variants(bronze: Bronze, p: ProductParams) -> DataFrame:
     key = F.when(der.isNull() | (F.trim(der) == ""), c("D", "CODPRO")).otherwise(
         X.oconcat(c("D", "CODPRO"), F.lit("-"), der))
     return j.select(
-        c("D", "CODAGT").alias("CATEGORIAID"), F.trim(c("M", "DESAGP")).alias("CATEGORIA"),
+        c("D", "CODAGT").alias("CATEGORIAID"), X.blank_to_null(c("M", "DESAGP")).alias("CATEGORIA"),
         key.alias("CHAVE_ITEM"), c("P", "CODPRO").alias("CODITEM"),
         X.trim_upper(c("P", "DESPRO")).alias("DESCITEM"), c("N", "CLAFIS").alias("CODNCM"),
         c("D", "CODGTN").alias("CODEAN"), c("N", "CODCES").alias("CODCEST"),

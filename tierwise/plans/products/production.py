@@ -60,7 +60,7 @@ def production_products(bronze: Bronze, p: ProductParams, legacy: DataFrame | No
         c("T0", "CODAGE").alias("CODAGE"), c("T1", "CODAGT").alias("CODAGT"), c("T2", "DESAGP").alias("DESAGP"),
         c("T0", "SITPRO").alias("SITPRO"), c("T1", "CURABC").alias("CURABC"), c("T0", "DEPPAD").alias("DEPPAD"),
         F.coalesce(X.space_default(flag, F.lit("N")), F.lit("N")).alias("USU_INDFDL"),
-        F.when(F.trim(c("T1", "CODDER")) == F.trim(c("LEG", "CODDER")), 0).otherwise(1).alias("PRIORIDADE_LEGADO"))
+        F.when(X.blank_to_null(c("T1", "CODDER")) == X.blank_to_null(c("LEG", "CODDER")), 0).otherwise(1).alias("PRIORIDADE_LEGADO"))
     best = M.dedup_first(rows, ["CODEMP", "CODPRO"], order=["PRIORIDADE_LEGADO", "CODDER"])
     return best.drop("PRIORIDADE_LEGADO")          # helper column never reaches the table (PRJ-05)
 
