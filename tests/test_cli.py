@@ -42,3 +42,11 @@ def test_cli_diff(spark):
     spark.createDataFrame([(1, "x", 9), (2, "z", 9)], "k long, v string, extra int").write.parquet(b)
     assert main(["diff", "--a", a, "--b", b, "--ignore", "DW_DATA_PROCESSAMENTO"]) == 1      # k=2 differs
     assert main(["diff", "--a", a, "--b", b, "--where", "k = 1"]) == 0
+
+
+def test_cli_diff_pinned_versions(spark):
+    t = VersionedTable(spark, scratch_path(spark, "diff_versions"))
+    t.write(spark.createDataFrame([(1, "x")], "k long, v string"))
+    t.write(spark.createDataFrame([(1, "y")], "k long, v string"))
+    assert main(["diff", "--a", f"{t.root}@1", "--b", f"{t.root}@2"]) == 1
+    assert main(["diff", "--a", f"{t.root}@2", "--b", t.root]) == 0

@@ -238,3 +238,14 @@ def test_merge_schema_drift_policy(spark, partitioned):
     r = ingest(spec, wider, t, "2024-01-10 00:00:00", drift="add_nullable")
     got = sorted((x["id"], x["extra"]) for x in t.read().collect())
     assert got == [(1, None), (2, "new")] and r.inserted == 1
+
+
+@pytest.mark.parametrize("partitioned", [False, True])
+def test_pinned_version_reads(spark, partitioned):
+    t = VersionedTable(spark, scratch_path(spark, "pinned"), partition_col="d" if partitioned else None)
+    t.write(spark.createDataFrame([(1, TS(2024, 1, 5))], "k long, d timestamp_ntz"))
+    t.write(spark.createDataFrame([(2, TS(2024, 1, 6)), (3, TS(2024, 2, 6))], "k long, d timestamp_ntz"))
+    assert sorted(r.k for r in t.read().collect()) == [2, 3]
+    assert [r.k for r in t.read(version=1).collect()] == [1]             # immutable, repeatable
+    with pytest.raises(StoreError):
+        VersionedTable(spark, t.root, partition_col="d").read(version=9)

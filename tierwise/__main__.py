@@ -3,7 +3,7 @@
     python -m tierwise bronze --area comercial --source SRC --bronze BRZ --as-of "2024-03-01 10:00:00" [--sweep]
     python -m tierwise silver --bronze BRZ --silver SLV --as-of ... [--product NAME ...] [--sheet NAME=PATH ...]
     python -m tierwise check  --area comercial --source SRC --bronze BRZ [--content]
-    python -m tierwise diff   --a PATH_A --b PATH_B [--ignore DW_DATA_PROCESSAMENTO] [--where SQL] [--strict]
+    python -m tierwise diff   --a PATH_A[@VERSION] --b PATH_B[@VERSION] [--ignore COL] [--where SQL] [--strict]
 
 Sources are read as Parquet exports ``SRC/<TABLE>`` (any other reader, e.g.
 JDBC, plugs into :func:`tierwise.operators.ingest.refresh_area`).  Every job
@@ -93,12 +93,24 @@ def _report_diff(name: str, diff, order) -> int:
     return sum(counts.values())
 
 
+def _table(spark, ref: str):
+    """``ROOT@N`` reads pinned version N of a versioned table, ``ROOT`` its
+    current version (or plain Parquet), a bare name a catalog table."""
+    if "@" in ref:
+        root, v = ref.rsplit("@", 1)
+        return VersionedTable(spark, root).read(version=int(v))
+    if "/" in ref:
+        t = VersionedTable(spark, ref)
+        return t.read() if t.exists() else spark.read.parquet(ref)
+    return spark.table(ref)
+
+
 def cmd_diff(args) -> int:
     """Two versions of a table (e.g. product vs legacy baseline): common
     columns only (REC-07), optional row filter on both (REC-08), MINUS or
     strict multiset difference (REC-05/06)."""
     spark = _session(args)
-    a, b = (spark.read.parquet(x) if x.endswith(".parquet") or "/" in x else spark.table(x) for x in (args.a, args.b))
+    a, b = (_table(spark, x) for x in (args.a, args.b))
     if args.where:
         a, b = a.where(args.where), b.where(args.where)
     common, only_a, only_b = R.column_sets(a, b, ignore=args.ignore or [])

@@ -72,10 +72,13 @@ class VersionedTable:
         _, jvm = self._fs()
         return jvm.org.apache.hadoop.fs.Path("/".join([self.root, *parts]))
 
-    def manifest(self) -> dict | None:
+    def manifest(self, version: int | None = None) -> dict | None:
+        """The current manifest, or the immutable copy of ``version``."""
         fs, jvm = self._fs()
-        p = self._path("_current")
+        p = self._path("_current") if version is None else self._path("_manifests", f"v={version:06d}.json")
         if not fs.exists(p):
+            if version is not None and self.partition_col is None:
+                return {"version": version, "parts": None}          # a plain version directory
             return None
         stream = fs.open(p)
         try:
@@ -101,6 +104,12 @@ class VersionedTable:
     def _publish(self, manifest: dict) -> None:
         fs, _ = self._fs()
         version = manifest["version"]
+        # immutable copy first: pinned readers (reconciliation) and time travel
+        keep = fs.create(self._path("_manifests", f"v={version:06d}.json"), True)
+        try:
+            keep.write(bytearray(json.dumps(manifest, sort_keys=True), "utf-8"))
+        finally:
+            keep.close()
         tmp = self._path(f"_current.tmp-{version}")
         out = fs.create(tmp, True)
         try:
@@ -151,12 +160,14 @@ class VersionedTable:
     def exists(self) -> bool:
         return self.manifest() is not None
 
-    def read(self, parts: list[str] | None = None) -> DataFrame:
-        """Current version; ``parts`` limits a partitioned table to those
-        storage partitions (the others are not even listed)."""
-        m = self.manifest()
+    def read(self, parts: list[str] | None = None, version: int | None = None) -> DataFrame:
+        """Current version (or a pinned ``version``); ``parts`` limits a
+        partitioned table to those storage partitions (the others are not even
+        listed).  Versions are immutable, so a pinned read is repeatable while
+        writers publish newer versions."""
+        m = self.manifest(version)
         if m is None:
-            raise StoreError(f"{self.root} has no committed version")
+            raise StoreError(f"{self.root} has no committed version {version or ''}".strip())
         if m.get("parts") is None:
             return self.spark.read.parquet(self.version_path(m["version"]))
         schema = StructType.fromJson(json.loads(m["schema"]))
