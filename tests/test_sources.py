@@ -50,3 +50,14 @@ def test_scope_counts_and_keyless(spark):
     assert spec.keyless
     assert scan.scope_count(df, spec) == 1 and scan.scope_count(df, spec, widened=True) == 2
     assert scan.has_rows(df) and not scan.has_rows(df.limit(0)) and not scan.has_rows(None)
+
+
+def test_jdbc_options():
+    from tierwise.sources.jdbc import jdbc_options
+    o = jdbc_options("jdbc:oracle:thin:@h:1521/s", "E140IPV", user="u", partition_column="NUMNFV",
+                     lower_bound=1, upper_bound=1_000_000, num_partitions=64)
+    assert (o["partitionColumn"], o["lowerBound"], o["upperBound"], o["numPartitions"]) == \
+        ("NUMNFV", "1", "1000000", "64")
+    assert "partitionColumn" not in jdbc_options("jdbc:x", "T")
+    with pytest.raises(ValueError):
+        jdbc_options("jdbc:x", "T", partition_column="K", num_partitions=4)
