@@ -33,32 +33,36 @@ def _cols(cols) -> list[str]:
 # ---------------------------------------------------------------------------
 def dedup_first(df: DataFrame, keys, order: Sequence[str] | None = None,
                 descending: bool = False) -> DataFrame:
-    """Keep one row per key: the first by ``order`` (then all other columns).
+    """Keep one row per key: the first by ``order``, ties broken by every other
+    column (ascending, NULLs first): a total order.
 
     Equivalent to ``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order ASC NULLS
-    LAST, <all other columns>) = 1`` but computed as ``min(struct(...))`` per key,
-    an aggregate with map-side partial aggregation: a key holding a third of the
-    batch is collapsed on every mapper before the shuffle, and the order is total
-    so the result does not depend on partitioning (retries give the same rows).
+    LAST, <other columns> ASC NULLS FIRST) = 1`` but computed as ``min(struct)``
+    per key, an aggregate with map-side partial aggregation: a key holding a
+    third of the batch is collapsed on every mapper before the shuffle, and the
+    result does not depend on partitioning (retries give the same rows).
     ``descending=True`` orders ``order`` DESC NULLS FIRST ("latest wins").
+    Only the order columns carry a NULL flag (struct fields compare NULL
+    first), which keeps the aggregation buffer narrow.
     """
     k = _cols(keys)
     order = list(order or [])
     rest = [c for c in df.columns if c not in k and c not in order]
-    seq = order + rest
     fields: list[Column] = []
     out: dict[str, str] = {}
-    for i, c in enumerate(seq):
+    for i, c in enumerate(order):
         x = F.col(c)
-        if descending and c in order:
+        if descending:
             # DESC NULLS FIRST: NULLs first, then an order-reversing twin; the raw
             # value rides along (the twin is one-to-one, so order is unchanged)
-            fields += [x.isNotNull().alias(f"_n{i}"), _desc_key(df, c).alias(f"_k{i}"),
-                       x.alias(f"_r{i}")]
+            fields += [x.isNotNull().alias(f"_n{i}"), _desc_key(df, c).alias(f"_k{i}"), x.alias(f"_r{i}")]
             out[c] = f"_r{i}"
         else:
             fields += [x.isNull().alias(f"_n{i}"), x.alias(f"_k{i}")]
             out[c] = f"_k{i}"
+    for j, c in enumerate(rest):
+        fields.append(F.col(c).alias(f"_t{j}"))
+        out[c] = f"_t{j}"
     # every non-key column is part of the order, so the struct is also the payload
     agg = df.groupBy(*k).agg(F.min(F.struct(*fields)).alias("_best"))
     return agg.select(*[F.col(c) if c in k else F.col(f"_best.{out[c]}").alias(c)

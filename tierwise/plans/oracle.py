@@ -16,7 +16,8 @@ _DEDUP_LINEITEM = f"""
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
        l_tax, l_returnflag, l_linestatus, l_shipdate
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber
-                                   ORDER BY {", ".join(c.strip() + " ASC NULLS LAST" for c in _LINE_ORDER.split(","))}) AS rn
+                                   ORDER BY l_shipdate ASC NULLS LAST,
+                                            {", ".join(c.strip() + " ASC NULLS FIRST" for c in _LINE_ORDER.split(",")[1:])}) AS rn
       FROM lineitem) WHERE rn = 1
 """
 
