@@ -147,8 +147,10 @@ def declared_schema(spark, d):
     dic = frames[0].unionByName(frames[1])
     typed = dic.select("*", _sink_type_expr().alias("sink_type"), _spark_type_expr().alias("spark_type"))
     # SNK-03: create the typed empty table from the dictionary and verify it
+    # (the dictionary is one row per column: collected once for both tables)
+    dic_rows = dic.collect()
     for name in ("orders", "lineitem"):
-        st = S.dictionary_to_schema(dic, name)
+        st = S.dictionary_to_schema(dic_rows, name)
         t = VersionedTable(spark, scratch_path(spark, f"declared_{name}"))
         t.create_empty(st)
         if t.read().columns != [f.name for f in st.fields]:

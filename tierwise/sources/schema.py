@@ -53,15 +53,17 @@ def source_type_to_sink(data_type: str, precision, scale, length) -> str:
     return f"VARCHAR({TEXT_LIMIT})"
 
 
-def dictionary_to_schema(dictionary: DataFrame, table: str) -> T.StructType:
-    """Build the StructType of one table from dictionary rows.
+def dictionary_to_schema(dictionary, table: str) -> T.StructType:
+    """Build the StructType of one table from dictionary rows (a DataFrame or
+    already collected rows).
 
     The dictionary is tiny (one row per column); it is the only collected input
-    in the library and its size is the number of columns of one table.
+    in the library and its size is the number of columns of the tables.
     """
-    rows = (dictionary.where(F.col("table_name") == table)
-            .select("column_name", "data_type", "data_precision", "data_scale", "column_id")
-            .orderBy("column_id").collect())
+    if isinstance(dictionary, DataFrame):
+        dictionary = dictionary.select("table_name", "column_name", "data_type", "data_precision",
+                                       "data_scale", "column_id").collect()
+    rows = sorted((r for r in dictionary if r["table_name"] == table), key=lambda r: r["column_id"])
     return T.StructType([T.StructField(r["column_name"],
                                        source_type_to_spark(r["data_type"], r["data_precision"],
                                                             r["data_scale"]), True)
