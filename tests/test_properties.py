@@ -88,3 +88,40 @@ def test_interval_rate_matches_brute_force(spark, ivs, reads):
     got = sorted((r.k, r.d, float(r.rate)) for r in B.interval_rate(rd, by_day, "k", F.col("d")).collect())
     want = sorted((k, day(i), float(sum(r for kk, s, n, r in ivs if kk == k and s <= i <= s + n))) for k, i in reads)
     assert got == want
+
+
+events = st.lists(st.tuples(st.integers(0, 3), st.integers(0, 15), st.integers(0, 23), st.integers(0, 5)),
+                  min_size=1, max_size=25)
+
+
+@SETTINGS
+@given(events)
+def test_nth_event_and_first_last_match_brute_force(spark, data):
+    ts = lambda d, h: dt.datetime(2024, 1, 1) + dt.timedelta(days=d, hours=h)
+    df = spark.createDataFrame([(g, ts(d, h), h, v) for g, d, h, v in data], "g int, t timestamp_ntz, o int, v int")
+    nth = {r.g: r for r in B.nth_event(df, "g", "t", 3).collect()}
+    fl = {r.g: (r.first_value, r.last_value) for r in B.first_last_by(df, "g", ["t", "o"], "v").collect()}
+    for g in {x[0] for x in data}:
+        days = sorted({ts(d, 0).date() for gg, d, h, v in data if gg == g})
+        want = days[:3] + [None] * (3 - len(days[:3]))
+        r = nth[g]
+        assert [r.day_1, r.day_2, r.day_3, r.last_day, r.n_days] == [*want, days[-1], len(days)]
+        rows_g = [(ts(d, h), h, v) for gg, d, h, v in data if gg == g]
+        lo, hi = min(x[:2] for x in rows_g), max(x[:2] for x in rows_g)
+        assert fl[g] == (min(v for t, o, v in rows_g if (t, o) == lo), max(v for t, o, v in rows_g if (t, o) == hi))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 6)), min_size=1, max_size=10),
+       st.lists(st.tuples(st.integers(0, 2), st.integers(0, 6), st.integers(0, 9)), max_size=12))
+def test_lookup_exact_or_latest_matches_brute_force(spark, facts, looks):
+    day = lambda i: dt.date(2024, 1, 1) + dt.timedelta(days=i)
+    f = spark.createDataFrame([(k, day(i)) for k, i in facts], "k int, d date")
+    lk = spark.createDataFrame([(k, day(i), v) for k, i, v in looks] or [(99, day(0), 0)], "k int, d date, v int")
+    got = sorted(tuple(r) for r in B.lookup_exact_or_latest(f, lk, "k", F.col("d"), lk.d, lk.v, "x").collect())
+    want = []
+    for k, i in facts:
+        same = [v for kk, j, v in looks if kk == k and j == i]
+        anyd = [v for kk, j, v in looks if kk == k]
+        want.append((k, day(i), max(same) if same else (max(anyd) if anyd else None)))
+    assert got == sorted(want, key=lambda t: (t[0], t[1], -1 if t[2] is None else t[2]))
