@@ -27,7 +27,8 @@ from .sources.store import VersionedTable
 
 
 def _session(args):
-    return get_session(master=args.master, app=f"tierwise-{args.cmd}", shuffle_partitions=args.shuffle_partitions)
+    return get_session(master=args.master, app=f"tierwise-{args.cmd}", shuffle_partitions=args.shuffle_partitions,
+                       profile=args.profile)
 
 
 def cmd_bronze(args) -> int:
@@ -121,7 +122,8 @@ def cmd_diff(args) -> int:
 
 def main(argv=None) -> int:
     p = argparse.ArgumentParser(prog="tierwise")
-    p.add_argument("--master", default="local[*]")
+    p.add_argument("--master", default="local[*]", help="'' to leave it to spark-submit")
+    p.add_argument("--profile", choices=["local", "cluster"], default="local")
     p.add_argument("--shuffle-partitions", type=int, default=None)
     sub = p.add_subparsers(dest="cmd", required=True)
     b = sub.add_parser("bronze", help="refresh the bronze tables of one area")

@@ -24,10 +24,41 @@ DEFAULT_CONF = {
 }
 
 
-def get_session(master: str = "local[8]", app: str = "tierwise",
-                shuffle_partitions: int | None = 8, extra: dict | None = None) -> SparkSession:
-    b = SparkSession.builder.master(master).appName(app)
+# Settings for a large cluster (hundreds of executors, ~100 TB inputs).  The
+# shuffle starts wide and AQE coalesces it to the advisory size, so one setting
+# fits both the 60-day cycle and a full rebuild; skewed join and rebalance
+# partitions are split; broadcasts stay behind a bounded threshold; lost
+# executors and fetch failures are retried.  The shared checkpoint folder is
+# the cluster's (``spark.checkpoint.dir``) and is never overridden here.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.task.maxFailures": "8",
+    "spark.stage.maxConsecutiveAttempts": "8",
+    "spark.shuffle.io.maxRetries": "10",
+    "spark.sql.parquet.compression.codec": "zstd",
+}
+
+
+def get_session(master: str | None = "local[8]", app: str = "tierwise",
+                shuffle_partitions: int | None = 8, extra: dict | None = None,
+                profile: str = "local") -> SparkSession:
+    """Session with the library's defaults; ``profile="cluster"`` adds
+    :data:`CLUSTER_CONF` (``master=None`` leaves the master to spark-submit)."""
+    b = SparkSession.builder.appName(app)
+    if master:
+        b = b.master(master)
     conf = dict(DEFAULT_CONF)
+    if profile == "cluster":
+        conf.update(CLUSTER_CONF)
+        shuffle_partitions = None
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
