@@ -249,3 +249,32 @@ def test_pinned_version_reads(spark, partitioned):
     assert [r.k for r in t.read(version=1).collect()] == [1]             # immutable, repeatable
     with pytest.raises(StoreError):
         VersionedTable(spark, t.root, partition_col="d").read(version=9)
+
+
+def test_partitioned_sweep_rewrites_only_orphan_partitions(spark, sf_small):
+    orders = spark.read.parquet(f"{sf_small}/orders.parquet")
+    spec = TableSpec("orders", ("o_orderkey",), audit_col="o_orderdate")
+    flat = VersionedTable(spark, scratch_path(spark, "sweep_flat"))
+    part = VersionedTable(spark, scratch_path(spark, "sweep_part"), partition_col="o_orderdate")
+    as_of = "2001-08-01 00:00:00"
+    for t in (flat, part):
+        ingest(spec, orders, t, as_of)
+    before = part.manifest()["parts"]
+    # the source lost the 1996 orders of status 'P'
+    lost = (F.year("o_orderdate") == 1996) & (F.col("o_orderstatus") == "P")
+    src = orders.where(~lost)
+    r_flat = ingest(spec, src, flat, as_of, sweep=True)
+    r_part = ingest(spec, src, part, as_of, sweep=True)
+    assert r_part.strategy == "window_merge@partitions+sweep"
+    assert (r_part.extracted, r_part.inserted, r_part.updated, r_part.removed, r_part.saved) == \
+        (r_flat.extracted, r_flat.inserted, r_flat.updated, r_flat.removed, r_flat.saved)
+    assert r_part.removed == orders.where(lost).count() > 0
+    a, b = flat.read(), part.read()
+    assert a.exceptAll(b.select(*a.columns)).isEmpty() and b.select(*a.columns).exceptAll(a).isEmpty()
+    after = part.manifest()["parts"]
+    rewritten = {k for k in after if after[k]["v"] == 2}
+    assert all(k.startswith("m1996") or k >= "m200106" for k in rewritten)  # orphan months + window months
+    assert all(after[k] == before[k] for k in after if k not in rewritten)
+    with pytest.raises(M.MergeError):
+        ingest(spec, orders.limit(0), part, as_of, sweep=True)             # empty universe refused
+    assert part.current_version() == 2

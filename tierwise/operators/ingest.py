@@ -103,9 +103,10 @@ def _merge_observed(spec: TableSpec, batch: DataFrame, target: VersionedTable, a
     write); ``inserted`` = merged rows - target rows before (target keys are
     unique).  The sweep's universe, candidate and surviving counts are observed
     on the same write; an empty universe stops the publish (old version kept).
-    On a partitioned table without sweep only the partitions the batch touches
-    are read and rewritten (the partition column is immutable, so a batch key
-    can only live in one of them).
+    On a partitioned table only the partitions the batch touches (the
+    partition column is immutable, so a batch key can only live in one of
+    them) and, with a sweep, the partitions holding orphans are read and
+    rewritten; finding the orphans reads only key, scope and partition columns.
 
     The counters are reporting, not data: a count observed on the map side of
     a shuffle can be taken twice if Spark re-runs a map stage after losing an
@@ -117,8 +118,11 @@ def _merge_observed(spec: TableSpec, batch: DataFrame, target: VersionedTable, a
         return LoadResult(spec.name, strategy, saved=target.row_count(),
                           status="EMPTY_BATCH_KEPT_OLD", seconds=time.time() - t0)
     m = target.manifest()
-    if target.partition_col and m.get("parts") is not None and universe is None:
-        touched = target.part_values(batch)
+    if target.partition_col and m.get("parts") is not None:
+        touched = set(target.part_values(batch)) if extracted else set()
+        if universe is not None:
+            touched |= _orphan_partitions(spec, target, universe)
+        touched = sorted(touched)
         current = target.read(parts=touched)
         total_before = sum(v["rows"] for v in m["parts"].values())
         before = sum(v["rows"] for k, v in m["parts"].items() if k in set(touched))
@@ -142,11 +146,16 @@ def _merge_observed(spec: TableSpec, batch: DataFrame, target: VersionedTable, a
             if n == 0 or (n is None and universe.select(*spec.keys).dropna().isEmpty()):
                 raise merge.MergeError("refusing to sweep against an empty key universe")
 
-        saved = target.write(final, allow_empty=True, before_publish=guard)
+        if touched is None:
+            saved = target.write(final, allow_empty=True, before_publish=guard)
+            written = saved
+        else:                                       # universe already checked
+            saved = target.write_partitions(final, touched)
+            written = saved - (total_before - before)
         cand = _observed(sweep_obs["candidates"], "n") or 0
         live = _observed(sweep_obs["live"], "n") or 0
         removed = cand - live
-        written = saved + removed                   # merged rows before the sweep
+        written += removed                          # merged rows before the sweep
         strategy += "+sweep"
     elif touched is None:
         saved = target.write(merged)
@@ -159,6 +168,25 @@ def _merge_observed(spec: TableSpec, batch: DataFrame, target: VersionedTable, a
                       "OK", time.time() - t0)
 
 
+def _orphan_partitions(spec: TableSpec, target: VersionedTable, universe: DataFrame) -> set[str]:
+    """Storage partitions holding in-scope rows whose key left the source.
+
+    Reads only the key, scope and partition columns of the table (column
+    pruning), so the daily sweep rewrites just these partitions.  The universe
+    is counted on the same pass: an empty one (a failed key read) stops the
+    sweep before anything is written.
+    """
+    k = list(spec.keys)
+    u_obs = Observation(f"universe_{spec.name}")
+    u = universe.select(*k).dropna().distinct().observe(u_obs, F.count(F.lit(1)).alias("n"))
+    orphans = target.read().where(spec.scope()).join(u, on=k, how="left_anti")
+    parts = set(target.part_values(orphans))
+    n = _observed(u_obs, "n")
+    if n == 0 or (n is None and u.isEmpty()):
+        raise merge.MergeError("refusing to sweep against an empty key universe")
+    return parts
+
+
 def _observed(obs: Observation, name: str):
     """An observed count, or None when Spark never ran the observed subtree
     (AQE replaces a branch it proved empty by an empty relation, dropping the
