@@ -69,7 +69,7 @@ def test_refresh_area_isolates_failures(spark):
         return spark.createDataFrame([], BRONZE_SCHEMAS[spec.name]) if spec.name != "E028CPG" else \
             _source(spark, [dict(CODEMP=1, CODCPG="1", DATGER=TS(2024, 1, 1))])
 
-    m = refresh_area(spark, cat, "opex", read_source, root, "2024-03-01 00:00:00")
+    m = refresh_area(spark, cat, "opex", read_source, root, "2024-03-01 00:00:00", parallelism=3)
     got = {r.table_name: r.status for r in m.collect()}
     assert len(got) == len([s for s in cat.specs.values() if s.owner == "opex"])
     assert got["R910USU"].startswith("ERROR") and got["USU_T650ORC"] == "EMPTY_BATCH_KEPT_OLD"
@@ -104,7 +104,8 @@ def test_run_products_cycle(spark):
     ingest(spec, _source(spark, [dict(CODEMP=1, CODCPG="1", DESCPG="x", DATGER=TS(2024, 1, 1))]),
            VersionedTable(spark, f"{root}/E028CPG"), "2024-03-01 00:00:00")
     m = run_products(spark, ["DIM_CONDICAO_PAGAMENTO", "DIM_PRODUTO"], TableBronze(spark, root),
-                     scratch_path(spark, "silver_cycle"), ProductParams(as_of="2024-03-01 00:00:00"))
+                     scratch_path(spark, "silver_cycle"), ProductParams(as_of="2024-03-01 00:00:00"),
+                     parallelism=2)
     got = {r["product"]: (r["status"], r["saved"]) for r in m.collect()}
     assert got["DIM_CONDICAO_PAGAMENTO"] == ("OK", 1)
     assert got["DIM_PRODUTO"][0].startswith("ERROR")            # its bronze tables are absent

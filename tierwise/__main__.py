@@ -35,7 +35,7 @@ def cmd_bronze(args) -> int:
     spark = _session(args)
     cat = bronze_catalog()
     m = refresh_area(spark, cat, args.area, lambda spec: spark.read.parquet(f"{args.source}/{spec.name}"),
-                     args.bronze, args.as_of, sweep=args.sweep)
+                     args.bronze, args.as_of, sweep=args.sweep, parallelism=args.parallelism)
     m.show(200, truncate=False)
     run_summary(m).show(truncate=False)
     return 0 if m.where(F.col("status").startswith("ERROR")).isEmpty() else 1
@@ -54,7 +54,7 @@ def cmd_silver(args) -> int:
         print(f"sheet products without --sheet: {missing}", file=sys.stderr)
     params = ProductParams(as_of=args.as_of)
     m = run_products(spark, [n for n in names if n not in missing], TableBronze(spark, args.bronze), args.silver,
-                     params, sheets=sheets)
+                     params, sheets=sheets, parallelism=args.parallelism)
     m.show(100, truncate=False)
     return 0 if m.where(F.col("status").startswith("ERROR")).isEmpty() else 1
 
@@ -124,6 +124,7 @@ def main(argv=None) -> int:
     p = argparse.ArgumentParser(prog="tierwise")
     p.add_argument("--master", default="local[*]", help="'' to leave it to spark-submit")
     p.add_argument("--profile", choices=["local", "cluster"], default="local")
+    p.add_argument("--parallelism", type=int, default=1, help="tables / products run concurrently")
     p.add_argument("--shuffle-partitions", type=int, default=None)
     sub = p.add_subparsers(dest="cmd", required=True)
     b = sub.add_parser("bronze", help="refresh the bronze tables of one area")

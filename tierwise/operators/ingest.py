@@ -15,6 +15,7 @@ DataFrame, MRG-04/MRG-06).  Metrics are returned as a one-row DataFrame.
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -202,21 +203,31 @@ def metrics_frame(spark: SparkSession, results: list[LoadResult]) -> DataFrame:
     return spark.createDataFrame([r.row() for r in results], METRICS_SCHEMA)
 
 
-def run_tables(spark: SparkSession, jobs, as_of, sweep: bool = False) -> DataFrame:
+def run_tables(spark: SparkSession, jobs, as_of, sweep: bool = False, parallelism: int = 1) -> DataFrame:
     """Run several ingestions, isolating failures per table (SNK-08).
 
     ``jobs`` is an iterable of ``(spec, source_df_or_callable, VersionedTable)``.
     A failing table is reported with status ``ERROR`` and the run continues.
+    Tables are independent: with ``parallelism`` > 1 their Spark jobs are
+    submitted concurrently from a small thread pool so small tables do not
+    leave the cluster idle; results keep the input order.
     """
-    out = []
-    for spec, source, target in jobs:
+    def one(job):
+        spec, source, target = job
         t0 = time.time()
         try:
             src = source() if callable(source) else source
-            out.append(ingest(spec, src, target, as_of, sweep=sweep))
+            return ingest(spec, src, target, as_of, sweep=sweep)
         except Exception as e:  # noqa: BLE001 - isolation is the point
-            out.append(LoadResult(spec.name, "error", status=f"ERROR: {type(e).__name__}",
-                                  seconds=time.time() - t0))
+            return LoadResult(spec.name, "error", status=f"ERROR: {type(e).__name__}",
+                              seconds=time.time() - t0)
+
+    jobs = list(jobs)
+    if parallelism > 1:
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            out = list(pool.map(one, jobs))
+    else:
+        out = [one(j) for j in jobs]
     return metrics_frame(spark, out)
 
 
@@ -228,7 +239,7 @@ def run_summary(metrics: DataFrame) -> DataFrame:
 
 
 def refresh_area(spark: SparkSession, catalog, area: str, read_source, bronze_root: str, as_of,
-                 sweep: bool = False, partition_cols: dict | None = None) -> DataFrame:
+                 sweep: bool = False, partition_cols: dict | None = None, parallelism: int = 1) -> DataFrame:
     """Refresh every catalog table owned by ``area`` (one bronze cycle, E1).
 
     ``read_source(spec)`` returns the source DataFrame of a table (any reader:
@@ -243,4 +254,4 @@ def refresh_area(spark: SparkSession, catalog, area: str, read_source, bronze_ro
         target = VersionedTable(spark, f"{bronze_root}/{spec.name}",
                                 partition_col=partition_cols.get(spec.name))
         jobs.append((spec, (lambda s=spec: read_source(s)), target))
-    return run_tables(spark, jobs, as_of, sweep=sweep)
+    return run_tables(spark, jobs, as_of, sweep=sweep, parallelism=parallelism)
