@@ -250,12 +250,17 @@ def lookback_start(as_of, days: int) -> Column:
     return F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(days)} DAYS")
 
 
+def _time_of_day(x: Column) -> Column:
+    """Time since midnight as a day-time interval, computed on local timestamps
+    only (no session time zone: a DST gap at midnight cannot shift it)."""
+    t = x.cast("timestamp_ntz")
+    return t - F.to_date(t).cast("timestamp_ntz")
+
+
 def full_days(a: ColumnOrName, b: ColumnOrName) -> Column:
     """Whole days from b to a, floored (pandas ``(a - b).dt.days``), TZ-free."""
     x, y = _c(a), _c(b)
-    tod_x = F.date_format(x, "HH:mm:ss.SSSSSS")
-    tod_y = F.date_format(y, "HH:mm:ss.SSSSSS")
-    return F.datediff(F.to_date(x), F.to_date(y)) - F.when(tod_x < tod_y, 1).otherwise(0)
+    return F.datediff(F.to_date(x), F.to_date(y)) - F.when(_time_of_day(x) < _time_of_day(y), 1).otherwise(0)
 
 
 def is_sentinel_or_null(c: ColumnOrName) -> Column:
