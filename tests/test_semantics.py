@@ -194,3 +194,16 @@ def test_trim_of_blank_sentinel_is_null(spark):
     df = spark.createDataFrame([(" ",), (" ab ",)], "c string")
     assert [tuple(r) for r in df.select(X.trim_upper("c"), X.trim_lower("c")).collect()] == \
         [(None, None), ("AB", "ab")]                                     # T3: TRIM(' ') IS NULL
+
+
+def test_full_days_ignores_session_time_zone(spark):
+    """1995-10-15 00:00 does not exist in Sao Paulo (DST began at midnight);
+    the day difference must not depend on the session time zone."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+        df = spark.createDataFrame([(TS(1995, 10, 16), TS(1995, 10, 15)), (TS(1995, 10, 15), TS(1995, 10, 14, 23))],
+                                   "a timestamp_ntz, b timestamp_ntz")
+        assert [r[0] for r in df.select(X.full_days("a", "b")).collect()] == [1, 0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
