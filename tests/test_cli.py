@@ -27,7 +27,7 @@ def test_cli_bronze_check_silver(spark):
     _write(spark, src, "R910USU", [dict(CODENT="o1", NOMCOM="Owner", DATALT=TS(2024, 1, 1))])
     _write(spark, src, "E043PCM", [dict(CODMPC="801", CTARED="A", DESCTA="rent", DATGER=TS(2024, 1, 1))])
     as_of = "2024-03-01 00:00:00"
-    assert main(["bronze", "--area", "opex", "--source", src, "--bronze", brz, "--as-of", as_of]) == 0
+    assert main(["bronze", "--area", "opex", "--source", src, "--bronze", brz, "--as-of", as_of, "--partitioned"]) == 0
     assert VersionedTable(spark, f"{brz}/USU_T650ORC").read().count() == 1      # company 7 out of scope
     assert main(["check", "--area", "opex", "--source", src, "--bronze", brz, "--content"]) == 0
     assert main(["silver", "--bronze", brz, "--silver", slv, "--as-of", as_of,

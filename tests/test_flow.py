@@ -18,6 +18,9 @@ def test_catalog_matches_the_source_registry():
     assert len(cat.distinct_tables()) == 67
     assert set(cat.multi_writer) == {"E044CCU", "R910USU"}
     assert set(cat.multi_writer) <= set(BRONZE_SCHEMAS) and cat.distinct_tables() == set(BRONZE_SCHEMAS)
+    from tierwise.sources.bronze_catalog import default_partition_cols
+    parts = default_partition_cols()
+    assert parts["E140IPV"] == "DATGER" and parts["USU_T101MET"] == "USU_DATGER" and "E085CLI" not in parts
     cpg = cat.get("E028CPG")
     assert (cpg.audit_col, cpg.fallback_col, cpg.company_col) == ("DATATU", "DATGER", "CODEMP")
     assert cat.get("E900EOQ").sentinel == "1900-12-31"

@@ -21,7 +21,7 @@ from .operators import reconcile as R
 from .operators.ingest import refresh_area, run_summary
 from .plans.products import PRODUCTS, SHEET_PRODUCTS, ProductParams, TableBronze, run_products
 from .session import get_session
-from .sources.bronze_catalog import bronze_catalog
+from .sources.bronze_catalog import bronze_catalog, default_partition_cols
 from .sources.scan import normalize_blanks
 from .sources.store import VersionedTable
 
@@ -34,8 +34,9 @@ def _session(args):
 def cmd_bronze(args) -> int:
     spark = _session(args)
     cat = bronze_catalog()
+    parts = default_partition_cols() if args.partitioned else None
     m = refresh_area(spark, cat, args.area, lambda spec: spark.read.parquet(f"{args.source}/{spec.name}"),
-                     args.bronze, args.as_of, sweep=args.sweep, parallelism=args.parallelism)
+                     args.bronze, args.as_of, sweep=args.sweep, partition_cols=parts, parallelism=args.parallelism)
     m.show(200, truncate=False)
     run_summary(m).show(truncate=False)
     return 0 if m.where(F.col("status").startswith("ERROR")).isEmpty() else 1
@@ -133,6 +134,8 @@ def main(argv=None) -> int:
     b.add_argument("--bronze", required=True)
     b.add_argument("--as-of", required=True)
     b.add_argument("--sweep", action="store_true", help="scoped orphan sweep (last cycle of the day)")
+    b.add_argument("--partitioned", action="store_true",
+                   help="partition new tables by their generation date (merges rewrite touched months only)")
     s = sub.add_parser("silver", help="build and load silver products")
     s.add_argument("--bronze", required=True)
     s.add_argument("--silver", required=True)

@@ -100,3 +100,21 @@ def bronze_catalog() -> Catalog:
         multi.setdefault(s.name, []).append(s.owner)
     cat.multi_writer = {k: tuple(v) for k, v in multi.items() if len(v) > 1}
     return cat
+
+
+# Generation (creation) dates never change after a row is written, so they are
+# safe storage partitions: a merge or sweep rewrites only the months it touches.
+IMMUTABLE_DATE_COLUMNS = ("DATGER", "USU_DATGER")
+
+
+def default_partition_cols() -> dict[str, str]:
+    """Table -> immutable generation-date column, for tables that have one."""
+    from ..plans.bronze_schemas import BRONZE_SCHEMAS
+    out = {}
+    for name, ddl in BRONZE_SCHEMAS.items():
+        cols = {c.split()[0] for c in ddl.split(", ")}
+        for c in IMMUTABLE_DATE_COLUMNS:
+            if c in cols:
+                out[name] = c
+                break
+    return out
