@@ -9,7 +9,11 @@ from tierwise.sources.store import VersionedTable
 from tierwise.streaming.incremental import incremental_ingest
 
 
-def test_stream_equals_batch(spark, sf_small):
+import pytest
+
+
+@pytest.mark.parametrize("partitioned", [False, True])
+def test_stream_equals_batch(spark, sf_small, partitioned):
     orders = spark.read.parquet(f"{sf_small}/orders.parquet")
     src = scratch_path(spark, "stream_src")
     cut = F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")
@@ -19,7 +23,8 @@ def test_stream_equals_batch(spark, sf_small):
                    .withColumn("o_orderstatus", F.lit("F"))
     first.write.parquet(f"{src}/part=1")
     spec = TableSpec("orders", ("o_orderkey",), audit_col="o_orderdate")
-    target = VersionedTable(spark, scratch_path(spark, "stream_tgt"))
+    target = VersionedTable(spark, scratch_path(spark, "stream_tgt"),
+                            partition_col="o_orderdate" if partitioned else None)
     ckpt = scratch_path(spark, "stream_ckpt")
     r1 = incremental_ingest(spark, spec, src, orders.schema, target, "2001-08-01 00:00:00", ckpt)
     second.write.parquet(f"{src}/part=2")
