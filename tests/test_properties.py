@@ -90,7 +90,8 @@ def test_interval_rate_matches_brute_force(spark, ivs, reads):
     assert got == want
 
 
-events = st.lists(st.tuples(st.integers(0, 3), st.integers(0, 15), st.integers(0, 23), st.integers(0, 5)),
+events = st.lists(st.tuples(st.integers(0, 3), st.integers(0, 15), st.integers(0, 23),
+                            st.one_of(st.none(), st.integers(0, 5))),
                   min_size=1, max_size=25)
 
 
@@ -108,7 +109,9 @@ def test_nth_event_and_first_last_match_brute_force(spark, data):
         assert [r.day_1, r.day_2, r.day_3, r.last_day, r.n_days] == [*want, days[-1], len(days)]
         rows_g = [(ts(d, h), h, v) for gg, d, h, v in data if gg == g]
         lo, hi = min(x[:2] for x in rows_g), max(x[:2] for x in rows_g)
-        assert fl[g] == (min(v for t, o, v in rows_g if (t, o) == lo), max(v for t, o, v in rows_g if (t, o) == hi))
+        first_vals = [v for t, o, v in rows_g if (t, o) == lo and v is not None]
+        last_vals = [v for t, o, v in rows_g if (t, o) == hi and v is not None]
+        assert fl[g] == (min(first_vals) if first_vals else None, max(last_vals) if last_vals else None)
 
 
 @SETTINGS

@@ -68,11 +68,15 @@ def first_last_by(df: DataFrame, group_cols, order_cols, value_col: str,
     cond = F.lit(True)
     for c in o:
         cond = cond & F.col(c).isNotNull()
-    s = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(o)],
-                 F.col(value_col).alias("_v"))
+    v = F.col(value_col)
+    order = [F.col(c).alias(f"_o{i}") for i, c in enumerate(o)]
+    # MIN/MAX ignore NULL values among the tied rows: a NULL flag after the
+    # order keys makes non-NULL values win the tie in both directions
+    first = F.struct(*order, v.isNull().alias("_n"), v.alias("_v"))
+    last = F.struct(*order, v.isNotNull().alias("_n"), v.alias("_v"))
     return (df.where(cond).groupBy(*g)
-              .agg(F.min(s).getField("_v").alias(first_name),
-                   F.max(s).getField("_v").alias(last_name)))
+              .agg(F.min(first).getField("_v").alias(first_name),
+                   F.max(last).getField("_v").alias(last_name)))
 
 
 # ---------------------------------------------------------------------------
