@@ -112,3 +112,21 @@ def test_run_products_cycle(spark):
     got = {r["product"]: (r["status"], r["saved"]) for r in m.collect()}
     assert got["DIM_CONDICAO_PAGAMENTO"] == ("OK", 1)
     assert got["DIM_PRODUTO"][0].startswith("ERROR")            # its bronze tables are absent
+
+
+def test_run_products_skips_stale_inputs(spark):
+    from tierwise.plans.products import run_products
+    root = scratch_path(spark, "bronze_fresh")
+    spec = bronze_catalog().get("E028CPG")
+    t = VersionedTable(spark, f"{root}/E028CPG")
+    ingest(spec, _source(spark, [dict(CODEMP=1, CODCPG="1", DESCPG="x", DATGER=TS(2024, 1, 1))]), t,
+           "2024-03-01 08:00:00")
+    assert t.loaded_as_of() == "2024-03-01 08:00:00"
+    silver = scratch_path(spark, "silver_fresh")
+    p = ProductParams(as_of="2024-03-01 10:00:00")
+    m = run_products(spark, ["DIM_CONDICAO_PAGAMENTO"], TableBronze(spark, root), silver, p,
+                     fresh_after="2024-03-01 09:00:00")
+    assert m.first()["status"] == "STALE_INPUT: E028CPG"
+    m = run_products(spark, ["DIM_CONDICAO_PAGAMENTO"], TableBronze(spark, root), silver, p,
+                     fresh_after="2024-03-01 07:00:00")
+    assert m.first()["status"] == "OK"

@@ -55,7 +55,7 @@ def cmd_silver(args) -> int:
         print(f"sheet products without --sheet: {missing}", file=sys.stderr)
     params = ProductParams(as_of=args.as_of)
     m = run_products(spark, [n for n in names if n not in missing], TableBronze(spark, args.bronze), args.silver,
-                     params, sheets=sheets, parallelism=args.parallelism)
+                     params, sheets=sheets, parallelism=args.parallelism, fresh_after=args.fresh_after)
     m.show(100, truncate=False)
     return 0 if m.where(F.col("status").startswith("ERROR")).isEmpty() else 1
 
@@ -142,6 +142,7 @@ def main(argv=None) -> int:
     s.add_argument("--as-of", required=True)
     s.add_argument("--product", action="append")
     s.add_argument("--sheet", action="append", help="PRODUCT=PATH (CSV with header, or .parquet)")
+    s.add_argument("--fresh-after", help="skip products whose bronze inputs were loaded before this instant")
     c = sub.add_parser("check", help="count checks source vs bronze for one area")
     c.add_argument("--area", required=True)
     c.add_argument("--source", required=True)

@@ -74,7 +74,7 @@ def ingest(spec: TableSpec, source: DataFrame, target: VersionedTable, as_of,
         batch = scoped if spec.keyless else merge.dedup_first(
             scoped, spec.keys, spec.dedup_order(), descending=spec.latest_wins)
         try:
-            saved = target.write(batch)
+            saved = target.write(batch, meta={"as_of": str(as_of)})
         except StoreError:                          # empty source: old version kept (SNK-02)
             return LoadResult(spec.name, strategy, saved=target.row_count(),
                               status="EMPTY_BATCH_KEPT_OLD", seconds=time.time() - t0)
@@ -148,10 +148,10 @@ def _merge_observed(spec: TableSpec, batch: DataFrame, target: VersionedTable, a
                 raise merge.MergeError("refusing to sweep against an empty key universe")
 
         if touched is None:
-            saved = target.write(final, allow_empty=True, before_publish=guard)
+            saved = target.write(final, allow_empty=True, before_publish=guard, meta={"as_of": str(as_of)})
             written = saved
         else:                                       # universe already checked
-            saved = target.write_partitions(final, touched)
+            saved = target.write_partitions(final, touched, meta={"as_of": str(as_of)})
             written = saved - (total_before - before)
         cand = _observed(sweep_obs["candidates"], "n") or 0
         live = _observed(sweep_obs["live"], "n") or 0
@@ -159,10 +159,10 @@ def _merge_observed(spec: TableSpec, batch: DataFrame, target: VersionedTable, a
         written += removed                          # merged rows before the sweep
         strategy += "+sweep"
     elif touched is None:
-        saved = target.write(merged)
+        saved = target.write(merged, meta={"as_of": str(as_of)})
         written = saved
     else:
-        saved = target.write_partitions(merged, touched)
+        saved = target.write_partitions(merged, touched, meta={"as_of": str(as_of)})
         written = saved - (total_before - before)
     kept = _observed(obs, "kept") or 0
     return LoadResult(spec.name, strategy, extracted, written - before, before - kept, saved, removed,

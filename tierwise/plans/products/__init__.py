@@ -96,20 +96,42 @@ def load_product(name: str, df: DataFrame, target: VersionedTable, as_of: str) -
     return target.write(batch)
 
 
+def stale_inputs(name: str, bronze, fresh_after: str) -> list[str]:
+    """Bronze inputs of a product whose last load is older than ``fresh_after``
+    (REC-14); read from the version manifests, no data scanned."""
+    if not isinstance(bronze, TableBronze):
+        return []
+    stale = []
+    for t in PRODUCTS[name].inputs:
+        if ":" in t:                                  # sheets and caller inputs
+            continue
+        loaded = VersionedTable(bronze.spark, f"{bronze.root}/{t}").loaded_as_of()
+        if loaded is None or loaded < fresh_after:
+            stale.append(t)
+    return stale
+
+
 def run_products(spark, names, bronze: Bronze, silver_root: str, params: ProductParams,
-                 sheets: dict | None = None, inputs: dict | None = None, parallelism: int = 1) -> DataFrame:
+                 sheets: dict | None = None, inputs: dict | None = None, parallelism: int = 1,
+                 fresh_after: str | None = None) -> DataFrame:
     """Build and load several products (one silver cycle, E2).
 
     Each product is an independent job: a failure is reported in its metrics
     row and the others still run; with ``parallelism`` > 1 products are
     submitted concurrently.  ``sheets`` maps product name -> sheet DataFrame,
     ``inputs`` maps product name -> extra keyword inputs (override tables,
-    legacy variant list, listed resources).
+    legacy variant list, listed resources).  With ``fresh_after`` a product
+    whose bronze inputs were last loaded before that instant is skipped and
+    reported ``STALE_INPUT`` (REC-14).
     """
     sheets, inputs = sheets or {}, inputs or {}
 
     def one(name):
         t0 = time.time()
+        if fresh_after is not None:
+            stale = stale_inputs(name, bronze, fresh_after)
+            if stale:
+                return (name, PRODUCTS[name].load, 0, "STALE_INPUT: " + ",".join(stale), 0.0)
         try:
             df = build_product(name, bronze, params, sheet=sheets.get(name), **inputs.get(name, {}))
             saved = load_product(name, df, VersionedTable(spark, f"{silver_root}/{name}"), params.as_of)

@@ -190,6 +190,12 @@ class VersionedTable:
             return m["rows"] > 0
         return not self.read().isEmpty()
 
+    def loaded_as_of(self) -> str | None:
+        """The ``as_of`` of the load that published the current version (from
+        the manifest: a freshness check reads no data)."""
+        m = self.manifest()
+        return None if m is None else (m.get("meta") or {}).get("as_of")
+
     def row_count(self) -> int:
         """Rows of the current version, from the manifest when recorded."""
         m = self.manifest()
@@ -217,7 +223,7 @@ class VersionedTable:
         return {r[0]: {"v": version, "rows": r[1]} for r in counts}
 
     def write(self, df: DataFrame, allow_empty: bool = False,
-              expected_rows: int | None = None, before_publish=None) -> int:
+              expected_rows: int | None = None, before_publish=None, meta: dict | None = None) -> int:
         """Write ``df`` as the next full version and publish it; returns rows saved.
 
         An empty result aborts and keeps the old version (SNK-02) unless
@@ -243,10 +249,12 @@ class VersionedTable:
             raise StoreError(f"{self.root}: wrote {saved} rows, expected {expected_rows}")
         if before_publish is not None:
             before_publish()
+        if meta:
+            manifest["meta"] = meta
         self._publish(manifest)
         return saved
 
-    def write_partitions(self, df: DataFrame, touched: list[str]) -> int:
+    def write_partitions(self, df: DataFrame, touched: list[str], meta: dict | None = None) -> int:
         """Replace only the ``touched`` storage partitions by ``df`` (which must
         hold exactly their new content) and publish; returns total table rows.
 
@@ -268,8 +276,10 @@ class VersionedTable:
         # partition files lack them and read NULL
         old_schema = StructType.fromJson(json.loads(m["schema"]))
         schema = df.schema if set(old_schema.fieldNames()) < set(df.schema.fieldNames()) else old_schema
-        self._publish({"version": nxt, "parts": parts, "schema": schema.json(),
-                       "partition_col": self.partition_col})
+        manifest = {"version": nxt, "parts": parts, "schema": schema.json(), "partition_col": self.partition_col}
+        if meta:
+            manifest["meta"] = meta
+        self._publish(manifest)
         return sum(v["rows"] for v in parts.values())
 
 
