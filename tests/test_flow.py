@@ -57,6 +57,7 @@ def test_bronze_to_silver_two_cycles(spark):
     got = {r.CODCPG: (r.DESCPGTO, r.SITCPG_DESC) for r in silver_t.read().collect()}
     assert n == 2 and got == {"030": ("0 PM - A VISTA 2", "ATIVA"), "060": ("60 PM - SIXTY", "INATIVA")}
     assert {r.DW_DATA_PROCESSAMENTO for r in silver_t.read().collect()} == {TS(2024, 3, 2)}
+    assert silver_t.loaded_as_of() == day2
 
 
 def test_refresh_area_isolates_failures(spark):

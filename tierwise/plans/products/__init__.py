@@ -88,12 +88,13 @@ def load_product(name: str, df: DataFrame, target: VersionedTable, as_of: str) -
     """Write a product: merge on its keys (upsert) or a new version (replace)."""
     spec = PRODUCTS[name]
     batch = stamp(df, as_of, layer="silver")
+    meta = {"as_of": str(as_of)}                      # freshness for downstream consumers
     if spec.load == "upsert" and target.has_rows():
         merged = M.upsert(target.read(), batch.select(*target.read().columns), list(spec.keys))
-        return target.write(merged)
+        return target.write(merged, meta=meta)
     if spec.load == "upsert":
         batch = M.dedup_first(batch, list(spec.keys))
-    return target.write(batch)
+    return target.write(batch, meta=meta)
 
 
 def stale_inputs(name: str, bronze, fresh_after: str) -> list[str]:
