@@ -128,3 +128,31 @@ def test_lookup_exact_or_latest_matches_brute_force(spark, facts, looks):
         anyd = [v for kk, j, v in looks if kk == k]
         want.append((k, day(i), max(same) if same else (max(anyd) if anyd else None)))
     assert got == sorted(want, key=lambda t: (t[0], t[1], -1 if t[2] is None else t[2]))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["A", "B", " ", None]), st.integers(0, 20), st.integers(0, 23)),
+                min_size=1, max_size=25))
+def test_previous_event_matches_brute_force(spark, data):
+    ts = lambda d, h: dt.datetime(2024, 1, 1) + dt.timedelta(days=d, hours=h)
+    df = spark.createDataFrame([(k, ts(d, h)) for k, d, h in data], "k string, t timestamp_ntz")
+    got = sorted(tuple(r) for r in B.previous_event(df, "k", "t").collect())
+    want = []
+    for k in {k for k, _, _ in data if k is not None and k.strip() != ""}:
+        days = sorted({ts(d, 0).date() for kk, d, _ in data if kk == k})
+        want += [(k, day, days[i - 1] if i else None) for i, day in enumerate(days)]
+    assert got == sorted(want, key=lambda t: (t[0], t[1]))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 4), st.booleans()), min_size=1, max_size=20),
+       st.dictionaries(st.integers(0, 4), st.integers(0, 100)))
+def test_allocate_share_matches_brute_force(spark, lines, fees):
+    df = spark.createDataFrame([(n, keep, float(fees.get(n, 0))) for n, keep in lines],
+                               "note int, keep boolean, fee double")
+    counts = B.line_counts(df, "note")
+    got = sorted((r.note, r.n_lines, r.share) for r in
+                 B.allocate_share(df, counts, "note", F.col("fee")).where("keep").collect())
+    n = Counter(note for note, _ in lines)                                   # all lines, before the filter
+    want = sorted((note, n[note], fees.get(note, 0) / n[note]) for note, keep in lines if keep)
+    assert got == want
