@@ -9,7 +9,13 @@
                                        merge on the keys, optional scoped sweep
 
 The source for a table may be any reader (a second system is just another
-DataFrame, MRG-04/MRG-06).  Metrics are returned as a one-row DataFrame.
+DataFrame, MRG-04/MRG-06).  ``ingest`` returns a ``LoadResult``;
+``run_tables`` / ``refresh_area`` turn several into a metrics DataFrame.
+
+Every path reads the source once and the target at most once: counts are
+observed while the new version is written, and on a partitioned target only
+the storage partitions a batch (or the sweep's orphans) touch are read and
+rewritten.  Each published version records the ``as_of`` of its load.
 """
 
 from __future__ import annotations
