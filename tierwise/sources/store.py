@@ -1,19 +1,22 @@
-"""Versioned Parquet tables with an atomic pointer (SNK-01..04).
+"""Versioned Parquet tables published through an atomic manifest (SNK-01..04).
 
 Layout of a table root::
 
-    <root>/v=000001/part-*.parquet   (+ _SUCCESS written by the job committer)
-    <root>/v=000002/_part=m200107/... (partitioned tables)
-    <root>/_current                  JSON manifest: committed version and, for a
-                                     partitioned table, partition -> version
-
-A write never touches the directory being read: it writes ``v=N+1`` with
-Spark's job committer, checks the row count, then replaces ``_current`` by a
-rename of a freshly written file.  A partitioned table rewrites only the
-partitions a merge touches; the manifest points the others at the versions
-that last wrote them, so untouched partitions are neither read nor copied.  A failed or killed job leaves an orphan
-version directory that no reader ever sees; readers follow ``_current`` only.
-One writer per table at a time is assumed (multi-writer tables take turns).
+    <root>/v=000001/part-*.parquet        (+ _SUCCESS written by the job committer)
+    <root>/v=000002/_part=m200107/...      (partitioned tables)
+    <root>/_current                        JSON manifest of the committed version:
+                                           rows, load as_of and, for a partitioned
+                                           table, partition -> version
+    <root>/_manifests/v=000002.json        immutable copy per version (pinned reads)
+
+A write never touches a directory being read: it writes ``v=N+1`` with Spark's
+job committer, checks the row count, then replaces ``_current`` with an
+overwrite rename (readers see the old or the new manifest, never none).  A
+partitioned table rewrites only the partitions a merge touches; the manifest
+points the others at the versions that last wrote them, so untouched
+partitions are neither read nor copied.  A failed or killed job leaves an
+orphan version directory that no reader ever sees.  One writer per table at a
+time is assumed (multi-writer tables take turns).
 
 File-system calls go through the Hadoop ``FileSystem`` of the session, so the
 same code works on a local disk, HDFS or an object store.
