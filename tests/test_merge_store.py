@@ -278,3 +278,16 @@ def test_partitioned_sweep_rewrites_only_orphan_partitions(spark, sf_small):
     with pytest.raises(M.MergeError):
         ingest(spec, orders.limit(0), part, as_of, sweep=True)             # empty universe refused
     assert part.current_version() == 2
+
+
+def test_concurrent_writer_is_detected(spark):
+    t = VersionedTable(spark, scratch_path(spark, "race"))
+    t.write(spark.createDataFrame([(1,)], "x int"))
+    other = VersionedTable(spark, t.root)
+
+    def interleave():                      # another writer publishes meanwhile
+        other.write(spark.createDataFrame([(2,)], "x int"))
+
+    with pytest.raises(StoreError):
+        t.write(spark.createDataFrame([(3,)], "x int"), before_publish=interleave)
+    assert t.current_version() == 2 and [r.x for r in t.read().collect()] == [2]

@@ -107,6 +107,12 @@ class VersionedTable:
     def _publish(self, manifest: dict) -> None:
         fs, _ = self._fs()
         version = manifest["version"]
+        # optimistic concurrency: a writer that finds the committed version
+        # moved since it started lost a race and must not publish over it
+        current = self.current_version() or 0
+        if current != version - 1:
+            raise StoreError(f"{self.root}: version {current} was published while version {version} "
+                             "was being written (concurrent writer); nothing published")
         # immutable copy first: pinned readers (reconciliation) and time travel
         keep = fs.create(self._path("_manifests", f"v={version:06d}.json"), True)
         try:
