@@ -36,7 +36,8 @@ def cmd_bronze(args) -> int:
     cat = bronze_catalog()
     parts = default_partition_cols() if args.partitioned else None
     m = refresh_area(spark, cat, args.area, lambda spec: spark.read.parquet(f"{args.source}/{spec.name}"),
-                     args.bronze, args.as_of, sweep=args.sweep, partition_cols=parts, parallelism=args.parallelism)
+                     args.bronze, args.as_of, sweep=args.sweep, partition_cols=parts, parallelism=args.parallelism,
+                     drift=args.drift)
     m.show(200, truncate=False)
     run_summary(m).show(truncate=False)
     return 0 if m.where(F.col("status").startswith("ERROR")).isEmpty() else 1
@@ -134,6 +135,8 @@ def main(argv=None) -> int:
     b.add_argument("--bronze", required=True)
     b.add_argument("--as-of", required=True)
     b.add_argument("--sweep", action="store_true", help="scoped orphan sweep (last cycle of the day)")
+    b.add_argument("--drift", choices=["fail", "add_nullable", "ignore"], default="fail",
+                   help="schema-drift policy when a source gains or loses columns")
     b.add_argument("--partitioned", action="store_true",
                    help="partition new tables by their generation date (merges rewrite touched months only)")
     s = sub.add_parser("silver", help="build and load silver products")

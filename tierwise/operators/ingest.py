@@ -209,7 +209,8 @@ def metrics_frame(spark: SparkSession, results: list[LoadResult]) -> DataFrame:
     return spark.createDataFrame([r.row() for r in results], METRICS_SCHEMA)
 
 
-def run_tables(spark: SparkSession, jobs, as_of, sweep: bool = False, parallelism: int = 1) -> DataFrame:
+def run_tables(spark: SparkSession, jobs, as_of, sweep: bool = False, parallelism: int = 1,
+               drift: str = "fail") -> DataFrame:
     """Run several ingestions, isolating failures per table (SNK-08).
 
     ``jobs`` is an iterable of ``(spec, source_df_or_callable, VersionedTable)``.
@@ -223,7 +224,7 @@ def run_tables(spark: SparkSession, jobs, as_of, sweep: bool = False, parallelis
         t0 = time.time()
         try:
             src = source() if callable(source) else source
-            return ingest(spec, src, target, as_of, sweep=sweep)
+            return ingest(spec, src, target, as_of, sweep=sweep, drift=drift)
         except Exception as e:  # noqa: BLE001 - isolation is the point
             return LoadResult(spec.name, "error", status=f"ERROR: {type(e).__name__}",
                               seconds=time.time() - t0)
@@ -245,7 +246,8 @@ def run_summary(metrics: DataFrame) -> DataFrame:
 
 
 def refresh_area(spark: SparkSession, catalog, area: str, read_source, bronze_root: str, as_of,
-                 sweep: bool = False, partition_cols: dict | None = None, parallelism: int = 1) -> DataFrame:
+                 sweep: bool = False, partition_cols: dict | None = None, parallelism: int = 1,
+                 drift: str = "fail") -> DataFrame:
     """Refresh every catalog table owned by ``area`` (one bronze cycle, E1).
 
     ``read_source(spec)`` returns the source DataFrame of a table (any reader:
@@ -260,4 +262,4 @@ def refresh_area(spark: SparkSession, catalog, area: str, read_source, bronze_ro
         target = VersionedTable(spark, f"{bronze_root}/{spec.name}",
                                 partition_col=partition_cols.get(spec.name))
         jobs.append((spec, (lambda s=spec: read_source(s)), target))
-    return run_tables(spark, jobs, as_of, sweep=sweep, parallelism=parallelism)
+    return run_tables(spark, jobs, as_of, sweep=sweep, parallelism=parallelism, drift=drift)

@@ -26,7 +26,7 @@ from ..sources.store import VersionedTable
 
 def incremental_ingest(spark: SparkSession, spec: TableSpec, source_dir: str, schema: StructType,
                        target: VersionedTable, as_of, checkpoint: str,
-                       max_files_per_trigger: int | None = None) -> list[LoadResult]:
+                       max_files_per_trigger: int | None = None, drift: str = "fail") -> list[LoadResult]:
     """Merge every not-yet-seen file of ``source_dir`` into ``target``."""
     # deliveries may land in sub-folders; they are never partition columns
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
@@ -40,7 +40,7 @@ def incremental_ingest(spark: SparkSession, spec: TableSpec, source_dir: str, sc
     def merge_batch(df: DataFrame, epoch_id: int) -> None:
         if df.isEmpty():
             return
-        results.append(ingest(batch_spec, df, target, as_of))
+        results.append(ingest(batch_spec, df, target, as_of, drift=drift))
 
     q = (stream.writeStream.foreachBatch(merge_batch)
          .option("checkpointLocation", checkpoint)
