@@ -30,6 +30,13 @@ def test_cli_bronze_check_silver(spark):
     assert main(["bronze", "--area", "opex", "--source", src, "--bronze", brz, "--as-of", as_of, "--partitioned"]) == 0
     assert VersionedTable(spark, f"{brz}/USU_T650ORC").read().count() == 1      # company 7 out of scope
     assert main(["check", "--area", "opex", "--source", src, "--bronze", brz, "--content"]) == 0
+    # an edit the look-back window would miss: counts still agree, content does not
+    src2 = scratch_path(spark, "cli_src_edited")
+    for t in ("USU_T650ORC", "USU_T650CUS", "E044CCU", "R910USU"):
+        spark.read.parquet(f"{src}/{t}").write.parquet(f"{src2}/{t}")
+    _write(spark, src2, "E043PCM", [dict(CODMPC="801", CTARED="A", DESCTA="rent (edited)", DATGER=TS(2024, 1, 1))])
+    assert main(["check", "--area", "opex", "--source", src2, "--bronze", brz]) == 0
+    assert main(["check", "--area", "opex", "--source", src2, "--bronze", brz, "--content"]) == 1
     assert main(["silver", "--bronze", brz, "--silver", slv, "--as-of", as_of,
                  "--product", "FAT_ORCAMENTO_OPEX"]) == 0
     r = VersionedTable(spark, f"{slv}/FAT_ORCAMENTO_OPEX").read().first()
