@@ -5,18 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwise.llm import simhash
+from tierwise.llm import packing, simhash
 from tierwise.llm.common import read_table
 
 
+def word_tokenizer() -> str:
+    """Path of the public word tokenizer, the same on every machine it is installed on."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id: three-word shingles, 3 bits."""
     found = simhash.components(read_table(spark, sf_dir, "documents"), width=3, max_bits=3)
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per piece with its place in a sequence of at most 2048 tokens."""
+    return packing.best_fit_packing(read_table(spark, sf_dir, "documents"), word_tokenizer(), capacity=2048)
+
+
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op4_best_fit_packing": op4_best_fit_packing,
 }
 
 ORACLE: dict[str, str] = {}
