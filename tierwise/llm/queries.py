@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwise.llm import packing, simhash
+from tierwise.llm import embedding, packing, simhash
 from tierwise.llm.common import read_table
 
 
@@ -26,9 +26,16 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(read_table(spark, sf_dir, "documents"), word_tokenizer(), capacity=2048)
 
 
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, n_links, component_id, kept: cosine of 0.98 or more within a label."""
+    found = embedding.embedding_near_dedup(read_table(spark, sf_dir, "embeddings"), min_cosine=0.98)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op7_embedding_near_dedup": op7_embedding_near_dedup,
 }
 
 ORACLE: dict[str, str] = {}
