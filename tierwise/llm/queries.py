@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwise.llm import embedding, packing, simhash
+from tierwise.llm import embedding, language, packing, simhash
 from tierwise.llm.common import read_table
 
 
@@ -26,6 +26,13 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(read_table(spark, sf_dir, "documents"), word_tokenizer(), capacity=2048)
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, lang_pred, score, spans of every document."""
+    docs = read_table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.fit(docs))
+    return found.select(F.col("id").alias("doc_id"), language.held_out("id").alias("held_out"), "lang_pred", "score", "spans")
+
+
 def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """vec_id, n_links, component_id, kept: cosine of 0.98 or more within a label."""
     found = embedding.embedding_near_dedup(read_table(spark, sf_dir, "embeddings"), min_cosine=0.98)
@@ -35,6 +42,7 @@ def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op6_language_id": op6_language_id,
     "op7_embedding_near_dedup": op7_embedding_near_dedup,
 }
 
