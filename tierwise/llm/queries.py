@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwise.llm import embedding, language, packing, simhash
+from tierwise.llm import embedding, language, packing, simhash, toxicity
 from tierwise.llm.common import read_table
 
 
@@ -39,11 +39,18 @@ def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "vec_id")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, severity (expected grade), grade, toxic of every document."""
+    docs = read_table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels"))).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_language_id": op6_language_id,
     "op7_embedding_near_dedup": op7_embedding_near_dedup,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE: dict[str, str] = {}
