@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwise.llm import embedding, language, packing, simhash, toxicity
+from tierwise.llm import embedding, language, packing, secret_scan, simhash, toxicity
 from tierwise.llm.common import read_table
 
 
@@ -39,6 +39,11 @@ def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "vec_id")
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans of every document."""
+    return secret_scan.secret_scan(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, severity (expected grade), grade, toxic of every document."""
     docs = read_table(spark, sf_dir, "documents")
@@ -50,6 +55,7 @@ QUERIES = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_language_id": op6_language_id,
     "op7_embedding_near_dedup": op7_embedding_near_dedup,
+    "op8_secret_scan": op8_secret_scan,
     "op10_toxicity": op10_toxicity,
 }
 
