@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwise.llm import embedding, language, packing, secret_scan, simhash, toxicity
+from tierwise.llm import decontamination, embedding, language, packing, secret_scan, simhash, toxicity
 from tierwise.llm.common import read_table
 
 
@@ -26,6 +26,12 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(read_table(spark, sf_dir, "documents"), word_tokenizer(), capacity=2048)
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, item_id, start, end, edits of every benchmark passage in a document."""
+    found = decontamination.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, lang_pred, score, spans of every document."""
     docs = read_table(spark, sf_dir, "documents")
@@ -53,6 +59,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_decontamination": op5_decontamination,
     "op6_language_id": op6_language_id,
     "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op8_secret_scan": op8_secret_scan,
