@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,8 +12,15 @@ from pyspark.sql import functions as F
 
 from tierwise.session import scratch_path
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table; Python workers on this machine find the package where the driver
+    found it (a cluster gets it with ``--py-files``)."""
+    env = spark.sparkContext.environment
+    if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, env.get("PYTHONPATH", "")]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -56,6 +64,28 @@ def spread(offsets: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
 
 
+#: Places of a membership filter; its table has at most ``FILTER_PLACES / 64`` rows.
+FILTER_PLACES = 1 << 24
+
+
+def member_words(ids: DataFrame) -> DataFrame:
+    """Membership filter of the ids (one long column): a fixed number of hashed
+    places as words of 64 bits.  Its size does not grow with the input, so it may
+    be broadcast; it may say yes for an id that is not there, never no for one that is."""
+    place = F.pmod(F.xxhash64(F.col(ids.columns[0])), F.lit(FILTER_PLACES))
+    return (ids.select(F.floor(place / 64).alias("__word"), (place % 64).cast("int").alias("bit"))
+            .groupBy("__word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("__bits")))
+
+
+def split_by_members(docs: DataFrame, id_col: str, words: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` whose id may be a member, and those whose id is none; no shuffle."""
+    place = F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(FILTER_PLACES))
+    tested = (docs.withColumn("__place", place).withColumn("__word", F.floor(F.col("__place") / 64))
+              .join(F.broadcast(words), "__word", "left"))
+    maybe = F.expr("coalesce(shiftright(__bits, cast(__place % 64 AS int)) & 1L, 0L) = 1L")
+    return tested.where(maybe).select(docs.columns), tested.where(~maybe).select(docs.columns)
+
+
 def connected_components(edges: DataFrame, name: str = "cc", max_rounds: int = 60) -> DataFrame:
     """``(node, component)`` of the graph with ``edges(a, b)``; ``component`` is the
     smallest node reachable.  Nodes without an edge to another node are absent.

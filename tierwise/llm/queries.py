@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwise.llm import decontamination, embedding, language, packing, secret_scan, simhash, toxicity
+from tierwise.llm import decontamination, embedding, language, line_dedup, packing, secret_scan, simhash, toxicity
 from tierwise.llm.common import read_table
 
 
@@ -50,6 +50,11 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_scan(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_lines, n_removed, removed line numbers: lines within 2 edits."""
+    return line_dedup.line_counts(read_table(spark, sf_dir, "documents"), max_edits=2).withColumnRenamed("id", "doc_id")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, severity (expected grade), grade, toxic of every document."""
     docs = read_table(spark, sf_dir, "documents")
@@ -63,6 +68,7 @@ QUERIES = {
     "op6_language_id": op6_language_id,
     "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op8_secret_scan": op8_secret_scan,
+    "op9_line_dedup": op9_line_dedup,
     "op10_toxicity": op10_toxicity,
 }
 
