@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwise.llm import decontamination, embedding, language, line_dedup, packing, secret_scan, simhash, toxicity
+from tierwise.llm import decontamination, embedding, language, line_dedup, packing, secret_scan, simhash, substring_dedup, toxicity
 from tierwise.llm.common import read_table
 
 
@@ -21,6 +21,12 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256: strings of 100 bytes."""
+    found = substring_dedup.substring_dedup(read_table(spark, sf_dir, "documents"), length=100)
+    return found.drop("kept").withColumnRenamed("id", "doc_id")
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per piece with its place in a sequence of at most 2048 tokens."""
     return packing.best_fit_packing(read_table(spark, sf_dir, "documents"), word_tokenizer(), capacity=2048)
@@ -63,6 +69,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_decontamination": op5_decontamination,
     "op6_language_id": op6_language_id,
