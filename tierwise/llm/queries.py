@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwise.llm import decontamination, embedding, language, line_dedup, packing, secret_scan, simhash, substring_dedup, toxicity
+from tierwise.llm import decontamination, embedding, language, line_dedup, packing, pii, secret_scan, simhash, substring_dedup, toxicity
 from tierwise.llm.common import read_table
 
 
@@ -15,6 +15,12 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added."""
+    docs = read_table(spark, sf_dir, "documents")
+    return pii.find_pii(docs, pii.fit(docs)).withColumnRenamed("id", "doc_id")
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id: three-word shingles, 3 bits."""
     found = simhash.components(read_table(spark, sf_dir, "documents"), width=3, max_bits=3)
@@ -68,6 +74,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
