@@ -77,18 +77,33 @@ def member_words(ids: DataFrame) -> DataFrame:
             .groupBy("__word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("__bits")))
 
 
+def fresh(docs: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of ``docs`` has them in any case."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def columns_of(docs: DataFrame) -> list:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
 def split_by_members(docs: DataFrame, id_col: str, words: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``docs`` whose id may be a member, and those whose id is none; no shuffle."""
-    place = F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(FILTER_PLACES))
-    tested = (docs.withColumn("__place", place).withColumn("__word", F.floor(F.col("__place") / 64))
-              .join(F.broadcast(words), "__word", "left"))
-    maybe = F.expr("coalesce(shiftright(__bits, cast(__place % 64 AS int)) & 1L, 0L) = 1L")
-    return tested.where(maybe).select(docs.columns), tested.where(~maybe).select(docs.columns)
+    place, word, bits = fresh(docs, "__place", "__word", "__bits")
+    tested = (docs.withColumn(place, F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(FILTER_PLACES)))
+              .withColumn(word, F.floor(F.col(place) / 64)).join(F.broadcast(words.toDF(word, bits)), word, "left"))
+    maybe = F.expr(f"coalesce(shiftright({bits}, cast({place} % 64 AS int)) & 1L, 0L) = 1L")
+    return tested.where(maybe).select(columns_of(docs)), tested.where(~maybe).select(columns_of(docs))
 
 
 def connected_components(edges: DataFrame, name: str = "cc", max_rounds: int = 60) -> DataFrame:
     """``(node, component)`` of the graph with ``edges(a, b)``; ``component`` is the
-    smallest node reachable.  Nodes without an edge to another node are absent.
+    smallest node reachable.  The smallest nodes themselves are absent.
 
     Alternating large-star and small-star rounds (Kiveris et al., 2014): every
     round is a grouped minimum, which combines before the shuffle, and an

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierwise.llm.common import connected_components, member_words, row_slices, split_by_members, utf8, written
+from tierwise.llm.common import connected_components, fresh, member_words, row_slices, split_by_members, utf8, written
 
 _BASE = 0x9E3779B97F4A7C15
 _POWERS: list = []
@@ -424,7 +424,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Only documents that lose a line are shuffled."""
     gone = written(dropped_lines(docs, id_col, text_col, **options), "lines-gone")
     some, none = split_by_members(docs, id_col, member_words(gone.select("id")))
-    gone = gone.select(F.col("id").alias("__gone_id"), F.col("lines").alias("__gone_lines"))
-    joined = some.join(gone, some[id_col].cast("long").eqNullSafe(F.col("__gone_id")), "left").drop("__gone_id")
+    of, lines = fresh(docs, "__gone_id", "__gone_lines")
+    joined = some.join(gone.toDF(of, lines), F.col(id_col).cast("long").eqNullSafe(F.col(of)), "left").drop(of)
     cut = joined.mapInArrow(_without(docs.columns.index(id_col), docs.columns.index(text_col), len(docs.columns)), docs.schema)
-    return cut.unionByName(none)
+    return cut.union(none)

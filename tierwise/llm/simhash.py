@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierwise.llm.common import connected_components, utf8, written
+from tierwise.llm.common import connected_components, fresh, utf8, written
 
 BITS, SEGMENT = 64, 32
 EDGE, LATER = 0, 1
@@ -203,6 +203,6 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def simhash_near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the near-duplicates: the document with the smallest id of
     each component stays, with all its columns; a document without id stays."""
-    gone = (components(docs, id_col, text_col, **options).where("id <> component_id")
-            .select(F.col("id").alias("__gone")).distinct())
-    return docs.join(gone, docs[id_col].cast("long") == F.col("__gone"), "left_anti")
+    of, = fresh(docs, "__gone_id")
+    gone = components(docs, id_col, text_col, **options).where("id <> component_id").select("id").distinct().toDF(of)
+    return docs.join(gone, F.col(id_col).cast("long") == F.col(of), "left_anti")
