@@ -211,16 +211,50 @@ def test_sweep_with_empty_universe_keeps_old_version(spark):
     assert t.current_version() == 1 and t.read().count() == 1
 
 
-def test_manifest_is_replaced_atomically(spark):
-    t = VersionedTable(spark, scratch_path(spark, "atomic"))
-    t.write(spark.createDataFrame([(1,)], "x int"))
-    fs, _ = t._fs()
-    probe = t._path("_probe")
-    out = fs.create(probe, True)
-    out.write(bytearray(b'{"version": 1, "parts": null, "rows": 1}'))
-    out.close()
-    assert t._replace_atomically(probe, t._path("_current"))    # rename with OVERWRITE, no gap
-    assert t.current_version() == 1 and not fs.exists(probe)
+def test_late_writer_leaves_the_committed_version_alone(spark):
+    t = VersionedTable(spark, scratch_path(spark, "late"))
+    t.write(spark.createDataFrame([(0,)], "x int"))
+    late = VersionedTable(spark, t.root)
+    late.current_version = lambda: 1                     # it took its version number before the other one published
+    t.write(spark.createDataFrame([(1,), (2,)], "x int"))
+    with pytest.raises(StoreError):
+        late.write(spark.createDataFrame([(99,)], "x int"))
+    assert sorted(r.x for r in t.read().collect()) == [1, 2] and t.row_count() == 2
+
+
+def test_partition_settings_come_from_the_manifest(spark):
+    root = scratch_path(spark, "settings")
+    df = spark.range(40).withColumn("v", F.col("id"))
+    ingest(TableSpec("t", ("id",)), df, VersionedTable(spark, root, partition_col="id", buckets=8), "2024-01-09 00:00:00")
+    with pytest.raises(StoreError):
+        VersionedTable(spark, root, partition_col="id", buckets=64)
+    with pytest.raises(StoreError):
+        VersionedTable(spark, root, partition_col="v")
+    t = VersionedTable(spark, root)
+    assert (t.partition_col, t.buckets) == ("id", 8)
+    ingest(TableSpec("t", ("id",)), df, t, "2024-01-10 00:00:00")
+    assert t.read().count() == t.read().select("id").distinct().count() == 40
+
+
+def test_row_that_moves_between_partitions(spark):
+    spec = TableSpec("t", ("id",), audit_col="changed")
+    schema = "id long, made timestamp_ntz, changed timestamp_ntz"
+    t = VersionedTable(spark, scratch_path(spark, "moved"), partition_col="made")
+    ingest(spec, spark.createDataFrame([(1, TS(2024, 1, 5), TS(2024, 1, 5)), (2, TS(2024, 3, 5), TS(2024, 3, 5))], schema), t, "2024-03-10 00:00:00")
+    r = ingest(spec, spark.createDataFrame([(1, TS(2024, 2, 5), TS(2024, 3, 9))], schema), t, "2024-03-10 00:00:00")
+    assert (r.inserted, r.updated, r.saved) == (0, 1, 2)
+    assert sorted((x.id, x.made.month) for x in t.read().collect()) == [(1, 2), (2, 3)]
+
+
+def test_vacuum_keeps_what_kept_versions_need(spark):
+    t = VersionedTable(spark, scratch_path(spark, "vacuum"))
+    for i in range(4):
+        t.write(spark.createDataFrame([(i,)], "x int"))
+    assert t.vacuum(keep=2) == []                        # all younger than the grace
+    t.write(spark.createDataFrame([(4,)], "x int"))
+    assert len(t.vacuum(keep=2, grace_hours=0)) == 3
+    assert [r.x for r in t.read().collect()] == [4] and [r.x for r in t.read(version=4).collect()] == [3]
+    assert t.manifest(2) is None
 
 
 @pytest.mark.parametrize("partitioned", [False, True])

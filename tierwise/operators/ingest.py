@@ -12,10 +12,12 @@ The source for a table may be any reader (a second system is just another
 DataFrame, MRG-04/MRG-06).  ``ingest`` returns a ``LoadResult``;
 ``run_tables`` / ``refresh_area`` turn several into a metrics DataFrame.
 
-Every path reads the source once and the target at most once: counts are
-observed while the new version is written, and on a partitioned target only
-the storage partitions a batch (or the sweep's orphans) touch are read and
-rewritten.  Each published version records the ``as_of`` of its load.
+A merge reads the source window once: the batch is written to the shared folder
+and everything after works on that copy, so a row that arrives meanwhile cannot be
+in one read and not in another.  On a partitioned target only the storage
+partitions that the batch touches, that held one of its keys before or that hold
+the sweep's orphans are rewritten; finding the last two reads the key columns of
+the target.  Each published version records the ``as_of`` of its load.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from ..sources import scan
 from ..sources.catalog import TableSpec
 from ..sources.schema import align_to_target
@@ -59,25 +62,31 @@ def _stamp(df: DataFrame, as_of, layer: str) -> DataFrame:
 
 
 def ingest(spec: TableSpec, source: DataFrame, target: VersionedTable, as_of,
-           sweep: bool = False, layer: str = "bronze", drift: str = "fail") -> LoadResult:
+           sweep: bool = False, layer: str = "bronze", drift: str = "fail",
+           dedup_first_load: bool = True) -> LoadResult:
     """Refresh one table and return its counters.
 
+    ``dedup_first_load`` collapses repeated keys of a first load (a count of the
+    keys; only repeated ones are shuffled whole).  Without it the snapshot is
+    copied as it is, which is for sources whose keys are known to be unique.
+
     ``drift`` is the schema-drift policy of a merge (SNK-09): ``fail`` (a
     merge target must get a new source column first), ``add_nullable`` (the
     target absorbs it; older rows read NULL) or ``ignore`` (dropped).  Full
     replaces (first load, keyless) always take the source shape.
     """
     t0 = time.time()
-    src = scan.normalize_blanks(source)
+    # scope and window filters come first, so they reach the scan; blanks after
+    src, clean = source, scan.normalize_blanks
     first = not target.has_rows()
     if spec.keyless or first:
         # one pass over the source: the extracted count is observed while the
         # snapshot is written (no separate counting scan of a full source)
         obs = Observation(f"extract_{spec.name}")
-        scoped = _stamp(scan.snapshot_scan(src, spec), as_of, layer) \
+        scoped = _stamp(clean(scan.snapshot_scan(src, spec)), as_of, layer) \
             .observe(obs, F.count(F.lit(1)).alias("n"))
         strategy = "keyless_replace" if spec.keyless else "first_load"
-        batch = scoped if spec.keyless else merge.dedup_first(
+        batch = scoped if spec.keyless or not dedup_first_load else merge.dedup_first(
             scoped, spec.keys, spec.dedup_order(), descending=spec.latest_wins)
         try:
             saved = target.write(batch, meta={"as_of": str(as_of)})
@@ -91,12 +100,14 @@ def ingest(spec: TableSpec, source: DataFrame, target: VersionedTable, as_of,
                           time.time() - t0)
 
     if spec.audit_col:
-        batch = scan.window_scan(src, spec, as_of)
+        batch = clean(scan.window_scan(src, spec, as_of))
         strategy = "window_merge"
     else:
-        batch = scan.snapshot_scan(src, spec)
+        batch = clean(scan.snapshot_scan(src, spec))
         strategy = "snapshot_merge"
     universe = scan.key_universe(src, spec) if sweep else None
+    if universe is not None:
+        universe = clean(universe)
     return _merge_observed(spec, batch, target, as_of, layer, strategy, t0, universe, drift)
 
 
@@ -110,23 +121,25 @@ def _merge_observed(spec: TableSpec, batch: DataFrame, target: VersionedTable, a
     write); ``inserted`` = merged rows - target rows before (target keys are
     unique).  The sweep's universe, candidate and surviving counts are observed
     on the same write; an empty universe stops the publish (old version kept).
-    On a partitioned table only the partitions the batch touches (the
-    partition column is immutable, so a batch key can only live in one of
-    them) and, with a sweep, the partitions holding orphans are read and
-    rewritten; finding the orphans reads only key, scope and partition columns.
+    On a partitioned table only the partitions the batch touches, those that
+    hold one of its keys now and, with a sweep, those holding orphans are read
+    and rewritten; finding them reads only key, scope and partition columns.
 
     The counters are reporting, not data: a count observed on the map side of
     a shuffle can be taken twice if Spark re-runs a map stage after losing an
     executor.  The table written never depends on them, and the empty-universe
     guard only tests for zero, which a re-run cannot turn into non-zero.
     """
-    extracted = batch.count()                      # the look-back batch: small
+    copy = scratch_path(target.spark, f"batch-{spec.name}")
+    batch.write.parquet(copy)                      # the one read of the source window
+    batch = target.spark.read.schema(batch.schema).parquet(copy)
+    extracted = batch.count()
     if extracted == 0 and universe is None:
         return LoadResult(spec.name, strategy, saved=target.row_count(),
                           status="EMPTY_BATCH_KEPT_OLD", seconds=time.time() - t0)
     m = target.manifest()
     if target.partition_col and m.get("parts") is not None:
-        touched = set(target.part_values(batch)) if extracted else set()
+        touched = set(target.part_values(batch)) | _holding_partitions(spec, target, batch) if extracted else set()
         if universe is not None:
             touched |= _orphan_partitions(spec, target, universe)
         touched = sorted(touched)
@@ -175,6 +188,14 @@ def _merge_observed(spec: TableSpec, batch: DataFrame, target: VersionedTable, a
                       "OK", time.time() - t0)
 
 
+def _holding_partitions(spec: TableSpec, target: VersionedTable, batch: DataFrame) -> set[str]:
+    """Storage partitions that hold a key of the batch now: a row whose partition
+    column changed leaves its old partition.  Reads the key and partition columns."""
+    k = list(spec.keys)
+    held = target.read().select(*dict.fromkeys([*k, target.partition_col]))
+    return set(target.part_values(held.join(batch.select(*k).dropna().distinct(), on=k, how="left_semi")))
+
+
 def _orphan_partitions(spec: TableSpec, target: VersionedTable, universe: DataFrame) -> set[str]:
     """Storage partitions holding in-scope rows whose key left the source.
 

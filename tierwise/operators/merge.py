@@ -37,13 +37,12 @@ def dedup_first(df: DataFrame, keys, order: Sequence[str] | None = None,
     column (ascending, NULLs first): a total order.
 
     Equivalent to ``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order ASC NULLS
-    LAST, <other columns> ASC NULLS FIRST) = 1`` but computed as ``min(struct)``
-    per key, an aggregate with map-side partial aggregation: a key holding a
-    third of the batch is collapsed on every mapper before the shuffle, and the
-    result does not depend on partitioning (retries give the same rows).
+    LAST, <other columns> ASC NULLS FIRST) = 1``.  Keys are counted first (keys
+    only, combined before the shuffle); rows of a key that occurs once pass through
+    as they are, and only rows of repeated keys reach the tie-break, a
+    ``min(struct)`` per key that collapses a hot key on every mapper.  The result
+    does not depend on partitioning (retries give the same rows).
     ``descending=True`` orders ``order`` DESC NULLS FIRST ("latest wins").
-    Only the order columns carry a NULL flag (struct fields compare NULL
-    first), which keeps the aggregation buffer narrow.
     """
     k = _cols(keys)
     order = list(order or [])
@@ -63,10 +62,14 @@ def dedup_first(df: DataFrame, keys, order: Sequence[str] | None = None,
     for j, c in enumerate(rest):
         fields.append(F.col(c).alias(f"_t{j}"))
         out[c] = f"_t{j}"
+    repeated = df.groupBy(*k).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*[F.col(c).alias(f"_rep{i}") for i, c in enumerate(k)])
+    same = F.lit(True)
+    for i, c in enumerate(k):
+        same = same & F.col(c).eqNullSafe(F.col(f"_rep{i}"))
+    single = df.join(repeated, same, "left_anti")
     # every non-key column is part of the order, so the struct is also the payload
-    agg = df.groupBy(*k).agg(F.min(F.struct(*fields)).alias("_best"))
-    return agg.select(*[F.col(c) if c in k else F.col(f"_best.{out[c]}").alias(c)
-                        for c in df.columns])
+    agg = df.join(repeated, same, "left_semi").groupBy(*k).agg(F.min(F.struct(*fields)).alias("_best"))
+    return single.unionByName(agg.select(*[F.col(c) if c in k else F.col(f"_best.{out[c]}").alias(c) for c in df.columns]))
 
 
 def _desc_key(df: DataFrame, c: str) -> Column:
@@ -78,7 +81,10 @@ def _desc_key(df: DataFrame, c: str) -> Column:
         # epoch - x is an orderable day-time interval: descending x, TZ-free
         epoch = "1970-01-01" if t == "date" else "1970-01-01 00:00:00"
         return F.lit(epoch).cast(df.schema[c].dataType) - x
-    raise MergeError(f"descending dedup order needs a numeric or date column, got {c}: {t}")
+    if t == "string":
+        # code points mirrored, then a mark above all of them: a prefix sorts after its longer forms
+        return F.concat(F.transform(F.split(x, ""), lambda ch: F.lit(0x10FFFF) - F.ascii(ch)), F.array(F.lit(0x110000)))
+    raise MergeError(f"descending dedup order needs a text, numeric or date column, got {c}: {t}")
 
 
 # ---------------------------------------------------------------------------
@@ -139,28 +145,6 @@ def insert_if_absent(target: DataFrame, batch: DataFrame, keys) -> DataFrame:
     return target.unionByName(new.join(target.select(*k), on=k, how="left_anti"))
 
 
-def merge_counts(target: DataFrame, batch: DataFrame, keys) -> DataFrame:
-    """One-row counters: extracted, inserted, updated (SNK-05), in one job.
-
-    ``updated`` counts distinct batch keys already present in the target.  The
-    source system derived updated = extracted - inserted, so duplicates in the
-    batch counted as updates; ``updated_as_source`` keeps that figure as well.
-    """
-    k = _cols(keys)
-    has_key = F.lit(True)
-    for c in k:
-        has_key = has_key & F.col(c).isNotNull()
-    tk = target.select(*k).distinct().withColumn("_hit", F.lit(True))
-    j = batch.select(*k).join(tk, on=k, how="left")
-    key = F.when(has_key, F.struct(*k))
-    agg = j.agg(F.count(F.lit(1)).alias("extracted"),
-                F.count_distinct(key).alias("_keys"),
-                F.count_distinct(F.when(F.col("_hit"), key)).alias("updated"))
-    inserted = F.col("_keys") - F.col("updated")
-    return agg.select("extracted", inserted.alias("inserted"), "updated",
-                      (F.col("extracted") - inserted).alias("updated_as_source"))
-
-
 # ---------------------------------------------------------------------------
 # MRG-05 / MRG-06 / MRG-08: scoped orphan sweep
 # ---------------------------------------------------------------------------
@@ -187,15 +171,14 @@ def orphan_sweep(target: DataFrame, universe: DataFrame, keys, scope: Column | N
     else:
         u = u.observe(observations["universe"], F.count(F.lit(1)).alias("n"))
     in_scope = F.lit(True) if scope is None else F.coalesce(scope, F.lit(False))
-    cand = target.where(in_scope)
-    outside = target.where(~in_scope)
-    if observations is not None:
-        cand = cand.observe(observations["candidates"], F.count(F.lit(1)).alias("n"))
-    live = cand.join(u, on=k, how="left_semi")
+    # one pass over the target: a left join marks the live keys
+    marked = target.withColumn("_in", in_scope).join(u.withColumn("_live", F.lit(True)), on=k, how="left")
+    live = F.coalesce(F.col("_live"), F.lit(False))
     if observations is not None:
-        live = live.observe(observations["live"], F.count(F.lit(1)).alias("n"))
-    removed = cand.join(u, on=k, how="left_anti")
-    return outside.unionByName(live), removed
+        marked = (marked.observe(observations["candidates"], F.count(F.when(F.col("_in"), 1)).alias("n"))
+                  .observe(observations["live"], F.count(F.when(F.col("_in") & live, 1)).alias("n")))
+    kept = marked.where(~F.col("_in") | live).select(*target.columns)
+    return kept, marked.where(F.col("_in") & ~live).select(*target.columns)
 
 
 # ---------------------------------------------------------------------------

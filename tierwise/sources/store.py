@@ -2,21 +2,25 @@
 
 Layout of a table root::
 
-    <root>/v=000001/part-*.parquet        (+ _SUCCESS written by the job committer)
-    <root>/v=000002/_part=m200107/...      (partitioned tables)
-    <root>/_current                        JSON manifest of the committed version:
-                                           rows, load as_of and, for a partitioned
-                                           table, partition -> version
-    <root>/_manifests/v=000002.json        immutable copy per version (pinned reads)
-
-A write never touches a directory being read: it writes ``v=N+1`` with Spark's
-job committer, checks the row count, then replaces ``_current`` with an
-overwrite rename (readers see the old or the new manifest, never none).  A
+    <root>/v=000001-<attempt>/part-*.parquet     (+ _SUCCESS written by the job committer)
+    <root>/v=000002-<attempt>/_part=m200107/...   (partitioned tables)
+    <root>/_manifests/v=000002.json               one immutable manifest per version: its
+                                                  directory, rows, load as_of and, for a
+                                                  partitioned table, its partition settings
+                                                  and partition -> directory
+
+A write never touches a directory being read or one of another writer: every
+attempt has a directory of its own.  After the row check it commits by creating
+the manifest of the next version, which fails if that version exists already, so
+of two writers that started from one version the second is refused and the first
+one's files are untouched.  The current version is the highest manifest.  A
 partitioned table rewrites only the partitions a merge touches; the manifest
-points the others at the versions that last wrote them, so untouched
-partitions are neither read nor copied.  A failed or killed job leaves an
-orphan version directory that no reader ever sees.  One writer per table at a
-time is assumed (multi-writer tables take turns).
+points the others at the directories that last wrote them.  A failed or refused
+attempt leaves a directory that no manifest names; :meth:`VersionedTable.vacuum`
+removes those and old versions.
+
+The rename that creates a manifest is atomic on HDFS; on a file system whose
+rename checks and moves in two steps a race of that width remains.
 
 File-system calls go through the Hadoop ``FileSystem`` of the session, so the
 same code works on a local disk, HDFS or an object store.
@@ -25,6 +29,8 @@ same code works on a local disk, HDFS or an object store.
 from __future__ import annotations
 
 import json
+import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,20 +56,32 @@ PART_COL = "_part"
 
 @dataclass
 class VersionedTable:
-    """A table of immutable versions published through one small manifest.
+    """A table of immutable versions, each published by one small manifest.
 
     Unpartitioned: a version is one directory.  Partitioned (``partition_col``
-    set): each version directory holds ``_part=...`` sub-directories and the
-    manifest maps every storage partition to the version that last wrote it, so
-    a merge rewrites only the partitions its batch touches and publishes all of
-    them at once.  ``partition_col`` must hold an **immutable** attribute of a
-    row (e.g. its creation date): a key never moves between partitions.
-    Timestamp/date columns partition by month, other columns by a hash bucket.
+    set): each directory holds ``_part=...`` sub-directories and the manifest maps
+    every storage partition to the directory that last wrote it.  Timestamp/date
+    columns partition by month, other columns by a hash bucket.
+
+    The settings of an existing table come from its manifest: opening it without
+    them takes them over, opening it with others raises.
     """
     spark: SparkSession
     root: str
     partition_col: str | None = None
-    buckets: int = 64
+    buckets: int | None = None
+
+    def __post_init__(self):
+        m = self.manifest()
+        if m is not None and m.get("parts") is not None:
+            for name, default in (("partition_col", None), ("buckets", 64)):
+                stored, given = m.get(name, default), getattr(self, name)
+                if given is not None and given != stored:
+                    raise StoreError(f"{self.root} was written with {name}={stored}, not {given}")
+                setattr(self, name, stored)
+        elif m is not None and self.partition_col is not None:
+            raise StoreError(f"{self.root} was written without partitions")
+        self.buckets = self.buckets or 64
 
     # -- file system ---------------------------------------------------------
     def _fs(self):
@@ -75,80 +93,88 @@ class VersionedTable:
         _, jvm = self._fs()
         return jvm.org.apache.hadoop.fs.Path("/".join([self.root, *parts]))
 
+    def _versions(self) -> list[int]:
+        """Committed versions, in order (one listing of the manifest folder)."""
+        fs, _ = self._fs()
+        folder = self._path("_manifests")
+        if not fs.exists(folder):
+            return []
+        names = [f.getPath().getName() for f in fs.listStatus(folder)]
+        return sorted(int(m[1]) for m in (re.fullmatch(r"v=(\d+)\.json", n) for n in names) if m)
+
     def manifest(self, version: int | None = None) -> dict | None:
-        """The current manifest, or the immutable copy of ``version``."""
+        """The manifest of ``version``, or of the current one."""
+        if version is None:
+            versions = self._versions()
+            if not versions:
+                return None
+            version = versions[-1]
         fs, jvm = self._fs()
-        p = self._path("_current") if version is None else self._path("_manifests", f"v={version:06d}.json")
+        p = self._path("_manifests", f"v={version:06d}.json")
         if not fs.exists(p):
-            if version is not None and self.partition_col is None:
-                return {"version": version, "parts": None}          # a plain version directory
             return None
         stream = fs.open(p)
         try:
-            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            lines = []
-            line = reader.readLine()
-            while line is not None:
-                lines.append(line)
-                line = reader.readLine()
+            text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
-        text = "\n".join(lines).strip()
-        if not text:
-            return None
-        if text.isdigit():                                   # plain version pointer
-            return {"version": int(text), "parts": None}
         return json.loads(text)
 
     def current_version(self) -> int | None:
-        m = self.manifest()
-        return None if m is None else m["version"]
+        versions = self._versions()
+        return versions[-1] if versions else None
 
     def _publish(self, manifest: dict) -> None:
-        fs, _ = self._fs()
+        """Commit: create the manifest, unless its version exists."""
+        fs, jvm = self._fs()
         version = manifest["version"]
-        # optimistic concurrency: a writer that finds the committed version
-        # moved since it started lost a race and must not publish over it
-        current = self.current_version() or 0
-        if current != version - 1:
-            raise StoreError(f"{self.root}: version {current} was published while version {version} "
-                             "was being written (concurrent writer); nothing published")
-        # immutable copy first: pinned readers (reconciliation) and time travel
-        keep = fs.create(self._path("_manifests", f"v={version:06d}.json"), True)
-        try:
-            keep.write(bytearray(json.dumps(manifest, sort_keys=True), "utf-8"))
-        finally:
-            keep.close()
-        tmp = self._path(f"_current.tmp-{version}")
-        out = fs.create(tmp, True)
+        refused = StoreError(f"{self.root}: version {version} was published while another one was being "
+                             "written (concurrent writer); nothing published")
+        if (self.current_version() or 0) >= version:
+            raise refused
+        folder = self._path("_manifests")
+        fs.mkdirs(folder)
+        tmp = self._path("_manifests", f"_attempt-{uuid.uuid4().hex}")
+        out = fs.create(tmp, False)
         try:
             out.write(bytearray(json.dumps(manifest, sort_keys=True), "utf-8"))
         finally:
             out.close()
-        dst = self._path("_current")
-        if not self._replace_atomically(tmp, dst):
+        dst = self._path("_manifests", f"v={version:06d}.json")
+        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(dst.toUri(), self.spark._jsc.hadoopConfiguration())
+        none = self.spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        try:
+            files.rename(tmp, dst, none)            # without OVERWRITE: fails if the version exists
+        except Exception as e:
+            fs.delete(tmp, False)
             if fs.exists(dst):
-                fs.delete(dst, False)
-            if not fs.rename(tmp, dst):
-                raise StoreError(f"could not publish version {version} of {self.root}")
+                raise refused from e
+            raise
 
-    def _replace_atomically(self, src, dst) -> bool:
-        """rename(src, dst, OVERWRITE): readers see the old or the new manifest,
-        never none.  Returns False where the file system refuses it."""
-        jvm = self.spark._jvm
-        try:
-            conf = self.spark._jsc.hadoopConfiguration()
-            fc = jvm.org.apache.hadoop.fs.FileContext.getFileContext(dst.toUri(), conf)
-            rename_cls = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
-            opts = self.spark.sparkContext._gateway.new_array(rename_cls, 1)
-            opts[0] = rename_cls.OVERWRITE
-            fc.rename(src, dst, opts)
-            return True
-        except Exception:  # noqa: BLE001 - fall back to delete + rename
-            return False
+    def _attempt(self, version: int) -> str:
+        """Name of a directory that only this write attempt uses."""
+        return f"v={version:06d}-{uuid.uuid4().hex[:12]}"
 
-    def version_path(self, version: int) -> str:
-        return f"{self.root}/v={version:06d}"
+    def vacuum(self, keep: int = 2, grace_hours: float = 24.0) -> list[str]:
+        """Remove what the last ``keep`` versions do not need: older manifests, and
+        directories that no kept manifest names and that are older than
+        ``grace_hours`` (a running writer's are younger).  Returns the directories."""
+        fs, jvm = self._fs()
+        versions = self._versions()
+        if not versions:
+            return []
+        used = set()
+        for v in versions[-max(1, keep):]:
+            m = self.manifest(v)
+            used |= {m["dir"]} if m.get("parts") is None else {x["dir"] for x in m["parts"].values()}
+        for v in versions[:-max(1, keep)]:
+            fs.delete(self._path("_manifests", f"v={v:06d}.json"), False)
+        latest = jvm.java.lang.System.currentTimeMillis() - int(grace_hours * 3_600_000)
+        gone = [f.getPath().getName() for f in fs.listStatus(self._path())
+                if f.getPath().getName().startswith("v=") and f.getPath().getName() not in used and f.getModificationTime() <= latest]
+        for name in gone:
+            fs.delete(self._path(name), True)
+        return sorted(gone)
 
     # -- partitioning --------------------------------------------------------
     def part_expr(self, df: DataFrame):
@@ -178,10 +204,10 @@ class VersionedTable:
         if m is None:
             raise StoreError(f"{self.root} has no committed version {version or ''}".strip())
         if m.get("parts") is None:
-            return self.spark.read.parquet(self.version_path(m["version"]))
+            return self.spark.read.parquet(f"{self.root}/{m['dir']}")
         schema = StructType.fromJson(json.loads(m["schema"]))
         wanted = m["parts"] if parts is None else {k: v for k, v in m["parts"].items() if k in set(parts)}
-        paths = [f"{self.version_path(v['v'])}/{PART_COL}={k}" for k, v in sorted(wanted.items())]
+        paths = [f"{self.root}/{v['dir']}/{PART_COL}={k}" for k, v in sorted(wanted.items())]
         if not paths:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths)
@@ -219,17 +245,17 @@ class VersionedTable:
         if not self.exists():
             self.write(self.spark.createDataFrame([], schema), allow_empty=True)
 
-    def _write_parts(self, df: DataFrame, version: int) -> dict:
-        path = self.version_path(version)
+    def _write_parts(self, df: DataFrame, version: int, name: str) -> dict:
+        path = f"{self.root}/{name}"
         # rebalance by storage partition: AQE groups each partition's rows into
         # few files, coalescing small partitions and splitting large ones, so
         # neither tasks x partitions tiny files nor one task per huge month
-        df.withColumn(PART_COL, self.part_expr(df)).hint("rebalance", PART_COL).write.mode("overwrite") \
+        df.withColumn(PART_COL, self.part_expr(df)).hint("rebalance", PART_COL).write \
           .partitionBy(PART_COL).parquet(path)
         # per-partition row counts: the SNK-01 check, one row per partition
         with_part = StructType([*df.schema.fields, StructField(PART_COL, StringType())])
         counts = self.spark.read.schema(with_part).parquet(path).groupBy(PART_COL).count().collect()
-        return {r[0]: {"v": version, "rows": r[1]} for r in counts}
+        return {r[0]: {"v": version, "dir": name, "rows": r[1]} for r in counts}
 
     def write(self, df: DataFrame, allow_empty: bool = False,
               expected_rows: int | None = None, before_publish=None, meta: dict | None = None) -> int:
@@ -242,16 +268,16 @@ class VersionedTable:
         there leaves the old version current.
         """
         nxt = (self.current_version() or 0) + 1
+        name = self._attempt(nxt)
         if self.partition_col:
-            parts = self._write_parts(df, nxt)
+            parts = self._write_parts(df, nxt, name)
             saved = sum(v["rows"] for v in parts.values())
             manifest = {"version": nxt, "parts": parts, "schema": df.schema.json(),
-                        "partition_col": self.partition_col}
+                        "partition_col": self.partition_col, "buckets": self.buckets}
         else:
-            path = self.version_path(nxt)
-            df.write.mode("overwrite").parquet(path)
-            saved = self.spark.read.parquet(path).count()
-            manifest = {"version": nxt, "parts": None, "rows": saved}
+            df.write.parquet(f"{self.root}/{name}")
+            saved = self.spark.read.parquet(f"{self.root}/{name}").count()
+            manifest = {"version": nxt, "parts": None, "rows": saved, "dir": name}
         if saved == 0 and not allow_empty:
             raise StoreError(f"refusing to publish an empty version of {self.root}")
         if expected_rows is not None and saved != expected_rows:
@@ -267,25 +293,25 @@ class VersionedTable:
         """Replace only the ``touched`` storage partitions by ``df`` (which must
         hold exactly their new content) and publish; returns total table rows.
 
-        A row of ``df`` outside the touched partitions means the partition
-        column is not immutable: the version is not published.
+        The caller names every partition that held a row of ``df`` before; a row
+        that lands in any other partition stops the publish.
         """
         m = self.manifest()
         if not self.partition_col or m is None or m.get("parts") is None:
             raise StoreError("write_partitions needs an existing partitioned table")
         nxt = m["version"] + 1
-        written = self._write_parts(df, nxt)
+        written = self._write_parts(df, nxt, self._attempt(nxt))
         stray = set(written) - set(touched)
         if stray:
-            raise StoreError(f"{self.root}: rows landed in untouched partitions {sorted(stray)[:5]}; "
-                             f"{self.partition_col} is not immutable")
+            raise StoreError(f"{self.root}: rows landed in untouched partitions {sorted(stray)[:5]}")
         parts = {k: v for k, v in m["parts"].items() if k not in set(touched)}
         parts.update(written)
         # a schema that gained nullable columns becomes the table schema: older
         # partition files lack them and read NULL
         old_schema = StructType.fromJson(json.loads(m["schema"]))
         schema = df.schema if set(old_schema.fieldNames()) < set(df.schema.fieldNames()) else old_schema
-        manifest = {"version": nxt, "parts": parts, "schema": schema.json(), "partition_col": self.partition_col}
+        manifest = {"version": nxt, "parts": parts, "schema": schema.json(),
+                    "partition_col": self.partition_col, "buckets": self.buckets}
         if meta:
             manifest["meta"] = meta
         self._publish(manifest)
