@@ -1,7 +1,7 @@
 """Command line: the jobs the source system ran, as Spark applications.
 
     python -m tierwise bronze --area comercial --source SRC --bronze BRZ --as-of "2024-03-01 10:00:00" [--sweep]
-    python -m tierwise silver --bronze BRZ --silver SLV --as-of ... [--product NAME ...] [--sheet NAME=PATH ...]
+    python -m tierwise silver --bronze BRZ --silver SLV --as-of ... [--product NAME ...] [--sheet NAME=PATH ...] [--input PRODUCT.NAME=PATH ...]
     python -m tierwise check  --area comercial --source SRC --bronze BRZ [--content]
     python -m tierwise diff   --a PATH_A[@VERSION] --b PATH_B[@VERSION] [--ignore COL] [--where SQL] [--strict]
 
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .operators import reconcile as R
 from .operators.ingest import refresh_area, run_summary
-from .plans.products import PRODUCTS, SHEET_PRODUCTS, ProductParams, TableBronze, run_products
+from .plans.products import PRODUCT_INPUTS, PRODUCTS, SHEET_PRODUCTS, ProductParams, TableBronze, run_products
 from .session import get_session
 from .sources.bronze_catalog import bronze_catalog, default_partition_cols
 from .sources.scan import normalize_blanks
@@ -51,14 +51,24 @@ def cmd_silver(args) -> int:
         name, path = item.split("=", 1)
         sheets[name] = (spark.read.parquet(path) if path.endswith(".parquet")
                         else spark.read.csv(path, header=True, inferSchema=False))
-    missing = [n for n in names if n in SHEET_PRODUCTS and n not in sheets]
-    if missing:
-        print(f"sheet products without --sheet: {missing}", file=sys.stderr)
+    inputs: dict = {}
+    for item in args.input or []:
+        target, path = item.split("=", 1)
+        product, name = target.split(".", 1)
+        data = spark.read.parquet(path) if path.endswith(".parquet") else spark.read.csv(path, header=True, inferSchema=True)
+        # the listed resources are a parameter of the query: a short list of codes
+        inputs.setdefault(product, {})[name] = [r[0] for r in data.collect()] if name == "listed_resources" else data
+    need_sheet = SHEET_PRODUCTS | {"FAT_UTILIZACAO_META_PRODUCAO"}
+    lacking = {n: [x for x in PRODUCT_INPUTS.get(n, ()) if x not in inputs.get(n, {})] for n in names}
+    missing = [n for n in names if (n in need_sheet and n not in sheets) or lacking[n]]
+    for n in missing:
+        print(f"{n}: not built, needs " + ", ".join([f"--sheet {n}=PATH"] * (n in need_sheet and n not in sheets)
+                                                   + [f"--input {n}.{x}=PATH" for x in lacking[n]]), file=sys.stderr)
     params = ProductParams(as_of=args.as_of)
     m = run_products(spark, [n for n in names if n not in missing], TableBronze(spark, args.bronze), args.silver,
-                     params, sheets=sheets, parallelism=args.parallelism, fresh_after=args.fresh_after)
+                     params, sheets=sheets, inputs=inputs, parallelism=args.parallelism, fresh_after=args.fresh_after)
     m.show(100, truncate=False)
-    return 0 if m.where(F.col("status").startswith("ERROR")).isEmpty() else 1
+    return 0 if not missing and m.where(F.col("status").startswith("ERROR")).isEmpty() else 1
 
 
 def cmd_check(args) -> int:
@@ -124,7 +134,7 @@ def cmd_diff(args) -> int:
 
 def main(argv=None) -> int:
     p = argparse.ArgumentParser(prog="tierwise")
-    p.add_argument("--master", default="local[*]", help="'' to leave it to spark-submit")
+    p.add_argument("--master", default=None, help="default: spark-submit's; local[*] for a run without it")
     p.add_argument("--profile", choices=["local", "cluster"], default="local")
     p.add_argument("--parallelism", type=int, default=1, help="tables / products run concurrently")
     p.add_argument("--shuffle-partitions", type=int, default=None)
@@ -145,6 +155,7 @@ def main(argv=None) -> int:
     s.add_argument("--as-of", required=True)
     s.add_argument("--product", action="append")
     s.add_argument("--sheet", action="append", help="PRODUCT=PATH (CSV with header, or .parquet)")
+    s.add_argument("--input", action="append", help="PRODUCT.NAME=PATH, e.g. DIM_REGIONAL.by_region=x.parquet")
     s.add_argument("--fresh-after", help="skip products whose bronze inputs were loaded before this instant")
     c = sub.add_parser("check", help="count checks source vs bronze for one area")
     c.add_argument("--area", required=True)

@@ -25,7 +25,6 @@ from ..sources import schema as S
 from ..sources import sheets
 from ..sources.catalog import TableSpec
 from ..sources.store import VersionedTable
-from .joins import small_dim
 
 # Fixed as-of instants of the driver queries.
 AS_OF = "2001-08-01 00:00:00"           # orders / lineitem
@@ -109,7 +108,7 @@ def multi_scope(spark, d):
     spec = TableSpec(name="customer", keys=("c_custkey",), company_col="c_mktsegment",
                      company_values=("BUILDING", "MACHINERY"))
     scoped = scan.snapshot_scan(c, spec).where(~F.col("c_nationkey").isin(0, 1))
-    nation = small_dim(tbl(spark, d, "nation"))          # global table: unscoped scan
+    nation = tbl(spark, d, "nation")          # global table: unscoped scan
     return scoped.join(nation, scoped.c_nationkey == nation.n_nationkey, "left").select(
         "c_custkey", "c_mktsegment", "c_nationkey", "n_name")
 
@@ -335,7 +334,7 @@ def predicate_mix(spark, d):
 def star_enrichment(spark, d):
     li, o = tbl(spark, d, "lineitem"), tbl(spark, d, "orders")
     c, s = tbl(spark, d, "customer"), tbl(spark, d, "supplier")
-    nation, region = small_dim(tbl(spark, d, "nation")), small_dim(tbl(spark, d, "region"))
+    nation, region = tbl(spark, d, "nation"), tbl(spark, d, "region")
     cn = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("cust_nation"),
                        F.col("n_regionkey").alias("_cr"))
     sn = nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("supp_nation"),
@@ -354,7 +353,7 @@ def star_enrichment(spark, d):
 
 def inner_chain(spark, d):
     li, o, c = tbl(spark, d, "lineitem"), tbl(spark, d, "orders"), tbl(spark, d, "customer")
-    n = small_dim(tbl(spark, d, "nation"))
+    n = tbl(spark, d, "nation")
     j = (li.join(o, li.l_orderkey == o.o_orderkey, "left")
            .join(c, F.col("o_custkey") == c.c_custkey, "left")
            .join(n, F.col("c_nationkey") == n.n_nationkey, "left")
@@ -369,7 +368,7 @@ def keyed_expression_join(spark, d):
         "group_base", F.when(F.col("_base") == F.col("c_custkey"), F.lit(None).cast("long"))
         .otherwise(F.col("_base")))
     b = c.select(F.col("c_custkey").alias("_bk"), F.col("c_name").alias("base_name"))
-    n = small_dim(tbl(spark, d, "nation")).where(F.col("n_regionkey") == 2).select(
+    n = tbl(spark, d, "nation").where(F.col("n_regionkey") == 2).select(
         F.col("n_nationkey").alias("_nk"), F.col("n_name").alias("region2_nation"))
     owners = c.select(F.lower("c_mktsegment").alias("_seg")).distinct().withColumn(
         "owner_code", F.upper(F.substring("_seg", 1, 3)))
@@ -387,7 +386,7 @@ def aggregate_join(spark, d):
     the order, so a hot order stays small).  The line table is joined once.
     """
     li = tbl(spark, d, "lineitem").withColumn("ship_day", F.to_date("l_shipdate"))
-    per_day = li.groupBy("l_orderkey", "ship_day").agg(F.sum(X.money("l_quantity")).alias("_dq"))
+    per_day = li.groupBy("l_orderkey", "ship_day").agg(F.sum(X.money(li, "l_quantity")).alias("_dq"))
     totals = per_day.withColumn("_oq", F.sum("_dq").over(Window.partitionBy("l_orderkey")))
     j = li.join(totals, ["l_orderkey", "ship_day"], "left")
     return j.select("l_orderkey", "l_linenumber", "ship_day", "l_quantity",
@@ -407,10 +406,10 @@ def interval_rate(spark, d):
                .withColumn("d1", F.date_sub(F.add_months("d0", 12), 1)))
     rates = quarterly.unionByName(yearly)
     readings = li.withColumn("centre", F.col("l_linestatus"))
-    span = readings.agg(F.min(F.to_date("l_shipdate")).alias("lo"),
-                        F.max(F.to_date("l_shipdate")).alias("hi")).first()
-    by_day = B.daily_rates(rates, "centre", "d0", "d1", "rate", span["lo"], span["hi"])
-    j = B.interval_rate(readings, by_day, "centre", F.to_date("l_shipdate"))
+    # the span of the readings, a scalar subquery: no job while the plan is built
+    lo, hi = (li.agg(f("l_shipdate")).scalar() for f in (F.min, F.max))
+    by_day = B.daily_rates(rates, "centre", "d0", "d1", "rate", lo, hi)
+    j = B.interval_rate(readings, by_day, "centre", F.col("l_shipdate"))
     return j.select("l_orderkey", "l_linenumber", "l_linestatus",
                     F.to_date("l_shipdate").alias("ship_day"),
                     F.col("rate").cast("double").alias("rate"),
@@ -438,11 +437,11 @@ def lookup_reach(spark, d):
 
 def scalar_lookup_avg(spark, d):
     o, li = tbl(spark, d, "orders"), tbl(spark, d, "lineitem")
-    fan = o.join(li, o.o_orderkey == li.l_orderkey, "inner")          # intended fan-out
-    per_order = fan.groupBy("o_orderkey", "o_orderdate").agg(
-        F.count(F.lit(1)).alias("n_lines"),
-        F.sum(X.money("l_quantity")).alias("_q"),
-        F.sum(X.money("o_totalprice")).alias("_t"))
+    # the fan-out of the join, computed before it: lines combine per order first
+    lines = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"), F.sum(X.money(li, "l_quantity")).alias("_q"))
+    per_order = o.join(lines, o.o_orderkey == lines.l_orderkey, "inner").select(
+        "o_orderkey", "o_orderdate", "n_lines", "_q",
+        (X.money(o, "o_totalprice").cast("decimal(24,6)") * F.col("n_lines").cast("decimal(10,0)")).alias("_t"))
     per_order = B.attach_month_total(per_order, [], "o_orderdate", "_q", "_mq")
     return per_order.select(
         "o_orderkey", "o_orderdate", "n_lines", F.col("_q").cast("double").alias("sum_qty"),
@@ -559,9 +558,9 @@ def unit_scaling(spark, d):
 def full_outer_budget(spark, d):
     o, li = tbl(spark, d, "orders"), tbl(spark, d, "lineitem")
     budget = (o.groupBy(X.month_start("o_orderdate").alias("b_month"))
-               .agg(F.sum(X.money("o_totalprice")).alias("_b")))
+               .agg(F.sum(X.money(o, "o_totalprice")).alias("_b")))
     actual = (li.groupBy(X.month_start("l_shipdate").alias("a_month"))
-                .agg(F.sum(X.money("l_extendedprice")).alias("_a")))
+                .agg(F.sum(X.money(li, "l_extendedprice")).alias("_a")))
     j = budget.join(actual, F.col("b_month") == F.col("a_month"), "full").where(
         F.col("b_month").isNotNull())                     # WHERE on the left: left join in effect
     return j.select(F.col("b_month").alias("month_start"), F.year("b_month").alias("year"),
@@ -596,7 +595,7 @@ def previous_event(spark, d):
 def signed_sum(spark, d):
     li = tbl(spark, d, "lineitem")
     g = li.groupBy("l_returnflag", F.year("l_shipdate").alias("ship_year")).agg(
-        F.sum(X.signed(X.money("l_quantity"), "l_linestatus", "F")).cast("double").alias("signed_qty"),
+        F.sum(X.signed(X.money(li, "l_quantity"), "l_linestatus", "F")).cast("double").alias("signed_qty"),
         F.count(F.lit(1)).alias("n_rows"))
     return g.orderBy(X.asc("l_returnflag"), X.asc("ship_year"))         # SRT-01, cosmetic
 
@@ -652,8 +651,8 @@ REGION_MACRO = {"AFRICA": "South", "AMERICA": "West", "ASIA": "East", "EUROPE":
 
 def map_flags(spark, d):
     c = tbl(spark, d, "customer")
-    n = small_dim(tbl(spark, d, "nation"))
-    r = small_dim(tbl(spark, d, "region"))
+    n = tbl(spark, d, "nation")
+    r = tbl(spark, d, "region")
     j = c.join(n, c.c_nationkey == n.n_nationkey, "left").join(r, F.col("n_regionkey") == r.r_regionkey, "left")
     return j.select(
         "c_custkey", X.map_lookup("r_name", REGION_MACRO).alias("macro_region"),

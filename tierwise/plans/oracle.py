@@ -135,7 +135,7 @@ _STABLE_KEEP = """
  OR (block_tag = 'SER' AND event_date >= TIMESTAMP '2001-03-01 00:00:00')
  OR (block_tag = 'DEV' AND event_date >= TIMESTAMP '2001-03-01 00:00:00'))
 AND CASE WHEN block_tag IN ('DEV') THEN CAST(event_date AS DATE) < DATE '2001-11-01'
-         ELSE CAST(event_date AS DATE) < DATE '2001-11-03' END
+         ELSE event_date <= TIMESTAMP '2001-11-03 00:00:00' END
 """
 
 ORACLE: dict[str, str] = {

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import time
 from concurrent.futures import ThreadPoolExecutor
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame
 
@@ -21,19 +22,25 @@ from .common import Bronze, ProductParams, ProductSpec, TableBronze
 
 PRODUCTS: dict[str, ProductSpec] = {s.name: s for s in [
     ProductSpec("DIM_CONDICAO_PAGAMENTO", "dimension", "upsert", ("CODCPG",), commercial.payment_terms,
-                ("E028CPG",)),
+                ("E028CPG",),
+                order=("ULTATU",), descending=True),
     ProductSpec("DIM_PRODUTO", "dimension", "upsert", ("CHAVE_ITEM",), commercial.product_variants,
-                ("E075DER", "E075PRO", "E013AGP", "E022CLF")),
+                ("E075DER", "E075PRO", "E013AGP", "E022CLF"),
+                order=("CODITEM",), descending=True),
     ProductSpec("DIM_REPRESENTANTE", "dimension", "upsert", ("CODREP",), commercial.sales_reps,
-                ("E090REP", "E026RAM", "USU_T017RVR")),
+                ("E090REP", "E026RAM", "USU_T017RVR"),
+                order=("DT_CADASTRO",), descending=True),
     ProductSpec("DIM_REGIONAL", "dimension", "upsert", ("ID_REGIONAL",), commercial.regions,
-                ("USU_T017RVR", "R999USU")),
+                ("USU_T017RVR", "R999USU"),
+                order=("DT_CADASTRO",), descending=True),
     ProductSpec("FAT_METAS", "fact", "upsert", ("CODEMP", "MESANO", "CODTIP", "SEQREG"), commercial.targets,
-                ("USU_T101MET", "USU_T101TIP", "USU_T101CRI", "USU_T017RVR", "E090REP", "E013AGP", "E075PRO")),
+                ("USU_T101MET", "USU_T101TIP", "USU_T101CRI", "USU_T017RVR", "E090REP", "E013AGP", "E075PRO"),
+                order=("MESANO",), descending=True),
     ProductSpec("DIM_CLIENTE", "dimension", "upsert", ("COD_CLIENTE",), commercial.customers,
                 ("E140NFV", "E001TNS", "E140IDE", "E085CLI", "E069GRE", "E026RAM", "E085HCL", "USU_T017RVR",
                  "USU_TPCRCPC", "USU_TPCRCDG", "E066FPG", "E028CPG", "USU_TPCAPFC", "USU_TPCAMNC", "E073TRA",
-                 "E090REP")),
+                 "E090REP"),
+                order=("COD_CLIENTE",), descending=True),
     ProductSpec("FAT_FATURAMENTO", "fact", "replace", (), commercial.billing,
                 ("E120IPD", "E120PED", "E140IPV", "E140IDE", "E001TNS", "E140NFV", "E140PVD", "E140ISV",
                  "E440IPC", "E440NFC", "E095FOR", "E085CLI", "E085HCL", "E069GRE", "E090REP")),
@@ -68,6 +75,9 @@ PRODUCTS: dict[str, ProductSpec] = {s.name: s for s in [
                  "USU_VZRASLAU")),
 ]}
 
+#: Keyword inputs of the builders that no bronze table holds.
+PRODUCT_INPUTS = {"DIM_REGIONAL": ("by_region", "by_login"), "DIM_PRODUTO_PRODUCAO": ("legacy",),
+                  "DIM_CENTRO_CUSTO_PRODUCAO": ("listed_resources",)}
 SHEET_PRODUCTS = {"DIM_CUSTO_PADRAO_PRODUCAO", "DIM_INDICE_RMA", "DIM_RECLASSIF_DEFEITOS", "DIM_RECLASSIF_PRODUTOS"}
 
 
@@ -78,25 +88,38 @@ def build_product(name: str, bronze: Bronze | None = None, params: ProductParams
     if name in SHEET_PRODUCTS:
         return spec.build(sheet)
     if name == "FAT_UTILIZACAO_META_PRODUCAO":
+        if sheet is None:
+            raise ValueError(f"{name} needs its sheet")
         return spec.build(sheet, params)
     if name == "FAT_RASTREABILIDADE":
         return spec.build(bronze, params, mix_sheet=sheet)
     return spec.build(bronze, params, **inputs)
 
 
+def _order(spec: ProductSpec, batch: DataFrame) -> list[str]:
+    """The dedup order; a key column in it orders nothing within its key."""
+    return [c for c in spec.order if c in batch.columns and c not in spec.keys]
+
+
 def load_product(name: str, df: DataFrame, target: VersionedTable, as_of: str) -> int:
     """Write a product: merge on its keys (upsert) or a new version (replace)."""
     spec = PRODUCTS[name]
     batch = stamp(df, as_of, layer="silver")
     meta = {"as_of": str(as_of)}                      # freshness for downstream consumers
     if spec.load == "upsert" and target.has_rows():
-        merged = M.upsert(target.read(), batch.select(*target.read().columns), list(spec.keys))
+        merged = M.upsert(target.read(), batch.select(*target.read().columns), list(spec.keys), _order(spec, batch), spec.descending)
         return target.write(merged, meta=meta)
     if spec.load == "upsert":
-        batch = M.dedup_first(batch, list(spec.keys))
+        batch = M.dedup_first(batch, list(spec.keys), _order(spec, batch), spec.descending)
     return target.write(batch, meta=meta)
 
 
+def _instant(text: str) -> datetime:
+    """A moment from ISO text; without a zone it is UTC."""
+    moment = datetime.fromisoformat(text.strip())
+    return moment if moment.tzinfo else moment.replace(tzinfo=UTC)
+
+
 def stale_inputs(name: str, bronze, fresh_after: str) -> list[str]:
     """Bronze inputs of a product whose last load is older than ``fresh_after``
     (REC-14); read from the version manifests, no data scanned."""
@@ -107,7 +130,7 @@ def stale_inputs(name: str, bronze, fresh_after: str) -> list[str]:
         if ":" in t:                                  # sheets and caller inputs
             continue
         loaded = VersionedTable(bronze.spark, f"{bronze.root}/{t}").loaded_as_of()
-        if loaded is None or loaded < fresh_after:
+        if loaded is None or _instant(loaded) < _instant(fresh_after):
             stale.append(t)
     return stale
 

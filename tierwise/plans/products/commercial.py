@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from ...functions import exprs as X
 from ...operators import blocks as B
-from ..joins import small_dim
 from .common import Bronze, ProductParams, c, on
 
 # ---------------------------------------------------------------------------
@@ -33,7 +32,6 @@ RETURN_ENTRY_TYPES_SALE = ("2", "3")
 RETURN_NATURES_CONSIGN = ("1603", "2603")
 RETURN_ENTRY_TYPES_CONSIGN = ("9", "10")
 NOT_IDENTIFIED = "NÃO IDENTIFICADO"
-OVERRIDE_MAX_ROWS = 10_000
 NO_GROUP = "SEM GRUPO"
 
 
@@ -127,8 +125,8 @@ def regions(bronze: Bronze, p: ProductParams, by_region: DataFrame | None = None
     r = bronze("USU_T017RVR").alias("R")
     coord = bronze("R999USU").alias("COORD")
     assist = bronze("R999USU").alias("ASSIST")
-    orr = small_dim(by_region, OVERRIDE_MAX_ROWS).alias("ORR")    # broadcast only when proven small
-    orl = small_dim(by_login, OVERRIDE_MAX_ROWS).alias("ORL")
+    orr = by_region.alias("ORR")
+    orl = by_login.alias("ORL")
     j = (r.join(coord, c("R", "USU_USUCOR") == c("COORD", "CODUSU"), "left")
           .join(assist, c("R", "USU_USUASS") == c("ASSIST", "CODUSU"), "left")
           .join(orr, c("ORR", "ID_REGIONAL") == c("R", "USU_CODRVR"), "left")
@@ -288,11 +286,11 @@ BILLING_COLUMNS = [
     ("DATAREF", "date"), ("TIPOREG", "string"), ("VENDA", "int"), ("CODFILIAL", "bigint"),
     ("CODCLIBASE", "bigint"), ("CODCLI", "bigint"), ("NUMPED", "bigint"), ("NUMNFV", "bigint"),
     ("NUMNFD", "bigint"), ("CHAVE_ITEM", "string"), ("CODDEP", "string"), ("CODTRANSP", "string"),
-    ("CODCPG", "string"), ("CODFPG", "string"), ("QTDITEM", "decimal(38,4)"), ("PRECOUNIT", "decimal(38,4)"),
-    ("VLR_LIQ", "decimal(38,4)"), ("PERC_OFF", "decimal(38,4)"), ("VLR_OFF", "decimal(38,4)"),
-    ("VLR_IPI", "decimal(38,4)"), ("VLR_ICMS", "decimal(38,4)"), ("VLR_ST", "decimal(38,4)"),
-    ("VLR_FUNDPOB", "decimal(38,4)"), ("VLR_OUT", "decimal(38,4)"), ("VLR_SLI", "decimal(38,4)"),
-    ("VLRBRUTO_TOTAL", "decimal(38,4)"), ("VLRDESC_TOTAL", "decimal(38,4)"), ("MOTIVODEV", "string"),
+    ("CODCPG", "string"), ("CODFPG", "string"), ("QTDITEM", "decimal(38,10)"), ("PRECOUNIT", "decimal(38,10)"),
+    ("VLR_LIQ", "decimal(38,10)"), ("PERC_OFF", "decimal(38,10)"), ("VLR_OFF", "decimal(38,10)"),
+    ("VLR_IPI", "decimal(38,10)"), ("VLR_ICMS", "decimal(38,10)"), ("VLR_ST", "decimal(38,10)"),
+    ("VLR_FUNDPOB", "decimal(38,10)"), ("VLR_OUT", "decimal(38,10)"), ("VLR_SLI", "decimal(38,10)"),
+    ("VLRBRUTO_TOTAL", "decimal(38,10)"), ("VLRDESC_TOTAL", "decimal(38,10)"), ("MOTIVODEV", "string"),
     ("CODREP", "bigint"), ("CODREGREP", "string"), ("CODREGCLI", "string"),
     ("SEQIPD", "bigint"), ("SEQIPV", "bigint"), ("SEQISV", "bigint"), ("SEQIPC", "bigint"),
 ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,12 +37,14 @@ class ProductSpec:
     keys: tuple[str, ...] = ()
     build: Callable = None
     inputs: tuple[str, ...] = ()    # bronze tables / sheets read
+    order: tuple[str, ...] = ()     # which of several rows of a key stays: the first of this order
+    descending: bool = False
 
 
 @dataclass
 class TableBronze:
     """Bronze accessor over Parquet tables ``<root>/<NAME>`` (current version
-    through the store when a ``_current`` pointer exists)."""
+    through the store where it has a manifest)."""
     spark: SparkSession
     root: str
     extra: dict = field(default_factory=dict)
@@ -67,11 +69,3 @@ def on(left: str, right: str, *pairs) -> Column:
         e = c(left, a) == c(right, b)
         cond = e if cond is None else cond & e
     return cond
-
-
-def bronze_schema(name: str) -> str:
-    return BRONZE_SCHEMAS[name]
-
-
-def select_as(df: DataFrame, cols: Sequence[tuple[str, Column]]) -> DataFrame:
-    return df.select(*[e.alias(n) for n, e in cols])

@@ -30,7 +30,7 @@ COST_CENTRE_LOW, COST_CENTRE_HIGH = "4000", "4300"
 MATRIX_FLOOR = 1600
 STOP_CLASSES = {1: "Operacional", 2: "Manutencao", 3: "Utilidades", 4: "TI", 5: "Externo"}
 STOP_CLASS_EMPTY = "*** VAZIO ***"
-DEC = "decimal(38,4)"
+DEC = "decimal(38,10)"
 
 
 def _date(v: str):
@@ -223,11 +223,10 @@ def performance(bronze: Bronze, p: ProductParams) -> DataFrame:
     rates = mtc.join(tax, on("Y0", "Y1", "CODEMP", "NUMMTC")).select(
         c("Y0", "CODEMP").alias("CODEMP"), c("Y1", "CODCCU").alias("CODCCU"),
         c("Y0", "DATINI").alias("DATINI"), c("Y0", "DATFIM").alias("DATFIM"), c("Y1", "TAXCUS").alias("TAXCUS"))
-    # readings lie after the performance floor and not after as_of: clip the
-    # validity intervals to that span before expanding them to days, so an
-    # open-ended interval cannot explode
+    # the readings' own span clips the expansion to days, so an open-ended
+    # interval cannot explode (a scalar subquery: one maximum over the readings)
     daily = B.daily_rates(rates, ["CODEMP", "CODCCU"], "DATINI", "DATFIM", "TAXCUS",
-                          lo=p.performance_floor, hi=p.as_of[:10], name="_RATE")
+                          lo=p.performance_floor, hi=eoq.agg(F.max("DATREA")).scalar(), name="_RATE")
 
     z1 = eoq.alias("Z1")
     j1 = (z1.join(bronze("E900COP").alias("T0"), on("T0", "Z1", "CODEMP", "CODORI", "NUMORP"), "left")
@@ -344,9 +343,8 @@ def _block1_joins(j1, qtdrea, tmpbru, spe, daily):
     j1 = j1.join(spe.select(F.col("CODEMP").alias("_T0EMP"), F.col("CODORI").alias("_T0ORI"),
                             F.col("NUMORP").alias("_T0ORP"), F.col("CODPRO").alias("_T0PRO"), "_SDO"),
                  ["_T0EMP", "_T0ORI", "_T0ORP", "_T0PRO"], "left")
-    d = daily.select(F.col("CODEMP").alias("_T2EMP"), F.col("CODCCU").alias("CC_EXE"),
-                     F.col("_day").alias("_DAY"), "_RATE")
-    return j1.withColumn("_DAY", F.to_date("DATREA")).join(d, ["_T2EMP", "CC_EXE", "_DAY"], "left")
+    d = daily.withColumnRenamed("CODEMP", "_T2EMP").withColumnRenamed("CODCCU", "CC_EXE")
+    return B.interval_rate(j1, d, ["_T2EMP", "CC_EXE"], F.col("DATREA"), name="_RATE")
 
 
 def _join_top(j2, top):

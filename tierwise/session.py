@@ -70,11 +70,14 @@ def get_session(master: str | None = "local[8]", app: str = "tierwise",
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Root of the shared folder (``spark.checkpoint.dir``), created if unset."""
+    """Root of the shared folder (``spark.checkpoint.dir``).  Only a local master may
+    go without: it gets a folder of its own; a cluster must name one."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="tierwise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
@@ -84,8 +87,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder name below the shared folder."""
     return f"{shared_dir(spark)}/tierwise/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))

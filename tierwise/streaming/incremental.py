@@ -34,7 +34,10 @@ def incremental_ingest(spark: SparkSession, spec: TableSpec, source_dir: str, sc
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(source_dir)
     # the micro-batch *is* the change set: no look-back window on top of it
-    batch_spec = dataclasses.replace(spec, audit_col=None, fallback_col=None, sentinel=None)
+    # (the order that picks one of several rows of a key stays that of the batch path)
+    if spec.keyless:
+        raise ValueError(f"{spec.name}: a table without keys is replaced as a whole; its files cannot be merged one by one")
+    batch_spec = dataclasses.replace(spec, audit_col=None, fallback_col=None, sentinel=None, order=spec.dedup_order())
     results: list[LoadResult] = []
 
     def merge_batch(df: DataFrame, epoch_id: int) -> None:
