@@ -151,12 +151,6 @@ def desc(c: ColumnOrName) -> Column:
     return _c(c).desc_nulls_first()
 
 
-def null_last_key(c: ColumnOrName) -> list[Column]:
-    """Struct fields that sort ascending with NULLs last inside ``min(struct)``."""
-    x = _c(c)
-    return [x.isNull(), x]
-
-
 # ---------------------------------------------------------------------------
 # Numbers (T10, T12, SCA-11, SCA-13, SCA-19, SCA-28)
 # ---------------------------------------------------------------------------
@@ -165,33 +159,31 @@ def safe_div(a: ColumnOrName, b: ColumnOrName) -> Column:
     return _c(a) / F.nullif(_c(b), F.lit(0))
 
 
-def money(c: ColumnOrName, scale: int = 2) -> Column:
-    """Exact decimal view of a money value (never sum doubles)."""
-    return _c(c).cast(f"decimal(18,{scale})")
-
-
-def dsum(c: ColumnOrName, scale: int = 2) -> Column:
-    """Exact SUM of a double money/quantity column, returned as DOUBLE."""
-    return F.sum(money(c, scale)).cast("double")
+# A plain decimal number: no type suffix, no NaN or infinity, no hexadecimal.
+_NUMBER = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)$"
+DOUBLE_SCALE = 10
 
 
-def try_number(c: ColumnOrName) -> Column:
-    """Tolerant numeric conversion (bad text -> NULL, ANSI-safe)."""
-    return _c(c).cast("string").try_cast("double")
+def money(df: DataFrame, c: str, scale: int = DOUBLE_SCALE) -> Column:
+    """Exactly summable view of a numeric column: decimals and integers as they
+    are, DOUBLE and FLOAT as DECIMAL with ``scale`` decimals (never sum doubles)."""
+    if df.schema[c].dataType.typeName() in ("double", "float"):
+        return F.col(c).cast(f"decimal({18 + scale},{scale})")
+    return F.col(c)
 
 
 def locale_decimal(c: ColumnOrName) -> Column:
     """Decimal comma text ('12,5') -> 12.5; bad text -> NULL (SCA-28)."""
-    return F.replace(F.trim(_c(c).cast("string")), F.lit(","), F.lit(".")).try_cast("double")
+    x = F.replace(F.trim(_c(c).cast("string")), F.lit(","), F.lit("."))
+    return F.when(x.rlike(_NUMBER), x.try_cast("double"))
 
 
 def int_text(c: ColumnOrName) -> Column:
     """Number -> clean integer text, NULL -> '', other text trimmed (SCA-19)."""
-    x = _c(c).cast("string")
-    num = x.try_cast("double")
+    x = F.trim(_c(c).cast("string"))
+    whole = F.when(x.rlike(_NUMBER), x.try_cast("decimal(38,10)").cast("decimal(38,10)"))
     return (F.when(x.isNull(), F.lit(""))
-            .when(num.isNotNull(), num.cast("bigint").cast("string"))
-            .otherwise(F.trim(x)))
+            .otherwise(F.coalesce(F.regexp_replace(whole.cast("string"), "[.].*$", ""), x)))
 
 
 def signed(value: ColumnOrName, flag: ColumnOrName, positive: str) -> Column:

@@ -101,7 +101,7 @@ def monthly_sum(df: DataFrame, key_cols, date_col: str, value_col: str,
     if since is not None:
         df = df.where(F.col(date_col) >= since.cast(df.schema[date_col].dataType))
     return (df.select(*k, X.month_start(date_col).alias(month_name),
-                      X.money(value_col).alias("_v"))
+                      X.money(df, value_col).alias("_v"))
               .groupBy(*k, month_name).agg(F.sum("_v").alias(value_name)))
 
 
@@ -170,21 +170,12 @@ def allocate_share(lines: DataFrame, counts: DataFrame, note_keys, amount: Colum
 # ---------------------------------------------------------------------------
 # JON-12 / AGG-06 / AGG-08: per-key and per-month totals attached to rows
 # ---------------------------------------------------------------------------
-def attach_totals(df: DataFrame, key_cols, value_col: str, name: str) -> DataFrame:
-    """Correlated ``(SELECT SUM(v) FROM t WHERE t.k = outer.k)`` as aggregate + join."""
-    k = _cols(key_cols)
-    tot = df.groupBy(*k).agg(F.sum(X.money(value_col)).alias(name))
-    return df.join(tot, on=k, how="left")
-
-
 def attach_month_total(df: DataFrame, key_cols, date_col: str, value_col: str,
                        name: str = "month_total") -> DataFrame:
     """Month-wide total of the row's key attached to each day row (AGG-08)."""
     k = _cols(key_cols)
     withm = df.withColumn("_m", X.month_start(date_col))
-    v = F.col(value_col)
-    if dict(df.dtypes)[value_col] in ("double", "float"):
-        v = X.money(value_col)
+    v = X.money(df, value_col)
     tot = withm.groupBy(*k, "_m").agg(F.sum(v).alias(name))
     return withm.join(tot, on=[*k, "_m"], how="left").drop("_m")
 
@@ -215,34 +206,42 @@ def lookup_exact_or_latest(facts: DataFrame, lookup: DataFrame, keys, fact_day:
 # ---------------------------------------------------------------------------
 def daily_rates(rates: DataFrame, keys, start_col: str, end_col: str, rate_col: str,
                 lo=None, hi=None, name: str = "rate") -> DataFrame:
-    """Sum of the rates valid on each (key, day): ``start <= day <= end``.
+    """Rates by (key, day) of the intervals ``start <= moment <= end``.
 
-    Intervals are clipped to ``[lo, hi]`` (the reading span) before they are
-    expanded to days, so an open-ended interval cannot explode.  The result has
-    one row per key and day: joining it to the readings is an equi-join with no
-    fan-out, instead of a range join that would shuffle every reading of a key
-    to one task.
+    A day that an interval covers whole adds to one sum; a day on which it starts
+    or ends within keeps its exact moments in a short list (``_edges``), so a
+    reading later on the last day is outside.  ``lo``/``hi`` (columns or values:
+    the span of the readings) clip the expansion to days, nothing else.  One row
+    per key and day: joining it to the readings is an equi-join with no fan-out.
     """
     k = _cols(keys)
-    s, e = F.to_date(start_col), F.to_date(end_col)
+    s, e = F.col(start_col).cast("timestamp_ntz"), F.col(end_col).cast("timestamp_ntz")
+    first, last = F.to_date(s), F.to_date(e)
     if lo is not None:
-        s = F.greatest(s, F.lit(lo).cast("date"))
+        first = F.greatest(first, F.lit(lo).cast("date"))
     if hi is not None:
-        e = F.least(e, F.lit(hi).cast("date"))
-    r = rates.select(*k, s.alias("_s"), e.alias("_e"), X.money(rate_col, 6).alias("_r")) \
-             .where(F.col("_s") <= F.col("_e"))
-    days = r.select(*k, F.explode(F.sequence("_s", "_e")).alias("_day"), "_r")
-    return days.groupBy(*k, "_day").agg(F.sum("_r").alias(name))
+        last = F.least(last, F.lit(hi).cast("date"))
+    r = rates.select(*k, s.alias("_s"), e.alias("_e"), first.alias("_a"), last.alias("_b"), X.money(rates, rate_col).alias("_r")) \
+             .where((F.col("_s") <= F.col("_e")) & (F.col("_a") <= F.col("_b")))
+    days = r.withColumn("_day", F.explode(F.sequence("_a", "_b")))
+    midnight = F.col("_day").cast("timestamp_ntz")
+    whole = (F.col("_s") <= midnight) & (F.col("_e") >= midnight + F.expr("INTERVAL '23:59:59.999999' HOUR TO SECOND"))
+    return days.groupBy(*k, "_day").agg(F.sum(F.when(whole, F.col("_r"))).alias(name),
+                                        F.collect_list(F.when(~whole, F.struct("_s", "_e", "_r"))).alias("_edges"))
 
 
-def interval_rate(readings: DataFrame, rates_by_day: DataFrame, keys, reading_day: Column,
+def interval_rate(readings: DataFrame, rates_by_day: DataFrame, keys, reading_ts: Column,
                   name: str = "rate") -> DataFrame:
-    """Attach the day's summed rate; no matching interval gives 0 (NVL(SUM, 0))."""
+    """Attach the rate summed over the intervals that hold the reading's moment; no
+    matching interval gives 0 (NVL(SUM, 0))."""
     k = _cols(keys)
-    r = readings.withColumn("_day", reading_day)
+    kind = rates_by_day.schema[name].dataType
+    r = readings.withColumn("_ts", reading_ts.cast("timestamp_ntz")).withColumn("_day", F.to_date("_ts"))
+    edges = F.aggregate(F.filter("_edges", lambda x: (x["_s"] <= F.col("_ts")) & (x["_e"] >= F.col("_ts"))),
+                        F.lit(0).cast(kind), lambda acc, x: (acc + x["_r"]).cast(kind))
     return (r.join(rates_by_day, on=[*k, "_day"], how="left")
-             .withColumn(name, F.coalesce(F.col(name), F.lit(0).cast(rates_by_day.schema[name].dataType)))
-             .drop("_day"))
+             .withColumn(name, (F.coalesce(F.col(name), F.lit(0).cast(kind)) + F.coalesce(edges, F.lit(0).cast(kind))).cast(kind))
+             .drop("_day", "_ts", "_edges"))
 
 
 # ---------------------------------------------------------------------------
@@ -271,9 +270,9 @@ def scaled_sum(df: DataFrame, group_cols, value_col: str, unit_col: str,
                product_name: str = "product") -> DataFrame:
     """Grouped SUM scaled by unit, and optionally the product of two sums."""
     g = _cols(group_cols)
-    aggs = [F.sum(X.money(value_col)).alias("_s")]
+    aggs = [F.sum(X.money(df, value_col)).alias("_s")]
     if other_col:
-        aggs.append(F.sum(X.money(other_col)).alias("_o"))
+        aggs.append(F.sum(X.money(df, other_col)).alias("_o"))
     r = df.groupBy(*g, unit_col).agg(*aggs)
     r = r.withColumn(name, X.scale_to_minutes(F.col("_s").cast("double"), unit_col))
     if other_col:

@@ -16,6 +16,7 @@ from ..functions import exprs as X
 
 OK, DIVERGENT, SKIPPED = "OK", "DIVERGENTE", "PULADA"
 SIDE_A, SIDE_B = "only_in_a", "only_in_b"
+COPIES_AT_ONCE = 10_000
 
 
 # ---------------------------------------------------------------------------
@@ -43,10 +44,12 @@ def symmetric_diff(a: DataFrame, b: DataFrame, columns: Sequence[str] | None = N
     if not strict:
         return (g.where((F.col("_na") > 0) != (F.col("_nb") > 0))
                  .select(*cols, side.alias(side_col)))
-    # EXCEPT ALL both ways: |na - nb| copies of the row on the larger side
+    # EXCEPT ALL both ways: |na - nb| copies of the row on the larger side, in
+    # two steps so that no array grows with the number of copies beyond its root
     d = g.where(F.col("_na") != F.col("_nb")).withColumn("_n", F.abs(F.col("_na") - F.col("_nb")))
-    return d.select(*cols, side.alias(side_col), F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_i")) \
-            .drop("_i")
+    d = d.withColumn("_m", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / COPIES_AT_ONCE))))
+    left = F.least(F.lit(COPIES_AT_ONCE).cast("long"), F.col("_n") - F.col("_m") * COPIES_AT_ONCE)
+    return d.select(*cols, side.alias(side_col), F.explode(F.sequence(F.lit(1).cast("long"), left)).alias("_i")).drop("_i")
 
 
 def one_sided_diff(old: DataFrame, new: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -139,14 +142,14 @@ def cutoff_rules(tag_col: str, rules: Mapping[object, Column]) -> Column:
 
 
 def stable_window(date_col: str, as_of, days: int = 2, month_tags: Sequence = (),
-                  tag_col: str | None = None) -> Column:
-    """Rows old enough to be stable: before ``as_of - days``; blocks listed in
-    ``month_tags`` (month aggregates) ignore the whole current month."""
-    d = F.col(date_col)
-    ceiling = F.to_date(F.lit(as_of)) - F.expr(f"INTERVAL {int(days)} DAYS")
-    cond = F.to_date(d) < ceiling
+                  tag_col: str | None = None, month_date_col: str | None = None) -> Column:
+    """Rows old enough to be stable: up to the midnight ``days`` days before the day
+    of ``as_of``, that moment included; blocks listed in ``month_tags`` (month
+    aggregates, dated by ``month_date_col``) ignore the whole current month."""
+    today = F.to_date(F.lit(as_of))
+    cond = F.col(date_col).cast("timestamp_ntz") <= (today - F.expr(f"INTERVAL {int(days)} DAYS")).cast("timestamp_ntz")
     if month_tags and tag_col:
-        month_cond = F.to_date(d) < F.trunc(F.lit(as_of).cast("date"), "MM")
+        month_cond = F.to_date(month_date_col or date_col) < F.trunc(F.lit(as_of).cast("date"), "MM")
         cond = F.when(F.col(tag_col).isin(*month_tags), month_cond).otherwise(cond)
     return cond
 
@@ -165,7 +168,7 @@ def control_totals(a: DataFrame, b: DataFrame, date_col: str, type_col: str,
     def tot(df, sfx):
         return (df.groupBy(X.month_start(date_col).alias("month_start"), F.col(type_col))
                   .agg(F.count(F.lit(1)).alias(f"n_{sfx}"),
-                       F.sum(X.money(value_col)).alias(f"sum_{sfx}")))
+                       F.sum(X.money(df, value_col)).alias(f"sum_{sfx}")))
     j = tot(a, "a").join(tot(b, "b"), on=["month_start", type_col], how="full")
     return j.select(
         "month_start", type_col,

@@ -8,7 +8,7 @@ physical column-name overrides.  Scope is a Column predicate, never parsed SQL.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
@@ -86,16 +86,3 @@ class Catalog:
 
     def writers(self, name: str) -> list[TableSpec]:
         return [s for s in self.specs.values() if s.name == name]
-
-
-def spec_for_driver_orders() -> TableSpec:
-    """The test ``orders`` table described as an ingested fact."""
-    return TableSpec(name="orders", keys=("o_orderkey",), audit_col="o_orderdate",
-                     company_col="o_orderstatus", company_values=("F", "O", "P"),
-                     kind="fact")
-
-
-def keys_of(spec: TableSpec) -> Sequence[str]:
-    if spec.keyless:
-        raise ValueError(f"{spec.name} is keyless")
-    return list(spec.keys)
