@@ -86,4 +86,21 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE: dict[str, str] = {}
+#: The others need hashes, tokenizers, trained models or byte-level work that SQL
+#: lacks; they are tested against brute force.
+ORACLE: dict[str, str] = {
+    "op7_embedding_near_dedup": """
+WITH RECURSIVE v AS (
+    SELECT row_number() OVER () AS n, vec_id, label, [CAST(x AS DOUBLE) FOR x IN embedding] AS e FROM embeddings),
+ok AS (
+    SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0
+       AND len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN e IF x <> 0]) > 0),
+l AS (
+    SELECT a.n AS a, b.n AS b, b.vec_id FROM ok a JOIN ok b ON a.label = b.label AND a.n <> b.n AND len(a.e) = len(b.e)
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (
+    SELECT n, n AS c, vec_id FROM v
+    UNION SELECT r.n, l.b, l.vec_id FROM reach r JOIN l ON l.a = r.c)
+SELECT v.vec_id, (SELECT COUNT(*) FROM l WHERE l.a = v.n) AS n_links, m.component_id, v.vec_id = m.component_id AS kept
+FROM v JOIN (SELECT n, MIN(vec_id) AS component_id FROM reach GROUP BY n) m ON m.n = v.n""",
+}
