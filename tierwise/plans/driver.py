@@ -25,6 +25,7 @@ from ..sources import schema as S
 from ..sources import sheets
 from ..sources.catalog import TableSpec
 from ..sources.store import VersionedTable
+from ..streaming.incremental import incremental_ingest
 
 # Fixed as-of instants of the driver queries.
 AS_OF = "2001-08-01 00:00:00"           # orders / lineitem
@@ -280,6 +281,59 @@ def partitioned_refresh(spark, d):
                                        "saved long, partitions long, partitions_rewritten long")
 
 
+# Load instants and the change of the second source of the content queries.
+FIRST_AS_OF = "2001-07-01 00:00:00"
+MOVED_SINCE = "2001-06-10 00:00:00"
+
+
+def _second_source(spark, d, moved: bool):
+    """Orders with lines only; those of the window have another priority and, if
+    ``moved``, the latest ones a later date."""
+    o = tbl(spark, d, "orders").join(_universe(spark, d), "o_orderkey", "left_semi")
+    late = F.col("o_orderdate") >= ts(MOVED_SINCE)
+    if moved:
+        o = o.withColumn("o_orderdate", F.when(late, F.col("o_orderdate") + F.expr("INTERVAL 31 DAYS")).otherwise(F.col("o_orderdate")))
+    window = F.col("o_orderdate") >= ts(AS_OF) - F.expr(f"INTERVAL {LOOKBACK_DAYS} DAYS")
+    return o.withColumn("o_orderpriority", F.when(window, F.concat(F.lit("X-"), "o_orderpriority")).otherwise(F.col("o_orderpriority")))
+
+
+def refresh_content(spark, d):
+    """The table after a first load, a window merge and a sweep (SRC-07, SNK-01/04/07,
+    MRG-04/06): rows of the window as the second source has them, stamped by the
+    second load; keys that left the source gone; all else as first loaded."""
+    spec = TableSpec(name="orders", keys=("o_orderkey",), audit_col="o_orderdate",
+                     company_col="o_orderstatus", company_values=("F", "O", "P"))
+    target = VersionedTable(spark, scratch_path(spark, "refresh_content"))
+    ingest(spec, tbl(spark, d, "orders"), target, FIRST_AS_OF)
+    ingest(spec, _second_source(spark, d, False), target, AS_OF, sweep=True)
+    return target.read()
+
+
+def partitioned_content(spark, d):
+    """As ``refresh_content`` on a table partitioned by order month, where rows of
+    the window have moved to another month meanwhile."""
+    spec = TableSpec(name="orders", keys=("o_orderkey",), audit_col="o_orderdate")
+    target = VersionedTable(spark, scratch_path(spark, "partitioned_content"), partition_col="o_orderdate")
+    ingest(spec, tbl(spark, d, "orders"), target, FIRST_AS_OF)
+    ingest(spec, _second_source(spark, d, True), target, AS_OF, sweep=True)
+    return target.read()
+
+
+def stream_content(spark, d):
+    """Two deliveries with repeated keys through the stream (STR-01): the table it
+    leaves, which is that of the batch path on the same deliveries."""
+    o = tbl(spark, d, "orders")
+    again = o.where(F.col("o_orderstatus") == "F").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    early = o.withColumn("o_orderdate", F.col("o_orderdate") - F.expr("INTERVAL 1 DAYS")).where(F.col("o_orderstatus") == "P")
+    root = scratch_path(spark, "stream_content")
+    spec = TableSpec(name="orders", keys=("o_orderkey",), audit_col="o_orderdate")
+    target = VersionedTable(spark, f"{root}/table")
+    for k, delivery in enumerate((o.unionByName(early), again)):
+        delivery.write.parquet(f"{root}/in/{k}")
+        incremental_ingest(spark, spec, f"{root}/in", o.schema, target, AS_OF, f"{root}/checkpoint")
+    return target.read()
+
+
 def drift_align(spark, d):
     o = tbl(spark, d, "orders")
     cut = ts("2000-01-01 00:00:00")
@@ -810,6 +864,9 @@ QUERIES = {
     "safe_key": safe_key,
     "full_refresh_audit": full_refresh_audit,
     "partitioned_refresh": partitioned_refresh,
+    "refresh_content": refresh_content,
+    "partitioned_content": partitioned_content,
+    "stream_content": stream_content,
     "drift_align": drift_align,
     "project_rename": project_rename,
     "predicate_mix": predicate_mix,

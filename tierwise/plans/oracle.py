@@ -248,6 +248,26 @@ SELECT 2, 'orders', 'window_merge+sweep',
        (SELECT COUNT(*) FROM src2),
        (SELECT COUNT(*) FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM src2)), 'OK'""",
 
+    "refresh_content": f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       CASE WHEN o_orderdate >= {AS_OF} - INTERVAL 60 DAY THEN 'X-' || o_orderpriority ELSE o_orderpriority END AS o_orderpriority,
+       CASE WHEN o_orderdate >= {AS_OF} - INTERVAL 60 DAY THEN {AS_OF} ELSE TIMESTAMP '2001-07-01 00:00:00' END AS "DW_DATA_INGESTAO"
+FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)""",
+
+    "partitioned_content": f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+       CASE WHEN o_orderdate >= TIMESTAMP '2001-06-10 00:00:00' THEN o_orderdate + INTERVAL 31 DAY ELSE o_orderdate END AS o_orderdate,
+       CASE WHEN o_orderdate >= {AS_OF} - INTERVAL 60 DAY THEN 'X-' || o_orderpriority ELSE o_orderpriority END AS o_orderpriority,
+       CASE WHEN o_orderdate >= {AS_OF} - INTERVAL 60 DAY THEN {AS_OF} ELSE TIMESTAMP '2001-07-01 00:00:00' END AS "DW_DATA_INGESTAO"
+FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)""",
+
+    "stream_content": f"""
+SELECT o_orderkey, o_custkey, o_orderstatus,
+       CASE WHEN o_orderstatus = 'F' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+       CASE WHEN o_orderstatus = 'P' THEN o_orderdate - INTERVAL 1 DAY ELSE o_orderdate END AS o_orderdate,
+       o_orderpriority, {AS_OF} AS "DW_DATA_INGESTAO"
+FROM orders""",
+
     "partitioned_refresh": f"""
 WITH first AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '2001-07-01 00:00:00'),
 w AS (SELECT * FROM orders WHERE o_orderdate >= {AS_OF} - INTERVAL 60 DAY)
