@@ -26,6 +26,7 @@ from ..sources import sheets
 from ..sources.catalog import TableSpec
 from ..sources.store import VersionedTable
 from ..streaming.incremental import incremental_ingest
+from .product_queries import PRODUCT_QUERIES
 
 # Fixed as-of instants of the driver queries.
 AS_OF = "2001-08-01 00:00:00"           # orders / lineitem
@@ -907,4 +908,5 @@ QUERIES = {
     "keyless_count": keyless_count,
     "run_summary": run_summary,
     "freshness": freshness,
+    **PRODUCT_QUERIES,
 }

@@ -7,6 +7,8 @@ Spark plans rather than mirroring them.  Tables are the pre-registered views.
 
 from __future__ import annotations
 
+from .product_queries import PRODUCT_ORACLE
+
 AS_OF = "TIMESTAMP '2001-08-01 00:00:00'"
 
 _LINE_ORDER = ("l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, "
@@ -635,4 +637,5 @@ UNION ALL
 SELECT 'lineitem', MAX(l_shipdate), COALESCE(MAX(l_shipdate) >= TIMESTAMP '2001-11-01 00:00:00', FALSE) FROM lineitem
 UNION ALL
 SELECT 'events', MAX(ts), COALESCE(MAX(ts) >= TIMESTAMP '2024-02-01 00:00:00', FALSE) FROM events""",
+    **PRODUCT_ORACLE,
 }
