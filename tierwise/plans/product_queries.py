@@ -49,7 +49,7 @@ BRONZE = {
         ("USU_CTADRE", "o_orderkey % 10"), ("USU_CODCCU", "'' || (o_custkey % 20)"), ("USU_ORCMES", "o_totalprice")]),
     "E044CCU": ("nation", False, [
         ("CODEMP", "CASE WHEN n_nationkey % 3 = 0 THEN 1 WHEN n_nationkey % 3 = 1 THEN 50 ELSE 2 END"), ("CODCCU", "'' || n_nationkey"),
-        ("DESCCU", "n_name"), ("TIPCCU", "n_regionkey"), ("USU_CODRES", "n_nationkey + 1"), ("USU_CODCOR", "n_regionkey + 100000000")]),
+        ("DESCCU", "n_name"), ("ABRCCU", "'C' || n_nationkey"), ("CCUPAI", "'' || n_regionkey"), ("TIPCCU", "n_regionkey"), ("USU_CODRES", "n_nationkey + 1"), ("USU_CODCOR", "n_regionkey + 100000000")]),
     "R910USU": ("customer", False, [("CODENT", "c_custkey"), ("NOMCOM", "c_name")]),
     "E043PCM": ("part", False, [("CTARED", "p_partkey"), ("CODMPC", "'801'"), ("DESCTA", "p_name")]),
     "E930MPR": ("lineitem", False, [
@@ -57,7 +57,15 @@ BRONZE = {
         ("DATMPR", "l_shipdate"), ("SEQMPR", "l_linenumber"), ("HORINI", "l_orderkey % 1440"), ("HORFIM", "(l_orderkey * 7) % 1440")]),
     "E018MTV": ("supplier", False, [
         ("CODEMP", "50"), ("CODMTV", "s_suppkey"), ("DESMTV", "s_name"), ("ABRMTV", "'S' || s_suppkey"), ("USU_TIPMTV", "s_suppkey % 3"), ("USU_CLAMTV", "s_suppkey % 7")]),
-    "E093ETG": ("nation", False, [("CODEMP", "50"), ("CODETG", "'' || n_nationkey"), ("CODCCU", "'' || (n_nationkey * 3 - 2)")]),
+    "E093ETG": ("nation", False, [
+        ("CODEMP", "CASE WHEN n_nationkey < 12 THEN 50 ELSE 1 END"), ("CODETG", "'' || (n_nationkey % 12)"), ("CODCCU", "'' || (n_nationkey * 3 - 2)"),
+        ("DESETG", "n_name"), ("ABRETG", "'E' || n_nationkey")]),
+    "E720OPR": ("lineitem", True, [
+        ("CODEMP", "1"), ("CODCCU", "'' || (l_suppkey % 25)"), ("CODETG", "'' || l_linenumber"), ("CODCRE", "'' || (l_partkey % 40)"),
+        ("CODOPR", "CASE WHEN l_orderkey % 9 = 0 THEN NULL ELSE '' || (l_orderkey % 9) END"), ("DESOPR", "'op ' || l_returnflag"), ("ABROPR", "l_returnflag"),
+        ("UNICRE", "'M'"), ("MOVORP", "l_linestatus")]),
+    "E725CRE": ("supplier", False, [
+        ("CODEMP", "1"), ("CODCRE", "'' || s_suppkey"), ("DESCRE", "s_name"), ("ABRCRE", "'R' || s_suppkey"), ("CODCCU", "'' || s_nationkey")]),
     "E626ORC": ("lineitem", False, [
         ("CODEMP", "1"), ("CODNTG", "l_partkey"), ("NUMMTC", "l_suppkey + 1550"), ("CODCCU", "'' || (3900 + l_orderkey % 500)")]),
     "E047NTG": ("part", False, [("CODEMP", "1"), ("CODNTG", "p_partkey"), ("DESNTG", "p_name")]),
@@ -74,6 +82,22 @@ BRONZE = {
         ("CODEMP", "1"), ("CODFIL", "1"), ("CODSNF", "'S'"), ("NUMNFV", "o_orderkey"), ("SITDOE", "CASE WHEN o_orderkey % 4 = 0 THEN 2 ELSE 3 END")]),
     "E001TNS": ("lineitem", True, [("CODEMP", "1"), ("CODTNS", "l_returnflag"), ("VENFAT", "CASE WHEN l_returnflag = 'R' THEN 'N' ELSE 'S' END")]),
 }
+# sheet of a product: (test table, [(header as written in the sheet, expression)])
+SHEETS = {
+    "FAT_UTILIZACAO_META_PRODUCAO": ("lineitem", [
+        ("Data", "'' || CAST(l_shipdate AS DATE)"), (" CD_CentroCusto", "CASE WHEN l_linenumber = 7 THEN NULL ELSE ' ' || (l_suppkey % 9) END"),
+        ("Min_Dia", "CASE WHEN l_partkey % 4 = 0 THEN 'x' ELSE '' || (l_partkey % 480) END"), ("Dias_Uteis", "'' || (l_orderkey % 23)"),
+        ("Limite_Superior", "'1.' || (l_orderkey % 7)"), ("Nota", "l_returnflag")]),
+    "DIM_CUSTO_PADRAO_PRODUCAO": ("part", [
+        ("Produto", "CASE WHEN p_size % 7 = 0 THEN ' ' ELSE 'P' || p_partkey END"), ("CodEmpresa", "CASE WHEN p_size % 5 = 0 THEN 'um' ELSE '1' END"),
+        ("Custo_Padrao", "CASE WHEN p_size % 11 = 0 THEN '12D' WHEN p_size % 13 = 0 THEN NULL ELSE p_size || ',25' END")]),
+    "DIM_INDICE_RMA": ("part", [("id ", "CASE WHEN p_size % 5 = 0 THEN NULL ELSE 'I' || p_partkey END"), ("Nome", "p_name")]),
+    "DIM_RECLASSIF_DEFEITOS": ("part", [
+        ("Produto", "CASE WHEN p_size % 5 = 0 THEN ' ' ELSE ' P' || p_partkey END"), ("Código", "CASE WHEN p_size % 7 = 0 THEN 'NaN' ELSE p_size || ' ' END"), ("Nova", "p_brand")]),
+    "DIM_RECLASSIF_PRODUTOS": ("part", [
+        ("Cód. Produto", "CASE WHEN p_size % 5 = 0 THEN NULL ELSE ' P' || p_partkey END"), ("Novo Código", "p_brand"), ("Situação", "p_type || ' '"), ("Outra", "p_name")]),
+}
+LISTED_RESOURCES = ("3", "7", "900")
 PARAMS = ProductParams(as_of="2002-01-01 00:00:00", production_cutoff="1999-06-15", reports_cutoff="2000-01-01")
 
 
@@ -85,13 +109,25 @@ def _bronze(spark, d):
     return frame
 
 
-def _query(product: str):
+def _sheet(spark, d, product: str) -> DataFrame | None:
+    if product not in SHEETS:
+        return None
+    table, columns = SHEETS[product]
+    return spark.read.parquet(f"{d}/{table}.parquet").selectExpr(*[f"{e} AS `{c}`" for c, e in columns])
+
+
+def _query(product: str, **inputs):
     def run(spark, d) -> DataFrame:
-        df = build_product(product, _bronze(spark, d), PARAMS)
+        df = build_product(product, _bronze(spark, d), PARAMS, sheet=_sheet(spark, d, product), **inputs)
         return df.select(*[F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, DecimalType) else F.col(f.name) for f in df.schema.fields])
     return run
 
 
+def _sheet_sql(product: str, body: str) -> str:
+    table, columns = SHEETS[product]
+    return "WITH s AS (SELECT " + ", ".join(f'{e} AS "{c.strip().upper()}"' for c, e in columns) + f" FROM {table})\n" + body
+
+
 def _sql(frames: str, body: str) -> str:
     ctes = []
     for name in frames.split():
@@ -105,8 +141,14 @@ PRODUCT_QUERIES = {
     "dp02_product_variants": _query("DIM_PRODUTO"),
     "dp03_sales_reps": _query("DIM_REPRESENTANTE"),
     "dp08_opex_budget": _query("FAT_ORCAMENTO_OPEX"),
+    "dp11_cost_centres": _query("DIM_CENTRO_CUSTO_PRODUCAO", listed_resources=LISTED_RESOURCES),
+    "dp12_standard_cost": _query("DIM_CUSTO_PADRAO_PRODUCAO"),
     "dp13_stoppages": _query("FAT_PARADAS_PRODUCAO"),
     "dp14_budget_entries": _query("FAT_CUSTO_CC_PRODUCAO"),
+    "dp15_utilisation_target": _query("FAT_UTILIZACAO_META_PRODUCAO"),
+    "dp17_rma_index": _query("DIM_INDICE_RMA"),
+    "dp18_defect_reclassification": _query("DIM_RECLASSIF_DEFEITOS"),
+    "dp19_product_reclassification": _query("DIM_RECLASSIF_PRODUTOS"),
     "dp20_rma_sales": _query("FAT_VENDAS_RMA"),
 }
 
@@ -142,6 +184,19 @@ FROM USU_T650ORC B LEFT JOIN E044CCU C ON C.CODEMP = B.USU_CODEMP AND C.CODCCU =
 LEFT JOIN R910USU O ON O.CODENT = C.USU_CODRES LEFT JOIN R910USU K ON K.CODENT = C.USU_CODCOR
 LEFT JOIN E043PCM E ON E.CTARED = B.USU_CTADRE AND E.CODMPC = B.USU_CODMPC
 WHERE B.USU_CODEMP IN (1, 50) AND B.USU_CODMPC = '801'"""),
+    "dp11_cost_centres": _sql("E720OPR E725CRE E044CCU E093ETG", """
+SELECT COALESCE(O.CODCCU, ' ') AS CODCCU, C.DESCCU, C.ABRCCU, C.CCUPAI, COALESCE(O.CODETG, ' ') AS CODETG, G.DESETG, G.ABRETG,
+       COALESCE(O.CODCRE, ' ') AS CODCRE, R.DESCRE, R.ABRCRE, COALESCE(O.CODOPR, ' ') AS CODOPR, O.DESOPR, O.ABROPR, O.UNICRE, O.MOVORP
+FROM E720OPR O LEFT JOIN E044CCU C ON C.CODEMP = O.CODEMP AND C.CODCCU = O.CODCCU LEFT JOIN E093ETG G ON G.CODEMP = O.CODEMP AND G.CODETG = O.CODETG
+LEFT JOIN E725CRE R ON R.CODEMP = O.CODEMP AND R.CODCRE = O.CODCRE
+UNION ALL
+SELECT COALESCE(R.CODCCU, ' '), C.DESCCU, C.ABRCCU, C.CCUPAI, '0', ' ', ' ', COALESCE(R.CODCRE, ' '), R.DESCRE, R.ABRCRE,
+       COALESCE(O.CODOPR, ' '), O.DESOPR, O.ABROPR, O.UNICRE, O.MOVORP
+FROM E725CRE R LEFT JOIN E044CCU C ON C.CODEMP = R.CODEMP AND C.CODCCU = R.CODCCU LEFT JOIN E720OPR O ON O.CODEMP = R.CODEMP AND O.CODCRE = R.CODCRE
+WHERE R.CODCRE IN ('3', '7', '900')"""),
+    "dp12_standard_cost": _sheet_sql("DIM_CUSTO_PADRAO_PRODUCAO", """
+SELECT PRODUTO, TRY_CAST(CODEMPRESA AS BIGINT) AS CODEMPRESA, TRY_CAST(replace(CUSTO_PADRAO, ',', '.') AS DOUBLE) AS CUSTO_PADRAO
+FROM s WHERE trim(PRODUTO) <> '' AND TRY_CAST(replace(CUSTO_PADRAO, ',', '.') AS DOUBLE) IS NOT NULL"""),
     "dp13_stoppages": _sql("E930MPR E018MTV E093ETG E044CCU", """
 SELECT S.CODETG, S.CODCRE, G.CODCCU, C.DESCCU, S.IDEBEM, S.DATMPR, S.CODMTV, M.DESMTV, M.ABRMTV, M.USU_TIPMTV AS TIPMTV,
        CASE WHEN M.USU_TIPMTV = 1 THEN 'Programado' ELSE 'Nao Programado' END AS DESTIP, M.USU_CLAMTV AS CLAMTV,
@@ -156,6 +211,17 @@ SELECT B.CODEMP, B.NUMMTC, M.TIPMTC, CASE M.TIPMTC WHEN '31' THEN 'REALIZADO' EL
        N.DESNTG, M.DATINI, M.DATFIM
 FROM E626ORC B JOIN E047NTG N ON N.CODEMP = B.CODEMP AND N.CODNTG = B.CODNTG JOIN E621MTC M ON M.CODEMP = B.CODEMP AND M.NUMMTC = B.NUMMTC
 WHERE B.CODCCU > '4000' AND B.CODCCU < '4300' AND B.NUMMTC > 1600 AND M.DATINI >= DATE '1999-06-15'"""),
+    "dp15_utilisation_target": _sheet_sql("FAT_UTILIZACAO_META_PRODUCAO", """
+SELECT CAST(DATA AS TIMESTAMP) AS DATA, trim(CD_CENTROCUSTO) AS CD_CENTROCUSTO, COALESCE(TRY_CAST(MIN_DIA AS DOUBLE), 0) AS MIN_DIA,
+       COALESCE(TRY_CAST(DIAS_UTEIS AS DOUBLE), 0) AS DIAS_UTEIS, COALESCE(TRY_CAST(LIMITE_SUPERIOR AS DOUBLE), 0) AS LIMITE_SUPERIOR, NOTA
+FROM s WHERE CD_CENTROCUSTO IS NOT NULL AND CAST(DATA AS TIMESTAMP) >= TIMESTAMP '1999-06-15 00:00:00'"""),
+    "dp17_rma_index": _sheet_sql("DIM_INDICE_RMA", "SELECT ID, NOME FROM s WHERE ID IS NOT NULL"),
+    "dp18_defect_reclassification": _sheet_sql("DIM_RECLASSIF_DEFEITOS", """
+SELECT trim(PRODUTO) AS PRODUTO, trim("CÓDIGO") AS "CÓDIGO", trim(NOVA) AS NOVA, trim(PRODUTO) || '|' || trim("CÓDIGO") AS PROD_COD_DEF
+FROM s WHERE trim(PRODUTO) NOT IN ('', 'nan') AND lower(trim("CÓDIGO")) NOT IN ('', 'nan')"""),
+    "dp19_product_reclassification": _sheet_sql("DIM_RECLASSIF_PRODUTOS", """
+SELECT trim("CÓD. PRODUTO") AS CD_PRODUTO, trim("NOVO CÓDIGO") AS CD_PRODUTO_NOVO, trim("SITUAÇÃO") AS DS_SIT_INDICADOR, trim(OUTRA) AS OUTRA
+FROM s WHERE trim("CÓD. PRODUTO") <> ''"""),
     "dp20_rma_sales": _sql("E140NFV E140IPV E140IDE E001TNS", """
 , m AS (
     SELECT CAST(date_trunc('month', T0.DATEMI) AS DATE) AS MES, T1.CODPRO, SUM(T1.QTDFAT) AS q
