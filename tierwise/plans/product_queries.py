@@ -25,10 +25,15 @@ BRONZE = {
         ("CODEMP", "CASE WHEN p_size % 5 = 0 THEN 2 ELSE 1 END"), ("CODPRO", "'' || (p_partkey % 700)"),
         ("CODDER", "CASE WHEN p_size % 4 = 0 THEN ' ' WHEN p_size % 4 = 1 THEN NULL ELSE p_brand END"), ("CODAGT", "p_type"),
         ("CODGTN", "'' || p_partkey"), ("SITDER", "CASE WHEN p_size % 3 = 0 THEN 'A' ELSE 'I' END"), ("COMDER", "p_size"),
-        ("ALTDER", "p_size * 2"), ("LARDER", "p_size * 3"), ("PESBRU", "p_retailprice"), ("PESLIQ", "p_retailprice")]),
+        ("ALTDER", "p_size * 2"), ("LARDER", "p_size * 3"), ("PESBRU", "p_retailprice"), ("PESLIQ", "p_retailprice"), ("CURABC", "CASE WHEN p_size % 2 = 0 THEN 'A' ELSE 'B' END")]),
+    # the variants the legacy table prefers (an input of DIM_PRODUTO_PRODUCAO), and the override tables of DIM_REGIONAL
+    "LEGACY": ("part", True, [("CODEMP", "1"), ("CODPRO", "'' || (p_partkey % 700)"), ("CODDER", "max(p_brand) OVER (PARTITION BY p_partkey % 700)")]),
+    "BY_REGION": ("nation", False, [("ID_REGIONAL", "n_nationkey * 6"), ("RESPONSAVEL", "'BY REGION ' || n_nationkey")]),
+    "BY_LOGIN": ("customer", False, [("LOGIN", "CASE WHEN c_custkey % 4 = 0 THEN lower(replace(replace(c_name, '#', '.'), '0', '')) END"), ("RESPONSAVEL", "'BY LOGIN ' || c_custkey")]),
     "E075PRO": ("part", False, [
         ("CODEMP", "1"), ("CODPRO", "'' || p_partkey"), ("DESPRO", "' ' || p_name"), ("CODCLF", "p_brand"),
-        ("PERIPI", "CAST(p_size AS DECIMAL(18,4))"), ("USU_INDFDL", "'N'")]),
+        ("PERIPI", "CAST(p_size AS DECIMAL(18,4))"), ("USU_INDFDL", "CASE WHEN p_size % 3 = 0 THEN 'S' ELSE 'N' END"), ("CODFAM", "p_brand"), ("UNIMED", "'UN'"), ("TIPPRO", "p_type"),
+        ("CODORI", "CASE WHEN p_size % 8 = 0 THEN 'SER' ELSE 'PRO' END"), ("CODAGE", "'A' || p_size"), ("SITPRO", "'A'"), ("DEPPAD", "'D' || (p_size % 4)")]),
     "E013AGP": ("part", True, [("CODEMP", "1"), ("CODAGP", "p_type"), ("DESAGP", "' ' || p_type")]),
     "E022CLF": ("part", True, [("CODCLF", "p_brand"), ("CLAFIS", "'N' || p_brand"), ("CODCES", "'C' || p_brand")]),
     "E090REP": ("customer", False, [
@@ -38,7 +43,18 @@ BRONZE = {
         ("CIDREP", "'city ' || c_nationkey"), ("SIGUFS", "'sp '"), ("FONREP", "'(' || c_custkey || ') 5-' || c_nationkey"),
         ("INTNET", "'A' || c_custkey || '@X.COM '"), ("USU_CODRVR", "c_nationkey"), ("DATCAD", "make_date(2000, 1 + c_nationkey % 12, 3)")]),
     "E026RAM": ("customer", True, [("CODRAM", "lower(c_mktsegment)"), ("DESRAM", "' ' || lower(c_mktsegment)")]),
-    "USU_T017RVR": ("nation", False, [("USU_CODRVR", "n_nationkey"), ("USU_NOMRVR", "lower(n_name)")]),
+    "USU_T017RVR": ("nation", False, [("USU_CODRVR", "n_nationkey"), ("USU_NOMRVR", "lower(n_name)"), ("USU_USUCOR", "CASE WHEN n_nationkey % 5 = 4 THEN NULL ELSE n_nationkey * 2 END"),
+                                       ("USU_USUASS", "n_nationkey * 3 + 100"), ("USU_DATGER", "make_date(2001, 1 + n_nationkey % 12, 5)")]),
+    "R999USU": ("customer", False, [("CODUSU", "c_custkey"), ("NOMUSU", "replace(replace(c_name, '#', '.'), '0', '')")]),
+    "USU_T101MET": ("lineitem", False, [
+        ("USU_CODEMP", "CASE WHEN l_linenumber = 7 THEN 2 ELSE 1 END"), ("USU_MESANO", "make_date(year(l_shipdate), month(l_shipdate), 1)"),
+        ("USU_CODTIP", "l_partkey % 5"), ("USU_SEQREG", "l_orderkey"), ("USU_CODCRI", "l_suppkey % 6"), ("USU_CODRVR", "l_suppkey % 30"),
+        ("USU_CODREP", "l_orderkey % 2000"), ("USU_CODAGP", "CASE WHEN l_partkey % 2 = 0 THEN 'PROMO' ELSE 'SMALL' END"), ("USU_CODPRO", "'' || l_partkey"),
+        ("USU_VLRMET", "l_extendedprice"), ("USU_PESCRI", "l_linenumber"), ("USU_DATGER", "l_shipdate"), ("USU_NOMUSU", "' ' || lower(l_returnflag)")]),
+    "USU_T101TIP": ("nation", False, [("USU_CODTIP", "n_nationkey"), ("USU_DESTIP", "lower(n_name) || ' '")]),
+    "USU_T101CRI": ("nation", False, [
+        ("USU_CODCRI", "n_nationkey"), ("USU_DESCRI", "lower(n_name)"), ("USU_UNICRI", "n_nationkey % 4"), ("USU_DIRCRI", "n_nationkey % 3")]),
+    "E012FAM": ("part", True, [("CODEMP", "1"), ("CODFAM", "p_brand"), ("DESFAM", "'F ' || p_brand")]),
     "USU_T650CUS": ("lineitem", False, [
         ("USU_CODEMP", "CASE WHEN l_suppkey % 3 = 0 THEN 1 WHEN l_suppkey % 3 = 1 THEN 50 ELSE 2 END"),
         ("USU_MESANO", "make_date(year(l_shipdate), month(l_shipdate), 1)"), ("USU_CODMPC", "CASE WHEN l_linenumber % 2 = 0 THEN '802' ELSE '801' END"),
@@ -117,8 +133,10 @@ def _sheet(spark, d, product: str) -> DataFrame | None:
 
 
 def _query(product: str, **inputs):
+    """``inputs``: keyword inputs of the builder, a frame's name or a value."""
     def run(spark, d) -> DataFrame:
-        df = build_product(product, _bronze(spark, d), PARAMS, sheet=_sheet(spark, d, product), **inputs)
+        df = build_product(product, _bronze(spark, d), PARAMS, sheet=_sheet(spark, d, product),
+                           **{k: _bronze(spark, d)(v) if v in BRONZE else v for k, v in inputs.items()})
         return df.select(*[F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, DecimalType) else F.col(f.name) for f in df.schema.fields])
     return run
 
@@ -140,7 +158,10 @@ PRODUCT_QUERIES = {
     "dp01_payment_terms": _query("DIM_CONDICAO_PAGAMENTO"),
     "dp02_product_variants": _query("DIM_PRODUTO"),
     "dp03_sales_reps": _query("DIM_REPRESENTANTE"),
+    "dp04_regions": _query("DIM_REGIONAL", by_region="BY_REGION", by_login="BY_LOGIN"),
+    "dp05_targets": _query("FAT_METAS"),
     "dp08_opex_budget": _query("FAT_ORCAMENTO_OPEX"),
+    "dp10_production_products": _query("DIM_PRODUTO_PRODUCAO", legacy="LEGACY"),
     "dp11_cost_centres": _query("DIM_CENTRO_CUSTO_PRODUCAO", listed_resources=LISTED_RESOURCES),
     "dp12_standard_cost": _query("DIM_CUSTO_PADRAO_PRODUCAO"),
     "dp13_stoppages": _query("FAT_PARADAS_PRODUCAO"),
@@ -174,6 +195,24 @@ SELECT R.CODREP, lpad('' || R.CGCCPF, CASE R.TIPREP WHEN 'F' THEN 11 ELSE 14 END
        upper(trim(R.CIDREP)) AS CIDADE, upper(trim(R.SIGUFS)) AS ESTADO, regexp_replace(R.FONREP, '[^0-9]', '', 'g') AS TELEFONE,
        lower(trim(R.INTNET)) AS EMAIL, R.USU_CODRVR AS ID_REGIONAL, upper(trim(G.USU_NOMRVR)) AS NOME_REGIONAL, CAST(R.DATCAD AS DATE) AS DT_CADASTRO
 FROM E090REP R LEFT JOIN E026RAM M ON M.CODRAM = R.USU_CODRAM LEFT JOIN USU_T017RVR G ON G.USU_CODRVR = R.USU_CODRVR"""),
+    "dp04_regions": _sql("USU_T017RVR R999USU BY_REGION BY_LOGIN", """
+SELECT R.USU_CODRVR AS ID_REGIONAL, upper(R.USU_NOMRVR) AS REGIONAL, 'R' || lpad('' || R.USU_CODRVR, 2, '0') || ' - ' || upper(R.USU_NOMRVR) AS NOME_REGIONAL,
+       COALESCE(A.RESPONSAVEL, L.RESPONSAVEL, upper(replace(K.NOMUSU, '.', ' ')), 'NÃO IDENTIFICADO') AS RESPONSAVEL,
+       COALESCE(upper(replace(S.NOMUSU, '.', ' ')), 'NÃO IDENTIFICADO') AS ASSISTENTE, R.USU_DATGER AS DT_CADASTRO
+FROM USU_T017RVR R LEFT JOIN R999USU K ON K.CODUSU = R.USU_USUCOR LEFT JOIN R999USU S ON S.CODUSU = R.USU_USUASS
+LEFT JOIN BY_REGION A ON A.ID_REGIONAL = R.USU_CODRVR LEFT JOIN BY_LOGIN L ON L.LOGIN = lower(K.NOMUSU)"""),
+    "dp05_targets": _sql("USU_T101MET USU_T101TIP USU_T101CRI USU_T017RVR E090REP E013AGP E075PRO", """
+SELECT M.USU_CODEMP AS CODEMP, M.USU_MESANO AS MESANO, M.USU_CODTIP AS CODTIP, M.USU_SEQREG AS SEQREG, upper(trim(T.USU_DESTIP)) AS DESC_TIPO,
+       M.USU_CODCRI AS CODCRI, upper(trim(C.USU_DESCRI)) AS DESC_CRITERIO, C.USU_UNICRI AS UNICRI,
+       CASE C.USU_UNICRI WHEN 1 THEN 'QUANTIDADE' WHEN 2 THEN 'VALOR' WHEN 3 THEN 'PERCENTUAL' ELSE 'NÃO DEFINIDO' END AS DESC_UNICRI, C.USU_DIRCRI AS DIRCRI,
+       CASE C.USU_DIRCRI WHEN 1 THEN 'MAXIMIZAR' WHEN 2 THEN 'MINIMIZAR' ELSE 'NÃO DEFINIDO' END AS DESC_DIRCRI, M.USU_CODRVR AS CODRVR,
+       upper(trim(V.USU_NOMRVR)) AS NOME_REGIONAL, M.USU_CODREP AS CODREP, upper(trim(R.NOMREP)) AS NOME_REP, M.USU_CODAGP AS CODAGP,
+       upper(trim(A.DESAGP)) AS DESC_MIX, M.USU_CODPRO AS CODPRO, upper(trim(P.DESPRO)) AS DESC_PRODUTO, M.USU_VLRMET AS VLR_META,
+       M.USU_PESCRI AS PESO_CRITERIO, M.USU_DATGER AS DT_CRIACAO, upper(trim(M.USU_NOMUSU)) AS USUARIO
+FROM USU_T101MET M LEFT JOIN USU_T101TIP T ON T.USU_CODTIP = M.USU_CODTIP LEFT JOIN USU_T101CRI C ON C.USU_CODCRI = M.USU_CODCRI
+LEFT JOIN USU_T017RVR V ON V.USU_CODRVR = M.USU_CODRVR LEFT JOIN E090REP R ON R.CODREP = M.USU_CODREP
+LEFT JOIN E013AGP A ON A.CODEMP = M.USU_CODEMP AND A.CODAGP = M.USU_CODAGP LEFT JOIN E075PRO P ON P.CODEMP = M.USU_CODEMP AND P.CODPRO = M.USU_CODPRO
+WHERE M.USU_CODEMP = 1"""),
     "dp08_opex_budget": _sql("USU_T650CUS USU_T650ORC E044CCU R910USU E043PCM", """
 SELECT B.USU_CODEMP AS EMP, B.USU_MESANO AS COMP, B.USU_CODCCU AS CC, B.USU_CTADRE AS CDESP, B.USU_ORCMES AS ORCADO,
        CAST((SELECT SUM(A.USU_SALMES) FROM USU_T650CUS A WHERE A.USU_CODEMP = B.USU_CODEMP AND A.USU_MESANO = B.USU_MESANO
@@ -184,6 +223,15 @@ FROM USU_T650ORC B LEFT JOIN E044CCU C ON C.CODEMP = B.USU_CODEMP AND C.CODCCU =
 LEFT JOIN R910USU O ON O.CODENT = C.USU_CODRES LEFT JOIN R910USU K ON K.CODENT = C.USU_CODCOR
 LEFT JOIN E043PCM E ON E.CTARED = B.USU_CTADRE AND E.CODMPC = B.USU_CODMPC
 WHERE B.USU_CODEMP IN (1, 50) AND B.USU_CODMPC = '801'"""),
+    "dp10_production_products": _sql("E075PRO E075DER E013AGP E012FAM LEGACY", """
+, j AS (
+    SELECT P.CODEMP, P.CODPRO, P.DESPRO, D.CODDER, P.CODFAM, F.DESFAM, P.UNIMED, P.TIPPRO, P.CODORI, P.CODAGE, D.CODAGT, A.DESAGP, P.SITPRO, D.CURABC,
+           P.DEPPAD, P.USU_INDFDL, CASE WHEN NULLIF(trim(D.CODDER), '') = NULLIF(trim(L.CODDER), '') THEN 0 ELSE 1 END AS pri
+    FROM E075PRO P LEFT JOIN E075DER D ON D.CODEMP = P.CODEMP AND D.CODPRO = P.CODPRO LEFT JOIN E013AGP A ON A.CODEMP = P.CODEMP AND A.CODAGP = D.CODAGT
+    LEFT JOIN E012FAM F ON F.CODEMP = P.CODEMP AND F.CODFAM = P.CODFAM LEFT JOIN LEGACY L ON L.CODEMP = P.CODEMP AND L.CODPRO = P.CODPRO
+    WHERE P.CODEMP = 1 AND P.CODORI <> 'SER'),
+r AS (SELECT *, row_number() OVER (PARTITION BY CODPRO ORDER BY pri, CODDER NULLS LAST, CODAGT NULLS FIRST, DESAGP NULLS FIRST, CURABC NULLS FIRST) AS n FROM j)
+SELECT * EXCLUDE (pri, n) FROM r WHERE n = 1"""),
     "dp11_cost_centres": _sql("E720OPR E725CRE E044CCU E093ETG", """
 SELECT COALESCE(O.CODCCU, ' ') AS CODCCU, C.DESCCU, C.ABRCCU, C.CCUPAI, COALESCE(O.CODETG, ' ') AS CODETG, G.DESETG, G.ABRETG,
        COALESCE(O.CODCRE, ' ') AS CODCRE, R.DESCRE, R.ABRCRE, COALESCE(O.CODOPR, ' ') AS CODOPR, O.DESOPR, O.ABROPR, O.UNICRE, O.MOVORP
