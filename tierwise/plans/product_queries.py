@@ -90,10 +90,22 @@ BRONZE = {
         ("DESMTC", "s_name"), ("DATINI", "make_date(1995 + s_nationkey % 8, 1 + s_nationkey % 12, 1)"), ("DATFIM", "make_date(2010, 1 + s_nationkey % 12, 1)")]),
     "E140NFV": ("orders", False, [
         ("CODEMP", "1"), ("CODFIL", "1"), ("CODSNF", "'S'"), ("NUMNFV", "o_orderkey"), ("DATEMI", "o_orderdate"),
-        ("SITNFV", "CASE WHEN o_orderstatus = 'P' THEN '1' ELSE '2' END"), ("TIPNFS", "o_custkey % 10")]),
+        ("SITNFV", "CASE WHEN o_orderstatus = 'P' THEN '1' ELSE '2' END"), ("TIPNFS", "o_custkey % 10"), ("CODCLI", "o_custkey"), ("CODREP", "o_custkey % 500")]),
     "E140IPV": ("lineitem", False, [
         ("CODEMP", "1"), ("CODFIL", "1"), ("CODSNF", "'S'"), ("NUMNFV", "l_orderkey"), ("CODPRO", "'' || (l_partkey % 50)"),
-        ("QTDFAT", "CAST(l_quantity AS DECIMAL(18,4))"), ("TNSPRO", "l_returnflag")]),
+        ("QTDFAT", "CAST(l_quantity AS DECIMAL(18,4))"), ("TNSPRO", "l_returnflag"), ("NUMPED", "l_orderkey"), ("SEQIPD", "l_linenumber"), ("SEQIPV", "l_linenumber"),
+        ("CODDEP", "CASE l_linenumber % 3 WHEN 0 THEN 'EXP' WHEN 1 THEN 'E-COMMERCE' ELSE 'OUT' END")]),
+    "E120IPD": ("lineitem", True, [
+        ("CODEMP", "1"), ("CODFIL", "1"), ("NUMPED", "l_orderkey"), ("SEQIPD", "l_linenumber"), ("TNSPRO", "CASE l_linenumber % 2 WHEN 0 THEN '90999' ELSE '90100' END")]),
+    "E085CLI": ("customer", False, [
+        ("CODCLI", "c_custkey"), ("NOMCLI", "c_name"), ("APECLI", "lower(c_name)"), ("TIPCLI", "'J'"), ("SIGUFS", "'SP'"), ("CIDCLI", "'' || c_nationkey"), ("CODRAM", "c_mktsegment")]),
+    "USU_T140QRC": ("lineitem", False, [
+        ("USU_CODEMP", "1"), ("USU_CODFIL", "1"), ("USU_CODSNF", "'S'"), ("USU_NUMNFV", "l_orderkey"), ("USU_SEQIPV", "l_linenumber"),
+        ("USU_CODBAR", "'B' || l_orderkey || '-' || l_linenumber"), ("USU_DATGER", "l_shipdate")]),
+    "USU_VZRASLAU": ("orders", False, [
+        ("USU_CODBAR", "'B' || o_orderkey || '-1'"), ("EMPNFV", "1"), ("FILNFV", "1"), ("CODFOR", "o_custkey"), ("NOMFOR", "o_orderpriority"), ("NUMOCP", "o_orderkey"),
+        ("USU_NUMINV", "o_custkey + 1"), ("NUMNFC", "o_orderkey + 1"), ("DATEMIOCP", "o_orderdate"), ("USU_DATEMB", "o_orderdate + INTERVAL 1 DAY"),
+        ("DATEMINFC", "o_orderdate + INTERVAL 2 DAY"), ("DATENTNFC", "o_orderdate + INTERVAL 3 DAY")]),
     "E140IDE": ("orders", False, [
         ("CODEMP", "1"), ("CODFIL", "1"), ("CODSNF", "'S'"), ("NUMNFV", "o_orderkey"), ("SITDOE", "CASE WHEN o_orderkey % 4 = 0 THEN 2 ELSE 3 END")]),
     "E001TNS": ("lineitem", True, [("CODEMP", "1"), ("CODTNS", "l_returnflag"), ("VENFAT", "CASE WHEN l_returnflag = 'R' THEN 'N' ELSE 'S' END")]),
@@ -114,7 +126,7 @@ SHEETS = {
         ("Cód. Produto", "CASE WHEN p_size % 5 = 0 THEN NULL ELSE ' P' || p_partkey END"), ("Novo Código", "p_brand"), ("Situação", "p_type || ' '"), ("Outra", "p_name")]),
 }
 LISTED_RESOURCES = ("3", "7", "900")
-PARAMS = ProductParams(as_of="2002-01-01 00:00:00", production_cutoff="1999-06-15", reports_cutoff="2000-01-01")
+PARAMS = ProductParams(as_of="2002-01-01 00:00:00", production_cutoff="1999-06-15", reports_cutoff="2000-01-01", trace_cutoff="2000-01-01")
 
 
 def _bronze(spark, d):
@@ -161,6 +173,7 @@ PRODUCT_QUERIES = {
     "dp04_regions": _query("DIM_REGIONAL", by_region="BY_REGION", by_login="BY_LOGIN"),
     "dp05_targets": _query("FAT_METAS"),
     "dp08_opex_budget": _query("FAT_ORCAMENTO_OPEX"),
+    "dp09_traceability": _query("FAT_RASTREABILIDADE"),
     "dp10_production_products": _query("DIM_PRODUTO_PRODUCAO", legacy="LEGACY"),
     "dp11_cost_centres": _query("DIM_CENTRO_CUSTO_PRODUCAO", listed_resources=LISTED_RESOURCES),
     "dp12_standard_cost": _query("DIM_CUSTO_PADRAO_PRODUCAO"),
@@ -223,6 +236,15 @@ FROM USU_T650ORC B LEFT JOIN E044CCU C ON C.CODEMP = B.USU_CODEMP AND C.CODCCU =
 LEFT JOIN R910USU O ON O.CODENT = C.USU_CODRES LEFT JOIN R910USU K ON K.CODENT = C.USU_CODCOR
 LEFT JOIN E043PCM E ON E.CTARED = B.USU_CTADRE AND E.CODMPC = B.USU_CODMPC
 WHERE B.USU_CODEMP IN (1, 50) AND B.USU_CODMPC = '801'"""),
+    "dp09_traceability": _sql("E140IPV E140NFV E085CLI E090REP E026RAM E075PRO E120IPD USU_T140QRC USU_VZRASLAU", """
+SELECT I.NUMNFV, I.NUMPED, I.CODPRO, P.DESPRO, CAST(I.QTDFAT AS DOUBLE) AS QTDFAT, N.CODCLI, N.CODREP, N.DATEMI, C.NOMCLI, C.APECLI, C.TIPCLI, C.SIGUFS, C.CIDCLI, C.CODRAM,
+       R.NOMREP, R.APEREP, R.TIPREP, R.USU_CODRAM AS CANREP, A.DESRAM, Q.USU_CODBAR AS CODBAR, Q.USU_DATGER AS DATGER, V.CODFOR, V.NOMFOR, V.NUMOCP,
+       V.USU_NUMINV AS NUMINV, V.NUMNFC, V.DATEMIOCP AS DATOCP, V.USU_DATEMB AS DATEMB, V.DATEMINFC, V.DATENTNFC, CAST(NULL AS VARCHAR) AS MIX, CAST(NULL AS VARCHAR) AS ORIGEM
+FROM E140IPV I JOIN E140NFV N ON N.NUMNFV = I.NUMNFV JOIN E085CLI C ON C.CODCLI = N.CODCLI JOIN E090REP R ON R.CODREP = N.CODREP JOIN E026RAM A ON A.CODRAM = R.USU_CODRAM
+JOIN E075PRO P ON P.CODPRO = I.CODPRO JOIN E120IPD D ON D.NUMPED = I.NUMPED AND D.SEQIPD = I.SEQIPD
+JOIN USU_T140QRC Q ON Q.USU_NUMNFV = I.NUMNFV AND Q.USU_SEQIPV = I.SEQIPV LEFT JOIN USU_VZRASLAU V ON V.USU_CODBAR = Q.USU_CODBAR
+WHERE I.CODDEP IN ('EXP', 'E-COMMERCE') AND CAST(N.DATEMI AS DATE) >= DATE '2000-01-01' AND CAST(Q.USU_DATGER AS DATE) >= DATE '2000-01-01'
+  AND D.TNSPRO IN ('90100', '90101', '90120', '90170', '90171')"""),
     "dp10_production_products": _sql("E075PRO E075DER E013AGP E012FAM LEGACY", """
 , j AS (
     SELECT P.CODEMP, P.CODPRO, P.DESPRO, D.CODDER, P.CODFAM, F.DESFAM, P.UNIMED, P.TIPPRO, P.CODORI, P.CODAGE, D.CODAGT, A.DESAGP, P.SITPRO, D.CURABC,
