@@ -27,7 +27,10 @@ from ..sources.store import VersionedTable
 def incremental_ingest(spark: SparkSession, spec: TableSpec, source_dir: str, schema: StructType,
                        target: VersionedTable, as_of, checkpoint: str,
                        max_files_per_trigger: int | None = None, drift: str = "fail") -> list[LoadResult]:
-    """Merge every not-yet-seen file of ``source_dir`` into ``target``."""
+    """Merge every not-yet-seen file of ``source_dir`` into ``target``; a table
+    without keys is replaced as a whole by the batch path and refused here."""
+    if spec.keyless:
+        raise ValueError(f"{spec.name} has no keys: its files cannot be merged one by one")
     # deliveries may land in sub-folders; they are never partition columns
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
@@ -35,8 +38,6 @@ def incremental_ingest(spark: SparkSession, spec: TableSpec, source_dir: str, sc
     stream = reader.parquet(source_dir)
     # the micro-batch *is* the change set: no look-back window on top of it
     # (the order that picks one of several rows of a key stays that of the batch path)
-    if spec.keyless:
-        raise ValueError(f"{spec.name}: a table without keys is replaced as a whole; its files cannot be merged one by one")
     batch_spec = dataclasses.replace(spec, audit_col=None, fallback_col=None, sentinel=None, order=spec.dedup_order())
     results: list[LoadResult] = []
 
