@@ -39,6 +39,8 @@ from tierwise.llm.common import connected_components, fresh, member_words, row_s
 
 _BASE = 0x9E3779B97F4A7C15
 _POWERS: list = []
+_SOLID = np.ones(256, bool)
+_SOLID[[9, 10, 11, 12, 13, 32]] = False
 SKETCH_BITS = 32
 
 
@@ -54,19 +56,17 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
-def selections(edits: int, delta: int, length: int) -> list[tuple[int, int, int, int]]:
-    """``(segment, first place, last place, size)`` (from 0) at which a line may hold
-    a segment of a line of ``length`` that is shorter by ``delta``: the places from
-    which the edits left and right of the segment can still add up to the threshold."""
-    parts, out, at = edits + 1, [], 0
-    for i in range(parts):
-        size = length // parts + (1 if i >= parts - length % parts else 0)
-        lo = max(0, at - i, at + delta - (edits - i))
-        hi = min(length + delta - size, at + i, at + delta + (edits - i))
-        if lo <= hi:
-            out.append((i, lo, hi, size))
-        at += size
-    return out
+def selections(edits: int, delta: int, i: int, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(first place, last place, size)`` at which a line may hold segment ``i`` of
+    a line of ``length`` that is shorter by ``delta``: the places from which the
+    edits left and right of the segment can still add up to the threshold."""
+    parts = edits + 1
+    even, longer = length // parts, length % parts         # the last segments take the rest
+    size = even + (i >= parts - longer)
+    at = i * even + np.maximum(0, i - (parts - longer))
+    lo = np.maximum(np.maximum(0, at - i), at + delta - (edits - i))
+    hi = np.minimum(np.minimum(length + delta - size, at + i), at + delta + (edits - i))
+    return lo, hi, size
 
 
 class Lines:
@@ -85,7 +85,7 @@ class Lines:
 
     def blank(self) -> np.ndarray:
         """Lines of white space only."""
-        solid = np.concatenate(([0], np.cumsum(~np.isin(self.data, [9, 10, 11, 12, 13, 32]))))
+        solid = np.concatenate(([0], np.cumsum(_SOLID[self.data])))
         return solid[self.end] == solid[self.start]
 
     def digests(self, which: np.ndarray) -> list[bytes]:
@@ -117,21 +117,21 @@ class Lines:
         power, inverse = _powers(len(self.data) + 1)
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * power[:len(self.data)], dtype=np.uint64)))
         lines, keys = [], []
-        chars = self.chars[which]
-        order = np.argsort(chars, kind="stable")
-        cuts = np.flatnonzero(np.diff(chars[order], prepend=-1))
-        for a, b in zip(cuts, [*cuts[1:], len(order)]):
-            at = order[a:b]
-            length, first = int(chars[order[a]]), self.first[which[at]]
-            for delta in range(edits + 1):
-                for i, lo, hi, size in selections(edits, delta, length - delta) if length - delta > edits else []:
-                    tag = np.uint64(((length - delta) * 64 + i) * 0xD6E8FEB86659FD93 % (1 << 64))
-                    for p in range(lo, hi + 1):
-                        s, e = self.points[first + p], self.points[first + p + size]
-                        h = (sums[e] - sums[s]) * inverse[s] + tag
-                        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-                        lines.append(which[at])
-                        keys.append(h ^ (h >> np.uint64(29)))
+        for delta in range(edits + 1):
+            length = self.chars[which] - delta
+            for i in range(edits + 1):
+                lo, hi, size = selections(edits, delta, i, length)
+                tag = (length.astype(np.uint64) * np.uint64(64) + np.uint64(i)) * np.uint64(0xD6E8FEB86659FD93)
+                for step in range(2 * edits + 1):
+                    at = np.flatnonzero((lo + step <= hi) & (length > edits))
+                    if not len(at):
+                        break
+                    p = self.first[which[at]] + lo[at] + step
+                    s, e = self.points[p], self.points[p + size[at]]
+                    h = (sums[e] - sums[s]) * inverse[s] + tag[at]
+                    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+                    lines.append(which[at])
+                    keys.append(h ^ (h >> np.uint64(29)))
         if not lines:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         return np.concatenate(lines), np.concatenate(keys).view(np.int64)
