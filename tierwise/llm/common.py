@@ -12,14 +12,22 @@ from pyspark.sql import functions as F
 
 from tierwise.session import scratch_path
 
+BATCH_BYTES = "8m"
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the batches that Python workers get by bytes of text, so a worker's
+    memory does not depend on how long the documents are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table; Python workers on this machine find the package where the driver
     found it (a cluster gets it with ``--py-files``)."""
+    small_batches(spark)
     env = spark.sparkContext.environment
-    if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
+    if not any(ROOT in e.get("PYTHONPATH", "").split(os.pathsep) for e in (env, os.environ)):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, env.get("PYTHONPATH", "")]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -31,6 +39,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     once however often the result is used.
     """
     spark = df.sparkSession
+    small_batches(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

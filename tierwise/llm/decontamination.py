@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierwise.llm.common import row_slices, utf8
+from tierwise.llm.common import row_slices, small_batches, utf8
 
 Q = 8
 SEPARATOR = 0x0A
@@ -259,6 +259,7 @@ def _clean(shared, text_at: int):
 
 def indexes(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", index_bytes: int = 8 << 20, **options) -> Iterator:
     """A broadcast index for each block of items, at most about ``index_bytes`` of text."""
+    small_batches(benchmark.sparkSession)
     items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // index_bytes))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierwise.llm.common import row_slices, utf8
+from tierwise.llm.common import row_slices, small_batches, utf8
 
 UNKNOWN = "und"
 BUCKETS = 1 << 17
@@ -161,7 +161,7 @@ def classify(texts: list[str], model: dict, penalty: float) -> tuple[list, list,
     scores, starts, ends, letters, docs = [], [], [], [], []
     lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
     at = np.concatenate(([0], np.cumsum(lengths)))
-    for i, j in row_slices(at, 1 << 20):
+    for i, j in row_slices(at, 1 << 18):
         start, end, script, count, first, buckets = _grams(np.frombuffer("\n".join(texts[i:j]).encode("utf-32-le", "surrogatepass"), np.uint32))
         if not len(start) or not k:
             continue
@@ -214,6 +214,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         sample_docs: int = 4000, max_langs: int = 200) -> dict:
     """Model of at most ``max_langs`` languages (the most frequent ones), trained on
     about ``sample_docs`` labelled documents outside the held-out fold."""
+    small_batches(docs.sparkSession)
     usable = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     usable = usable.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("id").isNotNull() & ~held_out("id"))
     sizes = [(r["lang"], r["n"]) for r in usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).collect()]

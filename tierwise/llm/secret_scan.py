@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierwise.llm.common import utf8
+from tierwise.llm.common import small_batches, utf8
 
 KINDS = ("assign", "access", "hex")
 # The base patterns and their least lengths.
@@ -166,5 +166,6 @@ def _scan(threshold: float):
 
 def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 4.0) -> DataFrame:
     """``id, n_assign, n_access, n_hex, base_sha256, spans``, one row per document."""
+    small_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return src.mapInArrow(_scan(threshold), "id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")

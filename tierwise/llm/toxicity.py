@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierwise.llm.common import row_slices, utf8
+from tierwise.llm.common import row_slices, small_batches, utf8
 
 BUCKETS = 1 << 22
 GRADES = 3
@@ -187,6 +187,7 @@ def train(samples: list[tuple[bytes, int]], min_chi2: float = 8.0, min_docs: int
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = 4000) -> dict:
     """Model from about ``sample_docs`` labelled documents, toxic ones up to half."""
+    small_batches(docs.sparkSession)
     marks = (labels.select(F.col(id_col).alias("id"), F.col("toxic").cast("int").alias("toxic"), F.col("quality").cast("int").alias("quality"))
              .where("id IS NOT NULL AND toxic IN (0, 1)")
              .groupBy("id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
