@@ -390,7 +390,8 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     heads = linked.groupBy("component").agg(F.min("first").alias("head"))
     chosen = (linked.join(heads, "component").select("digest", "head")
               .union(classed.where("component IS NULL").select("digest", F.col("first").alias("head"))))
-    chosen = chosen.groupBy("digest").agg(F.min("head").alias("head"))
+    # written, so that both sides of the join are shuffled and Spark can split a frequent line
+    chosen = written(chosen.groupBy("digest").agg(F.min("head").alias("head")), "lines-chosen")
     gone = places.join(chosen, "digest").where(~(place == F.col("head")))
     return gone.select("id", "line").distinct().groupBy("id").agg(F.array_sort(F.collect_list("line")).alias("lines"))
 
