@@ -9,7 +9,8 @@ grams (leftmost at ties).  Equal windows have equal anchors at equal places, so
    unique cannot repeat;
 2. every run of windows with a repeated anchor, with its bytes, goes to the suffix
    bucket of that anchor; copies within a batch are settled before the shuffle;
-3. the buckets are sorted one block at a time by a difference cover: positions
+3. in a bucket, equal runs collapse to the first; the distinct ones of one block of
+   buckets at a time are sorted by a difference cover: positions
    congruent to 0, 1 or 3 modulo 7 are the sample, whose ranks come from doubling;
    two windows agree if their first seven and last nine bytes do and their sample
    positions at one common shift (there always is one below seven) have the same
@@ -42,6 +43,7 @@ GRAM = 24
 #: A perfect difference cover: every difference modulo PERIOD is one of two members.
 PERIOD, COVER = 7, (0, 1, 3)
 NO_ID = -(1 << 63)
+PART_BYTES = 8 << 20
 SPAN, LATER = 0, 1
 _BASE = 0x9E3779B97F4A7C15
 _POWERS: list = []
@@ -138,8 +140,17 @@ def _batch(kind, key, ids, first, n, raw=None) -> pa.RecordBatch:
 
 def _contexts(length: int):
     """Runs of windows with a repeated anchor: their bytes to the anchor's bucket.
-    Of equal runs in a batch the first is sent and the others are covered (kind
-    ``SPAN``, dealt by a key of their own)."""
+    Of equal runs in a part of a batch the first is sent and the others are covered
+    (kind ``SPAN``, dealt by a key of their own)."""
+    def out(seen: dict, spans: list) -> Iterator[pa.RecordBatch]:
+        sent = list(seen.values())
+        for a in range(0, len(sent), 8192):
+            d, f, n, k, text = zip(*sent[a:a + 8192])
+            yield _batch(LATER, k, d, f, n, text)
+        for a in range(0, len(spans), 65536):
+            d, f, n = zip(*spans[a:a + 65536])
+            yield _batch(SPAN, np.array(d) ^ np.array(f), d, f, n)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -148,7 +159,12 @@ def _contexts(length: int):
             repeated = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
             seen: dict[bytes, tuple] = {}
             spans: list = []
+            size = 0
             for i, j, data, offsets in _joined(batch, 1):
+                size += len(data)
+                if size > PART_BYTES:
+                    yield from out(seen, spans)
+                    seen, spans, size = {}, [], len(data)
                 row, first, count, key = anchored_runs(data, offsets, length)
                 per = np.repeat(np.arange(i, j), np.diff(ends[i:j + 1])).astype(np.uint64)
                 salt = np.uint64(_BASE)
@@ -163,13 +179,7 @@ def _contexts(length: int):
                         seen[mark], mine = mine, had
                     if mine is not None and mine[:2] != seen[mark][:2]:
                         spans.append(mine[:3])
-            sent = list(seen.values())
-            for a in range(0, len(sent), 8192):
-                d, f, n, k, text = zip(*sent[a:a + 8192])
-                yield _batch(LATER, k, d, f, n, text)
-            for a in range(0, len(spans), 65536):
-                d, f, n = zip(*spans[a:a + 65536])
-                yield _batch(SPAN, np.array(d) ^ np.array(f), d, f, n)
+            yield from out(seen, spans)
     return run
 
 
@@ -262,11 +272,23 @@ def _buckets(length: int, block_bytes: int, bucket_bytes: int):
         yield _batch(SPAN, np.zeros(len(a), np.int64), ids[owner[a]], start[a], k[last] - a + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups, held, key, group, size, large = [], 0, None, [], 0, False
+        groups, held, key, large = [], 0, None, False
+        runs: dict[bytes, tuple] = {}           # of the bucket read: each distinct run once, its first place
+        size = 0
 
         def later():
-            d, f, n, text = zip(*group)
-            return _batch(LATER, [key] * len(group), d, f, n, text)
+            return _batch(LATER, [key] * len(runs), *zip(*[(d, f, n) for d, f, n, _ in runs.values()]), list(runs))
+
+        def ended():
+            nonlocal groups, held
+            if large:
+                yield later()
+            elif len(runs) > 1:
+                groups.append(list(runs.values()))
+                held += size
+                if held > block_bytes:
+                    yield from block(groups)
+                    groups, held = [], 0
 
         for batch in batches:
             kinds = batch.column(0).to_numpy(zero_copy_only=False)
@@ -274,27 +296,28 @@ def _buckets(length: int, block_bytes: int, bucket_bytes: int):
             if len(span):
                 yield batch.take(pa.array(span))
             rows = batch.take(pa.array(np.flatnonzero(kinds == LATER)))
+            equal: list = []
             for k, d, f, n, text in zip(*(rows.column(c).to_pylist() for c in range(1, 6))):
                 if k != key:
-                    if large and group:
-                        yield later()
-                    elif len(group) > 1:
-                        groups.append(group)
-                        held += size
-                        if held > block_bytes:
-                            yield from block(groups)
-                            groups, held = [], 0
-                    key, group, size, large = k, [], 0, False
-                group.append((d, f, n, text))
+                    if runs:
+                        yield from ended()
+                    key, runs, size, large = k, {}, 0, False
+                had = runs.get(text)
+                if had is not None:             # places come in order, so this one is later or the same
+                    if (d, f) != had[:2]:
+                        equal.append((d, f, n))
+                    continue
+                runs[text] = (d, f, n, text)
                 size += len(text)
                 if size > bucket_bytes:
                     large = True
                     yield later()
-                    group, size = [], 0
-        if large and group:
-            yield later()
-        elif len(group) > 1:
-            groups.append(group)
+                    runs, size = {}, 0
+            if equal:
+                d, f, n = zip(*equal)
+                yield _batch(SPAN, np.zeros(len(d), np.int64), d, f, n)
+        if runs:
+            yield from ended()
         yield from block(groups)
     return run
 
@@ -315,7 +338,8 @@ def _windows(length: int):
 def _spans_of(docs: DataFrame, length: int, block_bytes: int, bucket_bytes: int) -> DataFrame:
     """``(id, first, n)``: runs of windows that start earlier elsewhere."""
     anchors = docs.mapInArrow(_anchors(length), "id long, key long")
-    repeated = anchors.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    # written, so that both sides of the join are shuffled and Spark can split a frequent anchor
+    repeated = written(anchors.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "substring-repeated")
     wanted = written(anchors.join(repeated, "key").groupBy("id").agg(F.collect_set("key").alias("keys")), "substring-anchors")
     holders, _ = split_by_members(docs, "id", member_words(wanted.select("id")))
     runs = holders.join(wanted, "id").select("id", "text", "keys").mapInArrow(_contexts(length), _SCHEMA)
@@ -362,7 +386,7 @@ def _cut(length: int):
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100,
-                    block_bytes: int = 2 << 20, bucket_bytes: int = 4 << 20) -> DataFrame:
+                    block_bytes: int = 1 << 20, bucket_bytes: int = 4 << 20) -> DataFrame:
     """``(id, n_bytes, n_removed, n_spans, kept_sha256, kept)``, one row per document;
     ``kept`` are the bytes left."""
     if length < 2 * GRAM:
