@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -344,6 +345,24 @@ def test_lines(spark, block_rows):
         assert text == {d: t if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone.get(d, [])) for d, t in docs.items()}
 
 
+@pytest.mark.parametrize("batch_rows", [1000, 30_000])
+def test_partners_of_a_frequent_line(batch_rows):
+    # B is no partner of the linked A and C, and lies between them in more rows than a block
+    a, b, c = 1 << 40, (2 << 40) | 0x55555555, 3 << 40
+    rows = [(5, a), *[(5, b)] * 20_000, (5, c), (6, a), (6, c), (7, b)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows[i:i + batch_rows])], ["key", "name"]) for i in range(0, len(rows), batch_rows)]
+    got = [row for out in line_dedup._partners(2)(batches) for row in zip(*(col.to_pylist() for col in out.columns))]
+    assert sorted(got) == [(5, a), (5, c), (6, a), (6, c)]
+
+
+def test_partners_of_a_large_key():
+    names = [(i << 32) | (0x55555555 if i % 2 else 0) for i in range(5000)]
+    rows = [(4, 1), (4, 2)] + [(5, n) for n in names for _ in range(3)] + [(6, 7)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows[i:i + 900])], ["key", "name"]) for i in range(0, len(rows), 900)]
+    got = [row for out in line_dedup._partners(2)(batches) for row in zip(*(col.to_pylist() for col in out.columns))]
+    assert sorted(got) == [(4, 1), (4, 2)] + [(5, n) for n in names]
+
+
 # -- toxicity -----------------------------------------------------------------------------------------
 
 def test_ordinal():

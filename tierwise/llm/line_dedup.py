@@ -180,14 +180,12 @@ def _signatures(edits: int, near_chars: int):
 
 def _partners(edits: int, most: int = 2048):
     """Rows of keys that several lines have, if the sketch of one allows another.
-    Rows come in order; of a key with more than ``most`` rows all pass."""
+    Rows come in order and leave once each; of a key with more than ``most`` names
+    all pass."""
     limit = 4 * edits
     low = np.int64((1 << SKETCH_BITS) - 1)
 
     def choose(key, name):
-        new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (name[1:] != name[:-1])
-        key, name = key[new], name[new]
         cuts = np.flatnonzero(np.diff(key)) + 1
         start, end = np.concatenate(([0], cuts)), np.concatenate((cuts, [len(key)]))
         keep = np.zeros(len(key), bool)
@@ -205,17 +203,30 @@ def _partners(edits: int, most: int = 2048):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, name = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        before, large = None, None      # the row read last, and the key whose names pass as they come
         for batch in batches:
-            key = np.concatenate((key, batch.column(0).to_numpy(zero_copy_only=False)))
-            name = np.concatenate((name, batch.column(1).to_numpy(zero_copy_only=False)))
+            k, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            if not len(k):
+                continue
+            new = np.ones(len(k), bool)
+            new[1:] = (k[1:] != k[:-1]) | (n[1:] != n[:-1])
+            new[0] = before != (k[0], n[0])
+            before = (k[-1], n[-1])
+            key, name = np.concatenate((key, k[new])), np.concatenate((name, n[new]))
+            if large is not None:
+                at = int(np.searchsorted(key, large, side="right"))
+                if at:
+                    yield pa.RecordBatch.from_arrays([pa.array(key[:at]), pa.array(name[:at])], ["key", "name"])
+                    key, name = key[at:], name[at:]
             last = int(np.searchsorted(key, key[-1], side="left")) if len(key) else 0
-            if last == 0 and len(key) > 4 * most:       # one large key: all but its last rows pass, which keep it large
-                k, n, key, name = key[:-2 * most], name[:-2 * most], key[-2 * most:], name[-2 * most:]
-                yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(n)], ["key", "name"])
-            elif last:
+            if last:
                 k, n = choose(key[:last], name[:last])
                 key, name = key[last:], name[last:]
                 yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(n)], ["key", "name"])
+            if len(key) > most:
+                large = key[0]
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(name)], ["key", "name"])
+                key, name = key[:0], name[:0]
         if len(key):
             k, n = choose(key, name)
             yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(n)], ["key", "name"])
