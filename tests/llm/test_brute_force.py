@@ -221,6 +221,34 @@ def test_leaks(spark, sf_small):
     assert kept == set(clean)
 
 
+def leaks_of(items, texts):
+    raw = [t.encode() for t in texts]
+    data = np.frombuffer(b"\n".join([*raw, b""]), np.uint8)
+    found = decontamination.matches(decontamination.Index(items), data, np.concatenate(([0], np.cumsum([len(x) + 1 for x in raw]))))
+    return [(r, item, raw[r][s:e].decode()) for r, item, s, e, _ in found]
+
+
+@pytest.mark.parametrize("size,quote", [(394, 200), (394, 120), (180, 120)])
+def test_partial_quotes(size, quote):
+    rnd = random.Random(size + quote)
+
+    def words(n):
+        return " ".join("".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(2, 9))) for _ in range(n))[:n]
+    item = words(size)
+    quotes = [item[s:s + quote] for s in range(size - quote + 1)]
+    texts = [words(rnd.randint(1, 400)) + "; " + q + ", " + words(rnd.randint(1, 400)) for q in quotes] + [words(900) for _ in range(20)]
+    found = leaks_of([(7, item), (8, words(300))], texts)
+    assert {(r, i) for r, i, _ in found} == {(r, 7) for r in range(len(quotes))}
+    assert all(len(text) >= 90 and text[25:-25] in quotes[r] for r, _, text in found)     # the edits may lie at the ends
+
+
+def test_short_items():
+    items = [(1, "Who wrote Faust?"), (2, "a b"), (3, "42 is it"), (4, "Who wrote Faust"), (5, "")]
+    texts = ["who  WROTE faust", "I ask: who wrote Faust, then?", "who wrote fausts", "a bc a-B", "ab a", "42 is it 42 is it", "twho wrote faust", "a", "b 42 is", ""]
+    assert leaks_of(items, texts) == [(0, 1, "who  WROTE faust"), (0, 4, "who  WROTE faust"), (1, 1, "who wrote Faust"), (1, 4, "who wrote Faust"), (3, 2, "a-B"),
+                                      (5, 3, "42 is it"), (5, 3, "42 is it")]
+
+
 # -- language -----------------------------------------------------------------------------
 
 def test_viterbi():

@@ -2,18 +2,22 @@
 
 Texts and benchmark items are normalized (ASCII case folded, everything but
 letters, digits and non-ASCII bytes to single spaces).  An item is cut into
-overlapping passages.  A passage of ``m`` bytes that occurs with at most ``k``
+overlapping passages of two sizes: ``passage_bytes`` (the whole item if it is not
+longer), and ``quote_bytes`` starting every fifth of that, so a verbatim quote of
+``quote_bytes * 6 / 5`` bytes holds a whole passage wherever it begins.  A passage of ``m`` bytes that occurs with at most ``k``
 edits shares at least ``m - q + 1 - k * q`` q-grams with its place, all on
 diagonals at most ``k`` apart.  Shared q-grams are counted in diagonal bands that
-overlap by half, so one band holds them all; bands that reach the bound are kept
-and verified by banded alignment.
+overlap by half, so one band holds them all, first by item and then by passage;
+bands that reach the bound are kept and verified by banded alignment.
 
 The documents are scanned once for each block of items (``index_bytes`` of text),
 so what is broadcast is bounded whatever the size of the benchmark; there is no
 shuffle of documents and no cap on hits.
 
 Defined cases: a null or empty text or item matches nothing; an item with fewer
-than ``least_bytes`` normalized bytes is too short to tell and matches nothing;
+than ``least_bytes`` normalized bytes matches exactly, from word border to word
+border; of an item of up to ``quote_bytes`` only the whole (within the edit budget)
+counts;
 repeated rows have equal results; an empty table gives an empty result; positions
 are code points of the original text, the end exclusive; columns other than those
 named are only passed through.
@@ -61,33 +65,51 @@ def grams(data: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """Passages of benchmark items and their q-grams."""
+    """Passages of benchmark items and the items' q-grams."""
 
-    def __init__(self, items: list[tuple[int, str]], passage_bytes: int = 200, error: float = 0.1, least_bytes: int = 40):
-        self.passages: list[bytes] = []
-        item_of, budget = [], []
+    def __init__(self, items: list[tuple[int, str]], passage_bytes: int = 200, quote_bytes: int = 100, error: float = 0.1, least_bytes: int = 40):
+        self.exact: dict[int, dict[bytes, list[int]]] = {}      # short items by length
+        parts, names = [], []
         for item, text in items:
             norm, _ = normalize(np.frombuffer((text or "").encode("utf-8", "replace"), np.uint8))
             norm = norm.tobytes().strip()
-            m = len(norm)
-            if m < least_bytes:
-                continue
-            starts = [0] if m <= passage_bytes else [*range(0, m - passage_bytes, passage_bytes // 2), m - passage_bytes]
-            for s in starts:
-                part = norm[s:s + passage_bytes]
-                self.passages.append(part)
-                item_of.append(item)
-                budget.append(min(int(error * len(part)), (len(part) - Q) // Q))
-        self.item = np.array(item_of, np.int64)
-        self.budget = np.array(budget, np.int64)
-        self.length = np.array([len(p) for p in self.passages], np.int64)
+            if len(norm) >= least_bytes:
+                parts.append(norm)
+                names.append(item)
+            elif norm:
+                self.exact.setdefault(len(norm), {}).setdefault(norm, []).append(item)
+        self.heads = {m: np.unique([int.from_bytes(t[:Q], "little") for t in of]).astype(np.uint64) for m, of in self.exact.items()}
+        self.pool = np.frombuffer(b"".join(parts), np.uint8)
+        self.base = np.concatenate(([0], np.cumsum([len(x) for x in parts]))).astype(np.int64)
+        size = np.diff(self.base)
+        starts, lengths, owners, self.sizes = [], [], [], []
+        for width, step, whole in ((passage_bytes, max(1, passage_bytes // 2), True), (quote_bytes, max(1, quote_bytes // 5), False)):
+            before = len(starts)
+            for i, m in enumerate(size.tolist()):
+                if m > width:
+                    at = [*range(0, m - width, step), m - width]
+                else:
+                    at = [0] if whole else []
+                starts += [int(self.base[i]) + x for x in at]
+                lengths += [min(m, width)] * len(at)
+                owners += [i] * len(at)
+            self.sizes.append((width, before, len(starts)))
+        self.start, self.length = np.array(starts, np.int64), np.array(lengths, np.int64)
+        owner = np.array(owners, np.int64)
+        self.item = np.array(names, np.int64)[owner]
+        self.budget = np.minimum((error * self.length).astype(np.int64), (self.length - Q) // Q)
         self.least = self.length - Q + 1 - self.budget * Q
-        own = [grams(np.frombuffer(p, np.uint8)) for p in self.passages]
-        value = np.concatenate(own) if own else np.zeros(0, np.uint64)
-        passage = np.repeat(np.arange(len(own)), [len(g) for g in own]).astype(np.int32)
-        offset = np.concatenate([np.arange(len(g), dtype=np.int32) for g in own]) if own else np.zeros(0, np.int32)
+        self.item_budget, self.item_least = np.zeros(len(parts), np.int64), np.full(len(parts), 1 << 40)
+        np.maximum.at(self.item_budget, owner, self.budget)
+        np.minimum.at(self.item_least, owner, self.least)
+        value = grams(self.pool)
+        inside = np.ones(len(value), bool)
+        for e in self.base[1:-1].tolist():          # grams across two items
+            inside[max(0, e - Q + 1):e] = False
+        place = np.flatnonzero(inside).astype(np.int32)
+        value = value[place]
         order = np.argsort(value, kind="stable")
-        self.passage, self.offset = passage[order], offset[order]
+        self.gram = place[order]
         self.values, self.first = np.unique(value[order], return_index=True)
         self.first = np.append(self.first, len(value))
         self.seen = np.zeros(1 << _FILTER_BITS, bool)
@@ -112,23 +134,62 @@ class Index:
         n = self.first[k + 1] - self.first[k]
         upto = np.cumsum(n)
         post = np.arange(upto[-1]) - np.repeat(upto - n - self.first[k], n)
-        passage = self.passage[post].astype(np.int64)
-        diagonal = np.repeat(p, n) - self.offset[post]
-        step = self.budget[passage] + 1
-        span = len(norm) + int(self.length.max()) + 2
-        band = (diagonal + int(self.length.max())) // step
-        key, count = np.unique(passage * span + band, return_counts=True)
-        after = np.zeros(len(key), np.int64)            # hits of the next band, which overlaps by half
+        gram, at = self.gram[post].astype(np.int64), np.repeat(p, n)
+        # an item's hits that no passage of it can need go first
+        item = np.searchsorted(self.base, gram, side="right") - 1
+        reach = int(np.diff(self.base).max())
+        span = len(norm) + reach + 2
+        key, band, count = np.unique(item * span + (at - gram + self.base[item] + reach) // (self.item_budget[item] + 1), return_inverse=True, return_counts=True)
+        enough = count + self._next(key, count) >= self.item_least[key // span]
+        enough[1:] |= (key[1:] == key[:-1] + 1) & enough[:-1]
+        needed = enough[band]
+        gram, at, item = gram[needed], at[needed], item[needed]
+        found = [self._bands(*size, gram, at, self.base[item], len(norm)) for size in self.sizes]
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+    @staticmethod
+    def _next(key: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Hits of the next band, which overlaps by half."""
+        after = np.zeros(len(key), np.int64)
         after[:-1] = np.where(key[1:] == key[:-1] + 1, count[1:], 0)
+        return after
+
+    def _bands(self, width: int, begin: int, end: int, gram: np.ndarray, at: np.ndarray, base: np.ndarray, room: int):
+        """Bands of the passages of one size, for hits of ``gram`` (a place in the
+        pool, its item from ``base`` on) at ``at`` of the text."""
+        starts = self.start[begin:end]
+        low = np.searchsorted(starts, np.maximum(gram + Q - width, base), side="left")
+        n = np.maximum(np.searchsorted(starts, gram, side="right") - low, 0)
+        passage = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - low, n) + begin
+        diagonal = np.repeat(at - gram, n) + self.start[passage]
+        step = self.budget[passage] + 1
+        span = room + width + 2
+        key, count = np.unique(passage * span + (diagonal + width) // step, return_counts=True)
+        after = self._next(key, count)
         passage = key // span
         good = count + after >= self.least[passage]
         before = np.zeros(len(key), bool)               # the same hits seen from the band before are enough once
         before[1:] = (key[1:] == key[:-1] + 1) & good[:-1] & (after[1:] == 0)
         good &= ~before
         passage, band = passage[good], (key % span)[good]
-        lo = band * (self.budget[passage] + 1) - int(self.length.max())
+        lo = band * (self.budget[passage] + 1) - width
         return passage, lo, lo + 2 * (self.budget[passage] + 1) - 1
 
+    def exact_places(self, norm: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """``(item, start, end)`` of short items between word borders."""
+        if not self.exact:
+            return
+        border = np.concatenate(([True], (norm == 0x20) | (norm == SEPARATOR), [True]))     # of the place before
+        starts = np.flatnonzero(border[:-2] & ~border[1:-1])
+        g = grams(np.concatenate((norm, np.full(Q, SEPARATOR, np.uint8))))
+        for m, of in self.exact.items():
+            at = starts[starts + m <= len(norm)]
+            at = at[border[at + m + 1]]
+            at = at[np.isin(g[at] & np.uint64((1 << 8 * min(m, Q)) - 1), self.heads[m])]
+            for s in at.tolist():
+                for item in of.get(norm[s:s + m].tobytes(), ()):
+                    yield item, s, s + m
+
 
 _EDIT = 1 << 12     # a cell holds the edits in units of this, and below them the start's place in the band
 
@@ -149,8 +210,8 @@ def align(index: Index, passage: np.ndarray, norm: np.ndarray, lo: np.ndarray, h
     edits, start, end = budget + 1, s.copy(), s.copy()
     text = np.concatenate((norm, np.zeros(width + int(m.max()) + 1, np.uint8)))
     pattern = np.zeros((len(m), int(m.max())), np.uint8)
-    for i, k in enumerate(passage.tolist()):
-        pattern[i, :m[i]] = np.frombuffer(index.passages[k], np.uint8)
+    for i, k in enumerate(index.start[passage].tolist()):
+        pattern[i, :m[i]] = index.pool[k:k + m[i]]
     j = np.arange(width, dtype=np.int32)
     live = np.flatnonzero(s < e)
     row = np.repeat(j[None, :], len(live), axis=0)
@@ -189,10 +250,27 @@ def matches(index: Index, data: np.ndarray, offsets: np.ndarray) -> Iterator[tup
     """``(row, item, start byte, end byte, edits)`` of rows that each end in one
     byte to spare; the best place of each item in each row where places overlap."""
     norm, at = normalize(data, offsets[1:] - 1)
-    passage, lo, hi = index.candidates(norm)
-    if not len(passage):
-        return
     ends = np.flatnonzero(norm == SEPARATOR)
+    found: dict[tuple[int, int], list] = {}
+    for item, s, e in index.exact_places(norm):
+        found.setdefault((int(np.searchsorted(ends, s)), item), []).append((s, e, 0))
+    passage, lo, hi = index.candidates(norm)
+    if len(passage):
+        _aligned(index, norm, ends, passage, lo, hi, found)
+    for (r, item), places in sorted(found.items()):
+        places.sort()
+        merged = [list(places[0])]
+        for s, e, d in places[1:]:
+            if s <= merged[-1][1]:
+                merged[-1] = [merged[-1][0], max(e, merged[-1][1]), min(d, merged[-1][2])]
+            else:
+                merged.append([s, e, d])
+        for s, e, d in merged:
+            yield r, item, int(at[s] - offsets[r]), int(at[e - 1] + 1 - offsets[r]), d
+
+
+def _aligned(index: Index, norm: np.ndarray, ends: np.ndarray, passage: np.ndarray, lo: np.ndarray, hi: np.ndarray, found: dict) -> None:
+    """Adds the verified places to ``found``, by row and item."""
     # a band may touch several rows; each is tried
     first = np.searchsorted(ends, np.maximum(lo, 0))
     last = np.minimum(np.searchsorted(ends, np.minimum(hi + index.length[passage], len(norm) - 1)), len(ends) - 1)
@@ -204,23 +282,12 @@ def matches(index: Index, data: np.ndarray, offsets: np.ndarray) -> Iterator[tup
     room = np.minimum(right, hi + index.length[passage]) - np.maximum(left, lo) >= index.length[passage] - index.budget[passage]
     order = np.flatnonzero(room)
     order = order[np.argsort(index.length[passage[order]], kind="stable")]
-    found: dict[tuple[int, int], list] = {}
     for i in range(0, len(order), 2048):
         k = order[i:i + 2048]
         edits, start, end = align(index, passage[k], norm, lo[k], hi[k], left[k], right[k])
         good = edits <= index.budget[passage[k]]
         for r, p, s, e, d in zip(row[k][good].tolist(), passage[k][good].tolist(), start[good].tolist(), end[good].tolist(), edits[good].tolist()):
             found.setdefault((r, int(index.item[p])), []).append((s, e, d))
-    for (r, item), places in sorted(found.items()):
-        places.sort()
-        merged = [list(places[0])]
-        for s, e, d in places[1:]:
-            if s <= merged[-1][1]:
-                merged[-1] = [merged[-1][0], max(e, merged[-1][1]), min(d, merged[-1][2])]
-            else:
-                merged.append([s, e, d])
-        for s, e, d in merged:
-            yield r, item, int(at[s] - offsets[r]), int(at[e - 1] + 1 - offsets[r]), d
 
 
 def _rows(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[bytes], np.ndarray, np.ndarray]]:
