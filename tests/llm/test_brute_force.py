@@ -13,7 +13,7 @@ import pytest
 import xxhash
 
 from tierwise.llm import decontamination, embedding, language, line_dedup, packing, pii, secret_scan, simhash, substring_dedup, toxicity
-from tierwise.llm.common import connected_components
+from tierwise.llm.common import connected_components, sampled
 from tierwise.llm.queries import word_tokenizer
 
 
@@ -277,6 +277,26 @@ def test_language_accuracy(spark, sf_small):
     assert spans.startswith("en:0:") and ",de:" in spans
 
 
+def test_every_language_is_learned(spark):
+    words = {"en": "this is english text", "de": "dies ist deutscher text", "fr": "ceci est un texte", "es": "este es un texto corto", "el": "αυτό είναι ελληνικά"}
+    rows = [(i, x, text) for k, (x, text) in enumerate(words.items()) for i in range(1000 * k, 1000 * k + (400 if x == "en" else 8))]
+    docs = spark.createDataFrame(rows + [(3, "xx", "wholly other vocabulary")] * 500, "doc_id long, lang string, text string")
+    for options in ({}, {"sample_docs": 0.001}, {"max_langs": 2}):      # a share below a millionth; more languages than max_langs
+        model = language.fit(docs, **options)
+        assert model["langs"] == sorted([*words, "xx"])
+        assert model["tables"].size <= 3 * language.BUCKETS * options.get("max_langs", 200)
+        assert language.classify(list(words.values()), model, 4.0)[0] == list(words)
+    with pytest.raises(ValueError, match="labels"):
+        language.fit(spark.range(200).selectExpr("id AS doc_id", "cast(id AS string) AS lang", "'a' AS text"), max_langs=2)
+
+
+def test_sampled_shares(spark):
+    ids = spark.range(1_000_000)
+    assert ids.where(sampled(1.0, "id")).count() == 1_000_000 and ids.where(sampled(0.0, "id")).count() == 0
+    assert 60 <= ids.where(sampled(1e-4, "id")).count() <= 140
+    assert spark.range(20_000_000).where(sampled(4e-7, "id")).count() > 0
+
+
 def test_scripts():
     model = language.train([("ru", "привет мир это русский текст"), ("el", "αυτό είναι ελληνικά"), ("en", "this is english text")])
     assert language.classify(["ελληνικά", "текст", "english", "𝒳𝒴 12", "١٢ ..."], model, 4.0)[0][:3] == ["el", "ru", "en"]

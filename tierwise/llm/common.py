@@ -73,6 +73,14 @@ def spread(offsets: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
 
 
+def sampled(share: float, *columns: str):
+    """Condition that holds for about ``share`` of the values: the whole 64-bit hash
+    is compared, so no share that a table can need is rounded to none."""
+    if share >= 1:
+        return F.lit(True)
+    return F.xxhash64(*columns) < F.lit(int(share * 2**64) - 2**63)
+
+
 #: Places of a membership filter; its table has at most ``FILTER_PLACES / 64`` rows.
 FILTER_PLACES = 1 << 24
 

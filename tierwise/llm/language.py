@@ -7,8 +7,11 @@ every switch labels each word, so a mixed text splits into spans; the language
 with most letters is the prediction and its share of the letters the score.
 
 The model is fitted on a bounded sample (``sample_docs`` whole documents, spread
-evenly over the languages) of the labelled rows; its tables have a fixed number
-of buckets per language, which bounds what is broadcast.
+evenly over the languages, at least ``LEAST_SAMPLES`` of each that has them) of the
+labelled rows and learns every label.  Its tables have ``BUCKETS`` buckets per
+language; beyond ``max_langs`` languages that number is halved until all tables
+together are no larger, which bounds what is broadcast.  More than
+``FOLDS * max_langs`` labels are refused.
 
 Defined cases: a null or empty text, or one without a letter, is ``und`` with
 score 0; without any labelled row every text is; equal texts have equal results;
@@ -30,6 +33,8 @@ from tierwise.llm.common import row_slices, small_batches, utf8
 
 UNKNOWN = "und"
 BUCKETS = 1 << 17
+LEAST_SAMPLES = 40
+FOLDS = 16
 #: First and last code point of the blocks of each script.
 SCRIPTS = {
     "latin": [(0x0041, 0x005A), (0x0061, 0x007A), (0x00AA, 0x00AA), (0x00BA, 0x00BA), (0x00C0, 0x024F), (0x1E00, 0x1EFF)],
@@ -102,24 +107,29 @@ def _grams(text: np.ndarray) -> tuple[np.ndarray, ...]:
     return start, end, script[low[start]], letters, first, buckets
 
 
-def train(samples: list[tuple[str, str]], alpha: float = 0.5) -> dict:
+def train(samples: list[tuple[str, str]], alpha: float = 0.5, max_langs: int = 200) -> dict:
     """Model of ``(language, text)`` samples: n-gram log scores and scripts."""
-    langs = sorted({lang for lang, _ in samples})
-    tables = np.zeros((3, BUCKETS, len(langs)), np.float32)
+    texts: dict = {}
+    for lang, text in samples:
+        texts.setdefault(lang, []).append(text)
+    langs = sorted(texts)
+    fold = (-(-len(langs) // max_langs) - 1).bit_length() if langs else 0
+    size = BUCKETS >> fold
+    tables = np.zeros((3, size, len(langs)), np.float32)
     used = np.zeros((len(SCRIPTS) + 1, len(langs)))
     for k, lang in enumerate(langs):
-        counts = np.zeros((3, BUCKETS))
-        for text in (t for x, t in samples if x == lang):
+        counts = np.zeros((3, size))
+        for text in texts[lang]:
             _, _, script, letters, _, buckets = _grams(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32))
             for n in range(3):
-                counts[n] += np.bincount(buckets[n], minlength=BUCKETS)
+                counts[n] += np.bincount(buckets[n] >> fold, minlength=size)
             used[:, k] += np.bincount(script, weights=letters, minlength=len(used))
         total = counts.sum(axis=1, keepdims=True)
-        tables[:, :, k] = np.log((counts + alpha) / (total + alpha * BUCKETS / 8))
+        tables[:, :, k] = np.log((counts + alpha) / (total + alpha * size / 8))
     share = used / np.maximum(used.sum(axis=0), 1)
     narrow = np.where(share >= 0.01, 0.0, -1e5)
     narrow[(share < 0.01).all(axis=1)] = 0.0
-    return {"langs": langs, "tables": tables, "narrow": narrow.astype(np.float32)}
+    return {"langs": langs, "tables": tables, "narrow": narrow.astype(np.float32), "fold": fold}
 
 
 def viterbi(scores: np.ndarray, offsets: np.ndarray, penalty: float) -> np.ndarray:
@@ -165,6 +175,7 @@ def classify(texts: list[str], model: dict, penalty: float) -> tuple[list, list,
         start, end, script, count, first, buckets = _grams(np.frombuffer("\n".join(texts[i:j]).encode("utf-32-le", "surrogatepass"), np.uint32))
         if not len(start) or not k:
             continue
+        buckets >>= model["fold"]
         gram = tables[0][buckets[0]]
         gram += tables[1][buckets[1]]
         gram += tables[2][buckets[2]]
@@ -194,11 +205,16 @@ def classify(texts: list[str], model: dict, penalty: float) -> tuple[list, list,
             [",".join(s) if ok else "" for s, ok in zip(spans, found.tolist())])
 
 
+def _slice_bytes(model: dict) -> int:
+    """Text at a time, less for many languages: there is a score per word and language."""
+    return (16 << 20) * 8 // max(8, len(model["langs"]))
+
+
 def _identify(shared, penalty: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             _, offsets, _ = utf8(batch.column(1))
-            for i, j in row_slices(offsets, 16 << 20):
+            for i, j in row_slices(offsets, _slice_bytes(shared.value)):
                 part = batch.slice(i, j - i)
                 lang, score, spans = classify([t or "" for t in part.column(1).to_pylist()], shared.value, penalty)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(spans, pa.string())], ["id", "lang_pred", "score", "spans"])
@@ -212,20 +228,26 @@ def held_out(id_col: str = "doc_id"):
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         sample_docs: int = 4000, max_langs: int = 200) -> dict:
-    """Model of at most ``max_langs`` languages (the most frequent ones), trained on
-    about ``sample_docs`` labelled documents outside the held-out fold."""
+    """Model of all languages, trained on about ``sample_docs`` labelled documents
+    outside the held-out fold (more if that is under ``LEAST_SAMPLES`` a language)."""
     small_batches(docs.sparkSession)
     usable = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     usable = usable.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("id").isNotNull() & ~held_out("id"))
-    sizes = [(r["lang"], r["n"]) for r in usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).collect()]
+    sizes = [(r["lang"], r["n"]) for r in usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(FOLDS * max_langs + 1).collect()]
     if not sizes:
         return train([])
-    each = sample_docs / len(sizes)
-    within = F.lit(False)
-    for lang, n in sizes:
-        within = within | ((F.col("lang") == lang) & (F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(min(1.0, each / n) * 1e6)))
-    picked = usable.where(within).select("lang", "text").limit(2 * sample_docs).collect()
-    return train([(r["lang"], r["text"]) for r in picked])
+    if len(sizes) > FOLDS * max_langs:
+        raise ValueError(f"more than {FOLDS * max_langs} labels: not languages, or max_langs has to grow")
+    each = max(sample_docs / len(sizes), LEAST_SAMPLES)
+    # a language of at most ``each`` rows gives all, the others a share by the whole hash
+    bounds = [(lang, min(int(each / n * 2**64) - 2**63, 2**63 - 1)) for lang, n in sizes]
+    bounds = docs.sparkSession.createDataFrame(bounds, "lang string, bound long")
+    picked = usable.join(F.broadcast(bounds), "lang").where(F.xxhash64("id") <= F.col("bound")).select("lang", "text").limit(int(2 * each * len(sizes))).collect()
+    picked = [(r["lang"], r["text"]) for r in picked]
+    for lang in sorted({lang for lang, _ in sizes} - {lang for lang, _ in picked}):     # few ids, all outside of the share
+        rows = usable.where(F.col("lang") == lang).orderBy(F.xxhash64("id", "text")).limit(int(each)).collect()
+        picked += [(lang, r["text"]) for r in rows]
+    return train(picked, max_langs=max_langs)
 
 
 def identify(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", penalty: float = 12.0) -> DataFrame:
@@ -239,7 +261,7 @@ def _kept(shared, penalty: float, text_at: int, min_score: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             _, offsets, _ = utf8(batch.column(text_at))
-            for i, j in row_slices(offsets, 16 << 20):
+            for i, j in row_slices(offsets, _slice_bytes(shared.value)):
                 part = batch.slice(i, j - i)
                 lang, score, _ = classify([t or "" for t in part.column(text_at).to_pylist()], shared.value, penalty)
                 yield part.filter(pa.array([x != UNKNOWN and s >= min_score for x, s in zip(lang, score)], pa.bool_()))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierwise.llm.common import row_slices, small_batches, utf8
+from tierwise.llm.common import row_slices, sampled, small_batches, utf8
 
 BUCKETS = 1 << 22
 GRADES = 3
@@ -196,7 +196,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     within = F.lit(False)
     for toxic, n in sizes.items():
         share = min(1.0, sample_docs / 2 / n)
-        within = within | ((F.col("toxic") == toxic) & (F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1e6)))
+        within = within | ((F.col("toxic") == toxic) & sampled(share, "id"))
     picked = marks.where(within).select("id", "grade").limit(2 * sample_docs)       # bounded: broadcast
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
     rows = src.join(F.broadcast(picked), "id").select("id", "text", "grade").limit(2 * sample_docs).collect()
