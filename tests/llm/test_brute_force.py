@@ -474,3 +474,19 @@ def test_pii(spark, sf_small):
             assert spans <= set(r["spans"].split(",")) | {""} and r["n_added"] == len(set(r["spans"].split(",")) - {""}) - len(spans)
     nodes = pii.find_pii(df, model)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", nodes)
+
+
+def test_pii_obfuscated(spark, sf_small):
+    known = spark.read.parquet(f"{sf_small.replace('0.001', '0.1')}/documents.parquet")
+    model = pii.fit(known)
+    forms = ["{0} [at] {1} [dot] com", "{0}(at){1}.com", "{0} {{at}} {1} {{dot}} org", "{0}[at]{1}[dot]co[dot]uk"]
+    names = ["john", "jane.roe", "m_smith", "k9-unit", "info", "a.b.c", "sales", "peter77"]
+    docs, want = {}, {}
+    for i, (form, name) in enumerate(itertools.product(forms, names)):
+        case = form.format(name, "example" if i % 2 else "my-site")
+        docs[i], want[i] = f"please write to {case} for more", f"email:16:{16 + len(case)}"
+    docs |= {900: "We met at noon. Then we left at 5.30 and looked at page 7.", 901: "version 1.2.3 of 2024-01-15, see table 12.5"}
+    got = {r["id"]: r for r in pii.find_pii(frame(spark, docs), model).collect()}
+    found = sum(want[i] in got[i]["spans"].split(",") for i in want)
+    assert found >= 0.9 * len(want)     # 32 of 32 when written
+    assert got[900]["n_added"] == got[901]["n_added"] == 0
