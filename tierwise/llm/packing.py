@@ -33,36 +33,51 @@ from tierwise.llm.common import utf8, written
 END = b"\0\0\0\0"
 #: Words that normalization leaves alone but for case, then punctuation that makes one token group.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+MARKS = bytes(c for c in range(0x21, 0x7F) if c != 0x27 and not chr(c).isalnum())
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
+class Recent(dict):
+    """Values made on demand; of at most two generations of ``keep`` entries the older
+    one goes as a whole, and what was used again since has moved on."""
+
+    def __init__(self, make, keep: int):
+        super().__init__()
+        self.make, self.keep, self.old = make, keep, {}
+
+    def __missing__(self, key):
+        if len(self) >= self.keep:
+            self.old = dict(self)
+            self.clear()
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
+        return value
+
+
 class WordEncoder:
-    """Token ids of whole texts, with each distinct word tokenized once.
+    """Token ids of whole texts, with each recent distinct word tokenized once.
 
     The vocabulary's rules never join across ASCII white space, so a text's ids
     are those of its words.  A word of plain Latin letters goes straight to the
-    vocabulary's merges; any other word goes through all of the tokenizer's
-    steps.  At most ``keep`` words are remembered at a time.
+    vocabulary's merges, whatever its case and the punctuation after it; any other
+    word goes through all of the tokenizer's steps.  Each table holds at most
+    ``2 * keep`` entries.
     """
 
-    def __init__(self, path: str, keep: int = 300_000):
+    def __init__(self, path: str, keep: int = 250_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
-        self.model, self.keep = self.tokenizer.model, keep
-        self.marks: dict[str, bytes] = {"": b""}
+        self.model = self.tokenizer.model
         # the byte-level form of each Latin-1 character, as the tokenizers' own step writes it
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.level = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
-        encoder = self
-
-        class Known(dict):
-            def __missing__(self, word: bytes) -> bytes:
-                if len(self) >= encoder.keep:
-                    self.clear()
-                self[word] = ids = encoder.word(word)
-                return ids
-        self.known = Known()
+        self.bytes_of = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.letters = Recent(self.merged, keep)
+        self.marks = Recent(self.whole, keep)
+        self.known = Recent(self.word, keep)
 
     @classmethod
     def of(cls, path: str) -> WordEncoder:
@@ -73,18 +88,20 @@ class WordEncoder:
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def merged(self, letters: str) -> bytes:
+        return b"".join([self.bytes_of[t.id] for t in self.model.tokenize(letters)])
+
     def word(self, word: bytes) -> bytes:
+        core = word.rstrip(MARKS)
+        if core.isalpha():                          # ASCII letters only
+            ids = self.letters[core.lower().decode()]
+            return ids if len(core) == len(word) else ids + self.marks[word[len(core):].decode()]
         text = word.decode("utf-8", "replace")
         plain = PLAIN.fullmatch(text)
         if plain is None or "<|" in text:
             return self.whole(text)
         letters, marks = plain.groups()
-        if marks not in self.marks:
-            if len(self.marks) >= self.keep:
-                self.marks.clear()
-            self.marks[marks] = self.whole(marks) if marks else b""
-        found = self.model.tokenize(letters.lower().translate(self.level))
-        return b"".join([t.id.to_bytes(4, "little") for t in found]) + self.marks[marks]
+        return self.letters[letters.lower().translate(self.level)] + (self.marks[marks] if marks else b"")
 
     def ids(self, text: bytes) -> bytes:
         """Little-endian unsigned 32-bit ids of a UTF-8 text."""
