@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tierwise.operators import blocks as B
+from tierwise.operators import intervals as I
 from tierwise.operators import merge as M
 from tierwise.operators import reconcile as R
 
@@ -85,8 +86,7 @@ def test_interval_rate_matches_brute_force(spark, ivs, reads):
     rates = spark.createDataFrame([(k, day(s), day(s + n), r) for k, s, n, r in ivs] or [("z", base, base, 0)],
                                   "k string, a date, b date, r int")
     rd = spark.createDataFrame([(k, day(i)) for k, i in reads], "k string, d date")
-    by_day = B.daily_rates(rates, "k", "a", "b", "r", day(0), day(30))
-    got = sorted((r.k, r.d, float(r.rate)) for r in B.interval_rate(rd, by_day, "k", F.col("d")).collect())
+    got = sorted((r.k, r.d, float(r.rate)) for r in I.interval_rate(rd, rates, "k", F.col("d"), "a", "b", "r").collect())
     want = sorted((k, day(i), float(sum(r for kk, s, n, r in ivs if kk == k and s <= i <= s + n))) for k, i in reads)
     assert got == want
 

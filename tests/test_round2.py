@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tierwise.functions import exprs as X
 from tierwise.operators import blocks as B
+from tierwise.operators import intervals as I
 from tierwise.operators import merge as M
 from tierwise.operators import reconcile as R
 from tierwise.sources.catalog import TableSpec
@@ -39,8 +40,7 @@ def test_interval_ends_by_the_moment(spark):
     rates = spark.createDataFrame([("a", TS(2024, 1, 1), TS(2024, 1, 31), 5.0), ("a", TS(2024, 1, 10, 12), TS(2030, 1, 1), 2.0)], "k string, s timestamp_ntz, e timestamp_ntz, r double")
     readings = spark.createDataFrame([("a", TS(2024, 1, 31)), ("a", TS(2024, 1, 31, 10, 30)), ("a", TS(2024, 1, 10, 11)), ("a", TS(2024, 1, 10, 13)), ("a", TS(2024, 2, 1)),
                                       ("b", TS(2024, 1, 5))], "k string, t timestamp_ntz")
-    by_day = B.daily_rates(rates, "k", "s", "e", "r", hi=readings.agg(F.max("t")).scalar())
-    got = {(r.k, r.t): float(r.rate) for r in B.interval_rate(readings, by_day, "k", F.col("t")).collect()}
+    got = {(r.k, r.t): float(r.rate) for r in I.interval_rate(readings, rates, "k", F.col("t"), "s", "e", "r").collect()}
     assert got == {("a", TS(2024, 1, 31)): 7, ("a", TS(2024, 1, 31, 10, 30)): 2, ("a", TS(2024, 1, 10, 11)): 5, ("a", TS(2024, 1, 10, 13)): 7,
                    ("a", TS(2024, 2, 1)): 2, ("b", TS(2024, 1, 5)): 0}
 

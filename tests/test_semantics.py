@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tierwise.functions import exprs as X
 from tierwise.operators import blocks as B
+from tierwise.operators import intervals as I
 
 D = dt.date
 TS = dt.datetime
@@ -154,8 +155,7 @@ def test_interval_rate_overlaps_boundaries_and_no_match(spark):
                                   "k string, a date, b date, r int")
     reads = spark.createDataFrame([("c", D(2024, 1, 1)), ("c", D(2024, 1, 31)), ("c", D(2024, 2, 11)),
                                    ("x", D(2024, 1, 5))], "k string, d date")
-    by_day = B.daily_rates(rates, "k", "a", "b", "r", "2024-01-01", "2024-02-11")
-    got = sorted((r["k"], r["d"], float(r["rate"])) for r in B.interval_rate(reads, by_day, "k", F.col("d")).collect())
+    got = sorted((r["k"], r["d"], float(r["rate"])) for r in I.interval_rate(reads, rates, "k", F.col("d"), "a", "b", "r").collect())
     assert got == [("c", D(2024, 1, 1), 2.0), ("c", D(2024, 1, 31), 5.0), ("c", D(2024, 2, 11), 0.0),
                    ("x", D(2024, 1, 5), 0.0)]                          # T11: no match -> 0
 

@@ -201,49 +201,6 @@ def lookup_exact_or_latest(facts: DataFrame, lookup: DataFrame, keys, fact_day:
              .drop("_d", "_exact", "_latest"))
 
 
-# ---------------------------------------------------------------------------
-# JON-11 / T11: validity-interval rate
-# ---------------------------------------------------------------------------
-def daily_rates(rates: DataFrame, keys, start_col: str, end_col: str, rate_col: str,
-                lo=None, hi=None, name: str = "rate") -> DataFrame:
-    """Rates by (key, day) of the intervals ``start <= moment <= end``.
-
-    A day that an interval covers whole adds to one sum; a day on which it starts
-    or ends within keeps its exact moments in a short list (``_edges``), so a
-    reading later on the last day is outside.  ``lo``/``hi`` (columns or values:
-    the span of the readings) clip the expansion to days, nothing else.  One row
-    per key and day: joining it to the readings is an equi-join with no fan-out.
-    """
-    k = _cols(keys)
-    s, e = F.col(start_col).cast("timestamp_ntz"), F.col(end_col).cast("timestamp_ntz")
-    first, last = F.to_date(s), F.to_date(e)
-    if lo is not None:
-        first = F.greatest(first, F.lit(lo).cast("date"))
-    if hi is not None:
-        last = F.least(last, F.lit(hi).cast("date"))
-    r = rates.select(*k, s.alias("_s"), e.alias("_e"), first.alias("_a"), last.alias("_b"), X.money(rates, rate_col).alias("_r")) \
-             .where((F.col("_s") <= F.col("_e")) & (F.col("_a") <= F.col("_b")))
-    days = r.withColumn("_day", F.explode(F.sequence("_a", "_b")))
-    midnight = F.col("_day").cast("timestamp_ntz")
-    whole = (F.col("_s") <= midnight) & (F.col("_e") >= midnight + F.expr("INTERVAL '23:59:59.999999' HOUR TO SECOND"))
-    return days.groupBy(*k, "_day").agg(F.sum(F.when(whole, F.col("_r"))).alias(name),
-                                        F.collect_list(F.when(~whole, F.struct("_s", "_e", "_r"))).alias("_edges"))
-
-
-def interval_rate(readings: DataFrame, rates_by_day: DataFrame, keys, reading_ts: Column,
-                  name: str = "rate") -> DataFrame:
-    """Attach the rate summed over the intervals that hold the reading's moment; no
-    matching interval gives 0 (NVL(SUM, 0))."""
-    k = _cols(keys)
-    kind = rates_by_day.schema[name].dataType
-    r = readings.withColumn("_ts", reading_ts.cast("timestamp_ntz")).withColumn("_day", F.to_date("_ts"))
-    edges = F.aggregate(F.filter("_edges", lambda x: (x["_s"] <= F.col("_ts")) & (x["_e"] >= F.col("_ts"))),
-                        F.lit(0).cast(kind), lambda acc, x: (acc + x["_r"]).cast(kind))
-    return (r.join(rates_by_day, on=[*k, "_day"], how="left")
-             .withColumn(name, (F.coalesce(F.col(name), F.lit(0).cast(kind)) + F.coalesce(edges, F.lit(0).cast(kind))).cast(kind))
-             .drop("_day", "_ts", "_edges"))
-
-
 # ---------------------------------------------------------------------------
 # SET-01 / PRJ-04: tagged union of blocks of different shape
 # ---------------------------------------------------------------------------

@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 
 from ..functions import exprs as X
 from ..operators import blocks as B
+from ..operators import digests as D
+from ..operators import intervals as I
 from ..operators import merge as M
 from ..operators import reconcile as R
 from ..operators.ingest import ingest
@@ -230,6 +232,20 @@ def orphan_sweep_scoped(spark, d):
     return kept
 
 
+def range_sweep(spark, d):
+    """``orphan_sweep_scoped`` in two phases: ranges of keys, then the suspects only."""
+    kept, _ = D.range_sweep(tbl(spark, d, "orders"), _universe(spark, d), ["o_orderkey"], scope=F.col("o_orderstatus") == "O")
+    return kept
+
+
+def range_sweep_removed(spark, d):
+    """The line items whose (order, part) is not sold by a small customer's order any more."""
+    li, o, c = tbl(spark, d, "lineitem"), tbl(spark, d, "orders"), tbl(spark, d, "customer")
+    live = li.join(o.join(c.where(F.col("c_acctbal") > -900), F.col("o_custkey") == F.col("c_custkey"), "left_semi"), F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
+    _, removed = D.range_sweep(li, live, ["l_orderkey", "l_partkey"])
+    return removed
+
+
 def tie_break_reference(spark, d):
     ref = (tbl(spark, d, "lineitem")
            .where((F.col("l_returnflag") == "R") & (F.col("l_shipdate") >= ts("2001-06-01 00:00:00")))
@@ -461,16 +477,27 @@ def interval_rate(spark, d):
                .withColumn("d1", F.date_sub(F.add_months("d0", 12), 1)))
     rates = quarterly.unionByName(yearly)
     readings = li.withColumn("centre", F.col("l_linestatus"))
-    # the span of the readings, a scalar subquery: no job while the plan is built
-    lo, hi = (li.agg(f("l_shipdate")).scalar() for f in (F.min, F.max))
-    by_day = B.daily_rates(rates, "centre", "d0", "d1", "rate", lo, hi)
-    j = B.interval_rate(readings, by_day, "centre", F.col("l_shipdate"))
+    j = I.interval_rate(readings, rates, "centre", F.col("l_shipdate"), "d0", "d1", "rate")
     return j.select("l_orderkey", "l_linenumber", "l_linestatus",
                     F.to_date("l_shipdate").alias("ship_day"),
                     F.col("rate").cast("double").alias("rate"),
                     (F.col("l_quantity") * F.col("rate").cast("double")).alias("cost"))
 
 
+def interval_rate_long(spark, d):
+    """Intervals of fifty years that start and end within a day, one an order; half of
+    the readings are taken as long after."""
+    o, li = tbl(spark, d, "orders"), tbl(spark, d, "lineitem")
+    start = F.col("o_orderdate") + F.make_dt_interval(secs=(F.col("o_custkey") % 86400).cast("decimal(18,6)"))
+    rates = o.select(F.col("o_orderstatus").alias("l_linestatus"), start.alias("t0"), "o_totalprice").withColumn(
+        "t1", F.when(F.col("o_totalprice") > 100000, ts("9999-12-31 00:00:00")).otherwise(F.col("t0") + F.expr("INTERVAL 50 YEARS")))
+    moment = F.col("l_shipdate") + F.make_dt_interval(secs=(F.col("l_partkey") % 86400).cast("decimal(18,6)"))
+    readings = li.select("l_orderkey", "l_linenumber", "l_linestatus",
+                         F.when(F.col("l_linenumber") % 2 == 0, moment + F.expr("INTERVAL 50 YEARS")).otherwise(moment).alias("read_at"))
+    j = I.interval_rate(readings, rates, "l_linestatus", F.col("read_at"), "t0", "t1", "o_totalprice")
+    return j.withColumn("rate", F.col("rate").cast("double"))
+
+
 def lookup_exact_or_latest(spark, d):
     ev = tbl(spark, d, "events")
     purchases = ev.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
@@ -765,6 +792,21 @@ def content_diff_strict(spark, d):
     return R.symmetric_diff(tbl(spark, d, "orders"), _orders_b(spark, d), strict=True)
 
 
+def digest_diff(spark, d):
+    """The differences of ``content_diff`` by digests of key ranges: rows of equal ranges
+    are not shuffled."""
+    return D.digest_diff(tbl(spark, d, "orders"), _orders_b(spark, d), ["o_orderkey"])
+
+
+def digest_diff_strict(spark, d):
+    """Line items against a version that lost, changed and repeated some of them."""
+    li = tbl(spark, d, "lineitem")
+    odd = F.col("l_orderkey") % 97 == 0
+    b = li.where(~(odd & (F.col("l_returnflag") == "R"))).withColumn(
+        "l_tax", F.when(odd & (F.col("l_returnflag") == "A"), F.lit(None)).otherwise(F.col("l_tax")))
+    return D.digest_diff(li, b.unionByName(b.where(odd)), LINE_KEYS, strict=True)
+
+
 def column_common(spark, d):
     a = tbl(spark, d, "orders").withColumn("o_year", F.year("o_orderdate"))
     b = _orders_b(spark, d).drop("o_orderpriority").withColumn("o_month", F.month("o_orderdate"))
@@ -861,6 +903,8 @@ QUERIES = {
     "insert_if_absent": insert_if_absent,
     "orphan_sweep": orphan_sweep,
     "orphan_sweep_scoped": orphan_sweep_scoped,
+    "range_sweep": range_sweep,
+    "range_sweep_removed": range_sweep_removed,
     "tie_break_reference": tie_break_reference,
     "safe_key": safe_key,
     "full_refresh_audit": full_refresh_audit,
@@ -876,6 +920,7 @@ QUERIES = {
     "keyed_expression_join": keyed_expression_join,
     "aggregate_join": aggregate_join,
     "interval_rate": interval_rate,
+    "interval_rate_long": interval_rate_long,
     "lookup_exact_or_latest": lookup_exact_or_latest,
     "lookup_reach": lookup_reach,
     "scalar_lookup_avg": scalar_lookup_avg,
@@ -898,6 +943,8 @@ QUERIES = {
     "content_diff": content_diff,
     "content_diff_strict": content_diff_strict,
     "diff_sample": diff_sample,
+    "digest_diff": digest_diff,
+    "digest_diff_strict": digest_diff_strict,
     "column_common": column_common,
     "superset_check": superset_check,
     "set_diff_systems": set_diff_systems,

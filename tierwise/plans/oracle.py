@@ -222,6 +222,14 @@ WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.o_custkey = o.o_custkey AND t.o
     "orphan_sweep_scoped": """
 SELECT * FROM orders WHERE o_orderstatus IS DISTINCT FROM 'O' OR o_orderkey IN (SELECT l_orderkey FROM lineitem)""",
 
+    "range_sweep": """
+SELECT * FROM orders WHERE o_orderstatus IS DISTINCT FROM 'O' OR o_orderkey IN (SELECT l_orderkey FROM lineitem)""",
+
+    "range_sweep_removed": """
+SELECT l.* FROM lineitem l WHERE NOT EXISTS (
+    SELECT 1 FROM lineitem x JOIN orders o ON x.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+    WHERE c.c_acctbal > -900 AND x.l_orderkey = l.l_orderkey AND x.l_partkey = l.l_partkey)""",
+
     "tie_break_reference": """
 WITH ref AS (SELECT DISTINCT l_partkey FROM lineitem
              WHERE l_returnflag = 'R' AND l_shipdate >= TIMESTAMP '2001-06-01 00:00:00'),
@@ -372,6 +380,19 @@ j AS (SELECT l.l_orderkey, l.l_linenumber, l.l_linestatus, CAST(l.l_shipdate AS
       FROM lineitem l)
 SELECT l_orderkey, l_linenumber, l_linestatus, ship_day, rate, l_quantity * rate AS cost FROM j""",
 
+    "interval_rate_long": """
+WITH r AS (
+    SELECT o_orderstatus AS k, o_orderdate + to_seconds(o_custkey % 86400) AS t0, o_totalprice, CAST(o_totalprice AS DECIMAL(18,2)) AS v FROM orders),
+i AS (SELECT k, t0, CASE WHEN o_totalprice > 100000 THEN TIMESTAMP '9999-12-31' ELSE t0 + INTERVAL 50 YEAR END AS t1, v FROM r),
+s AS (SELECT k, t0 AS t, SUM(SUM(v)) OVER (PARTITION BY k ORDER BY t0) AS started FROM i GROUP BY k, t0),
+e AS (SELECT k, t1 AS t, SUM(SUM(v)) OVER (PARTITION BY k ORDER BY t1) AS ended FROM i GROUP BY k, t1),
+m AS (
+    SELECT l_orderkey, l_linenumber, l_linestatus, CASE WHEN l_linenumber % 2 = 0 THEN moment + INTERVAL 50 YEAR ELSE moment END AS read_at
+    FROM (SELECT *, l_shipdate + to_seconds(l_partkey % 86400) AS moment FROM lineitem)),
+j AS (SELECT m.*, s.started FROM m ASOF LEFT JOIN s ON m.l_linestatus = s.k AND m.read_at >= s.t)
+SELECT j.l_orderkey, j.l_linenumber, j.l_linestatus, j.read_at, CAST(COALESCE(j.started, 0) - COALESCE(e.ended, 0) AS DOUBLE) AS rate
+FROM j ASOF LEFT JOIN e ON j.l_linestatus = e.k AND j.read_at > e.t""",
+
     "lookup_exact_or_latest": """
 SELECT p.event_id, p.user_id, p.ts,
        COALESCE((SELECT MAX(v.ts) FROM events v WHERE v.event_type = 'view' AND v.user_id = p.user_id
@@ -570,6 +591,20 @@ FROM k""",
 UNION ALL
 (SELECT *, 'only_in_b' AS side FROM (SELECT * FROM {_ORDERS_B} EXCEPT SELECT * FROM orders))""",
 
+    "digest_diff": f"""
+(SELECT *, 'only_in_a' AS side FROM (SELECT * FROM orders EXCEPT SELECT * FROM {_ORDERS_B}))
+UNION ALL
+(SELECT *, 'only_in_b' AS side FROM (SELECT * FROM {_ORDERS_B} EXCEPT SELECT * FROM orders))""",
+
+    "digest_diff_strict": """
+WITH b0 AS (
+    SELECT * REPLACE (CASE WHEN l_orderkey % 97 = 0 AND l_returnflag = 'A' THEN NULL ELSE l_tax END AS l_tax)
+    FROM lineitem WHERE NOT (l_orderkey % 97 = 0 AND l_returnflag = 'R')),
+b AS (SELECT * FROM b0 UNION ALL SELECT * FROM b0 WHERE l_orderkey % 97 = 0)
+(SELECT *, 'only_in_a' AS side FROM (SELECT * FROM lineitem EXCEPT ALL SELECT * FROM b))
+UNION ALL
+(SELECT *, 'only_in_b' AS side FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM lineitem))""",
+
     "diff_sample": f"""
 SELECT * FROM (
   (SELECT *, 'only_in_a' AS side FROM (SELECT * FROM orders EXCEPT SELECT * FROM {_ORDERS_B}))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ...functions import exprs as X
 from ...operators import blocks as B
+from ...operators.intervals import interval_rate
 from ...operators import merge as M
 from .common import Bronze, ProductParams, c, on
 
@@ -223,10 +224,6 @@ def performance(bronze: Bronze, p: ProductParams) -> DataFrame:
     rates = mtc.join(tax, on("Y0", "Y1", "CODEMP", "NUMMTC")).select(
         c("Y0", "CODEMP").alias("CODEMP"), c("Y1", "CODCCU").alias("CODCCU"),
         c("Y0", "DATINI").alias("DATINI"), c("Y0", "DATFIM").alias("DATFIM"), c("Y1", "TAXCUS").alias("TAXCUS"))
-    # the readings' own span clips the expansion to days, so an open-ended
-    # interval cannot explode (a scalar subquery: one maximum over the readings)
-    daily = B.daily_rates(rates, ["CODEMP", "CODCCU"], "DATINI", "DATFIM", "TAXCUS",
-                          lo=p.performance_floor, hi=eoq.agg(F.max("DATREA")).scalar(), name="_RATE")
 
     z1 = eoq.alias("Z1")
     j1 = (z1.join(bronze("E900COP").alias("T0"), on("T0", "Z1", "CODEMP", "CODORI", "NUMORP"), "left")
@@ -248,7 +245,7 @@ def performance(bronze: Bronze, p: ProductParams) -> DataFrame:
         c("T2", "TMPPRP").alias("_TMPPRP"), c("T0", "SITORP").alias("_SITORP"), c("T0", "DTRINI").alias("_DTRINI"),
         c("T0", "DTRFIM").alias("_DTRFIM"), c("T0", "CODEMP").alias("_T0EMP"), c("T0", "CODORI").alias("_T0ORI"),
         c("T0", "NUMORP").alias("_T0ORP"), c("T0", "CODPRO").alias("_T0PRO"))
-    j1 = _block1_joins(j1, qtdrea, tmpbru, spe, daily)
+    j1 = _block1_joins(j1, qtdrea, tmpbru, spe, rates)
     and_ = F.when(X.same_month(F.col("_DTRFIM"), F.col("DATREA")), F.lit(0)).otherwise(F.col("_SDO"))
     g1 = j1.groupBy("CODEMP", "DATREA", "NUMORP", "CODETG", "CODCRE", "CC_EXE", "CODOPR", "CODORI", "CODPRO",
                     "UNICRE").agg(
@@ -335,7 +332,7 @@ def performance(bronze: Bronze, p: ProductParams) -> DataFrame:
     return B.union_blocks([blk1, blk2, blk3, blk4], PERFORMANCE_COLUMNS)
 
 
-def _block1_joins(j1, qtdrea, tmpbru, spe, daily):
+def _block1_joins(j1, qtdrea, tmpbru, spe, rates):
     """Correlated scalars of block 1 as pre-aggregates joined on their keys."""
     j1 = j1.join(qtdrea, ["CODEMP", "CODORI", "NUMORP", "CODETG", "SEQROT", "DATREA"], "left")
     j1 = j1.join(tmpbru.withColumnRenamed("CODOPR", "_Z1OPR"),
@@ -343,8 +340,8 @@ def _block1_joins(j1, qtdrea, tmpbru, spe, daily):
     j1 = j1.join(spe.select(F.col("CODEMP").alias("_T0EMP"), F.col("CODORI").alias("_T0ORI"),
                             F.col("NUMORP").alias("_T0ORP"), F.col("CODPRO").alias("_T0PRO"), "_SDO"),
                  ["_T0EMP", "_T0ORI", "_T0ORP", "_T0PRO"], "left")
-    d = daily.withColumnRenamed("CODEMP", "_T2EMP").withColumnRenamed("CODCCU", "CC_EXE")
-    return B.interval_rate(j1, d, ["_T2EMP", "CC_EXE"], F.col("DATREA"), name="_RATE")
+    r = rates.withColumnsRenamed({"CODEMP": "_T2EMP", "CODCCU": "CC_EXE"})
+    return interval_rate(j1, r, ["_T2EMP", "CC_EXE"], F.col("DATREA"), "DATINI", "DATFIM", "TAXCUS", name="_RATE")
 
 
 def _join_top(j2, top):
