@@ -12,12 +12,15 @@ The source for a table may be any reader (a second system is just another
 DataFrame, MRG-04/MRG-06).  ``ingest`` returns a ``LoadResult``;
 ``run_tables`` / ``refresh_area`` turn several into a metrics DataFrame.
 
-A merge reads the source window once: the batch is written to the shared folder
-and everything after works on that copy, so a row that arrives meanwhile cannot be
-in one read and not in another.  On a partitioned target only the storage
-partitions that the batch touches, that held one of its keys before or that hold
-the sweep's orphans are rewritten; finding the last two reads the key columns of
-the target.  Each published version records the ``as_of`` of its load.
+Every load reads the source once: the batch is written to the shared folder and
+everything after works on that copy, so a row that arrives meanwhile cannot be in one
+read and not in another; the copies are removed when the load is over.  All counters
+come from what was written (rows of the copies and of the published files), none from
+task metrics, so a re-run task cannot double or lose them.  On a partitioned target
+only the storage partitions that the batch touches, that held one of its keys before
+or that hold the sweep's orphans are rewritten; which may hold a key is read from the
+key ranges in the manifest, and only those are searched.  Each published version
+records the ``as_of`` of its load.
 """
 
 from __future__ import annotations
@@ -26,15 +29,15 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import remove_scratch, scratch_path
 from ..sources import scan
 from ..sources.catalog import TableSpec
 from ..sources.schema import align_to_target
-from ..sources.store import StoreError, VersionedTable, load_column_for
-from . import merge
+from ..sources.store import EmptyBatchError, VersionedTable, load_column_for
+from . import digests, merge
 
 METRICS_SCHEMA = ("table_name string, strategy string, extracted long, inserted long, "
                   "updated long, saved long, removed long, status string, seconds double")
@@ -63,7 +66,7 @@ def _stamp(df: DataFrame, as_of, layer: str) -> DataFrame:
 
 def ingest(spec: TableSpec, source: DataFrame, target: VersionedTable, as_of,
            sweep: bool = False, layer: str = "bronze", drift: str = "fail",
-           dedup_first_load: bool = True) -> LoadResult:
+           dedup_first_load: bool = True, guard: str | None = None, meta: dict | None = None) -> LoadResult:
     """Refresh one table and return its counters.
 
     ``dedup_first_load`` collapses repeated keys of a first load (a count of the
@@ -74,156 +77,123 @@ def ingest(spec: TableSpec, source: DataFrame, target: VersionedTable, as_of,
     merge target must get a new source column first), ``add_nullable`` (the
     target absorbs it; older rows read NULL) or ``ignore`` (dropped).  Full
     replaces (first load, keyless) always take the source shape.
+
+    ``guard`` names a version column: merged rows older than the table's are left
+    out (:func:`merge.rows_to_apply`).  ``meta`` is noted in the published manifest.
     """
     t0 = time.time()
     # scope and window filters come first, so they reach the scan; blanks after
-    src, clean = source, scan.normalize_blanks
-    first = not target.has_rows()
-    if spec.keyless or first:
-        # one pass over the source: the extracted count is observed while the
-        # snapshot is written (no separate counting scan of a full source)
-        obs = Observation(f"extract_{spec.name}")
-        scoped = _stamp(clean(scan.snapshot_scan(src, spec)), as_of, layer) \
-            .observe(obs, F.count(F.lit(1)).alias("n"))
-        strategy = "keyless_replace" if spec.keyless else "first_load"
-        batch = scoped if spec.keyless or not dedup_first_load else merge.dedup_first(
-            scoped, spec.keys, spec.dedup_order(), descending=spec.latest_wins)
-        try:
-            saved = target.write(batch, meta={"as_of": str(as_of)})
-        except StoreError:                          # empty source: old version kept (SNK-02)
-            return LoadResult(spec.name, strategy, saved=target.row_count(),
-                              status="EMPTY_BATCH_KEPT_OLD", seconds=time.time() - t0)
-        extracted = _observed(obs, "n") or 0
-        # extracted vs saved divergence (SNK-06): duplicates collapsed by the key
-        status = "OK" if saved == extracted else "DIVERGENT"
-        return LoadResult(spec.name, strategy, extracted, saved, 0, saved, 0, status,
-                          time.time() - t0)
-
-    if spec.audit_col:
-        batch = clean(scan.window_scan(src, spec, as_of))
-        strategy = "window_merge"
-    else:
-        batch = clean(scan.snapshot_scan(src, spec))
-        strategy = "snapshot_merge"
-    universe = scan.key_universe(src, spec) if sweep else None
-    if universe is not None:
-        universe = clean(universe)
-    return _merge_observed(spec, batch, target, as_of, layer, strategy, t0, universe, drift)
-
-
-def _merge_observed(spec: TableSpec, batch: DataFrame, target: VersionedTable, as_of, layer: str,
-                    strategy: str, t0: float, universe: DataFrame | None = None,
-                    drift: str = "fail") -> LoadResult:
-    """Upsert the window batch [+ scoped orphan sweep], counters observed on the write.
-
-    The target is read once and the result written once.  ``updated`` =
-    target rows before - target rows kept (observed on the anti-join feeding the
-    write); ``inserted`` = merged rows - target rows before (target keys are
-    unique).  The sweep's universe, candidate and surviving counts are observed
-    on the same write; an empty universe stops the publish (old version kept).
-    On a partitioned table only the partitions the batch touches, those that
-    hold one of its keys now and, with a sweep, those holding orphans are read
-    and rewritten; finding them reads only key, scope and partition columns.
-
-    The counters are reporting, not data: a count observed on the map side of
-    a shuffle can be taken twice if Spark re-runs a map stage after losing an
-    executor.  The table written never depends on them, and the empty-universe
-    guard only tests for zero, which a re-run cannot turn into non-zero.
+    clean = scan.normalize_blanks
+    notes = {**{k: v for k, v in target.meta().items() if k == "streams"}, "as_of": str(as_of), **(meta or {})}
+    copies: list[str] = []
+    try:
+        if spec.keyless or not target.has_rows():
+            strategy = "keyless_replace" if spec.keyless else "first_load"
+            batch, extracted = _copy(target.spark, clean(scan.snapshot_scan(source, spec)), spec.name, copies)
+            if not spec.keyless and dedup_first_load:
+                batch = merge.dedup_first(batch, spec.keys, spec.dedup_order(), descending=spec.latest_wins)
+            try:
+                saved = target.write(_stamp(batch, as_of, layer), meta=notes, keys=() if spec.keyless else spec.keys)
+            except EmptyBatchError:                     # old version kept (SNK-02)
+                return LoadResult(spec.name, strategy, extracted, saved=target.row_count(),
+                                  status="EMPTY_BATCH_KEPT_OLD", seconds=time.time() - t0)
+            # extracted vs saved divergence (SNK-06): duplicates collapsed by the key
+            status = "OK" if saved == extracted else "DIVERGENT"
+            return LoadResult(spec.name, strategy, extracted, saved, 0, saved, 0, status, time.time() - t0)
+        if spec.audit_col:
+            batch, strategy = scan.window_scan(source, spec, as_of), "window_merge"
+        else:
+            batch, strategy = scan.snapshot_scan(source, spec), "snapshot_merge"
+        universe = clean(scan.key_universe(source, spec)) if sweep else None
+        return _merge(spec, clean(batch), target, as_of, layer, strategy, t0, universe, drift, guard, notes, copies)
+    finally:
+        for path in copies:
+            remove_scratch(target.spark, path)
+
+
+def _copy(spark: SparkSession, df: DataFrame, name: str, copies: list[str]) -> tuple[DataFrame, int]:
+    """``df`` written to the shared folder, and its rows; the folder is noted in ``copies``."""
+    path = scratch_path(spark, f"batch-{name}")
+    copies.append(path)
+    df.write.parquet(path)
+    df = spark.read.schema(df.schema).parquet(path)
+    return df, df.count()
+
+
+def _merge(spec: TableSpec, batch: DataFrame, target: VersionedTable, as_of, layer: str, strategy: str, t0: float,
+           universe: DataFrame | None, drift: str, guard: str | None, notes: dict, copies: list[str]) -> LoadResult:
+    """Upsert the window batch [+ scoped orphan sweep].
+
+    The rows to apply are written once (one per key, after the version guard) and
+    counted; ``inserted`` is what the table grew by, ``updated`` the rest of them.
+    With a sweep the inserted keys are counted by a join of the key columns, and
+    ``removed`` is what is missing from the sum.  On a partitioned table only the
+    partitions the batch touches, those that hold one of its keys now and, with a
+    sweep, those holding orphans are read and rewritten.
     """
-    copy = scratch_path(target.spark, f"batch-{spec.name}")
-    batch.write.parquet(copy)                      # the one read of the source window
-    batch = target.spark.read.schema(batch.schema).parquet(copy)
-    extracted = batch.count()
+    batch, extracted = _copy(target.spark, batch, spec.name, copies)
     if extracted == 0 and universe is None:
         return LoadResult(spec.name, strategy, saved=target.row_count(),
                           status="EMPTY_BATCH_KEPT_OLD", seconds=time.time() - t0)
-    m = target.manifest()
-    if target.partition_col and m.get("parts") is not None:
+    if universe is not None and universe.select(*spec.keys).dropna().isEmpty():
+        raise merge.MergeError("refusing to sweep against an empty key universe")
+    m, k = target.manifest(), list(spec.keys)
+    parts = m.get("parts") if target.partition_col else None
+    if parts is not None:
         touched = set(target.part_values(batch)) | _holding_partitions(spec, target, batch) if extracted else set()
         if universe is not None:
             touched |= _orphan_partitions(spec, target, universe)
         touched = sorted(touched)
         current = target.read(parts=touched)
-        total_before = sum(v["rows"] for v in m["parts"].values())
-        before = sum(v["rows"] for k, v in m["parts"].items() if k in set(touched))
+        before = sum(v["rows"] for p, v in parts.items() if p in set(touched))
+        elsewhere = sum(v["rows"] for v in parts.values()) - before
         strategy += "@partitions"
     else:
-        touched, current = None, target.read()
-        total_before = before = target.row_count()
+        touched, current, before, elsewhere = None, target.read(), target.row_count(), 0
     batch = align_to_target(_stamp(batch, as_of, layer), current.schema, drift)
     new_cols = [f for f in batch.schema.fields if f.name not in current.columns]
     current = current.withColumns({f.name: F.lit(None).cast(f.dataType) for f in new_cols})
-    obs = Observation(f"merge_{spec.name}")
-    merged = merge.upsert(current, batch, spec.keys, spec.dedup_order(), descending=spec.latest_wins,
-                          observation=obs)
-    removed = 0
+    src = merge.rows_to_apply(current, batch, k, spec.dedup_order(), descending=spec.latest_wins, guard=guard)
+    src, applied = _copy(target.spark, src, f"{spec.name}-rows", copies)
+    if applied == 0 and universe is None:               # every row is older than the table's
+        return LoadResult(spec.name, strategy, extracted, saved=target.row_count(), seconds=time.time() - t0)
+    final = merge.replace_rows(current, src, k)
+    inserted = None
     if universe is not None:
-        sweep_obs = {n: Observation(f"sweep_{n}_{spec.name}") for n in ("universe", "candidates", "live")}
-        final, _ = merge.orphan_sweep(merged, universe, spec.keys, scope=spec.scope(), observations=sweep_obs)
-
-        def guard():
-            n = _observed(sweep_obs["universe"], "n")
-            if n == 0 or (n is None and universe.select(*spec.keys).dropna().isEmpty()):
-                raise merge.MergeError("refusing to sweep against an empty key universe")
-
-        if touched is None:
-            saved = target.write(final, allow_empty=True, before_publish=guard, meta={"as_of": str(as_of)})
-            written = saved
-        else:                                       # universe already checked
-            saved = target.write_partitions(final, touched, meta={"as_of": str(as_of)})
-            written = saved - (total_before - before)
-        cand = _observed(sweep_obs["candidates"], "n") or 0
-        live = _observed(sweep_obs["live"], "n") or 0
-        removed = cand - live
-        written += removed                          # merged rows before the sweep
+        final, _ = merge.orphan_sweep(final, universe, k, scope=spec.scope(), allow_empty_universe=True)
+        inserted = src.select(*k).join(current.select(*k), on=k, how="left_anti").count()
         strategy += "+sweep"
-    elif touched is None:
-        saved = target.write(merged, meta={"as_of": str(as_of)})
-        written = saved
+    if touched is None:
+        saved = target.write(final, allow_empty=universe is not None, meta=notes, keys=k)
     else:
-        saved = target.write_partitions(merged, touched, meta={"as_of": str(as_of)})
-        written = saved - (total_before - before)
-    kept = _observed(obs, "kept") or 0
-    return LoadResult(spec.name, strategy, extracted, written - before, before - kept, saved, removed,
+        saved = target.write_partitions(final, touched, meta=notes, keys=k)
+    written = saved - elsewhere
+    inserted = written - before if inserted is None else inserted
+    return LoadResult(spec.name, strategy, extracted, inserted, applied - inserted, saved, before + inserted - written,
                       "OK", time.time() - t0)
 
 
 def _holding_partitions(spec: TableSpec, target: VersionedTable, batch: DataFrame) -> set[str]:
     """Storage partitions that hold a key of the batch now: a row whose partition
-    column changed leaves its old partition.  Reads the key and partition columns."""
+    column changed leaves its old partition.  None but the batch's own where the
+    partition follows from the key; else those whose key range meets the batch are
+    searched, reading their key and partition columns."""
     k = list(spec.keys)
-    held = target.read().select(*dict.fromkeys([*k, target.partition_col]))
+    if target.partition_col in k:
+        return set()
+    near = target.parts_meeting(batch, k)
+    if not near:
+        return set()
+    held = target.read(parts=near).select(*dict.fromkeys([*k, target.partition_col]))
     return set(target.part_values(held.join(batch.select(*k).dropna().distinct(), on=k, how="left_semi")))
 
 
 def _orphan_partitions(spec: TableSpec, target: VersionedTable, universe: DataFrame) -> set[str]:
-    """Storage partitions holding in-scope rows whose key left the source.
-
-    Reads only the key, scope and partition columns of the table (column
-    pruning), so the daily sweep rewrites just these partitions.  The universe
-    is counted on the same pass: an empty one (a failed key read) stops the
-    sweep before anything is written.
-    """
-    k = list(spec.keys)
-    u_obs = Observation(f"universe_{spec.name}")
-    u = universe.select(*k).dropna().distinct().observe(u_obs, F.count(F.lit(1)).alias("n"))
-    orphans = target.read().where(spec.scope()).join(u, on=k, how="left_anti")
-    parts = set(target.part_values(orphans))
-    n = _observed(u_obs, "n")
-    if n == 0 or (n is None and u.isEmpty()):
-        raise merge.MergeError("refusing to sweep against an empty key universe")
-    return parts
-
-
-def _observed(obs: Observation, name: str):
-    """An observed count, or None when Spark never ran the observed subtree
-    (AQE replaces a branch it proved empty by an empty relation, dropping the
-    observation with it: the count there is 0, except where a caller must
-    check explicitly)."""
-    try:
-        return obs.get.get(name)
-    except Exception:  # noqa: BLE001 - metrics missing for a pruned branch
-        return None
+    """Storage partitions holding in-scope rows whose key left the source, found by
+    key ranges first (:func:`digests.range_sweep`): rows of equal ranges are not
+    shuffled.  Reads only the key, scope and partition columns of the table."""
+    _, orphans = digests.range_sweep(target.read(), universe, list(spec.keys), scope=spec.scope(), allow_empty_universe=True)
+    return set(target.part_values(orphans))
 
 
 def metrics_frame(spark: SparkSession, results: list[LoadResult]) -> DataFrame:

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
@@ -113,29 +113,43 @@ def key_grain_report(df: DataFrame, keys, name: str = "n_rows") -> DataFrame:
 # ---------------------------------------------------------------------------
 # MRG-01 / MRG-03 / MRG-04: upsert, insert-if-absent
 # ---------------------------------------------------------------------------
+def rows_to_apply(target: DataFrame, batch: DataFrame, keys, order: Sequence[str] | None = None,
+                  descending: bool = False, reject_null_keys: bool = True, guard: str | None = None) -> DataFrame:
+    """What a batch changes: one row per key in the target's shape (MRG-02).
+
+    ``guard`` names a version column: a row whose version is older than that of the
+    target's row with its key (or unknown, where that one has a version) is left out,
+    so a late delivery never takes back a newer state.  Only the key and version
+    columns of the target are read for it.
+    """
+    k = _cols(keys)
+    if reject_null_keys and not null_keys(batch, k).isEmpty():
+        raise MergeError(f"batch holds NULL merge keys in {k}")
+    src = dedup_first(batch.dropna(subset=k), k, order, descending).select(*target.columns)
+    if guard is None:
+        return src
+    held = target.select(*k, F.col(guard).alias("_held"))
+    newer = F.col("_held").isNull() | F.coalesce(F.col(guard) >= F.col("_held"), F.lit(False))
+    return src.join(held, on=k, how="left").where(newer).select(*target.columns)
+
+
 def upsert(target: DataFrame, batch: DataFrame, keys, order: Sequence[str] | None = None,
-           descending: bool = False, reject_null_keys: bool = True,
-           observation: Observation | None = None) -> DataFrame:
+           descending: bool = False, reject_null_keys: bool = True, guard: str | None = None) -> DataFrame:
     """Update matched keys, insert unmatched keys, never delete.
 
     The batch is deduplicated first (MRG-02).  Rows of the batch with a NULL key
     would be inserted again on every run (NULL never matches), so by default
     they are refused (T6); pass ``reject_null_keys=False`` to drop them instead.
-    Columns are aligned by name to the target's shape.
-
-    ``observation`` (a ``pyspark.sql.Observation``) receives ``kept``: the
-    number of target rows not replaced, counted while the merge is written,
-    so the load counters need no extra pass over the target.
+    Columns are aligned by name to the target's shape.  ``guard``: see
+    :func:`rows_to_apply`.
     """
+    return replace_rows(target, rows_to_apply(target, batch, keys, order, descending, reject_null_keys, guard), keys)
+
+
+def replace_rows(target: DataFrame, src: DataFrame, keys) -> DataFrame:
+    """The target with the rows of ``src`` (one per key, same shape) in place of its own."""
     k = _cols(keys)
-    if reject_null_keys and not null_keys(batch, k).isEmpty():
-        raise MergeError(f"batch holds NULL merge keys in {k}")
-    clean = batch.dropna(subset=k)
-    src = dedup_first(clean, k, order, descending).select(*target.columns)
-    kept = target.join(src.select(*k), on=k, how="left_anti")
-    if observation is not None:
-        kept = kept.observe(observation, F.count(F.lit(1)).alias("kept"))
-    return kept.unionByName(src)
+    return target.join(src.select(*k), on=k, how="left_anti").unionByName(src)
 
 
 def insert_if_absent(target: DataFrame, batch: DataFrame, keys) -> DataFrame:
@@ -149,34 +163,22 @@ def insert_if_absent(target: DataFrame, batch: DataFrame, keys) -> DataFrame:
 # MRG-05 / MRG-06 / MRG-08: scoped orphan sweep
 # ---------------------------------------------------------------------------
 def orphan_sweep(target: DataFrame, universe: DataFrame, keys, scope: Column | None = None,
-                 allow_empty_universe: bool = False,
-                 observations: dict[str, Observation] | None = None) -> tuple[DataFrame, DataFrame]:
+                 allow_empty_universe: bool = False) -> tuple[DataFrame, DataFrame]:
     """Remove target rows whose key is absent from the source key universe.
 
     Only rows inside ``scope`` (the caller's own slice of a multi-writer table)
     are candidates; rows outside it are kept untouched.  An empty universe almost
     always means a failed key read, so it is refused unless explicitly allowed.
-
-    Returns ``(kept, removed)``.  With ``observations`` (``universe``,
-    ``candidates``, ``live`` -> ``Observation``) nothing runs here: the three
-    counts are collected while ``kept`` is written (removed = candidates -
-    live) and the caller applies the empty-universe guard before publishing,
-    so the sweep costs one pass instead of three.
+    Returns ``(kept, removed)``.
     """
     k = _cols(keys)
     u = universe.select(*k).dropna().distinct()
-    if observations is None:
-        if not allow_empty_universe and u.isEmpty():
-            raise MergeError("refusing to sweep against an empty key universe")
-    else:
-        u = u.observe(observations["universe"], F.count(F.lit(1)).alias("n"))
+    if not allow_empty_universe and u.isEmpty():
+        raise MergeError("refusing to sweep against an empty key universe")
     in_scope = F.lit(True) if scope is None else F.coalesce(scope, F.lit(False))
     # one pass over the target: a left join marks the live keys
     marked = target.withColumn("_in", in_scope).join(u.withColumn("_live", F.lit(True)), on=k, how="left")
     live = F.coalesce(F.col("_live"), F.lit(False))
-    if observations is not None:
-        marked = (marked.observe(observations["candidates"], F.count(F.when(F.col("_in"), 1)).alias("n"))
-                  .observe(observations["live"], F.count(F.when(F.col("_in") & live, 1)).alias("n")))
     kept = marked.where(~F.col("_in") | live).select(*target.columns)
     return kept, marked.where(F.col("_in") & ~live).select(*target.columns)
 

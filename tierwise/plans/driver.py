@@ -20,7 +20,7 @@ from ..operators import digests as D
 from ..operators import intervals as I
 from ..operators import merge as M
 from ..operators import reconcile as R
-from ..operators.ingest import ingest
+from ..operators.ingest import ingest, run_tables
 from ..session import scratch_path
 from ..sources import scan
 from ..sources import schema as S
@@ -351,6 +351,60 @@ def stream_content(spark, d):
     return target.read()
 
 
+def stream_late(spark, d):
+    """Deliveries out of order (STR-01): the newer states first, then a late file with the
+    older ones and orders not seen before, then the first file once more.  The newest
+    state of every order stays."""
+    o = tbl(spark, d, "orders")
+    newer = o.withColumns({"o_orderdate": F.col("o_orderdate") + F.expr("INTERVAL 10 DAYS"), "o_orderpriority": F.concat(F.lit("N-"), "o_orderpriority")})
+    some = F.col("o_orderstatus") == "F"
+    root = scratch_path(spark, "stream_late")
+    spec = TableSpec(name="orders", keys=("o_orderkey",), audit_col="o_orderdate")
+    target = VersionedTable(spark, f"{root}/table")
+    for n, delivery in enumerate((newer.where(some), o, newer.where(some), o.where(~some).unionByName(newer.where(F.col("o_orderstatus") == "P")))):
+        delivery.write.parquet(f"{root}/in/{n}")
+        incremental_ingest(spark, spec, f"{root}/in", o.schema, target, AS_OF, f"{root}/checkpoint", newest_wins=True)
+    return target.read()
+
+
+def keyless_content(spark, d):
+    """A table without keys is replaced as a whole (SRC-08): the second snapshot, not the first."""
+    spec = TableSpec(name="suppliers", keys=None)
+    target = VersionedTable(spark, scratch_path(spark, "keyless_content"))
+    s = tbl(spark, d, "supplier")
+    ingest(spec, s, target, FIRST_AS_OF)
+    ingest(spec, s.where(F.col("s_nationkey") % 2 == 0).withColumn("s_acctbal", F.col("s_acctbal") + 1), target, AS_OF)
+    return target.read()
+
+
+def empty_batch_content(spark, d):
+    """A refresh that reads nothing keeps the rows and their load stamp (SNK-02)."""
+    target = VersionedTable(spark, scratch_path(spark, "empty_batch"))
+    c = tbl(spark, d, "customer")
+    for source, as_of in ((c, FIRST_AS_OF), (c.where(F.col("c_custkey") < 0), AS_OF)):
+        ingest(TableSpec(name="customer", keys=None), source, target, as_of)
+    return target.read()
+
+
+def load_statuses(spark, d):
+    """One run over five tables (SNK-06, SNK-08): keys that repeat make a load DIVERGENT, a
+    table that fails leaves the others alone, an empty source keeps what is there."""
+    o, li, c, s = (tbl(spark, d, n) for n in ("orders", "lineitem", "customer", "supplier"))
+    root = scratch_path(spark, "load_statuses")
+    kept = VersionedTable(spark, f"{root}/kept")
+    ingest(TableSpec(name="kept", keys=("c_custkey",)), c, kept, FIRST_AS_OF)
+
+    def failing():
+        raise OSError("the source does not answer")
+
+    jobs = [(TableSpec(name="orders", keys=("o_orderkey",)), o, VersionedTable(spark, f"{root}/orders")),
+            (TableSpec(name="lineitem", keys=("l_orderkey",), audit_col="l_shipdate"), li, VersionedTable(spark, f"{root}/lineitem")),
+            (TableSpec(name="broken", keys=("k",)), failing, VersionedTable(spark, f"{root}/broken")),
+            (TableSpec(name="kept", keys=("c_custkey",)), c.where(F.col("c_custkey") < 0), kept),
+            (TableSpec(name="view", keys=None), s, VersionedTable(spark, f"{root}/view"))]
+    return run_tables(spark, jobs, AS_OF, parallelism=3).drop("seconds")
+
+
 def drift_align(spark, d):
     o = tbl(spark, d, "orders")
     cut = ts("2000-01-01 00:00:00")
@@ -912,6 +966,10 @@ QUERIES = {
     "refresh_content": refresh_content,
     "partitioned_content": partitioned_content,
     "stream_content": stream_content,
+    "stream_late": stream_late,
+    "keyless_content": keyless_content,
+    "empty_batch_content": empty_batch_content,
+    "load_statuses": load_statuses,
     "drift_align": drift_align,
     "project_rename": project_rename,
     "predicate_mix": predicate_mix,

@@ -278,6 +278,29 @@ SELECT o_orderkey, o_custkey, o_orderstatus,
        o_orderpriority, {AS_OF} AS "DW_DATA_INGESTAO"
 FROM orders""",
 
+    "stream_late": f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+       CASE WHEN o_orderstatus IN ('F', 'P') THEN o_orderdate + INTERVAL 10 DAY ELSE o_orderdate END AS o_orderdate,
+       CASE WHEN o_orderstatus IN ('F', 'P') THEN 'N-' || o_orderpriority ELSE o_orderpriority END AS o_orderpriority,
+       {AS_OF} AS "DW_DATA_INGESTAO"
+FROM orders""",
+
+    "keyless_content": f"""
+SELECT * REPLACE (s_acctbal + 1 AS s_acctbal), {AS_OF} AS "DW_DATA_INGESTAO" FROM supplier WHERE s_nationkey % 2 = 0""",
+
+    "empty_batch_content": """
+SELECT *, TIMESTAMP '2001-07-01 00:00:00' AS "DW_DATA_INGESTAO" FROM customer""",
+
+    "load_statuses": """
+WITH o AS (SELECT COUNT(*) AS n FROM orders), c AS (SELECT COUNT(*) AS n FROM customer), s AS (SELECT COUNT(*) AS n FROM supplier),
+l AS (SELECT COUNT(*) AS n, COUNT(DISTINCT l_orderkey) AS u FROM lineitem)
+SELECT 'orders' AS table_name, 'first_load' AS strategy, n AS extracted, n AS inserted, CAST(0 AS BIGINT) AS updated, n AS saved,
+       CAST(0 AS BIGINT) AS removed, 'OK' AS status FROM o
+UNION ALL SELECT 'lineitem', 'first_load', n, u, 0, u, 0, CASE WHEN n = u THEN 'OK' ELSE 'DIVERGENT' END FROM l
+UNION ALL SELECT 'broken', 'error', 0, 0, 0, 0, 0, 'ERROR: OSError'
+UNION ALL SELECT 'kept', 'snapshot_merge', 0, 0, 0, n, 0, 'EMPTY_BATCH_KEPT_OLD' FROM c
+UNION ALL SELECT 'view', 'keyless_replace', n, n, 0, n, 0, 'OK' FROM s""",
+
     "partitioned_refresh": f"""
 WITH first AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '2001-07-01 00:00:00'),
 w AS (SELECT * FROM orders WHERE o_orderdate >= {AS_OF} - INTERVAL 60 DAY)

@@ -14,8 +14,10 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ...operators import merge as M
+from ...sources.schema import align_to_target
 from ...sources.store import VersionedTable, stamp
 from . import commercial, opex_trace, production, reports
 from .common import Bronze, ProductParams, ProductSpec, TableBronze
@@ -107,7 +109,11 @@ def load_product(name: str, df: DataFrame, target: VersionedTable, as_of: str) -
     batch = stamp(df, as_of, layer="silver")
     meta = {"as_of": str(as_of)}                      # freshness for downstream consumers
     if spec.load == "upsert" and target.has_rows():
-        merged = M.upsert(target.read(), batch.select(*target.read().columns), list(spec.keys), _order(spec, batch), spec.descending)
+        # a product that gained a column keeps it; older rows read NULL (SNK-09)
+        current = target.read()
+        batch = align_to_target(batch, current.schema, "add_nullable")
+        current = current.withColumns({f.name: F.lit(None).cast(f.dataType) for f in batch.schema.fields if f.name not in current.columns})
+        merged = M.upsert(current, batch, list(spec.keys), _order(spec, batch), spec.descending)
         return target.write(merged, meta=meta)
     if spec.load == "upsert":
         batch = M.dedup_first(batch, list(spec.keys), _order(spec, batch), spec.descending)

@@ -31,12 +31,13 @@ from __future__ import annotations
 import json
 import re
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DateType, StringType, StructField, StructType, TimestampNTZType,
-                               TimestampType)
+from pyspark.sql.types import (DateType, DecimalType, IntegralType, StringType, StructField, StructType,
+                               TimestampNTZType, TimestampType)
 
 LOAD_COL_BRONZE = "DW_DATA_INGESTAO"
 LOAD_COL_SILVER = "DW_DATA_PROCESSAMENTO"
@@ -51,7 +52,13 @@ class StoreError(RuntimeError):
     pass
 
 
+class EmptyBatchError(StoreError):
+    """Nothing to publish: the version written has no rows (SNK-02)."""
+
+
 PART_COL = "_part"
+#: Key types whose smallest and largest value the manifest keeps, as text.
+RANGED = (IntegralType, DecimalType, StringType, DateType, TimestampType, TimestampNTZType)
 
 
 @dataclass
@@ -225,6 +232,10 @@ class VersionedTable:
             return m["rows"] > 0
         return not self.read().isEmpty()
 
+    def meta(self) -> dict:
+        """What the load that published the current version noted."""
+        return (self.manifest() or {}).get("meta") or {}
+
     def loaded_as_of(self) -> str | None:
         """The ``as_of`` of the load that published the current version (from
         the manifest: a freshness check reads no data)."""
@@ -245,32 +256,57 @@ class VersionedTable:
         if not self.exists():
             self.write(self.spark.createDataFrame([], schema), allow_empty=True)
 
-    def _write_parts(self, df: DataFrame, version: int, name: str) -> dict:
+    def _write_parts(self, df: DataFrame, version: int, name: str, keys: Sequence[str] = ()) -> dict:
+        """Write ``df`` by storage partition; returns the manifest entry of each: its
+        directory, rows and the smallest and largest value of each key column."""
         path = f"{self.root}/{name}"
         # rebalance by storage partition: AQE groups each partition's rows into
         # few files, coalescing small partitions and splitting large ones, so
         # neither tasks x partitions tiny files nor one task per huge month
         df.withColumn(PART_COL, self.part_expr(df)).hint("rebalance", PART_COL).write \
           .partitionBy(PART_COL).parquet(path)
-        # per-partition row counts: the SNK-01 check, one row per partition
+        # per-partition row counts (the SNK-01 check) and key ranges, one row per partition
         with_part = StructType([*df.schema.fields, StructField(PART_COL, StringType())])
-        counts = self.spark.read.schema(with_part).parquet(path).groupBy(PART_COL).count().collect()
-        return {r[0]: {"v": version, "dir": name, "rows": r[1]} for r in counts}
+        ranged = [k for k in keys if isinstance(df.schema[k].dataType, RANGED)]
+        ends = [f(F.col(k)).cast("string").alias(f"{n}{i}") for i, k in enumerate(ranged) for n, f in (("low", F.min), ("high", F.max))]
+        found = self.spark.read.schema(with_part).parquet(path).groupBy(PART_COL).agg(F.count(F.lit(1)).alias("rows"), *ends).collect()
+        return {r[PART_COL]: {"v": version, "dir": name, "rows": r["rows"], "ranges": {k: [r[f"low{i}"], r[f"high{i}"]] for i, k in enumerate(ranged)}} for r in found}
+
+    def parts_meeting(self, batch: DataFrame, keys: Sequence[str]) -> list[str]:
+        """Storage partitions that may hold a key of the batch, by the key ranges in the
+        manifest (MRG-01): no row of the table is read.  A partition written without
+        ranges may hold any key.  The ranges are one row a partition, as in the manifest."""
+        m, schema = self.manifest(), batch.schema
+        parts = {p: v.get("ranges") or {} for p, v in m["parts"].items() if v["rows"]}
+        known = [k for k in keys if isinstance(schema[k].dataType, RANGED) and all(None not in r.get(k, [None]) for r in parts.values())]
+        if not known or not parts:
+            return sorted(parts)
+        rows = [(p, *(x for k in known for x in r[k])) for p, r in parts.items()]
+        names = [n for i in range(len(known)) for n in (f"_low{i}", f"_high{i}")]
+        ranges = self.spark.createDataFrame(rows, StructType([StructField(n, StringType()) for n in [PART_COL, *names]]))
+        within = F.lit(True)
+        for i, k in enumerate(known):
+            kind = schema[k].dataType
+            within = within & (F.col(k) >= F.col(f"_low{i}").cast(kind)) & (F.col(k) <= F.col(f"_high{i}").cast(kind))
+        met = batch.select(*known).dropna().distinct().join(F.broadcast(ranges), within).select(PART_COL).distinct()
+        return sorted(r[0] for r in met.collect())                   # at most the partitions
 
     def write(self, df: DataFrame, allow_empty: bool = False,
-              expected_rows: int | None = None, before_publish=None, meta: dict | None = None) -> int:
+              expected_rows: int | None = None, before_publish=None, meta: dict | None = None,
+              keys: Sequence[str] = ()) -> int:
         """Write ``df`` as the next full version and publish it; returns rows saved.
 
         An empty result aborts and keeps the old version (SNK-02) unless
         ``allow_empty``.  When ``expected_rows`` is given a mismatch aborts
         before publishing (SNK-01 row check).  ``before_publish`` (a callable)
         runs after the files are written and before the manifest flips: raising
-        there leaves the old version current.
+        there leaves the old version current.  ``keys`` are the columns whose ranges
+        a partitioned table keeps for :meth:`parts_meeting`.
         """
         nxt = (self.current_version() or 0) + 1
         name = self._attempt(nxt)
         if self.partition_col:
-            parts = self._write_parts(df, nxt, name)
+            parts = self._write_parts(df, nxt, name, keys)
             saved = sum(v["rows"] for v in parts.values())
             manifest = {"version": nxt, "parts": parts, "schema": df.schema.json(),
                         "partition_col": self.partition_col, "buckets": self.buckets}
@@ -279,7 +315,7 @@ class VersionedTable:
             saved = self.spark.read.parquet(f"{self.root}/{name}").count()
             manifest = {"version": nxt, "parts": None, "rows": saved, "dir": name}
         if saved == 0 and not allow_empty:
-            raise StoreError(f"refusing to publish an empty version of {self.root}")
+            raise EmptyBatchError(f"refusing to publish an empty version of {self.root}")
         if expected_rows is not None and saved != expected_rows:
             raise StoreError(f"{self.root}: wrote {saved} rows, expected {expected_rows}")
         if before_publish is not None:
@@ -289,7 +325,7 @@ class VersionedTable:
         self._publish(manifest)
         return saved
 
-    def write_partitions(self, df: DataFrame, touched: list[str], meta: dict | None = None) -> int:
+    def write_partitions(self, df: DataFrame, touched: list[str], meta: dict | None = None, keys: Sequence[str] = ()) -> int:
         """Replace only the ``touched`` storage partitions by ``df`` (which must
         hold exactly their new content) and publish; returns total table rows.
 
@@ -300,7 +336,7 @@ class VersionedTable:
         if not self.partition_col or m is None or m.get("parts") is None:
             raise StoreError("write_partitions needs an existing partitioned table")
         nxt = m["version"] + 1
-        written = self._write_parts(df, nxt, self._attempt(nxt))
+        written = self._write_parts(df, nxt, self._attempt(nxt), keys)
         stray = set(written) - set(touched)
         if stray:
             raise StoreError(f"{self.root}: rows landed in untouched partitions {sorted(stray)[:5]}")
