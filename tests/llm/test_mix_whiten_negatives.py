@@ -301,3 +301,20 @@ def test_negatives_empty(spark):
     one = vectors(spark, [(0, [1.0, 2.0], 1)])
     assert hard_negatives.hard_negatives(one, F.col("vec_id") % 10 == 0, F.col("label")).collect() == []
     assert hard_negatives.hard_negatives(vectors(spark, clusters(1, n=30)), F.lit(None).cast("boolean"), F.col("label")).collect() == []
+
+
+# -- secrets ------------------------------------------------------------------
+
+def test_spans_of_a_text_with_many_assignments():
+    """Spans inside a base span are left out, and 30,000 of them take seconds."""
+    import time
+
+    from tierwise.llm import secret_scan
+    lines = [f'password = "abcdefghij{i:06d}"\napi_secret_{i} := "zyxwvutsrq{i:06d}"' for i in range(15_000)]
+    t0 = time.time()
+    base, every = secret_scan.scan("\n".join(lines))
+    assert time.time() - t0 < 30
+    small_base, small = secret_scan.scan("\n".join(lines[:200]))
+    naive = [(s, e) for s, e in secret_scan.lexed_spans("\n".join(lines[:200])) if not any(a <= s and e <= b for a, b, _ in small_base)]
+    assert [x for x in small if x not in small_base] == [(s, e, "assign") for s, e in sorted(naive)]
+    assert len(base) >= 15_000 and len(every) >= len(base)

@@ -5,9 +5,9 @@ first, so copies weigh nothing.  Spherical k-means, fitted per label on a bounde
 sample, assigns every vector to its nearest centroid (its home cell).  A vector is
 also a guest of each cell whose bounding hyperplane lies within ``margin`` of it,
 so a pair that a cell border cuts still meets.  Two unit vectors with a cosine of
-``min_cosine`` are ``sqrt(2 - 2 * min_cosine)`` apart; a margin of that much loses
-no pair, and the default of half of it loses a pair only if nearly the whole
-difference points across the border.
+``min_cosine`` are at most ``sqrt(2 - 2 * min_cosine)`` apart, so with the default margin
+of that much every linked pair meets in the home cells of both, and is counted in that of
+the smaller id: links and components are exact.  A smaller margin is faster and loses links.
 
 A cell larger than ``block_rows`` is dealt by pairs of blocks.  A task holds two
 blocks and compares them by matrix products; what leaves it are the number of
@@ -145,11 +145,11 @@ def embedding_near_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col:
     """``id, n_links, component_id, kept``, one row per vector.
 
     ``sample_rows`` bounds the vectors that k-means is fitted on (over all
-    labels); every vector is indexed.  ``margin`` defaults to half the chord of
-    ``min_cosine``; the whole chord is exact.
+    labels); every vector is indexed.  ``margin`` defaults to the chord of
+    ``min_cosine``, which is exact (and a little more, for rounding).
     """
     chord = (2 - 2 * min_cosine) ** 0.5
-    margin = chord / 2 if margin is None else margin
+    margin = chord * (1 + 1e-9) + 1e-9 if margin is None else margin
     v = F.col("vec")
     unit = (vectors.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"),
                             F.transform(F.col(vector_col), lambda x: x.cast("double")).alias("vec")))

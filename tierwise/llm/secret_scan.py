@@ -17,9 +17,11 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from hashlib import sha256
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -122,11 +124,17 @@ def scan(text: str, hexes: bool = True, threshold: float = 4.0) -> tuple[list, l
     """``(base spans, all spans)`` in order, each ``(start, end, kind)``."""
     base = base_spans(text, hexes)
     added = []
-    if "=" in text or ":" in text:
-        added = [(s, e, "assign") for s, e in lexed_spans(text, threshold) if not any(a <= s and e <= b for a, b, _ in base)]
 
     def order(x):
         return x[0], KINDS.index(x[2]), x[1]
+    if "=" in text or ":" in text:
+        base = sorted(base, key=order)
+        starts, reach = [a for a, _, _ in base], list(accumulate((b for _, b, _ in base), max))
+        # a base span holds (s, e) if one that starts by s reaches e
+        for s, e in lexed_spans(text, threshold):
+            i = bisect_right(starts, s)
+            if not i or reach[i - 1] < e:
+                added.append((s, e, "assign"))
     return sorted(base, key=order), sorted(base + added, key=order)
 
 
