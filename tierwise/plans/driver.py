@@ -20,8 +20,10 @@ from ..operators import digests as D
 from ..operators import intervals as I
 from ..operators import merge as M
 from ..operators import reconcile as R
+from ..operators import rolling as RO
 from ..operators.ingest import ingest, run_tables
 from ..session import scratch_path
+from ..sources import ranges as RG
 from ..sources import scan
 from ..sources import schema as S
 from ..sources import sheets
@@ -719,6 +721,43 @@ def trailing_months(spark, d):
         F.concat_ws("|", X.month_key("month_start"), F.col("l_partkey").cast("string")).alias("month_key"))
 
 
+def trailing_refresh(spark, d):
+    """The trailing months of the line items, kept from before a merge and brought up to
+    date by what it changed: rows that move to other months, that are new and that go."""
+    li = tbl(spark, d, "lineitem")
+    odd = F.col("l_orderkey") % 50
+    before = li.where(odd != 7)
+    removed = before.where((odd == 0) | (odd == 13))
+    moved = before.where(odd == 0).withColumns({"l_shipdate": F.col("l_shipdate") + F.expr("INTERVAL 40 DAYS"), "l_quantity": F.col("l_quantity") + 1})
+    added = moved.unionByName(li.where(odd == 7))
+    keys = ["l_suppkey"]
+    state = RO.monthly_state(before, keys, "l_shipdate", "l_quantity")
+    trailing = B.trailing_months(state.select(*keys, "month_start", "qty"), keys, "month_start", "qty", back=6, skip=1)
+    change = RO.monthly_change(removed, added, keys, "l_shipdate", "l_quantity")
+    state = RO.apply_change(state, change, keys)
+    now = RO.refresh_trailing(trailing, state, change, keys, back=6, skip=1)
+    return now.withColumns({c: F.col(c).cast("double") for c in ("qty", "trailing")})
+
+
+def balanced_ranges(spark, d):
+    """A skewed key read by balanced ranges (SRC-11, SRC-12): how many rows the ranges read
+    in all, how many rows fell into none or several, and whether no range with more than
+    one key reads over twice its share."""
+    li = tbl(spark, d, "lineitem")
+    skewed = li.select(F.when(F.col("l_linenumber") == 1, F.lit(5)).when(F.col("l_linenumber") == 2, F.lit(None))
+                       .otherwise(F.col("l_orderkey") * F.col("l_orderkey")).cast("long").alias("k"))
+    ranges = 16
+    tests = [F.coalesce(F.expr(p), F.lit(False)) for p in RG.balanced_predicates(skewed, "k", ranges)]
+    hits = F.array(*[F.when(c, F.lit(i)) for i, c in enumerate(tests)])
+    placed = skewed.select("k", F.array_compact(hits).alias("at")).select("k", F.explode_outer("at").alias("part"), F.size("at").alias("hits"))
+    n, part = F.count(F.lit(1)), F.col("part")
+    each = placed.groupBy("part").agg(n.alias("n"), F.countDistinct("k").alias("n_keys"), F.count_if(F.col("hits") > 1).alias("several"), F.count("k").alias("keyed"))
+    wide = F.max(F.when((F.col("n_keys") > 1) & (part > 0), F.col("n")))
+    none = F.coalesce(F.sum(F.when(part.isNull(), F.col("n"))), F.lit(0))
+    return each.agg(F.sum(F.when(part.isNotNull(), F.col("n"))).alias("n_read"), none.alias("in_none"), F.sum("several").alias("in_several"),
+                    (wide * ranges <= 2 * F.sum("keyed")).alias("balanced"))
+
+
 def previous_event(spark, d):
     p = B.previous_event(tbl(spark, d, "events"), "user_id", "ts")
     serial = F.col("user_id").cast("string")
@@ -990,6 +1029,8 @@ QUERIES = {
     "unit_scaling": unit_scaling,
     "full_outer_budget": full_outer_budget,
     "trailing_months": trailing_months,
+    "trailing_refresh": trailing_refresh,
+    "balanced_ranges": balanced_ranges,
     "previous_event": previous_event,
     "signed_sum": signed_sum,
     "text_clean": text_clean,

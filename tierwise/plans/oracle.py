@@ -512,6 +512,21 @@ SELECT l_partkey, month_start, last_day(month_start) AS month_end,
          || CAST(l_partkey AS VARCHAR) AS month_key
 FROM w WHERE month_start >= DATE '2000-01-01'""",
 
+    "trailing_refresh": """
+WITH now AS (
+    SELECT l_suppkey, CASE WHEN l_orderkey % 50 = 0 THEN l_shipdate + INTERVAL 40 DAY ELSE l_shipdate END AS d,
+           CASE WHEN l_orderkey % 50 = 0 THEN l_quantity + 1 ELSE l_quantity END AS q
+    FROM lineitem WHERE l_orderkey % 50 <> 13),
+m AS (
+    SELECT l_suppkey, CAST(date_trunc('month', d) AS DATE) AS month_start, SUM(CAST(q AS DECIMAL(18,2))) AS qty FROM now GROUP BY 1, 2)
+SELECT a.l_suppkey, a.month_start, CAST(a.qty AS DOUBLE) AS qty,
+       (SELECT CAST(SUM(b.qty) AS DOUBLE) FROM m b WHERE b.l_suppkey = a.l_suppkey
+          AND b.month_start BETWEEN a.month_start - INTERVAL 6 MONTH AND a.month_start - INTERVAL 1 MONTH) AS trailing
+FROM m a""",
+
+    "balanced_ranges": """
+SELECT COUNT(*) AS n_read, CAST(0 AS BIGINT) AS in_none, CAST(0 AS BIGINT) AS in_several, TRUE AS balanced FROM lineitem""",
+
     "previous_event": """
 WITH p AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events
            WHERE user_id IS NOT NULL AND trim(CAST(user_id AS VARCHAR)) <> '' AND ts IS NOT NULL),
