@@ -145,8 +145,8 @@ def main(argv=None) -> int:
     b.add_argument("--bronze", required=True)
     b.add_argument("--as-of", required=True)
     b.add_argument("--sweep", action="store_true", help="scoped orphan sweep (last cycle of the day)")
-    b.add_argument("--drift", choices=["fail", "add_nullable", "ignore"], default="fail",
-                   help="schema-drift policy when a source gains or loses columns")
+    b.add_argument("--drift", choices=["fail", "add_nullable", "ignore", "widen", "lossless"], default="fail",
+                   help="schema-drift policy when a source gains, loses or changes columns")
     b.add_argument("--partitioned", action="store_true",
                    help="partition new tables by their generation date (merges rewrite touched months only)")
     s = sub.add_parser("silver", help="build and load silver products")

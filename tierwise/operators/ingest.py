@@ -35,8 +35,11 @@ from pyspark.sql import functions as F
 from ..session import remove_scratch, scratch_path
 from ..sources import scan
 from ..sources.catalog import TableSpec
+from ..sources.drift import align_types
 from ..sources.schema import align_to_target
 from ..sources.store import EmptyBatchError, VersionedTable, load_column_for
+
+TYPE_POLICIES = ("widen", "lossless")
 from . import digests, merge
 
 METRICS_SCHEMA = ("table_name string, strategy string, extracted long, inserted long, "
@@ -75,8 +78,10 @@ def ingest(spec: TableSpec, source: DataFrame, target: VersionedTable, as_of,
 
     ``drift`` is the schema-drift policy of a merge (SNK-09): ``fail`` (a
     merge target must get a new source column first), ``add_nullable`` (the
-    target absorbs it; older rows read NULL) or ``ignore`` (dropped).  Full
-    replaces (first load, keyless) always take the source shape.
+    target absorbs it; older rows read NULL) or ``ignore`` (dropped); ``widen`` and
+    ``lossless`` also settle types that differ (:mod:`tierwise.sources.drift`; a type
+    that grows rewrites all partitions once).  Full replaces (first load, keyless)
+    always take the source shape.
 
     ``guard`` names a version column: merged rows older than the table's are left
     out (:func:`merge.rows_to_apply`).  ``meta`` is noted in the published manifest.
@@ -137,12 +142,19 @@ def _merge(spec: TableSpec, batch: DataFrame, target: VersionedTable, as_of, lay
                           status="EMPTY_BATCH_KEPT_OLD", seconds=time.time() - t0)
     if universe is not None and universe.select(*spec.keys).dropna().isEmpty():
         raise merge.MergeError("refusing to sweep against an empty key universe")
+    batch, grown = _stamp(batch, as_of, layer), False
+    if drift in TYPE_POLICIES:
+        old = target.read().schema
+        batch, new = align_types(batch, target.read(), drift)
+        grown = any(new.schema[f.name].dataType != f.dataType for f in old.fields)
     m, k = target.manifest(), list(spec.keys)
     parts = m.get("parts") if target.partition_col else None
     if parts is not None:
         touched = set(target.part_values(batch)) | _holding_partitions(spec, target, batch) if extracted else set()
         if universe is not None:
             touched |= _orphan_partitions(spec, target, universe)
+        if grown:                                       # every partition is written anew in the wider type
+            touched |= set(parts)
         touched = sorted(touched)
         current = target.read(parts=touched)
         before = sum(v["rows"] for p, v in parts.items() if p in set(touched))
@@ -150,9 +162,12 @@ def _merge(spec: TableSpec, batch: DataFrame, target: VersionedTable, as_of, lay
         strategy += "@partitions"
     else:
         touched, current, before, elsewhere = None, target.read(), target.row_count(), 0
-    batch = align_to_target(_stamp(batch, as_of, layer), current.schema, drift)
-    new_cols = [f for f in batch.schema.fields if f.name not in current.columns]
-    current = current.withColumns({f.name: F.lit(None).cast(f.dataType) for f in new_cols})
+    if drift in TYPE_POLICIES:
+        _, current = align_types(batch, current, drift)
+    else:
+        batch = align_to_target(batch, current.schema, drift)
+        new_cols = [f for f in batch.schema.fields if f.name not in current.columns]
+        current = current.withColumns({f.name: F.lit(None).cast(f.dataType) for f in new_cols})
     src = merge.rows_to_apply(current, batch, k, spec.dedup_order(), descending=spec.latest_wins, guard=guard)
     src, applied = _copy(target.spark, src, f"{spec.name}-rows", copies)
     if applied == 0 and universe is None:               # every row is older than the table's

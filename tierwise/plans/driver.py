@@ -17,12 +17,15 @@ from pyspark.sql import types as T
 from ..functions import exprs as X
 from ..operators import blocks as B
 from ..operators import digests as D
+from ..operators import heavy_keys as HK
 from ..operators import intervals as I
 from ..operators import merge as M
 from ..operators import reconcile as R
 from ..operators import rolling as RO
 from ..operators.ingest import ingest, run_tables
 from ..session import scratch_path
+from ..sources import drift as DR
+from ..sources import profiles as P
 from ..sources import ranges as RG
 from ..sources import scan
 from ..sources import schema as S
@@ -109,6 +112,16 @@ def column_profile(spark, d):
         S.column_profile(tbl(spark, d, "part"), "part"))
 
 
+def merged_profiles(spark, d):
+    """Profiles of each month of two tables, merged into one row per column (SRC-20):
+    the exact figures of the report; months are added up, no row is read again."""
+    li, o = tbl(spark, d, "lineitem"), tbl(spark, d, "orders")
+    parts = (P.part_profiles(li, "lineitem", F.date_format("l_shipdate", "yyyy-MM"))
+             .unionByName(P.part_profiles(o, "orders", F.date_format("o_orderdate", "yyyy-MM"))))
+    return P.report(P.merge_profiles(parts)).select(
+        "table_name", "column_name", "ordinal", "data_type", "n_rows", "n_nulls", "n_blank", "n_digits", "min_length", "max_length", "sink_type")
+
+
 def multi_scope(spark, d):
     c = tbl(spark, d, "customer")
     spec = TableSpec(name="customer", keys=("c_custkey",), company_col="c_mktsegment",
@@ -423,6 +436,24 @@ PART_RENAME = {"p_partkey": "product_id", "p_name": "product_name", "p_brand": "
 TYPE_LABELS = {"ECONOMY": "Economy", "SMALL": "Small", "LARGE": "Large", "PROMO": "Promo"}
 
 
+def drift_types(spark, d):
+    """What each drift policy does with each pair of old and new column type (SNK-09),
+    and how many values the old type would change."""
+    key = F.col("o_orderkey")
+    batch = tbl(spark, d, "orders").select(
+        key.alias("grow"), key.cast("int").alias("keep"), F.col("o_totalprice").alias("money"),
+        F.col("o_totalprice").cast("decimal(12,4)").alias("cents"), F.col("o_orderdate").alias("day"),
+        (key + F.when(key % 3 == 0, 0.5).otherwise(0.0)).alias("half"), F.col("o_custkey").cast("string").alias("code"),
+        F.col("o_orderpriority").alias("word"), key.alias("text"), F.col("o_orderstatus").alias("more"))
+    old = T.StructType.fromDDL("grow int, keep bigint, money decimal(10,2), cents decimal(8,2), day date, half bigint, code bigint, "
+                               "word int, text string, gone string")
+    out = None
+    for policy in DR.POLICIES:
+        one = DR.drift_report(batch, old, policy).select(F.lit(policy).alias("policy"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def project_rename(spark, d):
     p = sheets.rename_present(tbl(spark, d, "part"), PART_RENAME)
     p = p.toDF(*[c.strip().upper() for c in p.columns])
@@ -478,6 +509,17 @@ def star_enrichment(spark, d):
                     "cust_region", "s_name", "supp_nation", "supp_region")
 
 
+def heavy_key_join(spark, d):
+    """Lines joined to suppliers by a serial of which one holds a third of the lines; lines
+    with a blank or missing serial bypass the join (JON-01)."""
+    n = F.col("l_linenumber")
+    serial = (F.when(n == 6, F.lit(None)).when(n == 5, F.lit(" ")).when(F.col("l_orderkey") % 3 == 0, F.lit("1"))
+              .otherwise(F.col("l_suppkey").cast("string")))
+    li = tbl(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", serial.alias("serial"))
+    s = tbl(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("serial"), "s_name", "s_nationkey")
+    return HK.heavy_left_join(li, s, ["serial"], empty=(" ",))
+
+
 def inner_chain(spark, d):
     li, o, c = tbl(spark, d, "lineitem"), tbl(spark, d, "orders"), tbl(spark, d, "customer")
     n = tbl(spark, d, "nation")
@@ -804,6 +846,27 @@ def sheet_clean(spark, d):
                       X.locale_decimal("QUALITY").alias("QUALITY_NUM"))
 
 
+def sheet_rejects(spark, d):
+    """Supplier sheets, one file a nation, written with values that do not parse and lines
+    that are cut short, and read back as typed rows and rejects (SRC-13, SRC-14)."""
+    s, key = tbl(spark, d, "supplier"), F.col("s_suppkey")
+    money = (F.when(key % 5 == 0, "n/a").when(key % 7 == 0, "").otherwise(F.col("s_acctbal").cast("decimal(12,2)").cast("string")))
+    value = F.when(key % 11 == 0, F.concat(key.cast("string"), F.lit(",cut"))).otherwise(
+        F.concat(key.cast("string"), F.lit(', "'), F.col("s_name"), F.lit(', Ltd" ,'), money))
+    lines = s.select(F.col("s_nationkey").alias("nation"), key.alias("at"), value.alias("value"))
+    head = s.select(F.col("s_nationkey").alias("nation"), F.lit(-1).cast("long").alias("at"), F.lit(" s_suppkey,Name,Balance").alias("value")).distinct()
+    path = scratch_path(spark, "supplier_sheets")
+    lines.unionByName(head).repartition("nation").sortWithinPartitions("nation", "at").select("nation", "value").write.partitionBy("nation").text(path)
+    sheet = sheets.read_checked_sheet(spark, path, T.StructType.fromDDL("balance decimal(12,2), s_suppkey bigint, name string"))
+
+    def nation(c):
+        return F.regexp_extract(c, "nation=([0-9]+)", 1).cast("int").alias("nation")
+    rows = sheet.rows.select(nation("_file"), F.col("_line").alias("line"), F.lit("row").alias("kind"), F.lit(None).cast("string").alias("column"),
+                             F.lit(None).cast("string").alias("text"), "s_suppkey", "name", F.col("balance").cast("double").alias("balance"))
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("s_suppkey", "long"), ("name", "string"), ("balance", "double"))]
+    return rows.unionByName(sheet.rejects.select(nation("file"), "line", F.lit("reject").alias("kind"), "column", "text", *none))
+
+
 def dates_text(spark, d):
     o = tbl(spark, d, "orders")
     return o.select(
@@ -988,6 +1051,7 @@ QUERIES = {
     "override_priority": override_priority,
     "key_universe": key_universe,
     "column_profile": column_profile,
+    "merged_profiles": merged_profiles,
     "multi_scope": multi_scope,
     "declared_schema": declared_schema,
     "dedup_first": dedup_first,
@@ -1010,9 +1074,11 @@ QUERIES = {
     "empty_batch_content": empty_batch_content,
     "load_statuses": load_statuses,
     "drift_align": drift_align,
+    "drift_types": drift_types,
     "project_rename": project_rename,
     "predicate_mix": predicate_mix,
     "star_enrichment": star_enrichment,
+    "heavy_key_join": heavy_key_join,
     "inner_chain": inner_chain,
     "keyed_expression_join": keyed_expression_join,
     "aggregate_join": aggregate_join,
@@ -1035,6 +1101,7 @@ QUERIES = {
     "signed_sum": signed_sum,
     "text_clean": text_clean,
     "sheet_clean": sheet_clean,
+    "sheet_rejects": sheet_rejects,
     "dates_text": dates_text,
     "int_text": int_text,
     "map_flags": map_flags,

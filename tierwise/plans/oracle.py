@@ -58,6 +58,52 @@ FROM {li} WHERE l_returnflag = 'R'
 """
 
 
+def _merged_profile(table: str, cols: list[tuple[str, str, str]]) -> str:
+    parts = []
+    for i, (c, kind, sink) in enumerate(cols, start=1):
+        text = kind == "string"
+        longest = f"CAST(MAX(length({c})) AS INTEGER)" if text else "CAST(NULL AS INTEGER)"
+        sink = f"'VARCHAR(' || CAST({longest} + 20 AS VARCHAR) || ')'" if text else f"'{sink}'"
+        blank, digits = (f"COUNT(*) FILTER (WHERE trim({c}) = '')", f"COUNT(*) FILTER (WHERE regexp_matches({c}, '^[0-9]+$'))") if text else ("CAST(NULL AS BIGINT)",) * 2
+        parts.append(f"SELECT '{table}' AS table_name, '{c}' AS column_name, {i} AS ordinal, '{kind}' AS data_type, COUNT(*) AS n_rows, "
+                     f"COUNT(*) - COUNT({c}) AS n_nulls, {blank} AS n_blank, {digits} AS n_digits, "
+                     f"{'CAST(MIN(length(' + c + ')) AS INTEGER)' if text else 'CAST(NULL AS INTEGER)'} AS min_length, {longest} AS max_length, "
+                     f"{sink} AS sink_type FROM {table}")
+    return "\nUNION ALL\n".join(parts)
+
+
+_WHOLE, _REAL, _TEXT, _TIME = ("bigint", "INTEGER"), ("double", "NUMERIC(38,10)"), ("string", ""), ("timestamp_ntz", "DATETIME")
+# column, old type, new type, common type, lost values (NULL: a common type decides)
+_DRIFT = [("grow", "int", "bigint", "bigint", None), ("keep", "bigint", "int", "bigint", None),
+          ("cents", "decimal(8,2)", "decimal(12,4)", "decimal(12,4)", None), ("day", "date", "timestamp_ntz", "timestamp_ntz", None),
+          ("money", "decimal(10,2)", "double", None, "COUNT(*) FILTER (WHERE COALESCE(CAST(TRY_CAST(o_totalprice AS DECIMAL(10,2)) AS DOUBLE) <> o_totalprice, o_totalprice IS NOT NULL))"),
+          ("half", "bigint", "double", None, "COUNT(*) FILTER (WHERE o_orderkey % 3 = 0)"),
+          ("code", "bigint", "string", None, "COUNT(*) FILTER (WHERE CAST(CAST(CAST(o_custkey AS VARCHAR) AS BIGINT) AS VARCHAR) <> CAST(o_custkey AS VARCHAR))"),
+          ("word", "int", "string", None, "COUNT(*) FILTER (WHERE o_orderpriority IS NOT NULL AND TRY_CAST(o_orderpriority AS INTEGER) IS NULL)"),
+          ("text", "string", "bigint", None, "COUNT(*) FILTER (WHERE CAST(CAST(o_orderkey AS VARCHAR) AS BIGINT) <> o_orderkey)")]
+
+
+def _drift_types() -> str:
+    def row(policy, name, old, new, target, action, lost="CAST(NULL AS BIGINT)"):
+        q = ["CAST(NULL AS VARCHAR)" if v is None else f"'{v}'" for v in (old, new, target)]
+        return (f"SELECT '{policy}' AS policy, '{name}' AS column_name, {q[0]} AS old_type, {q[1]} AS new_type, {q[2]} AS target_type, "
+                f"'{action}' AS action, {lost} AS lost_rows" if lost.startswith("CAST(NULL") else
+                f"SELECT '{policy}' AS policy, '{name}' AS column_name, {q[0]} AS old_type, {q[1]} AS new_type, "
+                f"CASE WHEN {lost} = 0 THEN {q[2]} END AS target_type, CASE WHEN {lost} = 0 THEN '{action}' ELSE 'refused' END AS action, {lost} AS lost_rows FROM orders")
+    out = [row("fail", n, old, new, None, "refused") for n, old, new, _, _ in _DRIFT]
+    out += [row("fail", "gone", "string", None, None, "refused"), row("fail", "more", None, "string", None, "refused")]
+    for policy in ("widen", "lossless"):
+        out += [row(policy, "gone", "string", None, "string", "missing"), row(policy, "more", None, "string", "string", "added")]
+        for n, old, new, both, lost in _DRIFT:
+            if both:
+                out.append(row(policy, n, old, new, both, "kept" if both == old else "widened"))
+            elif policy == "widen":
+                out.append(row(policy, n, old, new, None, "refused"))
+            else:
+                out.append(row(policy, n, old, new, old, "narrowed", lost))
+    return "\nUNION ALL\n".join(out)
+
+
 def _profile(table: str, cols: list[tuple[str, str]]) -> str:
     parts = []
     for i, (c, kind) in enumerate(cols, start=1):
@@ -174,6 +220,13 @@ FROM nation n LEFT JOIN by_id i ON n.n_nationkey = i.o_id LEFT JOIN by_name m ON
     + _profile("part", [("p_partkey", "int"), ("p_name", "text"), ("p_brand", "text"), ("p_type", "text"),
                         ("p_size", "int"), ("p_retailprice", "double")]),
 
+    "merged_profiles": _merged_profile("lineitem", [
+        ("l_orderkey", *_WHOLE), ("l_partkey", *_WHOLE), ("l_suppkey", *_WHOLE), ("l_linenumber", "int", "INTEGER"), ("l_quantity", *_REAL),
+        ("l_extendedprice", *_REAL), ("l_discount", *_REAL), ("l_tax", *_REAL), ("l_returnflag", *_TEXT), ("l_linestatus", *_TEXT),
+        ("l_shipdate", *_TIME)]) + "\nUNION ALL\n" + _merged_profile("orders", [
+            ("o_orderkey", *_WHOLE), ("o_custkey", *_WHOLE), ("o_orderstatus", *_TEXT), ("o_totalprice", *_REAL), ("o_orderdate", *_TIME),
+            ("o_orderpriority", *_TEXT)]),
+
     "multi_scope": """
 SELECT c.c_custkey, c.c_mktsegment, c.c_nationkey, n.n_name
 FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
@@ -325,6 +378,23 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderp
        CAST(year(o_orderdate) AS INTEGER)
 FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01 00:00:00'""",
 
+    "drift_types": _drift_types(),
+
+    "heavy_key_join": """
+WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity,
+                  CASE WHEN l_linenumber = 6 THEN NULL WHEN l_linenumber = 5 THEN ' ' WHEN l_orderkey % 3 = 0 THEN '1'
+                       ELSE CAST(l_suppkey AS VARCHAR) END AS serial FROM lineitem)
+SELECT l.*, s.s_name, s.s_nationkey FROM l LEFT JOIN supplier s ON l.serial = CAST(s.s_suppkey AS VARCHAR)""",
+
+    "sheet_rejects": """
+WITH s AS (SELECT s_nationkey AS nation, 1 + row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS line, s_suppkey, s_name,
+                  s_suppkey % 11 = 0 AS short, s_suppkey % 5 = 0 AS bad, s_suppkey % 7 = 0 AS blank, CAST(CAST(s_acctbal AS DECIMAL(12,2)) AS DOUBLE) AS money
+           FROM supplier)
+SELECT nation, line, 'row' AS kind, CAST(NULL AS VARCHAR) AS "column", CAST(NULL AS VARCHAR) AS text, s_suppkey, s_name || ', Ltd' AS name,
+       CASE WHEN NOT bad AND NOT blank THEN money END AS balance FROM s WHERE NOT short
+UNION ALL SELECT nation, line, 'reject', 'balance', 'n/a', NULL, NULL, NULL FROM s WHERE bad AND NOT short
+UNION ALL SELECT nation, line, 'reject', '*', CAST(s_suppkey AS VARCHAR) || ',cut', NULL, NULL, NULL FROM s WHERE short""",
+
     "project_rename": """
 SELECT p_partkey AS PRODUCT_ID, trim(p_name) AS PRODUCT_NAME, trim(p_brand) AS BRAND,
        CASE trim(p_type) WHEN 'ECONOMY' THEN 'Economy' WHEN 'SMALL' THEN 'Small'

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ...functions import exprs as X
 from ...operators import blocks as B
+from ...operators.heavy_keys import heavy_left_join
 from ...sources import sheets
 from .common import Bronze, ProductParams, c, on
 from .commercial import AUTHORISED_DOC, BILLED, ISSUED_NOTE, SALE_NOTE_TYPES
@@ -104,8 +105,14 @@ def repeat_entries(bronze: Bronze, p: ProductParams) -> DataFrame:
     return pairs.withColumn("DATREI", F.lag("DATENT").over(w))
 
 
+TRACKED = ("NUMOCP", "DATEMIOCP", "CODFOR", "NOMFOR", "USU_NUMINV", "USU_DATEMB", "NUMNFC", "DATEMINFC")
+
+
 def report_items(bronze: Bronze, p: ProductParams) -> DataFrame:
-    t0 = bronze("USU_TLAUITE").alias("T0")
+    # blank serials match the tracking rows that have a blank code: they are a heavy key here
+    track = bronze("USU_VZRASLAU")
+    track = track.select(F.col("USU_CODBAR").alias("USU_SERMAC"), F.col("EMPNFV").alias("USU_CODEMP"), F.col("FILNFV").alias("USU_CODFIL"), *[F.col(x).alias(f"T15_{x}") for x in TRACKED])
+    t0 = heavy_left_join(bronze("USU_TLAUITE"), track, ["USU_SERMAC", "USU_CODEMP", "USU_CODFIL"]).alias("T0")
     j = (t0.join(bronze("USU_TLAUGER").alias("T1"), (c("T0", "USU_CODLAU") == c("T1", "USU_CODLAU"))
                  & (c("T0", "USU_CODEMP") == c("T1", "USU_CODEMP")) & (c("T0", "USU_CODFIL") == c("T1", "USU_CODFIL")),
                  "left")
@@ -129,8 +136,6 @@ def report_items(bronze: Bronze, p: ProductParams) -> DataFrame:
                  & (c("T12", "CODFIL") == c("T1", "USU_CODFIL")) & (c("T12", "NUMNFV") == c("T1", "USU_NUMNFV")), "left")
            .join(bronze("E073TRA").alias("T13"), c("T13", "CODTRA") == c("T12", "CODTRA"), "left")
            .join(bronze("USU_TLAUCOR").alias("T14"), c("T0", "USU_CODCOR") == c("T14", "USU_CODCOR"), "left")
-           .join(bronze("USU_VZRASLAU").alias("T15"), (c("T0", "USU_SERMAC") == c("T15", "USU_CODBAR"))
-                 & (c("T0", "USU_CODEMP") == c("T15", "EMPNFV")) & (c("T0", "USU_CODFIL") == c("T15", "FILNFV")), "left")
            .where(c("T6", "DATENT") >= F.lit(p.reports_cutoff).cast("timestamp_ntz")))
     base = j.select(
         c("T0", "USU_CODEMP").alias("USU_CODEMP"), c("T0", "USU_CODFIL").alias("USU_CODFIL"),
@@ -156,11 +161,11 @@ def report_items(bronze: Bronze, p: ProductParams) -> DataFrame:
         c("T5", "USU_DESPRB").alias("USU_DESPRB"), c("T1", "USU_CODSIT").alias("USU_CODSIT"),
         c("T4", "USU_DESSIT").alias("USU_DESSIT"), F.lit(1).alias("QTDREG"), c("T12", "DATEMI").alias("DATEMI"),
         c("T12", "USU_CODRAS").alias("USU_CODRAS"), c("T12", "USU_ENTCOR").alias("USU_ENTCOR"),
-        c("T12", "CODTRA").alias("CODTRA"), c("T13", "APETRA").alias("APETRA"), c("T15", "NUMOCP").alias("NUMOCP"),
-        c("T15", "DATEMIOCP").alias("DATEMIOCP"), c("T15", "CODFOR").alias("CODFOR"),
-        c("T15", "NOMFOR").alias("NOMFORCOMP"), c("T15", "USU_NUMINV").alias("USU_NUMINV"),
-        c("T15", "USU_DATEMB").alias("USU_DATEMB"), c("T15", "NUMNFC").alias("NUMNFC"),
-        c("T15", "DATEMINFC").alias("DATEMINFC"))
+        c("T12", "CODTRA").alias("CODTRA"), c("T13", "APETRA").alias("APETRA"), c("T0", "T15_NUMOCP").alias("NUMOCP"),
+        c("T0", "T15_DATEMIOCP").alias("DATEMIOCP"), c("T0", "T15_CODFOR").alias("CODFOR"),
+        c("T0", "T15_NOMFOR").alias("NOMFORCOMP"), c("T0", "T15_USU_NUMINV").alias("USU_NUMINV"),
+        c("T0", "T15_USU_DATEMB").alias("USU_DATEMB"), c("T0", "T15_NUMNFC").alias("NUMNFC"),
+        c("T0", "T15_DATEMINFC").alias("DATEMINFC"))
     df = base.join(repeat_entries(bronze, p), ["DATENT", "USU_SERMAC"], "left")
     as_of = p.as_of
     return df.select(

@@ -343,9 +343,10 @@ class VersionedTable:
         parts = {k: v for k, v in m["parts"].items() if k not in set(touched)}
         parts.update(written)
         # a schema that gained nullable columns becomes the table schema: older
-        # partition files lack them and read NULL
+        # partition files lack them and read NULL; types change only with all files
         old_schema = StructType.fromJson(json.loads(m["schema"]))
-        schema = df.schema if set(old_schema.fieldNames()) < set(df.schema.fieldNames()) else old_schema
+        whole = set(m["parts"]) <= set(touched)
+        schema = df.schema if whole or set(old_schema.fieldNames()) < set(df.schema.fieldNames()) else old_schema
         manifest = {"version": nxt, "parts": parts, "schema": schema.json(),
                     "partition_col": self.partition_col, "buckets": self.buckets}
         if meta:
