@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tierwise.llm import decontamination, embedding, language, line_dedup, packing, pii, secret_scan, simhash, substring_dedup, toxicity
 from tierwise.llm.common import connected_components, sampled
@@ -221,6 +222,28 @@ def test_leaks(spark, sf_small):
     assert kept == set(clean)
 
 
+def test_leaks_in_many_blocks(spark):
+    """Blocks of items, and one text that a thousand items share, change no result; the
+    plan of the result scans no document in Python."""
+    rnd = random.Random(11)
+    words = ["".join(rnd.choices("abcdefghij", k=rnd.randrange(3, 9))) for _ in range(400)]
+    texts = [" ".join(rnd.choices(words, k=40)) for _ in range(30)]
+    items = [(i, t) for i, t in enumerate(texts)] + [(1000 + i, texts[3]) for i in range(1000)] + [(5000, None), (None, texts[5]), (6000, "")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = {i: " ".join(rnd.choices(words, k=60)) for i in range(40)}
+    docs |= {100 + i: docs[i] + " " + texts[i] + " " + docs[i + 1] for i in range(8)} | {200: None, 201: ""}
+    one = decontamination.find_leaks(frame(spark, docs), bench)
+    found = decontamination.find_leaks(frame(spark, docs), bench, index_bytes=900)
+    assert decontamination.Items(bench, index_bytes=900).blocks >= 8
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, found.collect()))
+    assert {r["id"] for r in one.collect()} == set(range(100, 108)) and one.where("id = 103").count() == 1001
+    for options in ({}, {"index_bytes": 900}):
+        kept = decontamination.decontaminate(frame(spark, docs).withColumn("digest", F.lit("x")), bench, **options)
+        assert {r["doc_id"] for r in kept.collect()} == set(docs) - set(range(100, 108)) and kept.columns[-1] == "digest"
+    assert "MapInArrow" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" not in kept._jdf.queryExecution().optimizedPlan().toString()
+
+
 def leaks_of(items, texts):
     raw = [t.encode() for t in texts]
     data = np.frombuffer(b"\n".join([*raw, b""]), np.uint8)

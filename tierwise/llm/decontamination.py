@@ -10,9 +10,10 @@ diagonals at most ``k`` apart.  Shared q-grams are counted in diagonal bands tha
 overlap by half, so one band holds them all, first by item and then by passage;
 bands that reach the bound are kept and verified by banded alignment.
 
-The documents are scanned once for each block of items (``index_bytes`` of text),
-so what is broadcast is bounded whatever the size of the benchmark; there is no
-shuffle of documents and no cap on hits.
+The documents are scanned once for each block of distinct item texts (``index_bytes``
+of text; a longer single text is a block of its own size).  One block at a time is
+broadcast, and with several its findings are written before the next, so memory is
+bounded whatever the size of the benchmark; there is no cap on hits.
 
 Defined cases: a null or empty text or item matches nothing; an item with fewer
 than ``least_bytes`` normalized bytes matches exactly, from word border to word
@@ -25,6 +26,7 @@ named are only passed through.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierwise.llm.common import row_slices, small_batches, utf8
+from tierwise.llm.common import row_slices, small_batches, utf8, written
+from tierwise.session import scratch_path
 
 Q = 8
 SEPARATOR = 0x0A
@@ -324,30 +327,78 @@ def _clean(shared, text_at: int):
     return run
 
 
-def indexes(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", index_bytes: int = 8 << 20, **options) -> Iterator:
-    """A broadcast index for each block of items, at most about ``index_bytes`` of text."""
-    small_batches(benchmark.sparkSession)
-    items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // index_bytes))
-    for k in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k).collect()
-        yield benchmark.sparkSession.sparkContext.broadcast(Index(sorted((r["item"], r["text"]) for r in rows if r["item"] is not None), **options))
+def _leaking(shared):
+    """The digests of the texts that hold a passage."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = set()
+            for _, texts, data, at in _rows(batch, 0):
+                out |= {hashlib.sha256(texts[row]).hexdigest() for row in {r for r, *_ in matches(shared.value, data, at)}}
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(out), pa.string())], ["digest"])
+    return run
+
+
+class Items:
+    """The distinct texts of a benchmark, dealt into blocks of about ``index_bytes``.
+
+    Items of one text are indexed once under the smallest of their ids (``key``); the
+    others are joined to the findings (:meth:`all_items`)."""
+
+    def __init__(self, benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", index_bytes: int = 8 << 20, **options):
+        items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(text_col).cast("string").alias("text"))
+        self.items = items.where("text IS NOT NULL AND item IS NOT NULL")
+        each = self.items.groupBy("text").agg(F.min("item").alias("key"), F.count(F.lit(1)).alias("n"))
+        self.texts, self.options = written(each, "benchmark-texts"), options
+        total, self.repeated = self.texts.agg(F.sum(F.octet_length("text")), F.coalesce(F.max("n"), F.lit(0)) > 1).first()
+        self.blocks = max(1, -(-(total or 0) // index_bytes))
+
+    def index(self, block: int):
+        """The broadcast index of one block."""
+        rows = self.texts.where(F.pmod(F.xxhash64("text"), F.lit(self.blocks)) == block).select("key", "text").collect()
+        return self.texts.sparkSession.sparkContext.broadcast(Index(sorted((r["key"], r["text"]) for r in rows), **self.options))
+
+    def findings(self, rows: DataFrame, how, schema: str) -> DataFrame:
+        """``rows.mapInArrow(how(index), schema)`` over all blocks.  One block stays part of
+        the plan.  Of several, each one's findings are written and its index dropped
+        before the next, so one index is alive at a time however many there are."""
+        if self.blocks == 1:
+            return rows.mapInArrow(how(self.index(0)), schema)
+        spark, paths = rows.sparkSession, []
+        for block in range(self.blocks):
+            shared = self.index(block)
+            paths.append(scratch_path(spark, "benchmark-findings"))
+            rows.mapInArrow(how(shared), schema).write.parquet(paths[-1])
+            shared.destroy()
+        return spark.read.schema(schema).parquet(*paths)
+
+    def all_items(self, found: DataFrame) -> DataFrame:
+        """Findings with a row for each item that has the text found."""
+        if not self.repeated:
+            return found
+        same = self.items.join(self.texts.where("n > 1").select("text", F.col("key").alias("item_id")), "text").select("item_id", "item").distinct()
+        item = F.coalesce("item", "item_id").alias("item_id")
+        return found.join(same, "item_id", "left").select(*[item if c == "item_id" else c for c in found.columns])
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``(id, item_id, start, end, edits)``: the places of benchmark passages; no
     row for a clean document."""
+    small_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    out = None
-    for shared in indexes(benchmark, **options):
-        part = src.mapInArrow(_find(shared), "id long, item_id long, start long, end long, edits long")
-        out = part if out is None else out.union(part)
-    return out
+    items = Items(benchmark, **options)
+    return items.all_items(items.findings(src, _find, "id long, item_id long, start long, end long, edits long"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    """``docs`` (all columns) without the documents that hold a benchmark passage."""
-    for shared in indexes(benchmark, **options):
-        docs = docs.mapInArrow(_clean(shared, docs.columns.index(text_col)), docs.schema)
-    return docs
+    """``docs`` (all columns) without the documents that hold a benchmark passage.
+
+    With several blocks of items the digests of leaking texts are written block by
+    block and joined at the end: the documents are read again, never written."""
+    small_batches(docs.sparkSession)
+    items = Items(benchmark, **options)
+    if items.blocks == 1:
+        return docs.mapInArrow(_clean(items.index(0), docs.columns.index(text_col)), docs.schema)
+    found = items.findings(docs.select(F.col(text_col).cast("string").alias("text")), _leaking, "digest string").distinct()
+    text = F.col(f"`{text_col}`").cast("string")
+    name = "_" * max(map(len, docs.columns)) + "digest"            # no column has it
+    return docs.withColumn(name, F.sha2(text.cast("binary"), 256)).join(found.withColumnRenamed("digest", name), name, "left_anti").select(*docs.columns)
