@@ -511,3 +511,23 @@ def test_pii_obfuscated(spark, sf_small):
     found = sum(want[i] in got[i]["spans"].split(",") for i in want)
     assert found >= 0.9 * len(want)     # 32 of 32 when written
     assert got[900]["n_added"] == got[901]["n_added"] == 0
+
+
+def test_pii_many_matches(spark, monkeypatch):
+    """Texts with thousands of matches: base spans as in the plain form, candidates as
+    found without blocks, chunks and halving."""
+    rnd = random.Random(4)
+    forms = ["jo{0}@site{1}.example.org ", "jo{0} [at] site{1} [dot] org; ", "10.{1}.{0}.7 ", "10,1,{1},999 é ", "4111 1111 1111 1111, ", "4111.1111.1111.11{1} ",
+             "+49 30 1234 {0}{1}55 ", "call 0049 30 12345 {1}77 日本 ", "no match at all. "]
+    docs = {n: "".join(rnd.choice(forms).format(rnd.randrange(300), rnd.randrange(10, 99)) for _ in range(n)) for n in (0, 1, 15, 16, 17, 40, 600, 2500)}
+    for r in pii.find_pii(frame(spark, docs), None).collect():
+        counts, digest, spans = plain_pii(docs[r["id"]])
+        assert [r["n_email"], r["n_ip"], r["n_card"], r["n_phone"], r["base_sha256"]] == [*counts, digest]
+        assert set(r["spans"].split(",")) - {""} == spans
+
+    def candidates():
+        return sorted(map(str, pii._with_spans(frame(spark, docs), "doc_id", "text").select("id", "candidates").collect()))
+    new = candidates()
+    monkeypatch.setattr(pii, "BLOCK", 1 << 30)
+    monkeypatch.setattr(pii, "MANY", 1 << 30)
+    assert new == candidates()

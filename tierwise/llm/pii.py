@@ -52,23 +52,79 @@ CUES = {"email": r"(?i)(e-?mail|contact|write|address|send)", "ip": r"(?i)(\bip\
 FEATURES = ("kind", "digits", "letters", "length", "spaces", "dashes", "dots", "others", "plus", "at", "luhn", "octets",
             "groups", "cue", "letter_before", "letter_after")
 _SPAN = "struct<s:int,e:int,m:string>"
+BLOCK = 256         # matches whose places are summed at a time
+CHUNK = 2048        # characters of a piece of a text with many spans
+MANY = 16           # spans of a text from which on places are looked up
 
 
-def _matches(text: Column, pattern: str) -> Column:
-    """``[{s, e, m}]``: places of all matches.  The pieces between matches, from
-    ``split``, give the places that ``regexp_extract_all`` leaves out."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.split(text, pattern, -1)
-    both = F.zip_with(found, F.slice(pieces, F.lit(1), F.size(found)), lambda m, gap: F.struct(m.alias("m"), F.char_length(gap).alias("gap")))
+def _bound(value: Column, use) -> Column:
+    """``use(value)``, with the value computed once however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
 
+def _places(both: Column, at: Column) -> Column:
+    """``[{s, e, m}]`` of matches ``{m, gap}``, the first gap starting at ``at``."""
     def step(acc: Column, x: Column) -> Column:
         s = acc["at"] + x["gap"]
         e = s + F.char_length(x["m"])
         return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"), x["m"].alias("m")))).alias("out"))
-    start = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() AS array<{_SPAN}>)").alias("out"))
+    start = F.struct(at.alias("at"), F.expr(f"cast(array() AS array<{_SPAN}>)").alias("out"))
     return F.aggregate(both, start, step, lambda acc: acc["out"])
 
 
+def _in_blocks(both: Column) -> Column:
+    """:func:`_places` block by block: a growing array costs its length at each step."""
+    def block(i: Column) -> Column:
+        return F.slice(both, i * BLOCK + 1, F.lit(BLOCK))
+
+    def begin(acc: Column, length: Column) -> Column:
+        return F.struct((acc["at"] + length).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+    numbers = F.sequence(F.lit(0), F.floor((F.size(both) - 1) / BLOCK).cast("int"))
+    lengths = F.transform(numbers, lambda i: F.aggregate(block(i), F.lit(0), lambda n, x: n + x["gap"] + F.char_length(x["m"])))
+    zero = F.struct(F.lit(0).alias("at"), F.expr("cast(array() AS array<int>)").alias("out"))
+    return F.flatten(F.transform(F.aggregate(lengths, zero, begin, lambda acc: acc["out"]), lambda at, i: _places(block(i), at)))
+
+
+def _matches(text: Column, pattern: str) -> Column:
+    """``[{s, e, m}]``: places of all matches.  The pieces between matches, from
+    ``split``, give the places that ``regexp_extract_all`` leaves out."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    pieces = F.split(text, pattern, -1)
+    both = F.zip_with(found, F.slice(pieces, F.lit(1), F.size(found)), lambda m, gap: F.struct(m.alias("m"), F.char_length(gap).alias("gap")))
+    return _bound(both, lambda v: F.when(F.size(v) <= BLOCK, _places(v, F.lit(0))).otherwise(_in_blocks(v)))
+
+
+def _around(text: Column, spans: Column, back: int, ahead: int) -> Column:
+    """The spans with up to ``back`` characters ``before`` and ``ahead`` ``after`` each.
+    A place in a text is found by a walk from its start, so a text with many spans is
+    cut into chunks first."""
+    def part(chunks: Column, start: Column, length: Column) -> Column:
+        c = F.floor(start / CHUNK).cast("int")
+        near = F.concat(F.coalesce(F.get(chunks, c), F.lit("")), F.coalesce(F.get(chunks, c + 1), F.lit("")))
+        return F.when(F.size(chunks) > 0, near.substr(start - c * CHUNK + 1, length)).otherwise(text.substr(start + 1, length))
+
+    def of(v: Column) -> Column:
+        chunks = F.when(F.size(v) > MANY, F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))).otherwise(F.expr("cast(array() AS array<string>)"))
+        return _bound(chunks, lambda ch: F.transform(v, lambda x: F.struct(
+            x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m"), part(ch, F.greatest(x["s"] - back, F.lit(0)), F.least(x["s"], F.lit(back))).alias("before"),
+            part(ch, x["e"], F.lit(ahead)).alias("after"))))
+    return _bound(spans, of)
+
+
+def _overlaps(spans: Column, x: Column) -> Column:
+    """Whether one of ``spans``, in order and apart from one another, overlaps ``x``: of
+    many, the last that begins before the end of ``x`` is found by halving."""
+    def halve(acc: Column, _: Column) -> Column:
+        mid = F.shiftright(acc["lo"] + acc["hi"], 1)
+        before = F.coalesce(F.get(spans, mid)["s"] < x["e"], F.lit(False))
+        return (F.when((acc["lo"] < acc["hi"]) & before, F.struct((mid + 1).alias("lo"), acc["hi"].alias("hi")))
+                .when(acc["lo"] < acc["hi"], F.struct(acc["lo"].alias("lo"), mid.alias("hi"))).otherwise(acc))
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(spans) + F.lit(1))).cast("int"))
+    begun = F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.size(spans).alias("hi")), halve, lambda acc: acc["lo"])
+    few = F.exists(spans, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
+    return F.when(F.size(spans) <= MANY, few).otherwise(F.coalesce(F.get(spans, begun - 1)["e"] > x["s"], F.lit(False)))
+
+
 def _found(text: Column, pattern: str, needs: Column) -> Column:
     return F.when(needs, _matches(text, pattern)).otherwise(F.expr(f"cast(array() AS array<{_SPAN}>)"))
 
@@ -105,9 +161,9 @@ def _count(m: Column, pattern: str) -> Column:
     return (F.length(m) - F.length(F.regexp_replace(m, pattern, ""))).cast("double")
 
 
-def _features(text: Column, kind: str, x: Column) -> list[Column]:
-    m = x["m"]
-    before = text.substr(F.greatest(x["s"] - 23, F.lit(1)), F.least(x["s"], F.lit(24)))
+def _features(kind: str, x: Column) -> list[Column]:
+    """Features of a span with 24 characters before and one after it."""
+    m, before = x["m"], x["before"]
     digits = F.length(_digits(m)).cast("double")
     values = {
         "kind": F.lit(float(KINDS.index(kind))), "digits": digits, "letters": _count(m, "[A-Za-z]"), "length": F.length(m).cast("double"),
@@ -115,7 +171,7 @@ def _features(text: Column, kind: str, x: Column) -> list[Column]:
         "plus": m.startswith("+").cast("double"), "at": _count(m, "@"), "luhn": F.when(digits >= 12, _luhn(m).cast("double")).otherwise(0.0),
         "octets": _octets(m).cast("double"), "groups": F.size(F.split(m, "[^0-9]+")).cast("double"),
         "cue": before.rlike(CUES[kind]).cast("double"), "letter_before": before.rlike(r"\p{L}$").cast("double"),
-        "letter_after": text.substr(x["e"] + 1, F.lit(1)).rlike(r"\p{L}").cast("double"),
+        "letter_after": x["after"].rlike(r"\p{L}").cast("double"),
     }
     return [values[f].alias(f) for f in FEATURES]
 
@@ -161,15 +217,15 @@ def _planted(spans: DataFrame) -> DataFrame:
     out = None
     for kind in KINDS:
         x = F.col("x")
-        rows = spans.select("id", "text", F.explode(kind).alias("x"))
+        rows = spans.select("id", F.explode(_around(F.col("text"), F.col(kind), 30, 30)).alias("x"))
         draw = F.pmod(F.xxhash64("id", x["s"]), F.lit(256))
         versions = F.array(*[F.struct(F.lit(label).alias("label"), how(kind, x["m"], draw).alias("m")) for label, how in ((1.0, _rewritten), (0.0, _broken))])
-        rows = rows.select("id", F.col("text").substr(F.greatest(x["s"] - 29, F.lit(1)), F.least(x["s"], F.lit(30))).alias("before"),
-                           F.explode(versions).alias("v"), F.col("text").substr(x["e"] + 1, F.lit(30)).alias("after")).where("v.m IS NOT NULL")
+        rows = rows.select("id", x["before"].alias("before"), F.explode(versions).alias("v"), x["after"].alias("after")).where("v.m IS NOT NULL")
         rows = rows.select("id", "v.label", F.concat("before", "v.m", "after").alias("text"), F.char_length("before").alias("s"),
                            (F.char_length("before") + F.char_length("v.m")).alias("e"))
-        rows = rows.withColumn("x", F.explode(_matches(F.col("text"), WIDE[kind]))).where((x["s"] < F.col("e")) & (F.col("s") < x["e"]))
-        rows = rows.where((F.col("label") == 0) | ((x["s"] <= F.col("s")) & (F.col("e") <= x["e"]))).select("id", "label", *_features(F.col("text"), kind, x))
+        wide = _around(F.col("text"), _matches(F.col("text"), WIDE[kind]), 24, 1)
+        rows = rows.withColumn("x", F.explode(wide)).where((x["s"] < F.col("e")) & (F.col("s") < x["e"]))
+        rows = rows.where((F.col("label") == 0) | ((x["s"] <= F.col("s")) & (F.col("e") <= x["e"]))).select("id", "label", *_features(kind, x))
         out = rows if out is None else out.union(rows)
     return out
 
@@ -188,9 +244,9 @@ def _with_spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         out = out.withColumn(f"wide_{kind}", _found(text, WIDE[kind], needs))
 
     def candidate(kind: str) -> Column:
-        sure = F.col(kind)
-        return F.transform(F.col(f"wide_{kind}"), lambda x: F.struct(
-            x["s"].alias("s"), x["e"].alias("e"), F.exists(sure, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])).alias("sure"), *_features(text, kind, x)))
+        wide = _around(text, F.col(f"wide_{kind}"), 24, 1)
+        return _bound(F.col(kind), lambda sure: F.transform(wide, lambda x: F.struct(
+            x["s"].alias("s"), x["e"].alias("e"), _overlaps(sure, x).alias("sure"), *_features(kind, x))))
     return out.select("id", "text", *KINDS, F.concat(*[candidate(k) for k in KINDS]).alias("candidates"))
 
 
