@@ -33,6 +33,7 @@ from ..sources import sheets
 from ..sources.catalog import TableSpec
 from ..sources.store import VersionedTable
 from ..streaming.incremental import incremental_ingest
+from .main_products import MAIN_QUERIES
 from .product_queries import PRODUCT_QUERIES
 
 # Fixed as-of instants of the driver queries.
@@ -1122,4 +1123,5 @@ QUERIES = {
     "run_summary": run_summary,
     "freshness": freshness,
     **PRODUCT_QUERIES,
+    **MAIN_QUERIES,
 }

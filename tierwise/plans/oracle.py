@@ -7,6 +7,7 @@ Spark plans rather than mirroring them.  Tables are the pre-registered views.
 
 from __future__ import annotations
 
+from .main_products import MAIN_ORACLE
 from .product_queries import PRODUCT_ORACLE
 
 AS_OF = "TIMESTAMP '2001-08-01 00:00:00'"
@@ -781,4 +782,5 @@ SELECT 'lineitem', MAX(l_shipdate), COALESCE(MAX(l_shipdate) >= TIMESTAMP '2001-
 UNION ALL
 SELECT 'events', MAX(ts), COALESCE(MAX(ts) >= TIMESTAMP '2024-02-01 00:00:00', FALSE) FROM events""",
     **PRODUCT_ORACLE,
+    **MAIN_ORACLE,
 }

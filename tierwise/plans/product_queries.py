@@ -129,9 +129,9 @@ LISTED_RESOURCES = ("3", "7", "900")
 PARAMS = ProductParams(as_of="2002-01-01 00:00:00", production_cutoff="1999-06-15", reports_cutoff="2000-01-01", trace_cutoff="2000-01-01")
 
 
-def _bronze(spark, d):
+def _bronze(spark, d, frames=BRONZE):
     def frame(name: str) -> DataFrame:
-        table, distinct, columns = BRONZE[name]
+        table, distinct, columns = frames[name]
         df = spark.read.parquet(f"{d}/{table}.parquet").selectExpr(*[f"{e} AS {c}" for c, e in columns])
         return df.distinct() if distinct else df
     return frame
@@ -144,11 +144,12 @@ def _sheet(spark, d, product: str) -> DataFrame | None:
     return spark.read.parquet(f"{d}/{table}.parquet").selectExpr(*[f"{e} AS `{c}`" for c, e in columns])
 
 
-def _query(product: str, **inputs):
+def _query(product: str, frames=BRONZE, params=PARAMS, **inputs):
     """``inputs``: keyword inputs of the builder, a frame's name or a value."""
     def run(spark, d) -> DataFrame:
-        df = build_product(product, _bronze(spark, d), PARAMS, sheet=_sheet(spark, d, product),
-                           **{k: _bronze(spark, d)(v) if v in BRONZE else v for k, v in inputs.items()})
+        bronze = _bronze(spark, d, frames)
+        df = build_product(product, bronze, params, sheet=_sheet(spark, d, product),
+                           **{k: bronze(v) if v in frames else v for k, v in inputs.items()})
         return df.select(*[F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, DecimalType) else F.col(f.name) for f in df.schema.fields])
     return run
 
@@ -158,10 +159,10 @@ def _sheet_sql(product: str, body: str) -> str:
     return "WITH s AS (SELECT " + ", ".join(f'{e} AS "{c.strip().upper()}"' for c, e in columns) + f" FROM {table})\n" + body
 
 
-def _sql(frames: str, body: str) -> str:
+def _sql(names: str, body: str, frames=BRONZE) -> str:
     ctes = []
-    for name in frames.split():
-        table, distinct, columns = BRONZE[name]
+    for name in names.split():
+        table, distinct, columns = frames[name]
         ctes.append(f"{name} AS (SELECT {'DISTINCT ' if distinct else ''}" + ", ".join(f"{e} AS {c}" for c, e in columns) + f" FROM {table})")
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
