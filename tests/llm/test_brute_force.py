@@ -391,22 +391,30 @@ def test_edit_distance():
             assert line_dedup.edit_distance(a, b, most) == min(plain_edits(a, b), most + 1)
 
 
-@pytest.mark.parametrize("block_rows", [2048, 3])
-def test_lines(spark, block_rows):
-    rnd = random.Random(12)
-    base = ["".join(rnd.choice("abcdefgh é") for _ in range(rnd.randint(5, 60))) for _ in range(50)]
-    docs = {d: "\n".join(edited(rnd, rnd.choice(base), rnd.choice([0, 0, 1, 1, 2, 3])) for _ in range(rnd.randint(0, 6))) for d in range(120)}
-    docs |= {500: None, 501: ""}
-    rows = [(d, n, x) for d, t in docs.items() if t is not None for n, x in enumerate(t.split("\n")) if len(x) >= 10 and x.strip()]
+def lines_gone(docs):
+    """``{id: numbers}`` of the lines that go, by comparing all pairs."""
+    rows = [(d, n, x) for d, t in docs.items() if t is not None for n, x in enumerate(t.split("\n")) if x.strip()]
     want = Groups()
     for i, j in itertools.combinations(range(len(rows)), 2):
         a, b = rows[i][2], rows[j][2]
-        if a == b or (min(len(a), len(b)) >= 24 and abs(len(a) - len(b)) <= 2 and plain_edits(a, b) <= 2):
+        most = min(2, max(0, min(len(a), len(b)) // 8 - 1))
+        if a == b or (most and abs(len(a) - len(b)) <= most and plain_edits(a, b) <= most):
             want.join(i, j)
     gone = {}
     for i, (d, n, _) in enumerate(rows):       # rows are in the order of documents and lines
         if want.find(i) != i:
             gone.setdefault(d, []).append(n)
+    return gone
+
+
+@pytest.mark.parametrize("block_rows", [2048, 3])
+def test_lines(spark, block_rows):
+    rnd = random.Random(12)
+    base = ["".join(rnd.choice("abcdefgh é") for _ in range(rnd.randint(1, 60))) for _ in range(50)]
+    docs = {d: "\n".join(edited(rnd, rnd.choice(base), rnd.choice([0, 0, 1, 1, 2, 3])) for _ in range(rnd.randint(0, 6))) for d in range(120)}
+    docs |= {500: None, 501: "", 502: "x\n \ny", 503: "x\n\ny"}
+    gone = lines_gone(docs)
+    assert gone[503] == [0, 2]
     got = {r["id"]: list(r["lines"]) for r in line_dedup.dropped_lines(frame(spark, docs), block_rows=block_rows).collect()}
     assert got == gone
     if block_rows == 3:
@@ -414,6 +422,43 @@ def test_lines(spark, block_rows):
         assert text == {d: t if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone.get(d, [])) for d, t in docs.items()}
 
 
+def test_lines_of_every_length(spark):
+    rnd = random.Random(21)
+    base = ["".join(rnd.choice("abcdefgh é") for _ in range(n)) for n in range(1, 41) for _ in range(2)]
+    lines = [edited(rnd, x, n) for x in base for n in (0, 0, 1, 2, 3)] + ["line abc"] * 5 + ["some thing short", "some thing shart"]
+    docs = {d: x for d, x in enumerate(lines)}
+    got = {r["id"]: list(r["lines"]) for r in line_dedup.dropped_lines(frame(spark, docs)).collect()}
+    assert got == lines_gone(docs) and len(docs) - 1 in got
+
+
+def test_long_lines_are_dealt_by_bytes(spark):
+    rnd = random.Random(22)
+    long = "".join(rnd.choice("abcdefgh é") for _ in range(40_000))
+    docs = {d: edited(rnd, long, 1) for d in range(1, 9)} | {0: long, 9: long[:20_000]}
+    got = {r["id"] for r in line_dedup.dropped_lines(frame(spark, docs), block_bytes=50_000).collect()}
+    assert got == set(range(1, 9))
+
+
+def test_rows_of_one_id_are_documents_of_their_own(spark):
+    first, second, third = "a line that two of the rows have", "only one row has this one, at the same place", "and this one is by itself as well"
+    rows = [(i, t) for i in (None, 7) for t in (f"{first} {i}\n{third} {i}", f"{second} {i}\n{first} {i}")] * 2
+    got = line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 8
+    for i in (None, 7):
+        texts = [r["text"].split("\n") for r in got if r["doc_id"] == i]
+        assert sorted(x for t in texts for x in t if not x.startswith(first)) == sorted([f"{second} {i}", f"{third} {i}"] * 2)
+        assert sum(t.count(f"{first} {i}") for t in texts) == 2        # the copies of the row whose line stays
+    assert sorted(line_dedup.line_counts(spark.createDataFrame(rows, "doc_id long, text string")).select("n_removed").toPandas()["n_removed"]) == [0] * 4 + [1] * 4
+
+
+def test_a_frequent_line_leaves_a_task_once():
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["a line that is frequent in this table\n" * 60_000, "a line that is frequent in this table\nand another line"])], ["id", "text"])
+    got = [row for out in line_dedup._signatures(2, 8)(iter([batch, batch])) for row in zip(*(c.to_pylist() for c in out.columns))]
+    assert len(got) == len(set(got)) and len({name for _, name in got}) == 2
+    recent = line_dedup.Recent(2)
+    assert [recent.unseen(list(x)).tolist() for x in ("aab", "ca", "d", "a", "c")] == [[0, 2], [0], [0], [0], []]
+
+
 @pytest.mark.parametrize("batch_rows", [1000, 30_000])
 def test_partners_of_a_frequent_line(batch_rows):
     # B is no partner of the linked A and C, and lies between them in more rows than a block

@@ -1,10 +1,13 @@
 """Line dedup by a segment-partition edit join.
 
-Lines that differ by at most ``max_edits`` edits are one class, and so are chains
-of them; of each class the first line (smallest document id, then line number)
-stays and every other line goes, copies included.
-
-A line is split into ``max_edits + 1`` segments of even length.  Two lines within
+Equal lines are one class, and so are lines that differ by few edits, and chains of
+them; of each class the first line (smallest document id, then line number)
+stays and every other line goes, copies included.  How many edits depends on the
+shorter line: one for each ``segment_chars`` characters beyond the first
+``segment_chars``, ``max_edits`` at most (by default none below 16 characters, one
+below 24, then two).
+
+A line is split into one segment more than its edits, of even length.  Two lines within
 the threshold share a whole segment, so the substrings of a line at the places
 where it may meet a segment of a line of its own or a smaller length are looked
 up by (length, segment number, content); a line's own segments are the index
@@ -12,17 +15,21 @@ entries among them.  Rows of the index are two numbers, the key and the line's
 name, whose lower half is a parity sketch of its character pairs: an edit flips at most
 four of its bits, which drops most false partners before any text moves.  Only
 lines with a possible partner are fetched; pairs are verified by a banded
-bit-parallel edit distance.
+bit-parallel edit distance.  Names only filter: from the texts on a line is a number
+of its own, so that two lines of one name stay two (a link between them alone is
+lost, in one of 2**32).
 
 A key yields a spanning forest of its links, not all pairs; keys with more than
-``block_rows`` lines are dealt by pairs of blocks.  Copies of a line meet in a
-grouped minimum, which combines before the shuffle.
+``block_rows`` lines or ``block_bytes`` of long ones are dealt by pairs of blocks.  A
+frequent line's keys leave a task once; its copies meet in a grouped minimum, which
+combines before the shuffle.
 
 Defined cases: a null text stays null and an empty one empty; blank lines and
-lines shorter than ``least_chars`` always stay; lines shorter than ``near_chars``
-are compared for equality only; rows that repeat a document id are judged as one
-document; documents stay even if all their lines go; an empty table gives an empty
-result; columns other than id and text are passed through.
+lines shorter than ``least_chars`` always stay; rows alike in id and text are judged as
+one document, and so keep the same lines; other rows with one id, or without one, are
+documents of their own, in order of the hash of their text; documents stay even if all
+their lines go; an empty table gives an empty result; columns other than id and text
+are passed through.
 """
 
 from __future__ import annotations
@@ -42,6 +49,31 @@ _POWERS: list = []
 _SOLID = np.ones(256, bool)
 _SOLID[[9, 10, 11, 12, 13, 32]] = False
 SKETCH_BITS = 32
+RECENT = 1 << 17        # digests of a generation that a task remembers
+LONG_BYTES = 1 << 14    # of a line whose size counts where blocks are dealt
+
+
+class Recent:
+    """What a task met lately, in two generations of bounded size."""
+
+    def __init__(self, most: int = RECENT):
+        self.most, self.new, self.old = most, set(), set()
+
+    def unseen(self, items: list) -> np.ndarray:
+        """Places of the items that were not met lately; they are from now on."""
+        at = []
+        for i, x in enumerate(items):
+            if x not in self.new and x not in self.old:
+                at.append(i)
+                self.new.add(x)
+                if len(self.new) >= self.most:
+                    self.new, self.old = set(), self.new
+        return np.array(at, np.int64)
+
+
+def allowed_edits(chars, most: int, segment_chars: int):
+    """Edits that lines of so many characters may differ by."""
+    return np.clip(np.asarray(chars) // segment_chars - 1, 0, most)
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -112,25 +144,26 @@ class Lines:
         top = np.frombuffer(b"".join([d[:4] for d in digests]), ">u4").astype(np.uint64)
         return ((top << np.uint64(SKETCH_BITS)) | sketch).view(np.int64)
 
-    def keys(self, which: np.ndarray, edits: int) -> tuple[np.ndarray, np.ndarray]:
+    def keys(self, which: np.ndarray, most: int, segment_chars: int) -> tuple[np.ndarray, np.ndarray]:
         """``(line, key)`` of every substring that may meet a segment."""
         power, inverse = _powers(len(self.data) + 1)
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * power[:len(self.data)], dtype=np.uint64)))
         lines, keys = [], []
-        for delta in range(edits + 1):
-            length = self.chars[which] - delta
+        for delta, edits in [(d, t) for d in range(most + 1) for t in range(max(d, 1), most + 1)]:
+            of = which[allowed_edits(self.chars[which] - delta, most, segment_chars) == edits]
+            length = self.chars[of] - delta
             for i in range(edits + 1):
                 lo, hi, size = selections(edits, delta, i, length)
                 tag = (length.astype(np.uint64) * np.uint64(64) + np.uint64(i)) * np.uint64(0xD6E8FEB86659FD93)
                 for step in range(2 * edits + 1):
-                    at = np.flatnonzero((lo + step <= hi) & (length > edits))
+                    at = np.flatnonzero(lo + step <= hi)
                     if not len(at):
                         break
-                    p = self.first[which[at]] + lo[at] + step
+                    p = self.first[of[at]] + lo[at] + step
                     s, e = self.points[p], self.points[p + size[at]]
                     h = (sums[e] - sums[s]) * inverse[s] + tag[at]
                     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-                    lines.append(which[at])
+                    lines.append(of[at])
                     keys.append(h ^ (h >> np.uint64(29)))
         if not lines:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -150,31 +183,38 @@ def _places(least_chars: int):
     """Every line that may go: digest, name, document and line number."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0)
+            ids, rows = batch.column(0), batch.column(2)
             for i, lines in _slices(batch, 1):
                 which = np.flatnonzero((lines.chars >= least_chars) & ~lines.blank())
                 digests = lines.digests(which)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(digests, pa.binary()), pa.array(lines.names(which, digests)) if len(which) else pa.array([], pa.int64()),
-                     ids.take(pa.array(i + lines.row[which])), pa.array(lines.number[which].astype(np.int32))], ["digest", "name", "id", "line"])
+                     *[c.take(pa.array(i + lines.row[which])) for c in (ids, rows)], pa.array(lines.number[which].astype(np.int32))], ["digest", "name", "id", "row", "line"])
     return run
 
 
-def _signatures(edits: int, near_chars: int):
+def _near_lines(batches: Iterator[pa.RecordBatch], segment_chars: int) -> Iterator[tuple[Lines, np.ndarray, list[bytes]]]:
+    """The lines long enough for near matches, with their digests; copies that a task
+    met lately are left out."""
+    recent = Recent()
+    for batch in batches:
+        for _, lines in _slices(batch, 1):
+            which = np.flatnonzero((lines.chars >= 2 * segment_chars) & ~lines.blank())
+            digests = lines.digests(which)
+            at = recent.unseen(digests)
+            if len(at):
+                yield lines, which[at], [digests[i] for i in at.tolist()]
+
+
+def _signatures(edits: int, segment_chars: int):
     """``(key, name)`` of the lines long enough for near matches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, lines in _slices(batch, 1):
-                which = np.flatnonzero((lines.chars >= near_chars) & ~lines.blank())
-                if not len(which):
-                    continue
-                names = lines.names(which, lines.digests(which))
-                names, at = np.unique(names, return_index=True)
-                name_of = np.zeros(len(lines.start), np.int64)
-                name_of[which[at]] = names
-                line, key = lines.keys(which[at], edits)
-                for a in range(0, len(key), 65536):
-                    yield pa.RecordBatch.from_arrays([pa.array(key[a:a + 65536]), pa.array(name_of[line[a:a + 65536]])], ["key", "name"])
+        for lines, which, digests in _near_lines(batches, segment_chars):
+            name_of = np.zeros(len(lines.start), np.int64)
+            name_of[which] = lines.names(which, digests)
+            line, key = lines.keys(which, edits, segment_chars)
+            for a in range(0, len(key), 65536):
+                yield pa.RecordBatch.from_arrays([pa.array(key[a:a + 65536]), pa.array(name_of[line[a:a + 65536]])], ["key", "name"])
     return run
 
 
@@ -303,14 +343,12 @@ def edit_distance(a: str, b: str, most: int) -> int:
     return most + 1
 
 
-def _verify(edits: int):
+def _verify(edits: int, segment_chars: int):
     """Links of one key (or of two of its blocks) at a time."""
-    limit = 4 * edits
-
     def links(rows):
-        names = np.array([r[0] for r in rows], np.int64)
-        texts, left = [r[1] for r in rows], np.array([r[2] for r in rows], bool)
-        sketch = names & np.int64((1 << SKETCH_BITS) - 1)
+        nodes, texts = np.array([r[0] for r in rows], np.int64), [r[2] for r in rows]
+        sketch = np.array([r[1] for r in rows], np.int64) & np.int64((1 << SKETCH_BITS) - 1)
+        left = np.array([r[3] for r in rows], bool)
         size = np.array([len(t) for t in texts])
         two = left.any() and not left.all()
         first = np.flatnonzero(left) if two else np.arange(len(rows))
@@ -323,14 +361,15 @@ def _verify(edits: int):
                 x = parent[x]
             return x
         for i in first.tolist():
-            near = (np.bitwise_count(sketch[second] ^ sketch[i]) <= limit) & (np.abs(size[second] - size[i]) <= edits) & (names[second] != names[i])
+            most = allowed_edits(np.minimum(size[second], size[i]), edits, segment_chars)
+            near = (np.bitwise_count(sketch[second] ^ sketch[i]) <= 4 * most) & (np.abs(size[second] - size[i]) <= most) & (nodes[second] != nodes[i])
             if not two:
                 near &= second > i
-            for j in second[near].tolist():
+            for j, within in zip(second[near].tolist(), most[near].tolist()):
                 x, y = find(i), find(j)
-                if x != y and edit_distance(texts[i], texts[j], edits) <= edits:
+                if x != y and edit_distance(texts[i], texts[j], within) <= within:
                     parent[x] = y
-                    yield int(names[i]), int(names[j])
+                    yield int(nodes[i]), int(nodes[j])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
@@ -340,7 +379,7 @@ def _verify(edits: int):
             cols = list(zip(*found)) or [[], []]
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["a", "b"])
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            for row in zip(*(column.to_pylist() for column in batch.columns)):
                 if row[0] != key and held:
                     if len(held) > 1:
                         yield out()
@@ -352,67 +391,72 @@ def _verify(edits: int):
     return run
 
 
-def _texts(near_chars: int):
-    """Texts of the lines long enough for near matches, each once a slice."""
+def _texts(segment_chars: int):
+    """``(digest, text)`` of the lines long enough for near matches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, lines in _slices(batch, 1):
-                which = np.flatnonzero((lines.chars >= near_chars) & ~lines.blank())
-                if not len(which):
-                    continue
-                names, at = np.unique(lines.names(which, lines.digests(which)), return_index=True)
-                raw, which = lines.data.tobytes(), which[at]
-                text = [raw[s:e].decode("utf-8", "replace") for s, e in zip(lines.start[which].tolist(), lines.end[which].tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(text, pa.string())], ["name", "text"])
+        for lines, which, digests in _near_lines(batches, segment_chars):
+            raw = lines.data.tobytes()
+            text = [raw[s:e].decode("utf-8", "replace") for s, e in zip(lines.start[which].tolist(), lines.end[which].tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(text, pa.string())], ["digest", "text"])
     return run
 
 
-def near_links(src: DataFrame, firsts: DataFrame, edits: int, near_chars: int, block_rows: int) -> DataFrame:
-    """``(a, b)``: names of lines within ``edits`` edits, spanning every class."""
-    signed = src.mapInArrow(_signatures(edits, near_chars), "key long, name long")
+def near_links(src: DataFrame, firsts: DataFrame, edits: int, segment_chars: int, block_rows: int, block_bytes: int) -> DataFrame:
+    """``(a, b)``: nodes of lines within their edits, spanning every class."""
+    signed = src.mapInArrow(_signatures(edits, segment_chars), "key long, name long")
     live = written(signed.repartition("key").sortWithinPartitions("key", "name").mapInArrow(_partners(edits), "key long, name long"), "lines-live")
-    wanted = written(live.select("name").distinct(), "lines-wanted")
-    words = member_words(firsts.join(wanted, "name", "left_semi").select(F.col("first.id").alias("id")))
-    holders, _ = split_by_members(src, "id", words)
-    texts = holders.mapInArrow(_texts(near_chars), "name long, text string").join(wanted, "name", "left_semi").dropDuplicates(["name"])
-    blocks = live.groupBy("key").agg(F.ceil(F.count("*") / F.lit(block_rows)).cast("int").alias("blocks"))
-    dealt = (live.join(blocks, "key").withColumn("own", F.expr("cast(pmod(xxhash64(name), blocks) AS int)"))
+    wanted = written(firsts.join(live.select("name").distinct(), "name", "left_semi").select("digest", "name", "node", "first.row"), "lines-wanted")
+    holders, _ = split_by_members(src, "row", member_words(wanted.select("row")))
+    texts = written(holders.mapInArrow(_texts(segment_chars), "digest binary, text string").join(wanted.drop("row"), "digest")
+                    .dropDuplicates(["node"]).select("name", "node", "text"), "lines-texts")
+    size = F.octet_length("text")
+    long = written(texts.where(size > LONG_BYTES).select("name", size.alias("bytes")), "lines-long")
+    # only the keys of several blocks, as a rule few or none: the lines of the others are not moved to meet them
+    parts = F.greatest(F.ceil(F.count("*") / F.lit(block_rows)), F.ceil(F.sum("bytes") / F.lit(block_bytes))).cast("int")
+    blocks = written(live.join(long, "name", "left").groupBy("key").agg(parts.alias("blocks")).where("blocks > 1"), "lines-blocks")
+    dealt = (live.join(blocks, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("own", F.expr("cast(pmod(xxhash64(name), blocks) AS int)"))
              .withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select(F.when(F.col("blocks") == 1, F.col("key")).otherwise(F.xxhash64("key", F.least("own", "k"), F.greatest("own", "k"))).alias("key"),
                      "name", F.expr("own <= k").alias("left")))
-    rows = dealt.join(written(texts, "lines-texts"), "name").select("key", "name", "text", "left")
-    return written(rows.repartition("key").sortWithinPartitions("key", "name").mapInArrow(_verify(edits), "a long, b long"), "lines-links")
+    rows = dealt.join(texts, "name").select("key", "node", "name", "text", "left")
+    return written(rows.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_verify(edits, segment_chars), "a long, b long"), "lines-links")
+
+
+def _row(id_col: str, text_col: str):
+    """Key of a row: rows that share an id, or have none, still differ by text."""
+    return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
 
 
-def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_edits: int = 2,
-                  least_chars: int = 10, near_chars: int = 24, block_rows: int = 2048) -> DataFrame:
-    """``(id, lines)``: numbers (from 0, in order) of the lines that go, for each
-    document that has any."""
-    if near_chars < 4 * (max_edits + 1):
+def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_edits: int = 2, least_chars: int = 1,
+                  segment_chars: int = 8, block_rows: int = 2048, block_bytes: int = 32 << 20) -> DataFrame:
+    """``(id, row, lines)``: numbers (from 0, in order) of the lines that go, for each
+    document that has any; ``row`` is the hash of id and text."""
+    if segment_chars < 4:
         raise ValueError("lines for near matches need segments of four characters or more")
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    places = written(src.mapInArrow(_places(least_chars), "digest binary, name long, id long, line int"), "lines-places")
-    place = F.struct(F.col("id").isNull().alias("none"), "id", "line")
-    firsts = written(places.groupBy("digest").agg(F.min(place).alias("first"), F.first("name").alias("name"), F.count("*").alias("n")), "lines-first")
-    comp = connected_components(near_links(src, firsts, max_edits, near_chars, block_rows), "lines-cc").withColumnRenamed("node", "name")
-    classed = firsts.join(comp, "name", "left").where("n > 1 OR component IS NOT NULL")
+    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), _row(id_col, text_col).alias("row"))
+    places = written(src.mapInArrow(_places(least_chars), "digest binary, name long, id long, row long, line int"), "lines-places")
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "row", "line")
+    firsts = places.groupBy("digest").agg(F.min(place).alias("first"), F.first("name").alias("name"), F.count("*").alias("n"))
+    firsts = written(firsts.withColumn("node", F.monotonically_increasing_id()), "lines-first")     # read back, so the numbers stay
+    comp = connected_components(near_links(src, firsts, max_edits, segment_chars, block_rows, block_bytes), "lines-cc")
+    classed = firsts.join(comp, "node", "left").where("n > 1 OR component IS NOT NULL")
     linked = classed.where("component IS NOT NULL").union(
-        firsts.join(comp.select(F.col("component").alias("name")).distinct(), "name", "left_semi").withColumn("component", F.col("name")).select(classed.columns))
+        firsts.join(comp.select(F.col("component").alias("node")).distinct(), "node", "left_semi").withColumn("component", F.col("node")).select(classed.columns))
     heads = linked.groupBy("component").agg(F.min("first").alias("head"))
     chosen = (linked.join(heads, "component").select("digest", "head")
               .union(classed.where("component IS NULL").select("digest", F.col("first").alias("head"))))
     # written, so that both sides of the join are shuffled and Spark can split a frequent line
     chosen = written(chosen.groupBy("digest").agg(F.min("head").alias("head")), "lines-chosen")
     gone = places.join(chosen, "digest").where(~(place == F.col("head")))
-    return gone.select("id", "line").distinct().groupBy("id").agg(F.array_sort(F.collect_list("line")).alias("lines"))
+    return gone.select("id", "row", "line").distinct().groupBy("id", "row").agg(F.array_sort(F.collect_list("line")).alias("lines"))
 
 
 def line_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``(id, n_lines, n_removed, removed)``, one row per document; ``removed`` are
     the numbers of the lines that go, comma-joined."""
-    gone = dropped_lines(docs, id_col, text_col, **options).withColumnRenamed("id", "gone_id")
-    counts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.size(F.split(F.col(text_col).cast("string"), "\n", -1)), F.lit(0)).alias("n_lines"))
-    return (counts.join(gone, F.col("id").eqNullSafe(F.col("gone_id")), "left")
+    gone = dropped_lines(docs, id_col, text_col, **options).withColumnsRenamed({"id": "gone_id", "row": "gone_row"})
+    counts = docs.select(F.col(id_col).cast("long").alias("id"), _row(id_col, text_col).alias("row"), F.coalesce(F.size(F.split(F.col(text_col).cast("string"), "\n", -1)), F.lit(0)).alias("n_lines"))
+    return (counts.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("row") == F.col("gone_row")), "left")
             .select("id", F.when(F.col("n_lines") < 0, 0).otherwise(F.col("n_lines")).cast("long").alias("n_lines"),
                     F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_removed"), F.coalesce(F.array_join("lines", ","), F.lit("")).alias("removed")))
 
@@ -435,8 +479,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` (all rows and columns) with the lines that go cut from the text.
     Only documents that lose a line are shuffled."""
     gone = written(dropped_lines(docs, id_col, text_col, **options), "lines-gone")
-    some, none = split_by_members(docs, id_col, member_words(gone.select("id")))
-    of, lines = fresh(docs, "__gone_id", "__gone_lines")
-    joined = some.join(gone.toDF(of, lines), F.col(id_col).cast("long").eqNullSafe(F.col(of)), "left").drop(of)
+    of, of_row, lines, row = fresh(docs, "__gone_id", "__gone_row", "__gone_lines", "__row")
+    some, none = split_by_members(docs.withColumn(row, _row(id_col, text_col)), row, member_words(gone.select("row")))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(of)) & (F.col(row) == F.col(of_row))
+    joined = some.join(gone.toDF(of, of_row, lines), same, "left").drop(of, of_row, row)
     cut = joined.mapInArrow(_without(docs.columns.index(id_col), docs.columns.index(text_col), len(docs.columns)), docs.schema)
-    return cut.union(none)
+    return cut.union(none.drop(row))
