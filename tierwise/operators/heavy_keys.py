@@ -48,13 +48,14 @@ def _content(df: DataFrame) -> list[str]:
 
 
 def heavy_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], empty: Sequence[str] = (),
-                    shares: int = SHARES, salts: int = SALTS) -> DataFrame:
+                    shares: int = SHARES, salts: int = SALTS, counted: DataFrame | None = None) -> DataFrame:
     """``left.join(right, keys, "left")`` with heavy keys dealt by salt.
 
     ``empty`` lists texts that are no key (a blank, zeros): rows with one of them match
     nothing, like NULL; leave it out where such a text does match.  Both sides name the
     keys alike and share no other column.  Columns: those of ``left``, then the others
-    of ``right``.  ``left`` is read three times (keys, keyed rows, empty rows)."""
+    of ``right``.  ``left`` is read three times (keys, keyed rows, empty rows); where that
+    costs a join, ``counted``, a frame of the same keys, stands in for its keys."""
     keys = list(keys)
     extra = [c for c in right.columns if c not in keys]
     if clash := sorted(set(extra) & set(left.columns)):
@@ -63,7 +64,8 @@ def heavy_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], empt
         raise ValueError("shares and salts are at least 1")
     no_key = _no_key(left, keys, empty)
     keyed = left.where(~no_key)
-    heavy = F.broadcast(heavy_keys(keyed, keys, shares).withColumn("_heavy", F.lit(True)))
+    sized = keyed if counted is None else counted.where(~_no_key(counted, keys, empty))
+    heavy = F.broadcast(heavy_keys(sized, keys, shares).withColumn("_heavy", F.lit(True)))
     part = F.pmod(F.xxhash64(F.spark_partition_id(), *_content(left)), F.lit(salts)).cast("int")
     dealt = keyed.withColumn("_part", part).join(heavy, keys, "left")
     dealt = dealt.withColumn("_part", F.when(F.col("_heavy"), F.col("_part")).otherwise(0)).drop("_heavy")

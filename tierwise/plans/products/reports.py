@@ -106,51 +106,89 @@ def repeat_entries(bronze: Bronze, p: ProductParams) -> DataFrame:
 
 
 TRACKED = ("NUMOCP", "DATEMIOCP", "CODFOR", "NOMFOR", "USU_NUMINV", "USU_DATEMB", "NUMNFC", "DATEMINFC")
+NOTE = ("USU_CODEMP", "USU_CODFIL", "USU_CODFOR", "USU_NUMNFC")
+ENTRY = ("DATENT", "USU_DATCON")
+SUPPLIER = ("NOMFOR", "SIGUFS", "CIDFOR", "CODCLI", "TIPFOR", "FONFOR", "FONFO2", "FONFO3", "INTNET")
+HEAD = ("USU_TIPLAU", "USU_CODSIT", "USU_NUMNFV", "USU_USUFIN", "USU_DATALT", "USU_DATSEP")
+OUTGOING = ("DATEMI", "USU_CODRAS", "USU_ENTCOR", "CODTRA")
+PRODUCT = ("USU_CODEMP", "USU_CODPRO", "USU_CODDER", "USU_CODDEF")
+
+
+def _entry_notes(bronze: Bronze, p: ProductParams) -> DataFrame:
+    """Entry notes from the cutoff on, each with its supplier."""
+    t6, t7 = bronze("E440NFC").alias("T6"), bronze("E095FOR").alias("T7")
+    return (t6.where(c("T6", "DATENT") >= F.lit(p.reports_cutoff).cast("timestamp_ntz"))
+              .join(t7, c("T6", "CODFOR") == c("T7", "CODFOR"), "left")
+              .select(*[c("T6", x).alias(y) for x, y in zip(("CODEMP", "CODFIL", "CODFOR", "NUMNFC"), NOTE)],
+                      *[c("T6", x).alias(f"T6_{x}") for x in ENTRY], *[c("T7", x).alias(f"T7_{x}") for x in SUPPLIER]))
+
+
+def _report_heads(bronze: Bronze) -> DataFrame:
+    """Report heads with their type, situation, outgoing note and carrier."""
+    t1 = bronze("USU_TLAUGER").alias("T1")
+    return (t1.join(bronze("USU_TLAUTIP").alias("T2"), c("T1", "USU_TIPLAU") == c("T2", "USU_CODTIP"), "left")
+              .join(bronze("USU_TLAUSIT").alias("T4"), c("T1", "USU_CODSIT") == c("T4", "USU_CODSIT"), "left")
+              .join(bronze("E140NFV").alias("T12"), (c("T12", "CODEMP") == c("T1", "USU_CODEMP"))
+                    & (c("T12", "CODFIL") == c("T1", "USU_CODFIL")) & (c("T12", "NUMNFV") == c("T1", "USU_NUMNFV")), "left")
+              .join(bronze("E073TRA").alias("T13"), c("T13", "CODTRA") == c("T12", "CODTRA"), "left")
+              .select(*[c("T1", x).alias(x) for x in ("USU_CODLAU", "USU_CODEMP", "USU_CODFIL", *HEAD)],
+                      c("T2", "USU_DESTIP").alias("USU_DESTIP"), c("T4", "USU_DESSIT").alias("USU_DESSIT"),
+                      *[c("T12", x).alias(x) for x in OUTGOING], c("T13", "APETRA").alias("APETRA")))
+
+
+def _item_products(bronze: Bronze) -> DataFrame:
+    """The product, variant and defect texts of each (company, product, variant, defect)
+    that items have, a missing one included: the look-ups move these keys, not the items."""
+    k = bronze("USU_TLAUITE").select(*PRODUCT).distinct().alias("K")
+    t9 = (bronze("E075DER").alias("T9")
+          .join(bronze("E013AGP").alias("T10"), (c("T9", "CODEMP") == c("T10", "CODEMP"))
+                & (c("T9", "CODAGT") == c("T10", "CODAGP")) & (c("T10", "TIPAGP") == FINISHED_AGGREGATE_TYPE), "left")
+          .select(*[c("T9", x).alias(x) for x in ("CODEMP", "CODPRO", "CODDER", "CODAGT")], c("T10", "DESAGP").alias("DESAGP"))).alias("T9")
+    return (k.join(bronze("USU_TLAUDEF").alias("T3"), on("K", "T3", *PRODUCT), "left")
+             .join(t9, (c("T9", "CODEMP") == c("K", "USU_CODEMP")) & (c("T9", "CODPRO") == c("K", "USU_CODPRO"))
+                   & (c("T9", "CODDER") == c("K", "USU_CODDER")), "left")
+             .join(bronze("E075PRO").alias("T8"), (c("K", "USU_CODEMP") == c("T8", "CODEMP"))
+                   & (c("K", "USU_CODPRO") == c("T8", "CODPRO")), "left")
+             .select(*[c("K", x).alias(x) for x in PRODUCT], c("T3", "USU_DESDEF").alias("USU_DESDEF"),
+                     c("T9", "CODAGT").alias("CODAGT"), c("T9", "DESAGP").alias("DESAGP"),
+                     c("T8", "CODORI").alias("CODORI"), c("T8", "ORIMER").alias("ORIMER")))
 
 
 def report_items(bronze: Bronze, p: ProductParams) -> DataFrame:
+    """Items of entry notes from the cutoff on, which are joined first.  Look-ups that
+    hang on a look-up (supplier on note, carrier on head, aggregate on variant) are joined
+    to it beforehand, so items are shuffled once for each key of their own; the widest
+    look-up comes last."""
+    items = bronze("USU_TLAUITE")
+    entered = items.join(_entry_notes(bronze, p), list(NOTE)).select(*items.columns, *[f"T6_{x}" for x in ENTRY], *[f"T7_{x}" for x in SUPPLIER])
     # blank serials match the tracking rows that have a blank code: they are a heavy key here
     track = bronze("USU_VZRASLAU")
     track = track.select(F.col("USU_CODBAR").alias("USU_SERMAC"), F.col("EMPNFV").alias("USU_CODEMP"), F.col("FILNFV").alias("USU_CODFIL"), *[F.col(x).alias(f"T15_{x}") for x in TRACKED])
-    t0 = heavy_left_join(bronze("USU_TLAUITE"), track, ["USU_SERMAC", "USU_CODEMP", "USU_CODFIL"]).alias("T0")
-    j = (t0.join(bronze("USU_TLAUGER").alias("T1"), (c("T0", "USU_CODLAU") == c("T1", "USU_CODLAU"))
-                 & (c("T0", "USU_CODEMP") == c("T1", "USU_CODEMP")) & (c("T0", "USU_CODFIL") == c("T1", "USU_CODFIL")),
-                 "left")
-           .join(bronze("USU_TLAUTIP").alias("T2"), c("T1", "USU_TIPLAU") == c("T2", "USU_CODTIP"), "left")
-           .join(bronze("USU_TLAUDEF").alias("T3"), on("T0", "T3", "USU_CODEMP", "USU_CODPRO", "USU_CODDER",
-                                                       "USU_CODDEF"), "left")
-           .join(bronze("USU_TLAUSIT").alias("T4"), c("T1", "USU_CODSIT") == c("T4", "USU_CODSIT"), "left")
-           .join(bronze("USU_TLAUPRB").alias("T5"), c("T0", "USU_CODPRB") == c("T5", "USU_CODPRB"), "left")
-           .join(bronze("E440NFC").alias("T6"), (c("T0", "USU_CODEMP") == c("T6", "CODEMP"))
-                 & (c("T0", "USU_CODFIL") == c("T6", "CODFIL")) & (c("T0", "USU_CODFOR") == c("T6", "CODFOR"))
-                 & (c("T0", "USU_NUMNFC") == c("T6", "NUMNFC")), "left")
-           .join(bronze("E095FOR").alias("T7"), c("T0", "USU_CODFOR") == c("T7", "CODFOR"), "left")
-           .join(bronze("E075PRO").alias("T8"), (c("T0", "USU_CODEMP") == c("T8", "CODEMP"))
-                 & (c("T0", "USU_CODPRO") == c("T8", "CODPRO")), "left")
-           .join(bronze("E075DER").alias("T9"), (c("T9", "CODEMP") == c("T0", "USU_CODEMP"))
-                 & (c("T9", "CODPRO") == c("T0", "USU_CODPRO")) & (c("T9", "CODDER") == c("T0", "USU_CODDER")), "left")
-           .join(bronze("E013AGP").alias("T10"), (c("T9", "CODEMP") == c("T10", "CODEMP"))
-                 & (c("T9", "CODAGT") == c("T10", "CODAGP")) & (c("T10", "TIPAGP") == FINISHED_AGGREGATE_TYPE), "left")
+    t0 = heavy_left_join(entered, track, ["USU_SERMAC", "USU_CODEMP", "USU_CODFIL"], counted=items)
+    t0 = t0.join(repeat_entries(bronze, p).withColumnRenamed("DATENT", "T6_DATENT"), ["T6_DATENT", "USU_SERMAC"], "left").alias("T0")
+    same = c("T0", PRODUCT[0]).eqNullSafe(c("P", PRODUCT[0]))
+    for x in PRODUCT[1:]:
+        same = same & c("T0", x).eqNullSafe(c("P", x))
+    j = (t0.join(_item_products(bronze).alias("P"), same, "left")
            .join(bronze("R910USU").alias("T11"), c("T0", "USU_USUTEC") == c("T11", "CODENT"), "left")
-           .join(bronze("E140NFV").alias("T12"), (c("T12", "CODEMP") == c("T1", "USU_CODEMP"))
-                 & (c("T12", "CODFIL") == c("T1", "USU_CODFIL")) & (c("T12", "NUMNFV") == c("T1", "USU_NUMNFV")), "left")
-           .join(bronze("E073TRA").alias("T13"), c("T13", "CODTRA") == c("T12", "CODTRA"), "left")
-           .join(bronze("USU_TLAUCOR").alias("T14"), c("T0", "USU_CODCOR") == c("T14", "USU_CODCOR"), "left")
-           .where(c("T6", "DATENT") >= F.lit(p.reports_cutoff).cast("timestamp_ntz")))
+           .join(_report_heads(bronze).alias("T1"), on("T0", "T1", "USU_CODLAU", "USU_CODEMP", "USU_CODFIL"), "left")
+           .join(bronze("USU_TLAUPRB").alias("T5"), c("T0", "USU_CODPRB") == c("T5", "USU_CODPRB"), "left")
+           .join(bronze("USU_TLAUCOR").alias("T14"), c("T0", "USU_CODCOR") == c("T14", "USU_CODCOR"), "left"))
     base = j.select(
+        c("T0", "T6_DATENT").alias("DATENT"), c("T0", "USU_SERMAC").alias("USU_SERMAC"),
         c("T0", "USU_CODEMP").alias("USU_CODEMP"), c("T0", "USU_CODFIL").alias("USU_CODFIL"),
-        c("T0", "USU_CODFOR").alias("USU_CODFOR"), c("T7", "NOMFOR").alias("NOMFOR"),
-        c("T7", "SIGUFS").alias("SIGUFS"), c("T7", "CIDFOR").alias("CIDFOR"), c("T7", "CODCLI").alias("CODCLI"),
-        c("T7", "TIPFOR").alias("TIPFOR"), c("T7", "FONFOR").alias("FONFOR"), c("T7", "FONFO2").alias("FONFO2"),
-        c("T7", "FONFO3").alias("FONFO3"), c("T7", "INTNET").alias("INTNET"),
+        c("T0", "USU_CODFOR").alias("USU_CODFOR"), c("T0", "T7_NOMFOR").alias("NOMFOR"),
+        c("T0", "T7_SIGUFS").alias("SIGUFS"), c("T0", "T7_CIDFOR").alias("CIDFOR"), c("T0", "T7_CODCLI").alias("CODCLI"),
+        c("T0", "T7_TIPFOR").alias("TIPFOR"), c("T0", "T7_FONFOR").alias("FONFOR"), c("T0", "T7_FONFO2").alias("FONFO2"),
+        c("T0", "T7_FONFO3").alias("FONFO3"), c("T0", "T7_INTNET").alias("INTNET"),
         c("T0", "USU_NUMNFC").alias("USU_NUMNFC"), c("T0", "USU_SEQIPC").alias("USU_SEQIPC"),
-        c("T0", "USU_SEQUNI").alias("USU_SEQUNI"), c("T6", "USU_DATCON").alias("USU_DATCON"),
-        c("T6", "DATENT").alias("DATENT"), c("T0", "USU_CODLAU").alias("USU_CODLAU"),
-        c("T1", "USU_TIPLAU").alias("USU_TIPLAU"), c("T2", "USU_DESTIP").alias("USU_DESTIP"),
-        c("T0", "USU_SERMAC").alias("USU_SERMAC"), c("T0", "USU_CODPRO").alias("USU_CODPRO"),
-        c("T0", "USU_CODDER").alias("USU_CODDER"), c("T9", "CODAGT").alias("CODAGT"),
-        c("T10", "DESAGP").alias("DESAGP"), c("T8", "CODORI").alias("CODORI"), c("T8", "ORIMER").alias("ORIMER"),
-        c("T0", "USU_CODDEF").alias("USU_CODDEF"), c("T3", "USU_DESDEF").alias("USU_DESDEF"),
+        c("T0", "USU_SEQUNI").alias("USU_SEQUNI"), c("T0", "T6_USU_DATCON").alias("USU_DATCON"),
+        c("T0", "USU_CODLAU").alias("USU_CODLAU"),
+        c("T1", "USU_TIPLAU").alias("USU_TIPLAU"), c("T1", "USU_DESTIP").alias("USU_DESTIP"),
+        c("T0", "USU_CODPRO").alias("USU_CODPRO"),
+        c("T0", "USU_CODDER").alias("USU_CODDER"), c("P", "CODAGT").alias("CODAGT"),
+        c("P", "DESAGP").alias("DESAGP"), c("P", "CODORI").alias("CODORI"), c("P", "ORIMER").alias("ORIMER"),
+        c("T0", "USU_CODDEF").alias("USU_CODDEF"), c("P", "USU_DESDEF").alias("USU_DESDEF"),
         c("T0", "USU_PECFAL").alias("USU_PECFAL"), c("T0", "USU_PECTRO").alias("USU_PECTRO"),
         c("T0", "USU_CODCOR").alias("USU_CODCOR"), c("T14", "USU_DESCOR").alias("USU_DESCOR"),
         c("T0", "USU_USUTEC").alias("USU_USUTEC"), c("T11", "NOMCOM").alias("NOMCOM"),
@@ -159,16 +197,15 @@ def report_items(bronze: Bronze, p: ProductParams) -> DataFrame:
         X.when_in(c("T1", "USU_CODSIT"), FINISHED_SITUATIONS, c("T1", "USU_DATSEP")).alias("DATFIN"),
         c("T0", "USU_OBSCLI").alias("USU_OBSCLI"), c("T0", "USU_CODPRB").alias("USU_CODPRB"),
         c("T5", "USU_DESPRB").alias("USU_DESPRB"), c("T1", "USU_CODSIT").alias("USU_CODSIT"),
-        c("T4", "USU_DESSIT").alias("USU_DESSIT"), F.lit(1).alias("QTDREG"), c("T12", "DATEMI").alias("DATEMI"),
-        c("T12", "USU_CODRAS").alias("USU_CODRAS"), c("T12", "USU_ENTCOR").alias("USU_ENTCOR"),
-        c("T12", "CODTRA").alias("CODTRA"), c("T13", "APETRA").alias("APETRA"), c("T0", "T15_NUMOCP").alias("NUMOCP"),
+        c("T1", "USU_DESSIT").alias("USU_DESSIT"), F.lit(1).alias("QTDREG"), c("T1", "DATEMI").alias("DATEMI"),
+        c("T1", "USU_CODRAS").alias("USU_CODRAS"), c("T1", "USU_ENTCOR").alias("USU_ENTCOR"),
+        c("T1", "CODTRA").alias("CODTRA"), c("T1", "APETRA").alias("APETRA"), c("T0", "T15_NUMOCP").alias("NUMOCP"),
         c("T0", "T15_DATEMIOCP").alias("DATEMIOCP"), c("T0", "T15_CODFOR").alias("CODFOR"),
         c("T0", "T15_NOMFOR").alias("NOMFORCOMP"), c("T0", "T15_USU_NUMINV").alias("USU_NUMINV"),
         c("T0", "T15_USU_DATEMB").alias("USU_DATEMB"), c("T0", "T15_NUMNFC").alias("NUMNFC"),
-        c("T0", "T15_DATEMINFC").alias("DATEMINFC"))
-    df = base.join(repeat_entries(bronze, p), ["DATENT", "USU_SERMAC"], "left")
+        c("T0", "T15_DATEMINFC").alias("DATEMINFC"), c("T0", "DATREI").alias("DATREI"))
     as_of = p.as_of
-    return df.select(
+    return base.select(
         "*",
         F.when(F.col("USU_CODPRO").isNull(), F.lit(None).cast("string"))
         .otherwise(F.concat_ws("|", F.col("USU_CODPRO"), X.int_text("USU_CODDEF"))).alias("PROD_COD_DEF"),
