@@ -38,3 +38,15 @@ def test_report_items_are_moved_once_for_each_key_of_their_own(spark):
     # the look-up of products holds with a missing variant, each repeated supplier counts, old notes are left out
     assert got == sorted([("M1", n, "PRO", None) for n in ("one", "one", "two", "two")] + [("None", n, "PRO", None) for n in ("one", "two")])
     assert joins_that_move(df, "USU_OBSCLI") <= 10
+
+
+def test_performance_reads_its_entries_few_times(spark):
+    entry = dict(CODEMP=1, CODORI="PRO", NUMORP=7, CODETG="1", SEQROT=1, DATREA=TS(2024, 2, 3), CODCRE="R", CODPRO="A", CODDER=" ", HORREA=1)
+    data = {"E900EOQ": [entry | dict(CODOPR="X", QTDRE1=2, TMPBRU=3), entry | dict(CODOPR="Y", QTDRE1=5, TMPBRU=7), entry | dict(CODOPR=None, QTDRE1=1, TMPBRU=9)],
+            "E900COP": [dict(CODEMP=1, CODORI="PRO", NUMORP=7, CODPRO="A", DTRINI=TS(2024, 1, 5))],
+            "E630SPE": [dict(CODEMP=1, CODORI="PRO", NUMORP=7, CODPRO="A", CODETG="99", SDOATU=4)]}
+    df = build_product("FAT_DESEMPENHO_PRODUCAO", FakeBronze(spark, data), P)
+    (r,) = [x for x in df.collect() if x.TIPTAB == 1]
+    # the quantity counts a missing operation, whose own time is unknown: (3 + 7) / 2
+    assert (float(r.QTDREA), float(r.TMPBRU), float(r.QTDAND)) == (8.0, 5.0, 4.0)
+    assert sum(n.children().size() == 0 and "DATREA" in names(n) for n in nodes(df)) <= 7

@@ -58,15 +58,17 @@ def rate_at_moments(moments: DataFrame, events: DataFrame, keys, name: str = "ra
 
 
 def interval_rate(readings: DataFrame, rates: DataFrame, keys, reading_ts: Column, start_col: str, end_col: str,
-                  rate_col: str, name: str = "rate", block: str = "month") -> DataFrame:
+                  rate_col: str, name: str = "rate", block: str = "month", moments: DataFrame | None = None) -> DataFrame:
     """Readings with the rate summed over the intervals that hold their moment, borders
     included; 0 where none does (NVL(SUM, 0)), also for null keys and moments.  ``keys``
     name the columns on both sides; ``block`` is the unit of time that a key's history is
-    split by (any unit of ``date_trunc``)."""
+    split by (any unit of ``date_trunc``).  ``moments (keys, _ts)`` names the moments of all
+    readings, and perhaps others, where that is cheaper than reading the readings twice."""
     k = _cols(keys)
     events = rate_events(rates, k, start_col, end_col, rate_col)
     at = readings.withColumn("_ts", reading_ts.cast("timestamp_ntz"))
-    found = rate_at_moments(at.select(*k, "_ts").dropna(), events, k, name="_found", block=block)
+    asked = at.select(*k, "_ts") if moments is None else moments.select(*k, F.col("_ts").cast("timestamp_ntz").alias("_ts"))
+    found = rate_at_moments(asked.dropna(), events, k, name="_found", block=block)
     kind = found.schema["_found"].dataType
     return (at.join(found, on=[*k, "_ts"], how="left")
             .withColumn(name, F.coalesce("_found", F.lit(0).cast(kind))).drop("_ts", "_found"))

@@ -9,7 +9,7 @@ the exact-day-else-latest look-up uses two pre-aggregates (blocks module).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ...functions import exprs as X
@@ -213,10 +213,9 @@ def performance(bronze: Bronze, p: ProductParams) -> DataFrame:
     eoq = bronze("E900EOQ")
 
     # ---- block 1: performance ------------------------------------------
-    qtdrea = eoq.groupBy("CODEMP", "CODORI", "NUMORP", "CODETG", "SEQROT", "DATREA") \
-                .agg(F.sum("QTDRE1").alias("_QTDREA"))
-    tmpbru = eoq.groupBy("CODEMP", "CODORI", "NUMORP", "CODETG", "SEQROT", "CODOPR", "DATREA") \
-                .agg(F.sum("TMPBRU").alias("_TMPBRU"))
+    floor = (F.col("DATREA") > F.lit(p.performance_floor).cast("timestamp_ntz")) & ~F.col("CODETG").isin(*EXCLUDED_STAGES)
+    z1 = eoq.where(floor)
+    entries = _entry_totals(z1)
     spe = (bronze("E630SPE").where(F.col("CODETG").isin(*REWORK_STAGES))
            .groupBy("CODEMP", "CODORI", "NUMORP", "CODPRO").agg(F.sum("SDOATU").alias("_SDO")))
     mtc = bronze("E621MTC").where(F.col("TIPMTC") == RATE_MATRIX_TYPE).alias("Y0")
@@ -225,16 +224,15 @@ def performance(bronze: Bronze, p: ProductParams) -> DataFrame:
         c("Y0", "CODEMP").alias("CODEMP"), c("Y1", "CODCCU").alias("CODCCU"),
         c("Y0", "DATINI").alias("DATINI"), c("Y0", "DATFIM").alias("DATFIM"), c("Y1", "TAXCUS").alias("TAXCUS"))
 
-    z1 = eoq.alias("Z1")
-    j1 = (z1.join(bronze("E900COP").alias("T0"), on("T0", "Z1", "CODEMP", "CODORI", "NUMORP"), "left")
+    # the balance in progress hangs on the order: it is joined to the orders, not to the entries
+    t0 = bronze("E900COP").where(F.col("DTRINI") >= cut).join(spe, ["CODEMP", "CODORI", "NUMORP", "CODPRO"], "left").alias("T0")
+    j1 = (z1.alias("Z1").join(t0, on("T0", "Z1", "CODEMP", "CODORI", "NUMORP"))
             .join(bronze("E900OOP").alias("T2"), on("T2", "Z1", "CODEMP", "CODORI", "NUMORP", "CODETG", "SEQROT")
                   & (c("T2", "SFXETR") == "1") & (c("T2", "SFXSEQ") == "1"), "left")
             .join(bronze("E093ETG").alias("X1"), on("X1", "Z1", "CODEMP", "CODETG"), "left")
             .join(bronze("E725CRE").alias("X2"), on("X2", "Z1", "CODEMP", "CODCRE"), "left")
             .join(bronze("E900QDO").alias("T3"), on("T3", "Z1", "CODEMP", "CODORI", "NUMORP", "CODPRO", "CODDER"),
-                  "left")
-            .where((c("Z1", "DATREA") > F.lit(p.performance_floor).cast("timestamp_ntz"))
-                   & ~c("Z1", "CODETG").isin(*EXCLUDED_STAGES) & (c("T0", "DTRINI") >= cut)))
+                  "left"))
     cc = _cc_exe(c("X2", "CODCCU"), c("X1", "CODCCU"))
     j1 = j1.select(
         c("Z1", "CODEMP").alias("CODEMP"), c("Z1", "DATREA").alias("DATREA"), c("Z1", "NUMORP").alias("NUMORP"),
@@ -243,9 +241,13 @@ def performance(bronze: Bronze, p: ProductParams) -> DataFrame:
         c("T2", "UNICRE").alias("UNICRE"), c("Z1", "SEQROT").alias("SEQROT"), c("Z1", "CODOPR").alias("_Z1OPR"),
         c("T2", "CODEMP").alias("_T2EMP"), c("T3", "QTDPRV").alias("_QTDPRV"), c("T3", "QTDRFG").alias("_QTDRFG"),
         c("T2", "TMPPRP").alias("_TMPPRP"), c("T0", "SITORP").alias("_SITORP"), c("T0", "DTRINI").alias("_DTRINI"),
-        c("T0", "DTRFIM").alias("_DTRFIM"), c("T0", "CODEMP").alias("_T0EMP"), c("T0", "CODORI").alias("_T0ORI"),
-        c("T0", "NUMORP").alias("_T0ORP"), c("T0", "CODPRO").alias("_T0PRO"))
-    j1 = _block1_joins(j1, qtdrea, tmpbru, spe, rates)
+        c("T0", "DTRFIM").alias("_DTRFIM"), c("T0", "_SDO").alias("_SDO"))
+    # the moments whose rate is asked for, without what the entries are joined with
+    m = z1.select("CODEMP", "CODETG", "CODCRE", "DATREA").distinct().alias("Z1")
+    moments = (m.join(bronze("E093ETG").alias("X1"), on("X1", "Z1", "CODEMP", "CODETG"), "left")
+                .join(bronze("E725CRE").alias("X2"), on("X2", "Z1", "CODEMP", "CODCRE"), "left")
+                .select(c("Z1", "CODEMP").alias("_T2EMP"), cc.alias("CC_EXE"), c("Z1", "DATREA").alias("_ts")).distinct())
+    j1 = _block1_joins(j1, entries, rates, moments)
     and_ = F.when(X.same_month(F.col("_DTRFIM"), F.col("DATREA")), F.lit(0)).otherwise(F.col("_SDO"))
     g1 = j1.groupBy("CODEMP", "DATREA", "NUMORP", "CODETG", "CODCRE", "CC_EXE", "CODOPR", "CODORI", "CODPRO",
                     "UNICRE").agg(
@@ -262,12 +264,11 @@ def performance(bronze: Bronze, p: ProductParams) -> DataFrame:
 
     # ---- block 2: raw-material consumption ------------------------------
     valid = (F.col("HORREA") > 0) & ~F.col("CODETG").isin(*EXCLUDED_STAGES)
-    t3 = (eoq.where(valid).groupBy("CODEMP", "CODORI", "NUMORP", "CODETG", "DATREA", "CODCRE", "SEQROT")
+    # consumption from the cutoff on asks for whole months of production
+    t3 = (eoq.where(valid & (F.col("DATREA") >= F.date_trunc("month", cut).cast("timestamp_ntz"))).groupBy("CODEMP", "CODORI", "NUMORP", "CODETG", "DATREA", "CODCRE", "SEQROT")
           .agg(F.sum("QTDRE1").alias("QTDRE1")))
     reach = eoq.where(valid & (F.col("DATREA") >= F.lit(p.consumption_reach).cast("timestamp_ntz")))
-    top = (eoq.where(valid).groupBy("CODEMP", "CODORI", "NUMORP", "CODETG", "SEQROT",
-                                    X.month_start("DATREA").alias("_M"))
-           .agg(F.sum("QTDRE1").alias("_QTDTOP")))
+    t3 = _with_month_total(t3)
     t0 = bronze("E210MVP").alias("T0")
     j2 = (t0.join(bronze("E075PRO").alias("T1"), on("T1", "T0", "CODEMP", "CODPRO"), "left")
             .join(bronze("E900COP").alias("T2"), (c("T2", "CODEMP") == c("T0", "CODEMP"))
@@ -285,8 +286,7 @@ def performance(bronze: Bronze, p: ProductParams) -> DataFrame:
         _cc_exe(c("X2", "CODCCU"), c("X1", "CODCCU")).alias("CC_EXE"), c("T0", "CODETG").alias("CODETG"),
         c("T3", "CODCRE").alias("CODCRE"), c("T0", "ORIORP").alias("CODORI"), c("T2", "CODPRO").alias("CODPRO"),
         c("T0", "CODPRO").alias("PROCON"), c("T1", "TIPPRO").alias("TIPCON"), c("T1", "CODFAM").alias("CODFAM"),
-        c("T3", "CODEMP").alias("_E"), c("T3", "CODORI").alias("_O"), c("T3", "NUMORP").alias("_N"),
-        c("T3", "CODETG").alias("_G"), c("T3", "SEQROT").alias("_S"), c("T0", "QTDMOV").alias("_QTDMOV"),
+        c("T3", "_QTDTOP").alias("_QTDTOP"), c("T0", "QTDMOV").alias("_QTDMOV"),
         X.signed(c("T0", "VLRMOV"), c("T0", "ESTEOS"), "S").alias("_CUS"))
     # DATREA: exact day in the look-up reach, else the latest (FIL-06, JON-13)
     j2 = B.lookup_exact_or_latest(
@@ -294,7 +294,6 @@ def performance(bronze: Bronze, p: ProductParams) -> DataFrame:
         reach.select(F.col("CODEMP").alias("_K1"), F.col("CODORI").alias("_K2"), F.col("NUMORP").alias("_K3"),
                      "DATREA"),
         ["_K1", "_K2", "_K3"], F.col("DATMOV"), F.col("DATREA"), F.col("DATREA"), "_DATREA")
-    j2 = _join_top(j2, top)
     g2 = j2.groupBy("CODEMP", "NUMORP", "DATMOV", "CC_EXE", "CODETG", "CODCRE", "CODORI", "CODPRO", "PROCON",
                     "TIPCON", "CODFAM").agg(
         F.max("_DATREA").alias("DATREA"), F.avg("_QTDTOP").alias("QTDTOP"), F.sum("_QTDMOV").alias("QTDCOR"),
@@ -332,20 +331,27 @@ def performance(bronze: Bronze, p: ProductParams) -> DataFrame:
     return B.union_blocks([blk1, blk2, blk3, blk4], PERFORMANCE_COLUMNS)
 
 
-def _block1_joins(j1, qtdrea, tmpbru, spe, rates):
+def _entry_totals(entries):
+    """``_TMPBRU`` of each (entry, operation) and ``_QTDREA`` of its entry over all
+    operations: one aggregate, and a sum over its rows.  The operation may be missing."""
+    entry = ["CODEMP", "CODORI", "NUMORP", "CODETG", "SEQROT", "DATREA"]
+    g = entries.groupBy(*entry, F.col("CODOPR").alias("_OPR")).agg(F.sum("TMPBRU").alias("_TMPBRU"), F.sum("QTDRE1").alias("_Q"))
+    total = F.sum("_Q").over(Window.partitionBy(*entry)).cast(g.schema["_Q"].dataType)
+    return g.select(*entry, "_OPR", F.when(F.col("_OPR").isNotNull(), F.col("_TMPBRU")).alias("_TMPBRU"), total.alias("_QTDREA"))
+
+
+def _block1_joins(j1, entries, rates, moments):
     """Correlated scalars of block 1 as pre-aggregates joined on their keys."""
-    j1 = j1.join(qtdrea, ["CODEMP", "CODORI", "NUMORP", "CODETG", "SEQROT", "DATREA"], "left")
-    j1 = j1.join(tmpbru.withColumnRenamed("CODOPR", "_Z1OPR"),
-                 ["CODEMP", "CODORI", "NUMORP", "CODETG", "SEQROT", "_Z1OPR", "DATREA"], "left")
-    j1 = j1.join(spe.select(F.col("CODEMP").alias("_T0EMP"), F.col("CODORI").alias("_T0ORI"),
-                            F.col("NUMORP").alias("_T0ORP"), F.col("CODPRO").alias("_T0PRO"), "_SDO"),
-                 ["_T0EMP", "_T0ORI", "_T0ORP", "_T0PRO"], "left")
+    entry = ["CODEMP", "CODORI", "NUMORP", "CODETG", "SEQROT", "DATREA"]
+    j1 = (j1.alias("J").join(entries.alias("E"), on("J", "E", *entry) & c("J", "_Z1OPR").eqNullSafe(c("E", "_OPR")), "left")
+            .select("J.*", "E._TMPBRU", "E._QTDREA"))
     r = rates.withColumnsRenamed({"CODEMP": "_T2EMP", "CODCCU": "CC_EXE"})
-    return interval_rate(j1, r, ["_T2EMP", "CC_EXE"], F.col("DATREA"), "DATINI", "DATFIM", "TAXCUS", name="_RATE")
+    return interval_rate(j1, r, ["_T2EMP", "CC_EXE"], F.col("DATREA"), "DATINI", "DATFIM", "TAXCUS", name="_RATE", moments=moments)
 
 
-def _join_top(j2, top):
-    """Month-wide produced quantity of the routing step (same month and year)."""
-    t = top.select(F.col("CODEMP").alias("_E"), F.col("CODORI").alias("_O"), F.col("NUMORP").alias("_N"),
-                   F.col("CODETG").alias("_G"), F.col("SEQROT").alias("_S"), "_M", "_QTDTOP")
-    return j2.withColumn("_M", X.month_start("DATMOV")).join(t, ["_E", "_O", "_N", "_G", "_S", "_M"], "left")
+def _with_month_total(t3):
+    """Month-wide produced quantity of the routing step (same month and year): a sum over
+    the day totals; none for a missing step."""
+    month = Window.partitionBy("CODEMP", "CODORI", "NUMORP", "CODETG", "SEQROT", X.month_start("DATREA"))
+    total = F.sum("QTDRE1").over(month).cast(t3.schema["QTDRE1"].dataType)
+    return t3.withColumn("_QTDTOP", F.when(F.col("SEQROT").isNotNull(), total))
