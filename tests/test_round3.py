@@ -50,3 +50,17 @@ def test_performance_reads_its_entries_few_times(spark):
     # the quantity counts a missing operation, whose own time is unknown: (3 + 7) / 2
     assert (float(r.QTDREA), float(r.TMPBRU), float(r.QTDAND)) == (8.0, 5.0, 4.0)
     assert sum(n.children().size() == 0 and "DATREA" in names(n) for n in nodes(df)) <= 7
+
+
+def test_billing_moves_return_lines_for_keys_of_their_own_only(spark):
+    line = dict(CODEMP=1, CODFIL=1, CODFOR="5", CODSNF="S", SNFNFV="S", NUMNFC=1, NUMNFV=8, CODPRO="A", CODDER=" ", QTDREC=2, PREUNI=3, VLRLIQ=6, VECIPI=0, VLRICS=0, VLROUT=0, ICMVFC=1)
+    data = {"E440IPC": [line | dict(TNSPRO="a", SEQIPC=1), line | dict(TNSPRO="b", SEQIPC=2), line | dict(TNSPRO=None, SEQIPC=3)],
+            "E001TNS": [dict(CODEMP=1, CODTNS="a", CPRTCF="D", COMNAT="1202", VENFAT="S"), dict(CODEMP=1, CODTNS="b", CPRTCF="D", COMNAT="1603", VENFAT="S")],
+            "E440NFC": [dict(CODEMP=1, CODFIL=1, CODFOR="5", CODSNF="S", NUMNFC=1, SITNFC="2", TIPNFE="2", DATENT=TS(2024, 2, 2))],
+            "E095FOR": [dict(CODFOR="5", CODCLI=3)], "E085CLI": [dict(CODCLI=3, CODGRE="9", USU_CODRVR=6)], "E069GRE": [dict(CODGRE="9", CLIBAS=30)],
+            "E085HCL": [dict(CODEMP=1, CODFIL=1, CODCLI=3, CODREP=4), dict(CODEMP=1, CODFIL=1, CODCLI=3, CODREP=5)], "E090REP": [dict(CODREP=4, USU_CODRVR=11)]}
+    df = build_product("FAT_FATURAMENTO", FakeBronze(spark, data), P)
+    # the nature of line b asks for another kind of entry; the customer's two histories both count
+    assert sorted((r.SEQIPC, r.CODCLI, r.CODCLIBASE, r.CODREP, str(r.CODREGREP), r.CODREGCLI) for r in df.collect()) == \
+        [(1, 3, 30, 4, "11", "6"), (1, 3, 30, 5, "None", "6")]
+    assert joins_that_move(df, "VECIPI") <= 4

@@ -296,6 +296,24 @@ BILLING_COLUMNS = [
 ]
 
 
+def _return_notes(bronze: Bronze, p: ProductParams) -> DataFrame:
+    """Return notes from the cutoff on, each with its supplier, the customer that is the
+    supplier, and that customer's history, group and representative: joined once a note."""
+    n = bronze("E440NFC").where(
+        (F.col("CODEMP") == p.company) & (F.col("SITNFC") == RETURN_NOTE) & F.col("TIPNFE").isin(*RETURN_ENTRY_TYPES_SALE, *RETURN_ENTRY_TYPES_CONSIGN)
+        & (F.col("DATENT") >= F.lit(p.billing_cutoff).cast("timestamp_ntz")))
+    supplier = (bronze("E095FOR").alias("F").join(bronze("E085CLI").alias("C"), c("F", "CODCLI") == c("C", "CODCLI"), "left")
+                .join(bronze("E069GRE").alias("G"), c("C", "CODGRE") == c("G", "CODGRE"), "left")
+                .select(c("F", "CODFOR").alias("F_CODFOR"), c("F", "CODCLI").alias("F_CODCLI"), c("C", "CODCLI").alias("C_CODCLI"),
+                        c("C", "USU_CODRVR").alias("C_USU_CODRVR"), c("G", "CLIBAS").alias("G_CLIBAS")))
+    history = (bronze("E085HCL").alias("H").join(bronze("E090REP").alias("R"), c("H", "CODREP") == c("R", "CODREP"), "left")
+               .select(c("H", "CODEMP").alias("H_CODEMP"), c("H", "CODFIL").alias("H_CODFIL"), c("H", "CODCLI").alias("H_CODCLI"),
+                       c("H", "CODREP").alias("H_CODREP"), c("R", "USU_CODRVR").alias("R_USU_CODRVR")))
+    return (n.join(supplier, F.col("CODFOR") == F.col("F_CODFOR"), "left")
+             .join(history, (F.col("CODEMP") == F.col("H_CODEMP")) & (F.col("CODFIL") == F.col("H_CODFIL"))
+                   & (F.col("F_CODCLI") == F.col("H_CODCLI")), "left"))
+
+
 def billing(bronze: Bronze, p: ProductParams) -> DataFrame:
     cut = F.lit(p.billing_cutoff).cast("timestamp_ntz")
     zero = F.lit(0)
@@ -327,13 +345,15 @@ def billing(bronze: Bronze, p: ProductParams) -> DataFrame:
     # -- product sales -----------------------------------------------------
     ipv = bronze("E140IPV").alias("I")
     ide = bronze("E140IDE").alias("IDE")
-    tns = bronze("E001TNS").alias("T")
+    # the transaction codes are few and each holds many lines: they are broadcast, and first
+    codes = bronze("E001TNS")
+    tns = F.broadcast(codes.where(F.col("VENFAT") == BILLED)).alias("T")
     nfv = bronze("E140NFV").alias("N")
     pvd = bronze("E140PVD").alias("PV")
     sale_filter = ((c("N", "TIPNFS").isin(*SALE_NOTE_TYPES)) & (c("N", "SITNFV") == ISSUED_NOTE)
                    & (c("T", "VENFAT") == BILLED) & (c("IDE", "SITDOE") == AUTHORISED_DOC))
-    b = (ipv.join(ide, on("I", "IDE", "CODEMP", "CODFIL", "NUMNFV"), "left")
-            .join(tns, (c("I", "CODEMP") == c("T", "CODEMP")) & (c("I", "TNSPRO") == c("T", "CODTNS")), "left")
+    b = (ipv.join(tns, (c("I", "CODEMP") == c("T", "CODEMP")) & (c("I", "TNSPRO") == c("T", "CODTNS")))
+            .join(ide, on("I", "IDE", "CODEMP", "CODFIL", "NUMNFV"), "left")
             .join(nfv, on("I", "N", "CODEMP", "CODFIL", "NUMNFV"), "left")
             .join(pvd, on("I", "PV", "CODEMP", "CODFIL", "NUMNFV", "SEQIPV"), "left")
             .where((c("I", "CODEMP") == p.company) & sale_filter & (c("I", "DATGER") >= cut)))
@@ -360,11 +380,10 @@ def billing(bronze: Bronze, p: ProductParams) -> DataFrame:
     # -- service sales -----------------------------------------------------
     isv = bronze("E140ISV").alias("S")
     ide2 = bronze("E140IDE").alias("IDE")
-    tns2 = bronze("E001TNS").alias("T")
     nfv2 = bronze("E140NFV").alias("N")
     pvd2 = bronze("E140PVD").alias("PV")
-    s_ = (isv.join(ide2, on("S", "IDE", "CODEMP", "CODFIL", "CODSNF", "NUMNFV"), "left")
-             .join(tns2, (c("S", "CODEMP") == c("T", "CODEMP")) & (c("S", "TNSSER") == c("T", "CODTNS")), "left")
+    s_ = (isv.join(tns, (c("S", "CODEMP") == c("T", "CODEMP")) & (c("S", "TNSSER") == c("T", "CODTNS")))
+             .join(ide2, on("S", "IDE", "CODEMP", "CODFIL", "CODSNF", "NUMNFV"), "left")
              .join(nfv2, on("S", "N", "CODEMP", "CODFIL", "CODSNF", "NUMNFV"), "left")
              .join(pvd2, on("S", "PV", "CODEMP", "CODFIL", "NUMNFV", "SEQIPV"), "left")
              .where((c("S", "CODEMP") == p.company) & sale_filter & (c("S", "DATGER") >= cut)))
@@ -390,34 +409,19 @@ def billing(bronze: Bronze, p: ProductParams) -> DataFrame:
     note_keys = ["CODEMP", "CODFIL", "CODFOR", "CODSNF", "NUMNFC"]
     counts = B.line_counts(ipc_all, note_keys, "_N_LINES").alias("CNT")
     ipc = ipc_all.alias("I")
-    nfc = bronze("E440NFC").alias("N")
     nf = bronze("E140NFV").alias("NF")
-    t = bronze("E001TNS").alias("T")
-    fo = bronze("E095FOR").alias("F")
-    cl = bronze("E085CLI").alias("C")
-    h = bronze("E085HCL").alias("H")
-    g = bronze("E069GRE").alias("G")
-    r = bronze("E090REP").alias("R")
-    d = (ipc.join(nfc, (c("I", "CODEMP") == c("N", "CODEMP")) & (c("I", "CODFIL") == c("N", "CODFIL"))
+    t = F.broadcast(codes.where(F.col("CPRTCF").isin(*RETURN_PURPOSES) & F.col("COMNAT").isin(*RETURN_NATURES_SALE, *RETURN_NATURES_CONSIGN))).alias("T")
+    d = (ipc.join(t, (c("I", "CODEMP") == c("T", "CODEMP")) & (c("I", "TNSPRO") == c("T", "CODTNS")))
+            .join(_return_notes(bronze, p).alias("N"), (c("I", "CODEMP") == c("N", "CODEMP")) & (c("I", "CODFIL") == c("N", "CODFIL"))
                   & (c("I", "SNFNFV") == c("N", "CODSNF")) & (c("I", "NUMNFC") == c("N", "NUMNFC"))
-                  & (c("I", "CODFOR") == c("N", "CODFOR")), "left")
+                  & (c("I", "CODFOR") == c("N", "CODFOR")))
             .join(nf, (c("I", "CODEMP") == c("NF", "CODEMP")) & (c("I", "CODFIL") == c("NF", "CODFIL"))
                   & (c("I", "SNFNFV") == c("NF", "CODSNF")) & (c("I", "NUMNFV") == c("NF", "NUMNFV")), "left")
-            .join(t, (c("I", "CODEMP") == c("T", "CODEMP")) & (c("I", "TNSPRO") == c("T", "CODTNS")), "left")
-            .join(fo, c("I", "CODFOR") == c("F", "CODFOR"), "left")
-            .join(cl, c("F", "CODCLI") == c("C", "CODCLI"), "left")
-            .join(h, (c("I", "CODEMP") == c("H", "CODEMP")) & (c("I", "CODFIL") == c("H", "CODFIL"))
-                  & (c("F", "CODCLI") == c("H", "CODCLI")), "left")
-            .join(g, c("C", "CODGRE") == c("G", "CODGRE"), "left")
-            .join(r, c("H", "CODREP") == c("R", "CODREP"), "left")
             .join(counts, on("I", "CNT", *note_keys), "left"))
     nat = c("T", "COMNAT")
     entry = c("N", "TIPNFE")
-    d = d.where((c("N", "CODEMP") == p.company) & (c("N", "SITNFC") == RETURN_NOTE)
-                & c("T", "CPRTCF").isin(*RETURN_PURPOSES)
-                & ((nat.isin(*RETURN_NATURES_SALE) & entry.isin(*RETURN_ENTRY_TYPES_SALE))
-                   | (nat.isin(*RETURN_NATURES_CONSIGN) & entry.isin(*RETURN_ENTRY_TYPES_CONSIGN)))
-                & (c("N", "DATENT") >= cut))
+    d = d.where((nat.isin(*RETURN_NATURES_SALE) & entry.isin(*RETURN_ENTRY_TYPES_SALE))
+                | (nat.isin(*RETURN_NATURES_CONSIGN) & entry.isin(*RETURN_ENTRY_TYPES_CONSIGN)))
     i = "I"
     fee = F.when(F.coalesce(c(i, "ICMVFC"), F.lit(0)) == 0,
                  X.safe_div(c("N", "VSTFCP"), c("CNT", "_N_LINES"))).otherwise(c(i, "ICMVFC"))
@@ -425,8 +429,8 @@ def billing(bronze: Bronze, p: ProductParams) -> DataFrame:
     dev_blk = d.select(
         X.day(c("N", "DATENT")).alias("DATAREF"), F.lit("DEV").alias("TIPOREG"), zero.alias("VENDA"),
         c(i, "CODFIL").alias("CODFILIAL"),
-        F.coalesce(c("NF", "USU_CLIBAS"), F.coalesce(c("G", "CLIBAS"), c("C", "CODCLI"))).alias("CODCLIBASE"),
-        F.coalesce(c("NF", "CODCLI"), c("F", "CODCLI")).alias("CODCLI"),
+        F.coalesce(c("NF", "USU_CLIBAS"), F.coalesce(c("N", "G_CLIBAS"), c("N", "C_CODCLI"))).alias("CODCLIBASE"),
+        F.coalesce(c("NF", "CODCLI"), c("N", "F_CODCLI")).alias("CODCLI"),
         c(i, "NUMPED").alias("NUMPED"), c(i, "NUMNFV").alias("NUMNFV"), c(i, "NUMNFC").alias("NUMNFD"),
         F.when(c(i, "CODDER") == X.BLANK, X.oconcat(c(i, "CODPRO"), F.lit("-"), c(i, "CODFIL")))
         .otherwise(X.oconcat(c(i, "CODPRO"), F.lit("-"), c(i, "CODDER"), c(i, "CODFIL"))).alias("CHAVE_ITEM"),
@@ -438,8 +442,8 @@ def billing(bronze: Bronze, p: ProductParams) -> DataFrame:
         neg(c(i, "VLRICS")).alias("VLR_ST"), neg(fee).alias("VLR_FUNDPOB"), neg(c(i, "VLROUT")).alias("VLR_OUT"),
         neg(c(i, "VLRLIQ") - (c(i, "VECIPI") + c(i, "VLRICS") + fee + c(i, "VLROUT"))).alias("VLR_SLI"),
         neg(c(i, "QTDREC") * c(i, "PREUNI")).alias("VLRBRUTO_TOTAL"), neg(c(i, "QTDREC") * 0).alias("VLRDESC_TOTAL"),
-        c("N", "USU_MOTDEV").alias("MOTIVODEV"), c("H", "CODREP").alias("CODREP"),
-        c("R", "USU_CODRVR").cast("string").alias("CODREGREP"),
-        F.coalesce(c("NF", "USU_CODRVRCLI"), c("C", "USU_CODRVR").cast("string")).alias("CODREGCLI"),
+        c("N", "USU_MOTDEV").alias("MOTIVODEV"), c("N", "H_CODREP").alias("CODREP"),
+        c("N", "R_USU_CODRVR").cast("string").alias("CODREGREP"),
+        F.coalesce(c("NF", "USU_CODRVRCLI"), c("N", "C_USU_CODRVR").cast("string")).alias("CODREGCLI"),
         c(i, "SEQIPC").alias("SEQIPC"))
     return B.union_blocks([ped_blk, ven_blk, ser_blk, dev_blk], BILLING_COLUMNS)
