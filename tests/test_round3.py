@@ -3,6 +3,10 @@ frame, and the rows that one task holds."""
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
+from tierwise.operators import digests as D
+from tierwise.operators import reconcile as R
 from tierwise.plans.products import build_product
 
 from .test_products import FakeBronze, P
@@ -64,3 +68,13 @@ def test_billing_moves_return_lines_for_keys_of_their_own_only(spark):
     assert sorted((r.SEQIPC, r.CODCLI, r.CODCLIBASE, r.CODREP, str(r.CODREGREP), r.CODREGCLI) for r in df.collect()) == \
         [(1, 3, 30, 4, "11", "6"), (1, 3, 30, 5, "None", "6")]
     assert joins_that_move(df, "VECIPI") <= 4
+
+
+def test_tasks_follow_the_rows(spark, monkeypatch):
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert R.tasks_for(spark, 0) == n and R.tasks_for(spark, (n + 3) * R.ROWS_A_TASK) == n + 3
+    monkeypatch.setattr(R, "ROWS_A_TASK", 100)
+    old, new = spark.range(1000).selectExpr("id k", "cast(null as double) x"), spark.range(1500).where("id % 7 <> 0").selectExpr("id k", "cast(null as double) x")
+    _, removed = D.range_sweep(old, new, ["k"])
+    assert sorted(r.k for r in removed.collect()) == list(range(0, 1000, 7))
+    assert ", 13)" in removed._jdf.queryExecution().executedPlan().toString()

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .merge import MergeError
-from .reconcile import symmetric_diff
+from .reconcile import symmetric_diff, tasks_for
 
 COARSE, FINE, WORD = 4096, 4096, 64
 SUMS = ["_n", "_x", "_hi", "_lo"]
@@ -114,9 +114,13 @@ def range_sweep(target: DataFrame, universe: DataFrame, keys: Sequence[str], sco
     its key and scope columns only).
     """
     k, in_scope = list(keys), F.lit(True) if scope is None else F.coalesce(scope, F.lit(False))
-    u = universe.select(*k).dropna().distinct()
-    if not allow_empty_universe and u.isEmpty():
+    u = universe.select(*k).dropna()
+    live = u.count()
+    if not allow_empty_universe and live == 0:
         raise MergeError("refusing to sweep against an empty key universe")
+    # as many tasks as the keys ask for: what a task holds does not grow with the tables
+    tasks = tasks_for(target.sparkSession, live)
+    u = u.withColumn("_key", row_hash(u, k)).repartition(tasks, "_key").groupBy("_key", *k).agg(F.lit(1).alias("_one")).select(*k)
     columns = [F.col(f"`{c}`") for c in target.columns]
     # keys compare as the target has them; one that its type cannot hold is not there
     for c in k:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
@@ -17,6 +17,13 @@ from ..functions import exprs as X
 OK, DIVERGENT, SKIPPED = "OK", "DIVERGENTE", "PULADA"
 SIDE_A, SIDE_B = "only_in_a", "only_in_b"
 COPIES_AT_ONCE = 10_000
+ROWS_A_TASK = 500_000
+
+
+def tasks_for(spark: SparkSession, rows: int) -> int:
+    """Partitions for a shuffle of so many rows: those of the session, and more where a
+    task would hold more than ``ROWS_A_TASK`` rows."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_A_TASK))
 
 
 # ---------------------------------------------------------------------------

@@ -257,7 +257,9 @@ def range_sweep(spark, d):
 def range_sweep_removed(spark, d):
     """The line items whose (order, part) is not sold by a small customer's order any more."""
     li, o, c = tbl(spark, d, "lineitem"), tbl(spark, d, "orders"), tbl(spark, d, "customer")
-    live = li.join(o.join(c.where(F.col("c_acctbal") > -900), F.col("o_custkey") == F.col("c_custkey"), "left_semi"), F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
+    n = R.tasks_for(spark, li.count())
+    sold = o.join(c.where(F.col("c_acctbal") > -900), F.col("o_custkey") == F.col("c_custkey"), "left_semi").select("o_orderkey")
+    live = li.repartition(n, "l_orderkey").join(sold.repartition(n, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
     _, removed = D.range_sweep(li, live, ["l_orderkey", "l_partkey"])
     return removed
 
