@@ -75,6 +75,17 @@ def test_tasks_follow_the_rows(spark, monkeypatch):
     assert R.tasks_for(spark, 0) == n and R.tasks_for(spark, (n + 3) * R.ROWS_A_TASK) == n + 3
     monkeypatch.setattr(R, "ROWS_A_TASK", 100)
     old, new = spark.range(1000).selectExpr("id k", "cast(null as double) x"), spark.range(1500).where("id % 7 <> 0").selectExpr("id k", "cast(null as double) x")
+    diff = R.one_sided_diff(old.union(old), new)
+    assert sorted(r.k for r in diff.collect()) == list(range(0, 1000, 7))
+    assert "hashpartitioning(_row#" in (plan := diff._jdf.queryExecution().executedPlan().toString()) and ", 33)" in plan
     _, removed = D.range_sweep(old, new, ["k"])
     assert sorted(r.k for r in removed.collect()) == list(range(0, 1000, 7))
     assert ", 13)" in removed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_sided_diff_by_name_and_equal_values(spark):
+    old = spark.createDataFrame([(1, 0.0), (1, -0.0), (2, float("nan")), (3, None), (None, 4.0), (5, 5.0), (5, 5.0)], "a int, x double")
+    new = spark.createDataFrame([(-0.0, 1), (float("nan"), 2), (None, 3), (4.0, None), (1.0, 6)], "x double, a int")
+    got = R.one_sided_diff(old, new)
+    assert got.columns == ["a", "x"] and [tuple(r) for r in got.collect()] == [(5, 5.0)]
+    assert R.one_sided_diff(old, old.where(F.lit(False))).count() == 5

@@ -928,8 +928,9 @@ def sla_status(spark, d):
 def _orders_b(spark, d):
     """Second version of orders: lost the orders without lines, a changed
     priority on 2001 pending orders, and early orders delivered twice."""
-    o = tbl(spark, d, "orders")
-    b = o.join(_universe(spark, d), "o_orderkey", "left_semi").withColumn(
+    o, lines = tbl(spark, d, "orders"), _universe(spark, d)
+    n = R.tasks_for(spark, lines.count())
+    b = o.repartition(n, "o_orderkey").join(lines.repartition(n, "o_orderkey"), "o_orderkey", "left_semi").withColumn(
         "o_orderpriority",
         F.when((F.col("o_orderstatus") == "P") & (F.col("o_orderdate") >= ts("2001-01-01 00:00:00")),
                "3-MEDIUM").otherwise(F.col("o_orderpriority")))
