@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from tierwise.llm import decontamination, embedding, language, line_dedup, packing, pii, secret_scan, simhash, substring_dedup, toxicity
 from tierwise.llm.common import connected_components, sampled
 from tierwise.llm.queries import word_tokenizer
+from tierwise.session import shared_dir
 
 
 class Groups:
@@ -349,6 +351,52 @@ def test_embeddings(spark, options):
     assert all(r["kept"] == (r["id"] == r["component_id"]) for r in got.values())
 
 
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_embeddings_of_many_blocks(spark, kind):
+    """Blocks of one label, in both directions: chains through cells, a group of near copies,
+    copies, rows without id, repeated ids."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(900, 6))
+    x[500:700] = x[0] + rng.normal(size=(200, 6)) * 0.02
+    x[700:800] = x[100:200] * 2
+    x = x.astype(np.float32) if kind == "float" else x
+    ids = [None if i in (5, 296, 587, 684, 878) else 3 if i == 850 else i for i in range(len(x))]
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.98
+    want = Groups()
+    for i, j in zip(*np.nonzero(near)):
+        if ids[i] is not None and ids[j] is not None:
+            want.join(ids[int(i)], ids[int(j)])
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in zip(ids, x)], f"vec_id long, embedding array<{kind}>, label int").repartition(4)
+    for options in ({"cell_rows": 60, "block_rows": 10}, {"cell_rows": 30, "block_bytes": 24 * 40}, {"cell_rows": 5000, "block_rows": 10}):
+        got = embedding.embedding_near_dedup(df, **options).collect()
+        key = lambda r: (r[0] is None, r[0] or 0, r[1], r[2] or 0)
+        assert sorted(((r["id"], r["n_links"], r["component_id"]) for r in got), key=key) == sorted(
+            ((i, int(n) - 1, None if i is None else want.find(i)) for i, n in zip(ids, near.sum(axis=1))), key=key)
+
+
+def test_embeddings_are_not_copied_to_each_cell(spark):
+    """What a run writes follows the vectors, not their cells: unrelated vectors lie near the
+    borders of most cells."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(3000, 64)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int").repartition(4)
+    root = Path(shared_dir(spark)) / "tierwise"
+    before = set(root.glob("embedding-*"))
+    assert embedding.embedding_near_dedup(df, cell_rows=60, block_rows=500).where("n_links > 0").count() == 0
+    new = set(root.glob("embedding-*")) - before
+    assert new and sum(f.stat().st_size for d in new for f in d.glob("*.parquet")) < 2 * x.nbytes
+    digests = [hashlib.md5(v.tobytes()).digest() for v in x]
+    models = {("0", 64): embedding.spherical_kmeans(embedding._unit(x), 50)}
+    home = np.argmax(embedding._unit(x) @ models["0", 64].T, axis=1)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(["0"] * 3000), pa.array([64] * 3000, pa.int32()), pa.array(digests), pa.array(home.astype(np.int32)), pa.array(range(3000)), pa.array([1] * 3000), pa.array([v.tobytes() for v in x])],
+        ["label", "width", "digest", "cell", "id", "copies", "vec"])
+    dealt = embedding._dealt("<f4", models, {("0", 64): np.bincount(home, minlength=50)}, lambda width: 500, 0.2)(iter([batch]))
+    keys = Counter((r["digest"], r["key"]) for out in dealt for r in out.select(["digest", "key"]).to_pylist())
+    assert max(keys.values()) == 1 and len({d for d, _ in keys}) == 3000 and len(keys) <= 3.5 * 3000
+
+
 # -- secrets ------------------------------------------------------------------------------------
 
 def test_secret_base():
