@@ -48,14 +48,15 @@ def _content(df: DataFrame) -> list[str]:
 
 
 def heavy_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], empty: Sequence[str] = (),
-                    shares: int = SHARES, salts: int = SALTS, counted: DataFrame | None = None) -> DataFrame:
+                    shares: int = SHARES, salts: int = SALTS, counted: DataFrame | None = None, bypass: bool = True) -> DataFrame:
     """``left.join(right, keys, "left")`` with heavy keys dealt by salt.
 
     ``empty`` lists texts that are no key (a blank, zeros): rows with one of them match
     nothing, like NULL; leave it out where such a text does match.  Both sides name the
     keys alike and share no other column.  Columns: those of ``left``, then the others
     of ``right``.  ``left`` is read three times (keys, keyed rows, empty rows); where that
-    costs a join, ``counted``, a frame of the same keys, stands in for its keys."""
+    costs a join, ``counted``, a frame of the same keys, stands in for its keys, and without
+    ``bypass`` rows that match nothing are dealt by salt beside the others."""
     keys = list(keys)
     extra = [c for c in right.columns if c not in keys]
     if clash := sorted(set(extra) & set(left.columns)):
@@ -63,15 +64,19 @@ def heavy_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], empt
     if salts < 1 or shares < 1:
         raise ValueError("shares and salts are at least 1")
     no_key = _no_key(left, keys, empty)
-    keyed = left.where(~no_key)
-    sized = keyed if counted is None else counted.where(~_no_key(counted, keys, empty))
+    keyed = left.where(~no_key) if bypass else left
+    sized = left if counted is None else counted
+    sized = sized.where(~_no_key(sized, keys, empty))
     heavy = F.broadcast(heavy_keys(sized, keys, shares).withColumn("_heavy", F.lit(True)))
     part = F.pmod(F.xxhash64(F.spark_partition_id(), *_content(left)), F.lit(salts)).cast("int")
     dealt = keyed.withColumn("_part", part).join(heavy, keys, "left")
-    dealt = dealt.withColumn("_part", F.when(F.col("_heavy"), F.col("_part")).otherwise(0)).drop("_heavy")
+    spread = F.col("_heavy") if bypass else F.col("_heavy") | no_key
+    dealt = dealt.withColumn("_part", F.when(spread, F.col("_part")).otherwise(0)).drop("_heavy")
     parts = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     copies = (right.where(~_no_key(right, keys, empty)).join(heavy, keys, "left")
               .withColumn("_part", F.explode(parts)).drop("_heavy"))
     joined = dealt.join(copies, [*keys, "_part"], "left").select(*left.columns, *extra)
+    if not bypass:
+        return joined
     alone = left.where(no_key).select(*left.columns, *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in extra])
     return joined.unionByName(alone)

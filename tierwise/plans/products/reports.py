@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ...functions import exprs as X
 from ...operators import blocks as B
 from ...operators.heavy_keys import heavy_left_join
+from ...operators.membership import keep_members
 from ...sources import sheets
 from .common import Bronze, ProductParams, c, on
 from .commercial import AUTHORISED_DOC, BILLED, ISSUED_NOTE, SALE_NOTE_TYPES
@@ -87,12 +88,13 @@ def rma_sales(bronze: Bronze, p: ProductParams) -> DataFrame:
 # ---------------------------------------------------------------------------
 # DP-21 report items
 # ---------------------------------------------------------------------------
-def repeat_entries(bronze: Bronze, p: ProductParams) -> DataFrame:
+def repeat_entries(bronze: Bronze, p: ProductParams, items: DataFrame | None = None) -> DataFrame:
     """(DATENT, USU_SERMAC, DATREI): previous entry of the same serial.
 
     LAG over DISTINCT (entry, serial) pairs; blank and NULL serials are left
-    out before the window (they are the natural hot key)."""
-    t2 = bronze("USU_TLAUITE").alias("T2")
+    out before the window (they are the natural hot key).  ``items`` may leave out
+    items that have no entry note from the cutoff on."""
+    t2 = (bronze("USU_TLAUITE") if items is None else items).alias("T2")
     t1 = bronze("E440NFC").alias("T1")
     pairs = (t2.join(t1, (c("T2", "USU_CODEMP") == c("T1", "CODEMP")) & (c("T2", "USU_CODFIL") == c("T1", "CODFIL"))
                      & (c("T2", "USU_CODFOR") == c("T1", "CODFOR")) & (c("T2", "USU_NUMNFC") == c("T1", "NUMNFC")),
@@ -107,39 +109,47 @@ def repeat_entries(bronze: Bronze, p: ProductParams) -> DataFrame:
 
 TRACKED = ("NUMOCP", "DATEMIOCP", "CODFOR", "NOMFOR", "USU_NUMINV", "USU_DATEMB", "NUMNFC", "DATEMINFC")
 NOTE = ("USU_CODEMP", "USU_CODFIL", "USU_CODFOR", "USU_NUMNFC")
+FEW_TECHNICIANS = 1 << 19     # some 50 MB as a broadcast
+ITEM = (*NOTE, "USU_SEQIPC", "USU_SEQUNI", "USU_CODLAU", "USU_SERMAC", "USU_CODPRO", "USU_CODDER", "USU_CODDEF", "USU_PECFAL", "USU_PECTRO",
+        "USU_CODCOR", "USU_USUTEC", "USU_TMPUTI", "USU_OBSCLI", "USU_CODPRB")
+ENTERED = ("CODEMP", "CODFIL", "CODFOR", "NUMNFC")
 ENTRY = ("DATENT", "USU_DATCON")
 SUPPLIER = ("NOMFOR", "SIGUFS", "CIDFOR", "CODCLI", "TIPFOR", "FONFOR", "FONFO2", "FONFO3", "INTNET")
 HEAD = ("USU_TIPLAU", "USU_CODSIT", "USU_NUMNFV", "USU_USUFIN", "USU_DATALT", "USU_DATSEP")
 OUTGOING = ("DATEMI", "USU_CODRAS", "USU_ENTCOR", "CODTRA")
+HEAD_KEY = ("USU_CODLAU", "USU_CODEMP", "USU_CODFIL")
+HEAD_TEXTS = ("USU_DESTIP", "USU_DESSIT", *OUTGOING, "APETRA")
 PRODUCT = ("USU_CODEMP", "USU_CODPRO", "USU_CODDER", "USU_CODDEF")
+PRODUCT_TEXTS = ("USU_DESDEF", "CODAGT", "DESAGP", "CODORI", "ORIMER")
 
 
-def _entry_notes(bronze: Bronze, p: ProductParams) -> DataFrame:
-    """Entry notes from the cutoff on, each with its supplier."""
-    t6, t7 = bronze("E440NFC").alias("T6"), bronze("E095FOR").alias("T7")
-    return (t6.where(c("T6", "DATENT") >= F.lit(p.reports_cutoff).cast("timestamp_ntz"))
-              .join(t7, c("T6", "CODFOR") == c("T7", "CODFOR"), "left")
-              .select(*[c("T6", x).alias(y) for x, y in zip(("CODEMP", "CODFIL", "CODFOR", "NUMNFC"), NOTE)],
+def _entry_notes(notes: DataFrame, bronze: Bronze) -> DataFrame:
+    """Entry notes, each with its supplier."""
+    t6, t7 = notes.alias("T6"), bronze("E095FOR").alias("T7")
+    return (t6.join(t7, c("T6", "CODFOR") == c("T7", "CODFOR"), "left")
+              .select(*[c("T6", x).alias(y) for x, y in zip(ENTERED, NOTE)],
                       *[c("T6", x).alias(f"T6_{x}") for x in ENTRY], *[c("T7", x).alias(f"T7_{x}") for x in SUPPLIER]))
 
 
-def _report_heads(bronze: Bronze) -> DataFrame:
-    """Report heads with their type, situation, outgoing note and carrier."""
-    t1 = bronze("USU_TLAUGER").alias("T1")
+def _report_heads(bronze: Bronze, items: DataFrame, n: int) -> DataFrame:
+    """Heads of the ``n`` items with their type, situation, outgoing note and carrier."""
+    heads = keep_members(bronze("USU_TLAUGER"), HEAD_KEY, items, expected=n)
+    outgoing = keep_members(bronze("E140NFV"), ("CODEMP", "CODFIL", "NUMNFV"), heads, ("USU_CODEMP", "USU_CODFIL", "USU_NUMNFV"), expected=n)
+    t1 = heads.alias("T1")
     return (t1.join(bronze("USU_TLAUTIP").alias("T2"), c("T1", "USU_TIPLAU") == c("T2", "USU_CODTIP"), "left")
               .join(bronze("USU_TLAUSIT").alias("T4"), c("T1", "USU_CODSIT") == c("T4", "USU_CODSIT"), "left")
-              .join(bronze("E140NFV").alias("T12"), (c("T12", "CODEMP") == c("T1", "USU_CODEMP"))
+              .join(outgoing.alias("T12"), (c("T12", "CODEMP") == c("T1", "USU_CODEMP"))
                     & (c("T12", "CODFIL") == c("T1", "USU_CODFIL")) & (c("T12", "NUMNFV") == c("T1", "USU_NUMNFV")), "left")
               .join(bronze("E073TRA").alias("T13"), c("T13", "CODTRA") == c("T12", "CODTRA"), "left")
-              .select(*[c("T1", x).alias(x) for x in ("USU_CODLAU", "USU_CODEMP", "USU_CODFIL", *HEAD)],
+              .select(*[c("T1", x).alias(x) for x in (*HEAD_KEY, *HEAD)],
                       c("T2", "USU_DESTIP").alias("USU_DESTIP"), c("T4", "USU_DESSIT").alias("USU_DESSIT"),
                       *[c("T12", x).alias(x) for x in OUTGOING], c("T13", "APETRA").alias("APETRA")))
 
 
-def _item_products(bronze: Bronze) -> DataFrame:
+def _item_products(bronze: Bronze, items: DataFrame) -> DataFrame:
     """The product, variant and defect texts of each (company, product, variant, defect)
     that items have, a missing one included: the look-ups move these keys, not the items."""
-    k = bronze("USU_TLAUITE").select(*PRODUCT).distinct().alias("K")
+    k = items.select(*PRODUCT).distinct().alias("K")
     t9 = (bronze("E075DER").alias("T9")
           .join(bronze("E013AGP").alias("T10"), (c("T9", "CODEMP") == c("T10", "CODEMP"))
                 & (c("T9", "CODAGT") == c("T10", "CODAGP")) & (c("T10", "TIPAGP") == FINISHED_AGGREGATE_TYPE), "left")
@@ -154,56 +164,69 @@ def _item_products(bronze: Bronze) -> DataFrame:
                      c("T8", "CODORI").alias("CODORI"), c("T8", "ORIMER").alias("ORIMER")))
 
 
+def _technicians(bronze: Bronze, items: DataFrame, n: int) -> DataFrame:
+    """Users that the ``n`` items name as technicians; broadcast where they are few."""
+    users = keep_members(bronze("R910USU"), ["CODENT"], items, ["USU_USUTEC"], n).select("CODENT", "NOMCOM")
+    return F.broadcast(users) if users.count() <= FEW_TECHNICIANS else users
+
+
 def report_items(bronze: Bronze, p: ProductParams) -> DataFrame:
-    """Items of entry notes from the cutoff on, which are joined first.  Look-ups that
-    hang on a look-up (supplier on note, carrier on head, aggregate on variant) are joined
-    to it beforehand, so items are shuffled once for each key of their own; the widest
-    look-up comes last."""
-    items = bronze("USU_TLAUITE")
-    entered = items.join(_entry_notes(bronze, p), list(NOTE)).select(*items.columns, *[f"T6_{x}" for x in ENTRY], *[f"T7_{x}" for x in SUPPLIER])
-    # blank serials match the tracking rows that have a blank code: they are a heavy key here
-    track = bronze("USU_VZRASLAU")
-    track = track.select(F.col("USU_CODBAR").alias("USU_SERMAC"), F.col("EMPNFV").alias("USU_CODEMP"), F.col("FILNFV").alias("USU_CODFIL"), *[F.col(x).alias(f"T15_{x}") for x in TRACKED])
-    t0 = heavy_left_join(entered, track, ["USU_SERMAC", "USU_CODEMP", "USU_CODFIL"], counted=items)
-    t0 = t0.join(repeat_entries(bronze, p).withColumnRenamed("DATENT", "T6_DATENT"), ["T6_DATENT", "USU_SERMAC"], "left").alias("T0")
+    """Items of entry notes from the cutoff on, which are joined first; other items, and the
+    heads, outgoing notes and tracking rows that only they ask for, are left out before they
+    move.  Look-ups that hang on a look-up (supplier on note, carrier on head, aggregate on
+    variant) are joined to it beforehand, so items are shuffled once for each key of their
+    own; the wider a look-up, the later it comes."""
+    notes = bronze("E440NFC").where(F.col("DATENT") >= F.lit(p.reports_cutoff).cast("timestamp_ntz"))
+    items = keep_members(bronze("USU_TLAUITE").select(*ITEM), NOTE, notes, ENTERED)
+    n = items.count()
+    t0 = items.join(_entry_notes(notes, bronze), list(NOTE)).select(*ITEM, *[f"T6_{x}" for x in ENTRY], *[f"T7_{x}" for x in SUPPLIER])
+    again = repeat_entries(bronze, p, items).withColumnsRenamed({"DATENT": "T6_DATENT", "DATREI": "A_DATREI"})
+    t0 = (t0.alias("T0").join(_technicians(bronze, items, n).alias("T11"), c("T0", "USU_USUTEC") == c("T11", "CODENT"), "left")
+            .select("T0.*", c("T11", "NOMCOM").alias("T11_NOMCOM")).join(again, ["T6_DATENT", "USU_SERMAC"], "left").alias("T0"))
     same = c("T0", PRODUCT[0]).eqNullSafe(c("P", PRODUCT[0]))
     for x in PRODUCT[1:]:
         same = same & c("T0", x).eqNullSafe(c("P", x))
-    j = (t0.join(_item_products(bronze).alias("P"), same, "left")
-           .join(bronze("R910USU").alias("T11"), c("T0", "USU_USUTEC") == c("T11", "CODENT"), "left")
-           .join(_report_heads(bronze).alias("T1"), on("T0", "T1", "USU_CODLAU", "USU_CODEMP", "USU_CODFIL"), "left")
+    t0 = t0.join(_item_products(bronze, items).alias("P"), same, "left").select("T0.*", *[c("P", x).alias(f"P_{x}") for x in PRODUCT_TEXTS])
+    # blank serials match the tracking rows that have a blank code: they are a heavy key here
+    serial = ["USU_SERMAC", "USU_CODEMP", "USU_CODFIL"]
+    track = bronze("USU_VZRASLAU")
+    track = track.select(*[F.col(x).alias(y) for x, y in zip(("USU_CODBAR", "EMPNFV", "FILNFV"), serial)], *[F.col(x).alias(f"T15_{x}") for x in TRACKED])
+    t0 = heavy_left_join(t0, keep_members(track, serial, items, expected=n), serial, counted=items, bypass=False).alias("T0")
+    j = (t0.join(_report_heads(bronze, items, n).alias("T1"), on("T0", "T1", *HEAD_KEY), "left")
            .join(bronze("USU_TLAUPRB").alias("T5"), c("T0", "USU_CODPRB") == c("T5", "USU_CODPRB"), "left")
-           .join(bronze("USU_TLAUCOR").alias("T14"), c("T0", "USU_CODCOR") == c("T14", "USU_CODCOR"), "left"))
+           .join(bronze("USU_TLAUCOR").alias("T14"), c("T0", "USU_CODCOR") == c("T14", "USU_CODCOR"), "left")
+           .select("T0.*", *[c("T1", x).alias(f"T1_{x}") for x in (*HEAD, *HEAD_TEXTS)],
+                   c("T5", "USU_DESPRB").alias("T5_USU_DESPRB"), c("T14", "USU_DESCOR").alias("T14_USU_DESCOR")))
     base = j.select(
-        c("T0", "T6_DATENT").alias("DATENT"), c("T0", "USU_SERMAC").alias("USU_SERMAC"),
-        c("T0", "USU_CODEMP").alias("USU_CODEMP"), c("T0", "USU_CODFIL").alias("USU_CODFIL"),
-        c("T0", "USU_CODFOR").alias("USU_CODFOR"), c("T0", "T7_NOMFOR").alias("NOMFOR"),
-        c("T0", "T7_SIGUFS").alias("SIGUFS"), c("T0", "T7_CIDFOR").alias("CIDFOR"), c("T0", "T7_CODCLI").alias("CODCLI"),
-        c("T0", "T7_TIPFOR").alias("TIPFOR"), c("T0", "T7_FONFOR").alias("FONFOR"), c("T0", "T7_FONFO2").alias("FONFO2"),
-        c("T0", "T7_FONFO3").alias("FONFO3"), c("T0", "T7_INTNET").alias("INTNET"),
-        c("T0", "USU_NUMNFC").alias("USU_NUMNFC"), c("T0", "USU_SEQIPC").alias("USU_SEQIPC"),
-        c("T0", "USU_SEQUNI").alias("USU_SEQUNI"), c("T0", "T6_USU_DATCON").alias("USU_DATCON"),
-        c("T0", "USU_CODLAU").alias("USU_CODLAU"),
-        c("T1", "USU_TIPLAU").alias("USU_TIPLAU"), c("T1", "USU_DESTIP").alias("USU_DESTIP"),
-        c("T0", "USU_CODPRO").alias("USU_CODPRO"),
-        c("T0", "USU_CODDER").alias("USU_CODDER"), c("P", "CODAGT").alias("CODAGT"),
-        c("P", "DESAGP").alias("DESAGP"), c("P", "CODORI").alias("CODORI"), c("P", "ORIMER").alias("ORIMER"),
-        c("T0", "USU_CODDEF").alias("USU_CODDEF"), c("P", "USU_DESDEF").alias("USU_DESDEF"),
-        c("T0", "USU_PECFAL").alias("USU_PECFAL"), c("T0", "USU_PECTRO").alias("USU_PECTRO"),
-        c("T0", "USU_CODCOR").alias("USU_CODCOR"), c("T14", "USU_DESCOR").alias("USU_DESCOR"),
-        c("T0", "USU_USUTEC").alias("USU_USUTEC"), c("T11", "NOMCOM").alias("NOMCOM"),
-        c("T0", "USU_TMPUTI").alias("USU_TMPUTI"), c("T1", "USU_NUMNFV").alias("USU_NUMNFV"),
-        c("T1", "USU_USUFIN").alias("USU_USUFIN"), c("T1", "USU_DATALT").alias("USU_DATALT"),
-        X.when_in(c("T1", "USU_CODSIT"), FINISHED_SITUATIONS, c("T1", "USU_DATSEP")).alias("DATFIN"),
-        c("T0", "USU_OBSCLI").alias("USU_OBSCLI"), c("T0", "USU_CODPRB").alias("USU_CODPRB"),
-        c("T5", "USU_DESPRB").alias("USU_DESPRB"), c("T1", "USU_CODSIT").alias("USU_CODSIT"),
-        c("T1", "USU_DESSIT").alias("USU_DESSIT"), F.lit(1).alias("QTDREG"), c("T1", "DATEMI").alias("DATEMI"),
-        c("T1", "USU_CODRAS").alias("USU_CODRAS"), c("T1", "USU_ENTCOR").alias("USU_ENTCOR"),
-        c("T1", "CODTRA").alias("CODTRA"), c("T1", "APETRA").alias("APETRA"), c("T0", "T15_NUMOCP").alias("NUMOCP"),
-        c("T0", "T15_DATEMIOCP").alias("DATEMIOCP"), c("T0", "T15_CODFOR").alias("CODFOR"),
-        c("T0", "T15_NOMFOR").alias("NOMFORCOMP"), c("T0", "T15_USU_NUMINV").alias("USU_NUMINV"),
-        c("T0", "T15_USU_DATEMB").alias("USU_DATEMB"), c("T0", "T15_NUMNFC").alias("NUMNFC"),
-        c("T0", "T15_DATEMINFC").alias("DATEMINFC"), c("T0", "DATREI").alias("DATREI"))
+        F.col("T6_DATENT").alias("DATENT"), F.col("USU_SERMAC").alias("USU_SERMAC"),
+        F.col("USU_CODEMP").alias("USU_CODEMP"), F.col("USU_CODFIL").alias("USU_CODFIL"),
+        F.col("USU_CODFOR").alias("USU_CODFOR"), F.col("T7_NOMFOR").alias("NOMFOR"),
+        F.col("T7_SIGUFS").alias("SIGUFS"), F.col("T7_CIDFOR").alias("CIDFOR"), F.col("T7_CODCLI").alias("CODCLI"),
+        F.col("T7_TIPFOR").alias("TIPFOR"), F.col("T7_FONFOR").alias("FONFOR"), F.col("T7_FONFO2").alias("FONFO2"),
+        F.col("T7_FONFO3").alias("FONFO3"), F.col("T7_INTNET").alias("INTNET"),
+        F.col("USU_NUMNFC").alias("USU_NUMNFC"), F.col("USU_SEQIPC").alias("USU_SEQIPC"),
+        F.col("USU_SEQUNI").alias("USU_SEQUNI"), F.col("T6_USU_DATCON").alias("USU_DATCON"),
+        F.col("USU_CODLAU").alias("USU_CODLAU"),
+        F.col("T1_USU_TIPLAU").alias("USU_TIPLAU"), F.col("T1_USU_DESTIP").alias("USU_DESTIP"),
+        F.col("USU_CODPRO").alias("USU_CODPRO"),
+        F.col("USU_CODDER").alias("USU_CODDER"), F.col("P_CODAGT").alias("CODAGT"),
+        F.col("P_DESAGP").alias("DESAGP"), F.col("P_CODORI").alias("CODORI"), F.col("P_ORIMER").alias("ORIMER"),
+        F.col("USU_CODDEF").alias("USU_CODDEF"), F.col("P_USU_DESDEF").alias("USU_DESDEF"),
+        F.col("USU_PECFAL").alias("USU_PECFAL"), F.col("USU_PECTRO").alias("USU_PECTRO"),
+        F.col("USU_CODCOR").alias("USU_CODCOR"), F.col("T14_USU_DESCOR").alias("USU_DESCOR"),
+        F.col("USU_USUTEC").alias("USU_USUTEC"), F.col("T11_NOMCOM").alias("NOMCOM"),
+        F.col("USU_TMPUTI").alias("USU_TMPUTI"), F.col("T1_USU_NUMNFV").alias("USU_NUMNFV"),
+        F.col("T1_USU_USUFIN").alias("USU_USUFIN"), F.col("T1_USU_DATALT").alias("USU_DATALT"),
+        X.when_in(F.col("T1_USU_CODSIT"), FINISHED_SITUATIONS, F.col("T1_USU_DATSEP")).alias("DATFIN"),
+        F.col("USU_OBSCLI").alias("USU_OBSCLI"), F.col("USU_CODPRB").alias("USU_CODPRB"),
+        F.col("T5_USU_DESPRB").alias("USU_DESPRB"), F.col("T1_USU_CODSIT").alias("USU_CODSIT"),
+        F.col("T1_USU_DESSIT").alias("USU_DESSIT"), F.lit(1).alias("QTDREG"), F.col("T1_DATEMI").alias("DATEMI"),
+        F.col("T1_USU_CODRAS").alias("USU_CODRAS"), F.col("T1_USU_ENTCOR").alias("USU_ENTCOR"),
+        F.col("T1_CODTRA").alias("CODTRA"), F.col("T1_APETRA").alias("APETRA"), F.col("T15_NUMOCP").alias("NUMOCP"),
+        F.col("T15_DATEMIOCP").alias("DATEMIOCP"), F.col("T15_CODFOR").alias("CODFOR"),
+        F.col("T15_NOMFOR").alias("NOMFORCOMP"), F.col("T15_USU_NUMINV").alias("USU_NUMINV"),
+        F.col("T15_USU_DATEMB").alias("USU_DATEMB"), F.col("T15_NUMNFC").alias("NUMNFC"),
+        F.col("T15_DATEMINFC").alias("DATEMINFC"), F.col("A_DATREI").alias("DATREI"))
     as_of = p.as_of
     return base.select(
         "*",
