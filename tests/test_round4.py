@@ -63,3 +63,25 @@ def test_report_items_without_entry_do_not_move(spark):
     assert len(got) == 40 and all(r.USU_CODRAS == f"R{r.USU_CODLAU[1:]}" for r in got)
     assert {(r.USU_SERMAC, r.NUMOCP) for r in got} == {(s, None if s is None else 0 if s == " " else int(s[1:]) or None) for s in {i["USU_SERMAC"] for i in items[:30]}}
     assert rows_moved(df, "USU_OBSCLI") < 500 and rows_moved(df, "USU_CODRAS") < 500
+
+
+def test_performance_moves_rows_of_its_orders(spark):
+    orders, late = range(400), set(range(0, 400, 40))
+    data = {"E900EOQ": [dict(CODEMP=1, CODORI="PRO", NUMORP=i, CODETG=str(1 + k % 2), SEQROT=None if k == 3 else k, DATREA=TS(2024, 2, 3) if i in late else TS(2023, 7, 3), CODCRE="R", CODPRO="A", CODDER=" ", HORREA=1,
+                              CODOPR=f"X{k % 2}", QTDRE1=2, TMPBRU=3) for i in orders for k in range(4)],
+            "E900COP": [dict(CODEMP=1, CODORI="PRO", NUMORP=i, CODPRO="A", DTRINI=TS(2024, 1, 5) if i in late else TS(2015, 1, 5), DTRFIM=TS(2024, 2, 9), SITORP="E") for i in orders],
+            "E900OOP": [dict(CODEMP=1, CODORI="PRO", NUMORP=i, CODETG=str(1 + k % 2), SEQROT=k, CODOPR="P", SFXETR="1", SFXSEQ="1", TMPPRP=60, UNICRE="M") for i in orders for k in range(3)],
+            "E900QDO": [dict(CODEMP=1, CODORI="PRO", NUMORP=i, CODPRO="A", CODDER=" ", QTDPRV=4, QTDRFG=1) for i in orders],
+            "E630SPE": [dict(CODEMP=1, CODORI="PRO", NUMORP=i, CODPRO="A", CODETG="99", SDOATU=5) for i in orders],
+            "E093ETG": [dict(CODEMP=1, CODETG=str(k), CODCCU="C") for k in (1, 2)], "E725CRE": [dict(CODEMP=1, CODCRE="R", CODCCU=" ")],
+            "E621MTC": [dict(CODEMP=1, NUMMTC=7, TIPMTC="28", DATINI=TS(2024, 1, 1), DATFIM=TS(2024, 12, 1))], "E626TAX": [dict(CODEMP=1, NUMMTC=7, CODCCU="C", TAXCUS=8)],
+            "E210MVP": [dict(CODEMP=1, NUMDOC=i, ORIORP="PRO", CODETG="1", DATMOV=TS(2024, 2, 3), CODTNS="90251", CODPRO="B", ESTEOS="S", QTDMOV=2, VLRMOV=3) for i in orders if i in late or i == 1]}
+    df = build_product("FAT_DESEMPENHO_PRODUCAO", FakeBronze(spark, data), P)
+    got = df.collect()
+    # steps 0 and 2 of a stage are one row; an entry without a step has no operation, and so no rate
+    one = {(r.NUMORP, r.CODETG, r.CODOPR): (float(r.TAXREA), r.QTDREA and float(r.QTDREA), float(r.QTDPRV), r.QTDAND and float(r.QTDAND)) for r in got if r.TIPTAB == 1}
+    assert one == {(i, *k): v for i in late for k, v in {("1", "P"): (8.0, 2.0, 8.0, 0.0), ("2", "P"): (8.0, 2.0, 4.0, 0.0), ("2", None): (0.0, None, 4.0, 0.0)}.items()}
+    # the consumption of order 1 finds only an entry of another day
+    assert {(r.NUMORP, r.DATREA, r.CODPRO, r.QTDTOP and float(r.QTDTOP)) for r in got if r.TIPTAB == 2} == \
+        {(i, TS(2024, 2, 3), "A", 2.0) for i in late} | {(1, TS(2023, 7, 3), "A", None)}
+    assert rows_moved(df, "DATREA") < 1600 and rows_moved(df, "TMPPRP") < 1200

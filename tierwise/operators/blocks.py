@@ -188,15 +188,16 @@ def lookup_exact_or_latest(facts: DataFrame, lookup: DataFrame, keys, fact_day:
     """``NVL(MAX(value) at the same day, MAX(value) over all days)`` per fact row.
 
     Two grouped pre-aggregates (per key+day and per key) and two left joins; the
-    look-up side is reduced before any shuffle with the facts.
+    look-up side is reduced before any shuffle with the facts.  The join per key comes
+    first: facts that lie by key already do not move for it.
     """
     k = _cols(keys)
     lk = lookup.select(*k, lookup_day.alias("_d"), value.alias("_v"))
     exact = lk.groupBy(*k, "_d").agg(F.max("_v").alias("_exact"))
     latest = lk.groupBy(*k).agg(F.max("_v").alias("_latest"))
     f = facts.withColumn("_d", fact_day)
-    return (f.join(exact, on=[*k, "_d"], how="left")
-             .join(latest, on=k, how="left")
+    return (f.join(latest, on=k, how="left")
+             .join(exact, on=[*k, "_d"], how="left")
              .withColumn(name, F.coalesce("_exact", "_latest"))
              .drop("_d", "_exact", "_latest"))
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ...functions import exprs as X
 from ...operators import blocks as B
 from ...operators.intervals import interval_rate
+from ...operators.membership import keep_members
 from ...operators import merge as M
 from .common import Bronze, ProductParams, c, on
 
@@ -32,6 +33,7 @@ MATRIX_FLOOR = 1600
 STOP_CLASSES = {1: "Operacional", 2: "Manutencao", 3: "Utilidades", 4: "TI", 5: "Externo"}
 STOP_CLASS_EMPTY = "*** VAZIO ***"
 DEC = "decimal(38,10)"
+ORDER = ("CODEMP", "CODORI", "NUMORP")
 
 
 def _date(v: str):
@@ -209,14 +211,22 @@ def _scaled(sum_col, unit):
 
 
 def performance(bronze: Bronze, p: ProductParams) -> DataFrame:
+    """Entries, operations and quantities of orders that block 1 leaves out, and entries that
+    no consumption of block 2 asks for, are left out before they move; what is joined
+    comes narrow before wide."""
     cut = _date(p.production_cutoff)
     eoq = bronze("E900EOQ")
+    cop = bronze("E900COP").where(F.col("DTRINI") >= cut)
+    n = cop.count()
+
+    def asked(df):
+        return keep_members(df, ORDER, cop, expected=n)
 
     # ---- block 1: performance ------------------------------------------
     floor = (F.col("DATREA") > F.lit(p.performance_floor).cast("timestamp_ntz")) & ~F.col("CODETG").isin(*EXCLUDED_STAGES)
-    z1 = eoq.where(floor)
+    z1 = asked(eoq.where(floor))
     entries = _entry_totals(z1)
-    spe = (bronze("E630SPE").where(F.col("CODETG").isin(*REWORK_STAGES))
+    spe = (asked(bronze("E630SPE")).where(F.col("CODETG").isin(*REWORK_STAGES))
            .groupBy("CODEMP", "CODORI", "NUMORP", "CODPRO").agg(F.sum("SDOATU").alias("_SDO")))
     mtc = bronze("E621MTC").where(F.col("TIPMTC") == RATE_MATRIX_TYPE).alias("Y0")
     tax = bronze("E626TAX").alias("Y1")
@@ -225,35 +235,31 @@ def performance(bronze: Bronze, p: ProductParams) -> DataFrame:
         c("Y0", "DATINI").alias("DATINI"), c("Y0", "DATFIM").alias("DATFIM"), c("Y1", "TAXCUS").alias("TAXCUS"))
 
     # the balance in progress hangs on the order: it is joined to the orders, not to the entries
-    t0 = bronze("E900COP").where(F.col("DTRINI") >= cut).join(spe, ["CODEMP", "CODORI", "NUMORP", "CODPRO"], "left").alias("T0")
-    j1 = (z1.alias("Z1").join(t0, on("T0", "Z1", "CODEMP", "CODORI", "NUMORP"))
-            .join(bronze("E900OOP").alias("T2"), on("T2", "Z1", "CODEMP", "CODORI", "NUMORP", "CODETG", "SEQROT")
-                  & (c("T2", "SFXETR") == "1") & (c("T2", "SFXSEQ") == "1"), "left")
-            .join(bronze("E093ETG").alias("X1"), on("X1", "Z1", "CODEMP", "CODETG"), "left")
-            .join(bronze("E725CRE").alias("X2"), on("X2", "Z1", "CODEMP", "CODCRE"), "left")
-            .join(bronze("E900QDO").alias("T3"), on("T3", "Z1", "CODEMP", "CODORI", "NUMORP", "CODPRO", "CODDER"),
-                  "left"))
+    t0 = cop.join(spe, [*ORDER, "CODPRO"], "left").alias("T0")
     cc = _cc_exe(c("X2", "CODCCU"), c("X1", "CODCCU"))
-    j1 = j1.select(
-        c("Z1", "CODEMP").alias("CODEMP"), c("Z1", "DATREA").alias("DATREA"), c("Z1", "NUMORP").alias("NUMORP"),
-        c("Z1", "CODETG").alias("CODETG"), c("Z1", "CODCRE").alias("CODCRE"), cc.alias("CC_EXE"),
-        c("T2", "CODOPR").alias("CODOPR"), c("Z1", "CODORI").alias("CODORI"), c("Z1", "CODPRO").alias("CODPRO"),
-        c("T2", "UNICRE").alias("UNICRE"), c("Z1", "SEQROT").alias("SEQROT"), c("Z1", "CODOPR").alias("_Z1OPR"),
-        c("T2", "CODEMP").alias("_T2EMP"), c("T3", "QTDPRV").alias("_QTDPRV"), c("T3", "QTDRFG").alias("_QTDRFG"),
-        c("T2", "TMPPRP").alias("_TMPPRP"), c("T0", "SITORP").alias("_SITORP"), c("T0", "DTRINI").alias("_DTRINI"),
-        c("T0", "DTRFIM").alias("_DTRFIM"), c("T0", "_SDO").alias("_SDO"))
+
+    def centred(df, *columns):
+        return (df.alias("Z1").join(bronze("E093ETG").alias("X1"), on("X1", "Z1", "CODEMP", "CODETG"), "left")
+                  .join(bronze("E725CRE").alias("X2"), on("X2", "Z1", "CODEMP", "CODCRE"), "left")
+                  .select(*[c("Z1", x).alias(x) for x in columns], cc.alias("CC_EXE")))
     # the moments whose rate is asked for, without what the entries are joined with
-    m = z1.select("CODEMP", "CODETG", "CODCRE", "DATREA").distinct().alias("Z1")
-    moments = (m.join(bronze("E093ETG").alias("X1"), on("X1", "Z1", "CODEMP", "CODETG"), "left")
-                .join(bronze("E725CRE").alias("X2"), on("X2", "Z1", "CODEMP", "CODCRE"), "left")
-                .select(c("Z1", "CODEMP").alias("_T2EMP"), cc.alias("CC_EXE"), c("Z1", "DATREA").alias("_ts")).distinct())
+    moments = centred(z1.select("CODEMP", "CODETG", "CODCRE", "DATREA").distinct(), "CODEMP", "DATREA").withColumnRenamed("DATREA", "_ts")
+    j1 = centred(z1, *ORDER, "DATREA", "CODETG", "CODCRE", "CODPRO", "CODDER", "SEQROT", "CODOPR").withColumnRenamed("CODOPR", "_Z1OPR")
     j1 = _block1_joins(j1, entries, rates, moments)
+    j1 = (j1.alias("J").join(t0, on("T0", "J", *ORDER))
+            .select("J.*", c("T0", "SITORP").alias("_SITORP"), c("T0", "DTRINI").alias("_DTRINI"), c("T0", "DTRFIM").alias("_DTRFIM"), c("T0", "_SDO").alias("_SDO")))
+    j1 = (j1.alias("J").join(asked(bronze("E900QDO")).alias("T3"), on("T3", "J", *ORDER, "CODPRO", "CODDER"), "left")
+            .select("J.*", c("T3", "QTDPRV").alias("_QTDPRV"), c("T3", "QTDRFG").alias("_QTDRFG")))
+    t2 = asked(bronze("E900OOP")).where((F.col("SFXETR") == "1") & (F.col("SFXSEQ") == "1"))
+    j1 = (j1.alias("J").join(t2.alias("T2"), on("T2", "J", *ORDER, "CODETG", "SEQROT"), "left")
+            .select("J.*", c("T2", "CODOPR").alias("CODOPR"), c("T2", "UNICRE").alias("UNICRE"), c("T2", "CODEMP").alias("_T2EMP"), c("T2", "TMPPRP").alias("_TMPPRP")))
+    rate = F.when(F.col("_T2EMP").isNotNull(), F.col("_RATE"))      # an entry without an operation has none
     and_ = F.when(X.same_month(F.col("_DTRFIM"), F.col("DATREA")), F.lit(0)).otherwise(F.col("_SDO"))
     g1 = j1.groupBy("CODEMP", "DATREA", "NUMORP", "CODETG", "CODCRE", "CC_EXE", "CODOPR", "CODORI", "CODPRO",
                     "UNICRE").agg(
         F.sum("_QTDPRV").alias("QTDPRV"), F.avg("_QTDREA").alias("QTDREA"), F.avg(and_).alias("QTDAND"),
         F.sum("_QTDRFG").alias("QTDRFG"), F.sum("_TMPPRP").alias("_STMP"), F.avg("_TMPBRU").alias("TMPBRU"),
-        F.avg(F.coalesce("_RATE", F.lit(0))).alias("TAXREA"), F.max("_SITORP").alias("SITORP"),
+        F.avg(F.coalesce(rate, F.lit(0))).alias("TAXREA"), F.max("_SITORP").alias("SITORP"),
         F.max("_DTRINI").alias("DTRINI"), F.max("_DTRFIM").alias("DTRFIM"))
     blk1 = g1.select(
         F.lit(1).alias("TIPTAB"), F.lit("DESEMPENHO").alias("DESTAB"), "CODEMP", "DATREA", "NUMORP", "CC_EXE",
@@ -264,36 +270,33 @@ def performance(bronze: Bronze, p: ProductParams) -> DataFrame:
 
     # ---- block 2: raw-material consumption ------------------------------
     valid = (F.col("HORREA") > 0) & ~F.col("CODETG").isin(*EXCLUDED_STAGES)
+    t0 = bronze("E210MVP").where((F.col("DATMOV") >= cut) & F.col("CODTNS").isin(*CONSUMPTION_TRANSACTIONS) & ~F.col("CODETG").isin(*EXCLUDED_STAGES))
+    n_moved = t0.count()
+
+    def consumed(df):
+        return keep_members(df, ORDER, t0, ("CODEMP", "ORIORP", "NUMDOC"), expected=n_moved)
     # consumption from the cutoff on asks for whole months of production
-    t3 = (eoq.where(valid & (F.col("DATREA") >= F.date_trunc("month", cut).cast("timestamp_ntz"))).groupBy("CODEMP", "CODORI", "NUMORP", "CODETG", "DATREA", "CODCRE", "SEQROT")
-          .agg(F.sum("QTDRE1").alias("QTDRE1")))
-    reach = eoq.where(valid & (F.col("DATREA") >= F.lit(p.consumption_reach).cast("timestamp_ntz")))
-    t3 = _with_month_total(t3)
-    t0 = bronze("E210MVP").alias("T0")
-    j2 = (t0.join(bronze("E075PRO").alias("T1"), on("T1", "T0", "CODEMP", "CODPRO"), "left")
-            .join(bronze("E900COP").alias("T2"), (c("T2", "CODEMP") == c("T0", "CODEMP"))
-                  & (c("T2", "NUMORP") == c("T0", "NUMDOC")) & (c("T2", "CODORI") == c("T0", "ORIORP")), "left")
+    t3 = consumed(eoq.where(valid & (F.col("DATREA") >= F.date_trunc("month", cut).cast("timestamp_ntz")))).repartition("NUMORP", "CODETG", "SEQROT")
+    t3 = _with_month_total(t3.groupBy(*ORDER, "CODETG", "DATREA", "CODCRE", "SEQROT").agg(F.sum("QTDRE1").alias("QTDRE1")))
+    reach = consumed(eoq.where(valid & (F.col("DATREA") >= F.lit(p.consumption_reach).cast("timestamp_ntz"))))
+    j2 = (t0.alias("T0").join(bronze("E075PRO").alias("T1"), on("T1", "T0", "CODEMP", "CODPRO"), "left")
             .join(t3.alias("T3"), (c("T3", "CODEMP") == c("T0", "CODEMP")) & (c("T3", "CODORI") == c("T0", "ORIORP"))
                   & (c("T3", "NUMORP") == c("T0", "NUMDOC")) & (c("T3", "CODETG") == c("T0", "CODETG"))
                   & (c("T3", "DATREA") == c("T0", "DATMOV")), "left")
             .join(bronze("E093ETG").alias("X1"), on("X1", "T0", "CODEMP", "CODETG"), "left")
             .join(bronze("E725CRE").alias("X2"), (c("X2", "CODEMP") == c("T0", "CODEMP"))
-                  & (c("X2", "CODCRE") == c("T3", "CODCRE")), "left")
-            .where((c("T0", "DATMOV") >= cut) & c("T0", "CODTNS").isin(*CONSUMPTION_TRANSACTIONS)
-                   & ~c("T0", "CODETG").isin(*EXCLUDED_STAGES)))
+                  & (c("X2", "CODCRE") == c("T3", "CODCRE")), "left"))
     j2 = j2.select(
         c("T0", "CODEMP").alias("CODEMP"), c("T0", "NUMDOC").alias("NUMORP"), c("T0", "DATMOV").alias("DATMOV"),
         _cc_exe(c("X2", "CODCCU"), c("X1", "CODCCU")).alias("CC_EXE"), c("T0", "CODETG").alias("CODETG"),
-        c("T3", "CODCRE").alias("CODCRE"), c("T0", "ORIORP").alias("CODORI"), c("T2", "CODPRO").alias("CODPRO"),
+        c("T3", "CODCRE").alias("CODCRE"), c("T0", "ORIORP").alias("CODORI"),
         c("T0", "CODPRO").alias("PROCON"), c("T1", "TIPPRO").alias("TIPCON"), c("T1", "CODFAM").alias("CODFAM"),
         c("T3", "_QTDTOP").alias("_QTDTOP"), c("T0", "QTDMOV").alias("_QTDMOV"),
         X.signed(c("T0", "VLRMOV"), c("T0", "ESTEOS"), "S").alias("_CUS"))
+    # the order's product and its latest day move the rows together
+    j2 = (j2.alias("J").join(bronze("E900COP").alias("T2"), on("T2", "J", *ORDER), "left").select("J.*", c("T2", "CODPRO").alias("CODPRO")))
     # DATREA: exact day in the look-up reach, else the latest (FIL-06, JON-13)
-    j2 = B.lookup_exact_or_latest(
-        j2.withColumn("_K1", F.col("CODEMP")).withColumn("_K2", F.col("CODORI")).withColumn("_K3", F.col("NUMORP")),
-        reach.select(F.col("CODEMP").alias("_K1"), F.col("CODORI").alias("_K2"), F.col("NUMORP").alias("_K3"),
-                     "DATREA"),
-        ["_K1", "_K2", "_K3"], F.col("DATMOV"), F.col("DATREA"), F.col("DATREA"), "_DATREA")
+    j2 = B.lookup_exact_or_latest(j2, reach.select(*ORDER, "DATREA"), ORDER, F.col("DATMOV"), F.col("DATREA"), F.col("DATREA"), "_DATREA")
     g2 = j2.groupBy("CODEMP", "NUMORP", "DATMOV", "CC_EXE", "CODETG", "CODCRE", "CODORI", "CODPRO", "PROCON",
                     "TIPCON", "CODFAM").agg(
         F.max("_DATREA").alias("DATREA"), F.avg("_QTDTOP").alias("QTDTOP"), F.sum("_QTDMOV").alias("QTDCOR"),
@@ -333,25 +336,25 @@ def performance(bronze: Bronze, p: ProductParams) -> DataFrame:
 
 def _entry_totals(entries):
     """``_TMPBRU`` of each (entry, operation) and ``_QTDREA`` of its entry over all
-    operations: one aggregate, and a sum over its rows.  The operation may be missing."""
-    entry = ["CODEMP", "CODORI", "NUMORP", "CODETG", "SEQROT", "DATREA"]
-    g = entries.groupBy(*entry, F.col("CODOPR").alias("_OPR")).agg(F.sum("TMPBRU").alias("_TMPBRU"), F.sum("QTDRE1").alias("_Q"))
+    operations: one aggregate, and a sum over its rows, in one movement.  The operation may be missing."""
+    entry = [*ORDER, "CODETG", "SEQROT", "DATREA"]
+    g = entries.repartition("NUMORP", "CODETG", "SEQROT", "DATREA").groupBy(*entry, F.col("CODOPR").alias("_OPR")).agg(F.sum("TMPBRU").alias("_TMPBRU"), F.sum("QTDRE1").alias("_Q"))
     total = F.sum("_Q").over(Window.partitionBy(*entry)).cast(g.schema["_Q"].dataType)
     return g.select(*entry, "_OPR", F.when(F.col("_OPR").isNotNull(), F.col("_TMPBRU")).alias("_TMPBRU"), total.alias("_QTDREA"))
 
 
 def _block1_joins(j1, entries, rates, moments):
     """Correlated scalars of block 1 as pre-aggregates joined on their keys."""
-    entry = ["CODEMP", "CODORI", "NUMORP", "CODETG", "SEQROT", "DATREA"]
-    j1 = (j1.alias("J").join(entries.alias("E"), on("J", "E", *entry) & c("J", "_Z1OPR").eqNullSafe(c("E", "_OPR")), "left")
-            .select("J.*", "E._TMPBRU", "E._QTDREA"))
-    r = rates.withColumnsRenamed({"CODEMP": "_T2EMP", "CODCCU": "CC_EXE"})
-    return interval_rate(j1, r, ["_T2EMP", "CC_EXE"], F.col("DATREA"), "DATINI", "DATFIM", "TAXCUS", name="_RATE", moments=moments)
+    entry = [*ORDER, "CODETG", "SEQROT", "DATREA"]
+    r = rates.withColumnRenamed("CODCCU", "CC_EXE")
+    j1 = interval_rate(j1, r, ["CODEMP", "CC_EXE"], F.col("DATREA"), "DATINI", "DATFIM", "TAXCUS", name="_RATE", moments=moments)
+    return (j1.alias("J").join(entries.alias("E"), on("J", "E", *entry) & c("J", "_Z1OPR").eqNullSafe(c("E", "_OPR")), "left")
+              .select("J.*", "E._TMPBRU", "E._QTDREA"))
 
 
 def _with_month_total(t3):
     """Month-wide produced quantity of the routing step (same month and year): a sum over
     the day totals; none for a missing step."""
-    month = Window.partitionBy("CODEMP", "CODORI", "NUMORP", "CODETG", "SEQROT", X.month_start("DATREA"))
+    month = Window.partitionBy(*ORDER, "CODETG", "SEQROT", X.month_start("DATREA"))
     total = F.sum("QTDRE1").over(month).cast(t3.schema["QTDRE1"].dataType)
     return t3.withColumn("_QTDTOP", F.when(F.col("SEQROT").isNotNull(), total))
