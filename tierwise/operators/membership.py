@@ -1,4 +1,4 @@
-"""Rows that a join will drop are left out before they move (JON-02).
+"""Rows that a join will drop are left out before they move.
 
 An inner join with a filtered side, or a side that only some keys of the other ask for,
 shuffles all rows first and drops most of them then.  :func:`keep_members` tests each row
